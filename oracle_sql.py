@@ -309,4 +309,246 @@ def all_sql() -> dict[str, str]:
         "r4_drs_runs_unbucketed": R4,
         "r5_temp_speed": R5,
         "r5_temp_speed_fanout": R5,
+        **operator_sql(),
+    }
+
+
+# ----------------------------------------------------------------- point model
+def _not_null(*cols: str) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in cols)
+
+
+def _cum_sector(t: str = "t.date", l: str = "l") -> str:
+    s = f"{l}.date_start"
+    e1 = f"({s} + {secs(f'{l}.duration_sector_1')})"
+    e2 = f"({e1} + {secs(f'{l}.duration_sector_2')})"
+    e3 = f"({e2} + {secs(f'{l}.duration_sector_3')})"
+    return (f"CASE WHEN {t} >= {s} AND {t} <= {e1} THEN 1 WHEN {t} > {e1} AND {t} <= {e2} THEN 2 "
+            f"WHEN {t} > {e2} AND {t} <= {e3} THEN 3 END")
+
+
+_LABELLED = f"""
+, lab AS (
+  SELECT * FROM (
+    SELECT t.driver_number, t.session_key, {_cum_sector()} AS sector, t.speed,
+      l.duration_sector_1, l.duration_sector_2, l.duration_sector_3, t.date
+    FROM telemetrys t LEFT JOIN laps l ON t.session_key = l.session_key AND t.driver_number = l.driver_number
+  ) x WHERE sector IS NOT NULL
+)"""
+
+J5 = views("telemetrys", "laps") + _LABELLED + "\nSELECT * FROM lab"
+
+R6 = views("telemetrys", "laps") + _LABELLED + "\n" + "\nUNION ALL\n".join(
+    f"""SELECT 'sectors2' AS _measurement, CAST(driver_number AS VARCHAR) AS driver_number,
+  CAST(session_key AS VARCHAR) AS session_key, CAST(sector AS VARCHAR) AS sector,
+  '{f}' AS _field, CAST({f} AS DOUBLE) AS _value, date AS _time FROM lab WHERE {f} IS NOT NULL"""
+    for f in ("speed", "duration_sector_1", "duration_sector_2", "duration_sector_3"))
+
+_TEL_FIELDS = ("speed", "throttle", "brake", "drs")
+_TEL_COMPLETE = _not_null("session_key", "driver_number", "date", "speed", "brake", "drs", "throttle")
+
+S9 = views("telemetrys") + "\n" + "\nUNION ALL\n".join(
+    f"""SELECT 'telemetry' AS _measurement, CAST(session_key AS VARCHAR) AS session_key,
+  CAST(driver_number AS VARCHAR) AS driver_number, '{f}' AS _field,
+  CAST(CAST(trunc({f}) AS INT) AS DOUBLE) AS _value, date AS _time
+FROM telemetrys WHERE {_TEL_COMPLETE}""" for f in _TEL_FIELDS)
+
+A15 = views("telemetrys") + f"""
+SELECT date AS _time, CAST(session_key AS VARCHAR) AS session_key, CAST(driver_number AS VARCHAR) AS driver_number,
+  {", ".join(f"max(CAST(CAST(trunc({f}) AS INT) AS DOUBLE)) AS {f}" for f in _TEL_FIELDS)}
+FROM telemetrys WHERE {_TEL_COMPLETE}
+GROUP BY date, session_key, driver_number"""
+
+R3B = views("tyre_stints", "weather_conditions") + f"""
+, st AS (SELECT * FROM tyre_stints
+         WHERE {_not_null('session_key', 'driver_number', 'stint_number', 'lap_start', 'lap_end', 'compound')}),
+wc AS (SELECT * FROM weather_conditions WHERE {_not_null('session_key', 'date', 'track_temperature')})
+SELECT st.compound AS compound, {mean_exact('wc.track_temperature')} AS mean_track_temperature,
+  greatest(max(CAST(st.lap_end AS DOUBLE) - CAST(st.lap_start AS DOUBLE)), 0.0) AS max_lap_duration
+FROM st JOIN wc ON CAST(st.session_key AS VARCHAR) = CAST(wc.session_key AS VARCHAR)
+GROUP BY st.compound
+ORDER BY max_lap_duration DESC"""
+
+_STINT_WEATHER = f"""
+, st AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY session_key, stint_number, driver_number
+                                 ORDER BY lap_start, lap_end) AS rn
+    FROM tyre_stints
+    WHERE {_not_null('session_key', 'driver_number', 'stint_number', 'lap_start', 'lap_end', 'compound')}
+  ) x WHERE rn = 1
+), wc AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY session_key, date ORDER BY track_temperature) AS rn
+    FROM weather_conditions WHERE {_not_null('session_key', 'date', 'track_temperature')}
+  ) x WHERE rn = 1 AND session_key IN (SELECT session_key FROM sessions)
+), j AS (
+  SELECT st.session_key, st.compound, st.driver_number, st.stint_number, st.lap_start, st.lap_end,
+    wc.date, wc.track_temperature
+  FROM st JOIN wc ON st.session_key = wc.session_key
+)"""
+
+R3C = views("tyre_stints", "weather_conditions", "sessions") + _STINT_WEATHER + f"""
+, lww AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY session_key, compound, driver_number, date
+                                 ORDER BY session_key DESC, driver_number DESC, stint_number DESC, date DESC) AS w
+    FROM j) x WHERE w = 1
+)
+SELECT compound, {mean_exact('track_temperature')} AS mean_track_temperature,
+  greatest(max(CAST(lap_end - lap_start AS DOUBLE)), 0.0) AS max_lap_duration
+FROM lww GROUP BY compound ORDER BY max_lap_duration DESC"""
+
+A17 = views("tyre_stints", "weather_conditions", "sessions") + _STINT_WEATHER + """
+, pts AS (
+  SELECT session_key, compound, driver_number, stint_number, date, f AS _field, v AS _value
+  FROM j, LATERAL (VALUES ('lap_start', CAST(lap_start AS DOUBLE)), ('lap_end', CAST(lap_end AS DOUBLE)),
+                          ('track_temperature', CAST(track_temperature AS DOUBLE))) AS u(f, v)
+)
+SELECT 'query3_by_compound' AS _measurement, CAST(session_key AS VARCHAR) AS session_key,
+  COALESCE(compound, 'None') AS compound, _field, _value, date AS _time
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY session_key, compound, date, _field
+                               ORDER BY session_key DESC, driver_number DESC, stint_number DESC, date DESC) AS w
+  FROM pts) x
+WHERE w = 1"""
+
+
+# ----------------------------------------------------------------- timing
+def _var_parts(c: str) -> tuple[str, str, str]:
+    s = f"CAST(round(({c}) * 10000) AS HUGEINT)"
+    return f"CAST(count({c}) AS HUGEINT)", f"sum({s})", f"sum({s} * {s})"
+
+
+_N, _SX, _SXX = _var_parts("elapsedtime")
+_LOG = "(SELECT event_id AS statid, user_id AS queryid, event_type AS index_type, value AS elapsedtime FROM events)"
+
+R7 = f"""
+SELECT queryid, index_type,
+  {m2('elapsedtime')} AS mean_time,
+  CAST(min(elapsedtime) AS DECIMAL(8,2)) AS min_time,
+  {q2dp('elapsedtime', 0.25)} AS q1_time,
+  {q2dp('elapsedtime', 0.5)} AS median_time,
+  {q2dp('elapsedtime', 0.75)} AS q3_time,
+  CAST(max(elapsedtime) AS DECIMAL(8,2)) AS max_time,
+  CAST(CASE WHEN count(elapsedtime) > 1 THEN
+    sqrt(CAST({_N} * {_SXX} - {_SX} * {_SX} AS DOUBLE) / CAST({_N} * ({_N} - 1) AS DOUBLE)) / 10000.0
+  END AS DECIMAL(8,2)) AS stddev_time
+FROM {_LOG} SQ
+GROUP BY queryid, index_type"""
+
+R8 = f"""
+SELECT queryid, index_type,
+  round(CAST({_SX} AS DOUBLE) / (CAST(count(elapsedtime) AS DOUBLE) * 10000.0), 6) AS mean,
+  round(quantile_cont(CAST(round(elapsedtime * 10000) AS BIGINT), 0.5) / 10000.0, 6) AS median,
+  round(sqrt(CAST({_N} * {_SXX} - {_SX} * {_SX} AS DOUBLE) / CAST({_N} * {_N} AS DOUBLE)) / 10000.0, 6) AS std,
+  min(elapsedtime) AS min, max(elapsedtime) AS max
+FROM {_LOG} SQ
+GROUP BY queryid, index_type"""
+
+
+# ----------------------------------------------------------------- cleaning and the rest
+C5 = """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+  l_returnflag, l_linestatus, l_shipdate
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
+                 l_linestatus, l_shipdate) AS rn
+      FROM lineitem) x
+WHERE rn = 1"""
+
+C6 = views("drivers") + """
+SELECT * FROM drivers
+WHERE driver_number IS NOT NULL AND session_key IS NOT NULL AND full_name IS NOT NULL
+  AND country_code IS NOT NULL AND team_name IS NOT NULL"""
+
+C7 = "SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)"
+
+C8 = views("telemetrys", "telemetrys_laps") + """
+SELECT * FROM telemetrys t
+WHERE EXISTS (SELECT 1 FROM telemetrys_laps tl
+              WHERE tl.session_key = t.session_key AND tl.driver_number = t.driver_number)"""
+
+C10 = """
+SELECT doc_id, CASE WHEN quality IS NULL THEN TRUE ELSE quality <> 0 END AS is_quality,
+  CASE WHEN toxic IS NULL THEN TRUE ELSE toxic <> 0 END AS is_toxic
+FROM labels"""
+
+C12 = "SELECT event_id, ts AS ts_utc FROM events"
+
+C13 = """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+C14 = """
+SELECT doc_id, lang, source FROM documents d
+WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
+
+C15 = views("telemetrys", "laps") + """
+SELECT session_key, driver_number, lap_number,
+  CASE WHEN session_key IS NULL OR driver_number IS NULL OR lap_number IS NULL THEN 'null key'
+       WHEN lap_duration IS NULL THEN 'null lap_duration'
+       WHEN duration_sector_1 <= 0 OR duration_sector_2 <= 0 OR duration_sector_3 <= 0 THEN 'non-positive sector'
+  END AS reason
+FROM laps
+WHERE session_key IS NULL OR driver_number IS NULL OR lap_number IS NULL OR lap_duration IS NULL
+  OR duration_sector_1 <= 0 OR duration_sector_2 <= 0 OR duration_sector_3 <= 0"""
+
+C16 = "SELECT * FROM events WHERE event_id % 20 = 0"
+
+C17 = views("telemetrys", "laps") + "SELECT DISTINCT session_key, driver_number FROM laps"
+
+S4 = r"""
+SELECT page_id,
+  CASE WHEN regexp_extract(url, '/([a-z]{2})/(\d+)', 1) = '' THEN NULL
+       ELSE regexp_extract(url, '/([a-z]{2})/(\d+)', 1) END AS lang,
+  CASE WHEN regexp_extract(url, '/([a-z]{2})/(\d+)', 2) = '' THEN NULL
+       ELSE CAST(regexp_extract(url, '/([a-z]{2})/(\d+)', 2) AS INT) END AS page_no
+FROM pages"""
+
+O4 = views("telemetrys", "laps") + """
+SELECT * FROM laps ORDER BY lap_duration ASC NULLS LAST, session_key, driver_number, lap_number LIMIT 10"""
+
+U1 = views("telemetrys", "laps", "tyre_stints") + """
+SELECT session_key, driver_number, lap_number, lap_duration, NULL::INT AS stint_number, NULL::VARCHAR AS compound
+FROM laps
+UNION ALL
+SELECT session_key, driver_number, NULL::INT, NULL::DOUBLE, stint_number, compound FROM tyre_stints"""
+
+F11 = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events"
+
+W2 = views("telemetrys", "laps") + """
+SELECT session_key, driver_number, lap_number, date_start, duration_sector_1, duration_sector_2,
+  duration_sector_3, lap_duration
+FROM (SELECT *, row_number() OVER (PARTITION BY session_key, driver_number
+                                   ORDER BY lap_duration ASC NULLS LAST, lap_number) AS rn FROM laps) x
+WHERE rn = 1"""
+
+W6 = views("telemetrys") + """
+, s AS (
+  SELECT session_key, driver_number, date, speed,
+    CASE WHEN drs IN (8, 10, 12, 14) THEN 'ATIVO' ELSE 'NÃO ATIVO' END AS drs,
+    CASE WHEN brake = 100 THEN 'FREANDO' ELSE 'NORMAL' END AS brake_state
+  FROM telemetrys
+), f AS (
+  SELECT *, CASE WHEN LAG(drs) OVER W = drs AND LAG(brake_state) OVER W = brake_state THEN 0 ELSE 1 END AS chg
+  FROM s WINDOW W AS (PARTITION BY session_key, driver_number ORDER BY date)
+), r AS (
+  SELECT *, SUM(chg) OVER (PARTITION BY session_key, driver_number ORDER BY date) AS run_id FROM f
+)
+SELECT session_key, driver_number, CAST(run_id AS BIGINT) AS run_id, drs, brake_state,
+  min(date) AS start_time, max(date) AS end_time,
+  arg_min(speed, date) AS start_value, arg_max(speed, date) AS end_value, count(*) AS n_samples
+FROM r GROUP BY session_key, driver_number, run_id, drs, brake_state"""
+
+
+def operator_sql() -> dict[str, str]:
+    return {
+        "r3b_tyre_temp_points": R3B, "r3c_tyre_temp_denorm": R3C, "r6_sector_samples": R6, "j5_left_label": J5,
+        "r7_timing_summary": R7, "r8_timing_population": R8, "s9_points_unpivot": S9, "a15_points_pivot": A15,
+        "a17_last_write_wins": A17, "c5_dedup_first": C5, "c6_drop_nulls": C6, "c7_semi_filter": C7,
+        "c8_composite_semi": C8, "c10_bool_cast": C10, "c12_iso_timestamp": C12, "c13_pk_audit": C13,
+        "c14_fk_audit": C14, "c15_quarantine": C15, "c16_modulus_sample": C16, "c17_distinct_pairs": C17,
+        "s4_path_keys": S4, "o4_topk": O4, "u1_union_by_name": U1, "f11_json_field": F11, "w2_best_lap": W2,
+        "w6_islands": W6,
     }

@@ -41,5 +41,110 @@ def report_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    q = dict(report_queries())
-    return q
+    return {**report_queries(), **operator_queries()}
+
+
+# ----------------------------------------------------------------- operators
+def _events(s, d):
+    from paddock.sources.standin import read
+    return read(s, d, "events")
+
+
+def operator_queries() -> dict[str, Query]:
+    from pyspark.sql import functions as F
+
+    from paddock.functions.labels import brake_state, drs_state
+    from paddock.functions.timefn import parse_iso_utc
+    from paddock.operators import clean as C
+    from paddock.operators.joins import semi
+    from paddock.operators.points import last_write_wins, pivot_points, to_points
+    from paddock.operators.windows import islands, run_summary
+    from paddock.plans import point_reports as P
+    from paddock.plans import timing as TM
+    from paddock.sources.files import keys_from_path
+    from paddock.sources.standin import read
+
+    def timing_log(s, d):
+        return _events(s, d).select(F.col("event_id").alias("statid"), F.col("user_id").alias("queryid"),
+                                    F.col("event_type").alias("index_type"), F.col("value").alias("elapsedtime"))
+
+    def lineitem_dedup(s, d):
+        li = read(s, d, "lineitem")
+        keys = ["l_orderkey", "l_linenumber"]
+        return C.dedup_first(li, keys, [F.col(c).asc_nulls_last() for c in li.columns if c not in keys])
+
+    def iso_round_trip(s, d):
+        e = _events(s, d)
+        text = F.concat(F.date_format(e.ts + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+                        F.lit("+02:00"))
+        return e.select("event_id", parse_iso_utc(text).alias("ts_utc"))
+
+    def lap_quarantine(s, d):
+        laps = _t(s, d).laps
+        _, bad = C.quarantine(laps, {
+            "null key": F.col("session_key").isNull() | F.col("driver_number").isNull()
+            | F.col("lap_number").isNull(),
+            "null lap_duration": F.col("lap_duration").isNull(),
+            "non-positive sector": (F.col("duration_sector_1") <= 0) | (F.col("duration_sector_2") <= 0)
+            | (F.col("duration_sector_3") <= 0),
+        })
+        return bad.select("session_key", "driver_number", "lap_number", F.col("_reason").alias("reason"))
+
+    def telemetry_runs(s, d):
+        tel = _t(s, d).telemetrys.select(R.SD[0], R.SD[1], "date", "speed", drs_state("drs").alias("drs"),
+                                         brake_state("brake").alias("brake_state"))
+        runs = islands(tel, R.SD, "date", ["drs", "brake_state"], "run_id", bucket_seconds=3600)
+        return run_summary(runs, R.SD, "run_id", "date", "speed", ["drs", "brake_state"])
+
+    def telemetry_points(s, d):
+        return P.points_of(_t(s, d).telemetrys, "telemetry", "session_first")
+
+    def compound_points(s, d):
+        rows = P.stint_weather(_t(s, d)).withColumn(
+            "_seq", F.struct("session_key", "driver_number", "stint_number", "date"))
+        p = to_points(rows, "query3_by_compound", ["session_key", "compound"],
+                      {"lap_start": "int", "lap_end": "int", "track_temperature": "float"}, "date", carry=["_seq"])
+        return last_write_wins(p, ["session_key", "compound"], [F.col("_seq")]).drop("_seq")
+
+    def union_laps_stints(s, d):
+        t = _t(s, d)
+        return (t.laps.select(*R.SD, "lap_number", "lap_duration")
+                .unionByName(t.tyre_stints.select(*R.SD, "stint_number", "compound"), allowMissingColumns=True))
+
+    return {
+        "r3b_tyre_temp_points": lambda s, d: P.tyre_temperature_from_points(P.load_points(_t(s, d))),
+        "r3c_tyre_temp_denorm": lambda s, d: P.tyre_temperature_denormalised(
+            P.stint_weather_points(_t(s, d), on_conflict="last")),
+        "r6_sector_samples": lambda s, d: P.sector_sample_points(_t(s, d)),
+        "j5_left_label": lambda s, d: R.sector_samples(_t(s, d).telemetrys, _t(s, d).laps),
+        "r7_timing_summary": lambda s, d: TM.timing_summary(timing_log(s, d)),
+        "r8_timing_population": lambda s, d: TM.timing_population(timing_log(s, d)),
+        "s9_points_unpivot": telemetry_points,
+        "a15_points_pivot": lambda s, d: pivot_points(telemetry_points(s, d),
+                                                      ["_time", "session_key", "driver_number"],
+                                                      ["speed", "throttle", "brake", "drs"]),
+        "a17_last_write_wins": compound_points,
+        "c5_dedup_first": lineitem_dedup,
+        "c6_drop_nulls": lambda s, d: C.drop_nulls(_t(s, d).drivers),
+        "c7_semi_filter": lambda s, d: read(s, d, "orders").join(
+            read(s, d, "customer").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi"),
+        "c8_composite_semi": lambda s, d: semi(_t(s, d).telemetrys, _t(s, d).telemetrys_laps, R.SD),
+        "c10_bool_cast": lambda s, d: read(s, d, "labels").select(
+            "doc_id", C.to_bool("quality").alias("is_quality"), C.to_bool("toxic").alias("is_toxic")),
+        "c12_iso_timestamp": iso_round_trip,
+        "c13_pk_audit": lambda s, d: C.pk_violations(read(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
+        "c14_fk_audit": lambda s, d: C.fk_orphans(read(s, d, "documents").select("doc_id", "lang", "source"),
+                                                  read(s, d, "labels"), ["doc_id"]),
+        "c15_quarantine": lap_quarantine,
+        "c16_modulus_sample": lambda s, d: C.modulus_sample(_events(s, d), "event_id", 20),
+        "c17_distinct_pairs": lambda s, d: C.distinct_pairs(_t(s, d).laps),
+        "s4_path_keys": lambda s, d: read(s, d, "pages").select(
+            "page_id", *keys_from_path(F.col("url"), r"/([a-z]{2})/(\d+)", ["lang", "page_no"], ["string", "int"])),
+        "o4_topk": lambda s, d: _t(s, d).laps.orderBy(
+            F.col("lap_duration").asc_nulls_last(), *[F.col(c).asc() for c in (*R.SD, "lap_number")]).limit(10),
+        "u1_union_by_name": union_laps_stints,
+        "f11_json_field": lambda s, d: _events(s, d).select(
+            "event_id", F.get_json_object("props", "$.k").cast("int").alias("k")),
+        "w2_best_lap": lambda s, d: R.best_laps(_t(s, d).laps),
+        "w6_islands": telemetry_runs,
+    }
