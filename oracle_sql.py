@@ -544,7 +544,7 @@ FROM r GROUP BY session_key, driver_number, run_id, drs, brake_state"""
 
 def operator_sql() -> dict[str, str]:
     return {
-        "r3b_tyre_temp_points": R3B, "r3c_tyre_temp_denorm": R3C, "r6_sector_samples": R6, "j5_left_label": J5,
+        "r3b_tyre_temp_points": R3B, "r3c_tyre_temp_denorm": R3C, "r3c_tyre_temp_denorm_points": R3C, "r6_sector_samples": R6, "j5_left_label": J5,
         "r7_timing_summary": R7, "r8_timing_population": R8, "s9_points_unpivot": S9, "a15_points_pivot": A15,
         "a17_last_write_wins": A17, "c5_dedup_first": C5, "c6_drop_nulls": C6, "c7_semi_filter": C7,
         "c8_composite_semi": C8, "c10_bool_cast": C10, "c12_iso_timestamp": C12, "c13_pk_audit": C13,

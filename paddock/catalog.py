@@ -113,7 +113,8 @@ def operator_queries() -> dict[str, Query]:
 
     return {
         "r3b_tyre_temp_points": lambda s, d: P.tyre_temperature_from_points(P.load_points(_t(s, d))),
-        "r3c_tyre_temp_denorm": lambda s, d: P.tyre_temperature_denormalised(
+        "r3c_tyre_temp_denorm": lambda s, d: P.tyre_temperature_denormalised_preagg(_t(s, d)),
+        "r3c_tyre_temp_denorm_points": lambda s, d: P.tyre_temperature_denormalised(
             P.stint_weather_points(_t(s, d), on_conflict="last")),
         "r6_sector_samples": lambda s, d: P.sector_sample_points(_t(s, d)),
         "j5_left_label": lambda s, d: R.sector_samples(_t(s, d).telemetrys, _t(s, d).laps),
