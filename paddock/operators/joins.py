@@ -22,12 +22,12 @@ DEFAULT_BUCKET_SECONDS = 3600
 
 def semi(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``other`` (IN-subquery, ``isin``, composite membership)."""
-    return df.join(other.select(*on), list(on), "left_semi")
+    return df.join(other.select(*on), list(on), "left_semi").select(*df.columns)
 
 
 def anti(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``other``."""
-    return df.join(other.select(*on), list(on), "left_anti")
+    return df.join(other.select(*on), list(on), "left_anti").select(*df.columns)
 
 
 def interval_join(samples: DataFrame, intervals: DataFrame, on: Sequence[str], ts: str,

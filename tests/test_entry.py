@@ -1,0 +1,41 @@
+"""The driver contract on sf0.001: every registered query runs and equals its oracle."""
+
+import os
+import sys
+
+import duckdb
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.join(ROOT, "tools"))
+SF = "/root/testdata/sf0.001"
+
+import __spark_entry__ as E  # noqa: E402
+from check_oracle import TABLES, rows_of  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return c
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.count() > 0
+    assert df.columns == ["circuit_short_name", "full_name", "mean_speed", "mean_throttle", "mean_track_temperature"]
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.oracle_sql()) == set(E.queries())
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF)
+    cur = con.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in cur.description]
+    assert sorted(df.columns) == sorted(ocols)
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(ocols, cur.fetchall())
