@@ -42,20 +42,21 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequ
 
     b = df.withColumn("_b", time_bucket(F.col(order_col), bucket_seconds))
     wb = Window.partitionBy(*keys, "_b").orderBy(order_col)
-    b = b.select("*", F.lag(order_col, 1).over(wb).alias("_prev_order"),
-                 *[F.lag(c, 1).over(wb).alias("_in_" + c) for c in cols])
-    # Last row of every bucket, then the previous non-empty bucket's last row.
-    last = (df.withColumn("_b", time_bucket(F.col(order_col), bucket_seconds))
-            .groupBy(*keys, "_b")
-            .agg(F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), F.col(order_col)).alias("_last")))
+    whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    st = F.struct(*[F.col(c).alias(c) for c in cols])
+    # One pass per (keys, bucket): the in-bucket lag and the bucket's last row.
+    b = b.select("*", F.lag(order_col, 1).over(wb).alias("_po"),
+                 *[F.lag(c, 1).over(wb).alias("_in_" + c) for c in cols],
+                 F.last(st).over(whole).alias("_last"))
+    # One row per bucket (its first row), then the previous non-empty bucket's last row.
     wk = Window.partitionBy(*keys).orderBy("_b")
-    prev_last = last.select(*keys, "_b", F.lag("_last", 1).over(wk).alias("_pl"))
-    out = b.join(prev_last, keys + ["_b"], "left")
-    first_in_bucket = F.col("_prev_order").isNull()
-    out = out.select(*[F.col(c) for c in df.columns],
-                     *[F.when(first_in_bucket, F.col("_pl." + c)).otherwise(F.col("_in_" + c)).alias(prefix + c)
-                       for c in cols])
-    return out
+    per = (b.where(F.col("_po").isNull()).select(*keys, "_b", "_last")
+           .select(*keys, "_b", F.lag("_last", 1).over(wk).alias("_pl")))
+    out = b.join(per, keys + ["_b"], "inner")
+    first_in_bucket = F.col("_po").isNull()
+    return out.select(*[F.col(c) for c in df.columns],
+                      *[F.when(first_in_bucket, F.col("_pl." + c)).otherwise(F.col("_in_" + c)).alias(prefix + c)
+                        for c in cols])
 
 
 def change_flag(states: Sequence[str], prefix: str = "prev_") -> Column:
@@ -85,20 +86,21 @@ def islands(df: DataFrame, keys: Sequence[str], order_col: str, states: Sequence
         return (flagged.withColumn(run_col, F.sum("_chg").over(w).cast("long"))
                 .drop("_chg", *["prev_" + s for s in states]))
 
-    # 1. Within each (keys, bucket): changes between consecutive rows and their running sum.
+    # 1. One window pass per (keys, bucket): changes between consecutive rows, their
+    #    running sum, and the bucket's first/last state and number of inner changes.
     b = df.withColumn("_b", time_bucket(F.col(order_col), bucket_seconds))
     wb = Window.partitionBy(*keys, "_b").orderBy(order_col)
+    whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     b = b.select("*", F.lag(order_col, 1).over(wb).alias("_po"),
                  *[F.lag(s, 1).over(wb).alias("prev_" + s) for s in states])
     b = b.withColumn("_ichg", F.when(F.col("_po").isNull(), 0).otherwise(change_flag(states)))
-    b = b.withColumn("_irun", F.sum("_ichg").over(wb))
-    # 2. Per bucket: first and last state and the number of inner changes (small).
     st = F.struct(*[F.col(s).alias(s) for s in states])
-    per = b.groupBy(*keys, "_b").agg(F.min_by(st, F.col(order_col)).alias("_first"),
-                                     F.max_by(st, F.col(order_col)).alias("_last"),
-                                     F.sum("_ichg").alias("_n"))
-    # 3. Stitch: does the bucket's first row change against the previous bucket's last row?
+    b = b.select("*", F.sum("_ichg").over(wb).alias("_irun"), F.first(st).over(whole).alias("_first"),
+                 F.last(st).over(whole).alias("_last"), F.sum("_ichg").over(whole).alias("_n"))
+    # 2. One row per bucket (small). Stitch: does the bucket's first row change against
+    #    the previous bucket's last row? Offsets = changes in all earlier buckets.
     wk = Window.partitionBy(*keys).orderBy("_b")
+    per = b.where(F.col("_po").isNull()).select(*keys, "_b", "_first", "_last", "_n")
     per = per.withColumn("_pl", F.lag("_last", 1).over(wk))
     same = None
     for s in states:
@@ -108,6 +110,7 @@ def islands(df: DataFrame, keys: Sequence[str], order_col: str, states: Sequence
     per = per.withColumn("_off", F.coalesce(
         F.sum(F.col("_fchg") + F.col("_n")).over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     per = per.select(*keys, "_b", "_fchg", "_off")
+    # 3. Join the small per-bucket table back; the big side keeps its (keys, bucket) partitioning.
     out = b.join(per, keys + ["_b"], "inner")
     run = (F.col("_off") + F.col("_fchg") + F.col("_irun")).cast("long")
     return out.select(*[F.col(c) for c in df.columns], run.alias(run_col))

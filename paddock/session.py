@@ -19,6 +19,9 @@ SCALE_CONF = {
     # threshold becomes a broadcast; anything larger stays a sort-merge join.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from static size estimates (unreliable on derived sides); only
+    # the measured runtime size above decides.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
