@@ -307,6 +307,7 @@ def all_sql() -> dict[str, str]:
         "r3a_tyre_temp_fanout": R3A,
         "r4_drs_runs": R4,
         "r4_drs_runs_unbucketed": R4,
+        "r4_drs_runs_selfjoin": R4,
         "r5_temp_speed": R5,
         "r5_temp_speed_fanout": R5,
         **operator_sql(),

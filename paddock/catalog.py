@@ -35,6 +35,7 @@ def report_queries() -> dict[str, Query]:
         "r3a_tyre_temp_fanout": lambda s, d: R.tyre_temperature(_t(s, d), method="fanout"),
         "r4_drs_runs": lambda s, d: R.drs_runs(_t(s, d)),
         "r4_drs_runs_unbucketed": lambda s, d: R.drs_runs(_t(s, d), bucket_seconds=None),
+        "r4_drs_runs_selfjoin": lambda s, d: R.drs_runs(_t(s, d), method="selfjoin", bucket_seconds=None),
         "r5_temp_speed": lambda s, d: R.temperature_speed(_t(s, d), RACE_SESSION),
         "r5_temp_speed_fanout": lambda s, d: R.temperature_speed(_t(s, d), RACE_SESSION, method="fanout"),
     }

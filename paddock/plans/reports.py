@@ -226,7 +226,7 @@ def tyre_temperature_points(stints: DataFrame, weather: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- R4
 def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | None = None, *,
-             require_telemetry_laps: bool = True,
+             require_telemetry_laps: bool = True, method: str = "onepass",
              bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Runs of equal (DRS state, sector, brake state) per driver with entry/exit speed.
 
@@ -235,7 +235,9 @@ def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | Non
     state changes from the previous sample of the same driver. Rows are grouped as
     the reference does (circuit, driver name, state, run id, entry and exit speed),
     then the run id is dropped and identical rows merge (outer DISTINCT).
-    ``session_key``/``driver_number`` None means all.
+    ``session_key``/``driver_number`` None means all. ``method="onepass"`` summarises
+    each run in one aggregate (G9); ``"selfjoin"`` keeps the reference's shape
+    (FIRST_VALUE and LAST_VALUE windows joined back on seven columns, J9).
     """
     tel = t.telemetrys
     laps = t.laps
@@ -257,7 +259,12 @@ def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | Non
             .where(F.col("sector").isNotNull()))
     states = ["drs", "sector", "brake_state"]
     runs = islands(base, SD, "date", states, "run_id", bucket_seconds)
-    summ = run_summary(runs, SD, "run_id", "date", "speed", states)
+    if method == "selfjoin":
+        summ = _runs_selfjoin(runs, states)
+    elif method == "onepass":
+        summ = run_summary(runs, SD, "run_id", "date", "speed", states)
+    else:
+        raise ValueError(f"unknown method {method!r}")
     named = (summ.join(t.drivers.select(*SD, "full_name"), SD)
              .join(t.sessions.select("session_key", "circuit_short_name"), "session_key"))
     g = (named.groupBy("circuit_short_name", "full_name", "drs", "sector", "run_id", "start_value", "end_value",
@@ -267,6 +274,20 @@ def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | Non
                     F.col("start_value").alias("start_speed"), F.col("end_value").alias("end_speed")).distinct()
 
 
+def _runs_selfjoin(runs: DataFrame, states: Sequence[str]) -> DataFrame:
+    """J9 + W4 + W5: entry speed by FIRST_VALUE, exit speed by LAST_VALUE over the whole
+    run, the two window results joined on their seven columns, then per-run min/max time."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(*SD, "run_id").orderBy("date")
+    cols = [*SD, "date", *states, "run_id"]
+    t1 = runs.select(*cols, F.first("speed").over(w).alias("start_value")).distinct()
+    t2 = runs.select(*cols, F.last("speed").over(
+        w.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("end_value")).distinct()
+    j = t1.join(t2, cols, "inner")
+    return (j.groupBy(*SD, "run_id", *states, "start_value", "end_value")
+            .agg(F.min("date").alias("start_time"), F.max("date").alias("end_time")))
+
+
 # --------------------------------------------------------------------------- R5
 def temperature_speed(t: Tables, session_key: int | None, method: str = "preagg") -> DataFrame:
     """Per (circuit, driver name) mean speed, mean throttle and mean track temperature
