@@ -88,3 +88,10 @@ def test_parse_iso_utc(spark):
     got = [r[0] for r in df.select(parse_iso_utc("t")).collect()]
     assert got == [dt.datetime(2023, 9, 17, 11, 0, 1, 500000), dt.datetime(2023, 9, 17, 11, 0, 1),
                    dt.datetime(2023, 9, 17, 11, 0, 1), dt.datetime(2023, 9, 17, 11, 0, 1, 250000), None]
+
+
+def test_label_means_and_split(spark):
+    from paddock.plans.timing import label_means
+    df = spark.createDataFrame([("BTREE", 1.0), ("BTREE", 3.0), ("BRIN", 5.0)], "index_type string, t double")
+    assert rows(label_means(df, "index_type", "t"), "index_type") == [("BRIN", 5.0), ("BTREE", 2.0)]
+    assert rows(C.split_by(df, "index_type"), "index_type") == [("BRIN",), ("BTREE",)]
