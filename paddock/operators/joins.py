@@ -31,12 +31,17 @@ def anti(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def interval_join(samples: DataFrame, intervals: DataFrame, on: Sequence[str], ts: str,
-                  lo: Column, hi: Column, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  lo: Column, hi: Column, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+                  keep_bucket: str | None = None, sample_bucket: str | None = None) -> DataFrame:
     """Inner join: equal ``on`` keys and ``lo <= samples[ts] <= hi`` (SQL ``BETWEEN``).
 
     ``lo``/``hi`` are expressions over ``intervals``. With ``bucket_seconds`` the
     equi key also carries ``floor(time / bucket)``. Intervals with a null bound
     match nothing, as in SQL. Output: every column of both sides (keys once).
+    ``keep_bucket`` keeps the sample's bucket under that name, so a later window
+    on (keys, bucket) can reuse the join's partitioning instead of shuffling again;
+    ``sample_bucket`` names a sample column that already holds that bucket (e.g. kept
+    by a bucketed window), so samples partitioned by it are not shuffled again.
     """
     on = list(on)
     iv = intervals.withColumn("_lo", lo).withColumn("_hi", hi)
@@ -45,7 +50,9 @@ def interval_join(samples: DataFrame, intervals: DataFrame, on: Sequence[str], t
     if bucket_seconds:
         iv = iv.withColumn("_tb", F.explode(F.sequence(time_bucket(F.col("_lo"), bucket_seconds),
                                                        time_bucket(F.col("_hi"), bucket_seconds))))
-        s = s.withColumn("_tb", time_bucket(F.col(ts), bucket_seconds))
+        s = s.withColumn("_tb", F.col(sample_bucket) if sample_bucket else time_bucket(F.col(ts), bucket_seconds))
         keys = on + ["_tb"]
     out = s.join(iv, keys, "inner").where(F.col(ts).between(F.col("_lo"), F.col("_hi")))
+    if keep_bucket and bucket_seconds:
+        out = out.withColumnRenamed("_tb", keep_bucket)
     return out.drop("_lo", "_hi", "_tb")

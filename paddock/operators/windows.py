@@ -29,10 +29,12 @@ def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequence[str],
-                  bucket_seconds: int | None = None, prefix: str = "prev_") -> DataFrame:
+                  bucket_seconds: int | None = None, prefix: str = "prev_",
+                  keep_bucket: str | None = None) -> DataFrame:
     """Add ``prev_<c>`` = ``LAG(c, 1)`` within ``keys`` ordered by ``order_col``.
 
     Rows are assumed unique on (keys, order_col) (the telemetry primary key).
+    ``keep_bucket`` keeps the time bucket under that name for a later bucketed join.
     """
     keys = list(keys)
     cols = list(cols)
@@ -54,9 +56,10 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequ
            .select(*keys, "_b", F.lag("_last", 1).over(wk).alias("_pl")))
     out = b.join(per, keys + ["_b"], "inner")
     first_in_bucket = F.col("_po").isNull()
+    kept = [F.col("_b").alias(keep_bucket)] if keep_bucket else []
     return out.select(*[F.col(c) for c in df.columns],
                       *[F.when(first_in_bucket, F.col("_pl." + c)).otherwise(F.col("_in_" + c)).alias(prefix + c)
-                        for c in cols])
+                        for c in cols], *kept)
 
 
 def change_flag(states: Sequence[str], prefix: str = "prev_") -> Column:
@@ -70,12 +73,14 @@ def change_flag(states: Sequence[str], prefix: str = "prev_") -> Column:
 
 
 def islands(df: DataFrame, keys: Sequence[str], order_col: str, states: Sequence[str],
-            run_col: str = "run_id", bucket_seconds: int | None = None) -> DataFrame:
+            run_col: str = "run_id", bucket_seconds: int | None = None,
+            bucket_col: str | None = None) -> DataFrame:
     """Gaps-and-islands (W6 -> W3 -> W8): number the runs of equal ``states``.
 
     ``run_col`` = running ``SUM(change_flag)`` per ``keys`` ordered by ``order_col``
     (a run restarts at every change and at every null state). Run ids restart at
-    1 for every key.
+    1 for every key. ``bucket_col`` names an existing column that already holds
+    ``floor(order_col / bucket_seconds)`` (e.g. kept by ``interval_join``).
     """
     keys = list(keys)
     states = list(states)
@@ -88,7 +93,8 @@ def islands(df: DataFrame, keys: Sequence[str], order_col: str, states: Sequence
 
     # 1. One window pass per (keys, bucket): changes between consecutive rows, their
     #    running sum, and the bucket's first/last state and number of inner changes.
-    b = df.withColumn("_b", time_bucket(F.col(order_col), bucket_seconds))
+    bucket = F.col(bucket_col) if bucket_col else time_bucket(F.col(order_col), bucket_seconds)
+    b = df.withColumn("_b", bucket)
     wb = Window.partitionBy(*keys, "_b").orderBy(order_col)
     whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     b = b.select("*", F.lag(order_col, 1).over(wb).alias("_po"),

@@ -114,10 +114,12 @@ def sector_speed_best_lap(t: Tables, bucket_seconds: int | None = DEFAULT_BUCKET
 
 
 # --------------------------------------------------------------------------- R2
-def accelerations(tel: DataFrame, bucket_seconds: int | None = None) -> DataFrame:
+def accelerations(tel: DataFrame, bucket_seconds: int | None = None, keep_bucket: str | None = None) -> DataFrame:
     """Instant acceleration of every sample against the previous one of the same driver."""
-    p = with_previous(tel.select(*SD, "date", "speed"), SD, "date", ["date", "speed"], bucket_seconds)
-    return p.select(*SD, "date",
+    p = with_previous(tel.select(*SD, "date", "speed"), SD, "date", ["date", "speed"], bucket_seconds,
+                      keep_bucket=keep_bucket)
+    kept = [keep_bucket] if keep_bucket and bucket_seconds else []
+    return p.select(*SD, "date", *kept,
                     instant_acceleration("speed", "prev_speed", "date", "prev_date").alias("acceleration"))
 
 
@@ -129,7 +131,7 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
     labelled with the offset convention (L2); pairs outside all three sectors form
     the NULL sector group, which is part of the output. ``method="fanout"`` builds
     the pairs; ``"preagg"`` (default) gets the labelled pairs from an interval join
-    and the NULL group from per-driver totals x lap counts, with exact decimal sums.
+    and the NULL group from per-driver totals x lap counts, in one aggregate.
     Output ``driver_number, session_key, sector, mean_acceleration`` (rounded to 9 places),
     ordered by the mean descending (nulls first), then driver.
     """
@@ -138,9 +140,12 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
     if session_key is not None:
         tel = tel.where(F.col("session_key") == session_key)
         laps = laps.where(F.col("session_key") == session_key)
-    acc = accelerations(tel, bucket_seconds)
+    kb = "_bucket" if (bucket_seconds and method == "preagg") else None
+    acc = accelerations(tel, bucket_seconds, keep_bucket=kb)
     if require_telemetry_laps:
-        acc = semi(acc, t.telemetrys_laps, SD)
+        # Same keys as the lap join, so filtering the (small) lap side is equivalent and
+        # leaves the samples' (keys, bucket) partitioning intact.
+        laps = semi(laps, t.telemetrys_laps, SD)
     laps = laps.select(*SD, *LAP_COLS)
     label = sector_label("date", "date_start", "duration_sector_1", "duration_sector_2",
                          "duration_sector_3", "offset")
@@ -149,27 +154,28 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
         g = (acc.join(laps, SD, "inner").withColumn("sector", label)
              .groupBy(*SD, "sector").agg(F.sum(dec).alias("_s"), F.count("acceleration").alias("_n")))
     elif method == "preagg":
+        # One pass over the labelled pairs: each adds to its sector and subtracts from
+        # the NULL group, which starts from (all samples of the driver) x (its laps).
         lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                               F.col("duration_sector_3"), "offset")
-        labelled = (interval_join(acc, laps, SD, "date", lo, hi, bucket_seconds)
-                    .withColumn("sector", label).where(F.col("sector").isNotNull())
-                    .groupBy(*SD, "sector")
-                    .agg(F.sum(dec).alias("_s"), F.count("acceleration").alias("_n"),
-                         F.count(F.lit(1)).alias("_r")))
-        totals = acc.groupBy(*SD).agg(F.sum(dec).alias("_ts"), F.count("acceleration").alias("_tn"),
+        pairs = (interval_join(acc, laps, SD, "date", lo, hi, bucket_seconds, sample_bucket=kb)
+                 .withColumn("sector", label).where(F.col("sector").isNotNull())
+                 .withColumn("_plus", F.explode(F.array(F.lit(True), F.lit(False)))))
+        sign = F.when(F.col("_plus"), F.lit(1)).otherwise(F.lit(-1))
+        signed = pairs.select(*SD, F.when(F.col("_plus"), F.col("sector")).alias("sector"),
+                              (F.col("acceleration") * sign).alias("_s"),
+                              (F.col("acceleration").isNotNull().cast("long") * sign).alias("_n"),
+                              sign.cast("long").alias("_r"))
+        totals = acc.groupBy(*SD).agg(F.sum("acceleration").alias("_ts"), F.count("acceleration").alias("_tn"),
                                       F.count(F.lit(1)).alias("_tr"))
         n_laps = laps.groupBy(*SD).agg(F.count(F.lit(1)).alias("_laps"))
-        lab_tot = labelled.groupBy(*SD).agg(F.sum("_s").alias("_ls"), F.sum("_n").alias("_ln"),
-                                            F.sum("_r").alias("_lr"))
-        # Exact decimal sums, combined in double: decimal(38,18) * count would be cut to 6 places.
-        nulls = (totals.join(n_laps, SD, "inner").join(lab_tot, SD, "left")
-                 .select(*SD, F.lit(None).cast("string").alias("sector"),
-                         (F.col("_ts").cast("double") * F.col("_laps")
-                          - F.coalesce(F.col("_ls").cast("double"), F.lit(0.0))).alias("_s"),
-                         (F.col("_tn") * F.col("_laps") - F.coalesce("_ln", F.lit(0))).alias("_n"),
-                         (F.col("_tr") * F.col("_laps") - F.coalesce("_lr", F.lit(0))).alias("_r"))
-                 .where(F.col("_r") > 0))
-        g = labelled.withColumn("_s", F.col("_s").cast("double")).unionByName(nulls).drop("_r")
+        base = (totals.join(n_laps, SD, "inner")
+                .select(*SD, F.lit(None).cast("string").alias("sector"),
+                        (F.col("_ts") * F.col("_laps")).alias("_s"), (F.col("_tn") * F.col("_laps")).alias("_n"),
+                        (F.col("_tr") * F.col("_laps")).alias("_r")))
+        g = (signed.unionByName(base).groupBy(*SD, "sector")
+             .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.sum("_r").alias("_r"))
+             .where(F.col("_r") > 0).drop("_r"))
     else:
         raise ValueError(f"unknown method {method!r}")
     mean = F.when(F.col("_n") > 0, F.round(F.col("_s").cast("double") / F.col("_n"), 9))
@@ -251,14 +257,17 @@ def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | Non
     lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                           F.col("duration_sector_3"), "halfopen")
     base = interval_join(tel.select(*SD, "date", "speed", "brake", "drs"), laps, SD, "date", lo, hi,
-                         bucket_seconds)
-    base = (base.select(*SD, "date", "speed", brake_state("brake").alias("brake_state"),
+                         bucket_seconds, keep_bucket="_bucket" if bucket_seconds else None)
+    keep = ["_bucket"] if bucket_seconds else []
+    base = (base.select(*SD, "date", *keep, "speed", brake_state("brake").alias("brake_state"),
                         drs_state("drs").alias("drs"),
                         sector_label("date", "date_start", "duration_sector_1", "duration_sector_2",
                                      "duration_sector_3", "halfopen").alias("sector"))
             .where(F.col("sector").isNotNull()))
     states = ["drs", "sector", "brake_state"]
-    runs = islands(base, SD, "date", states, "run_id", bucket_seconds)
+    # Same bucket as the join: with a sort-merge join the window needs no new shuffle.
+    runs = islands(base, SD, "date", states, "run_id", bucket_seconds,
+                   bucket_col="_bucket" if bucket_seconds else None)
     if method == "selfjoin":
         summ = _runs_selfjoin(runs, states)
     elif method == "onepass":
