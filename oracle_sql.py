@@ -301,15 +301,10 @@ def all_sql() -> dict[str, str]:
         "r1b_sector_speed_all_laps": R1B,
         "r1c_sector_speed_best_lap": R1C,
         "r2a_sector_accel": R2A,
-        "r2a_sector_accel_fanout": R2A,
         "r2b_sector_accel_nojoin": R2B,
         "r3a_tyre_temp": R3A,
-        "r3a_tyre_temp_fanout": R3A,
         "r4_drs_runs": R4,
-        "r4_drs_runs_unbucketed": R4,
-        "r4_drs_runs_selfjoin": R4,
         "r5_temp_speed": R5,
-        "r5_temp_speed_fanout": R5,
         **operator_sql(),
     }
 
@@ -400,17 +395,16 @@ SELECT compound, {mean_exact('track_temperature')} AS mean_track_temperature,
   greatest(max(CAST(lap_end - lap_start AS DOUBLE)), 0.0) AS max_lap_duration
 FROM lww GROUP BY compound ORDER BY max_lap_duration DESC"""
 
-A17 = views("tyre_stints", "weather_conditions", "sessions") + _STINT_WEATHER + """
+A17 = views("telemetrys") + """
 , pts AS (
-  SELECT session_key, compound, driver_number, stint_number, date, f AS _field, v AS _value
-  FROM j, LATERAL (VALUES ('lap_start', CAST(lap_start AS DOUBLE)), ('lap_end', CAST(lap_end AS DOUBLE)),
-                          ('track_temperature', CAST(track_temperature AS DOUBLE))) AS u(f, v)
+  SELECT session_key, driver_number, date, date_trunc('second', date) AS t, f AS _field, v AS _value
+  FROM telemetrys, LATERAL (VALUES ('speed', CAST(CAST(trunc(speed) AS INT) AS DOUBLE)),
+                                   ('drs', CAST(CAST(trunc(drs) AS INT) AS DOUBLE))) AS u(f, v)
 )
-SELECT 'query3_by_compound' AS _measurement, CAST(session_key AS VARCHAR) AS session_key,
-  COALESCE(compound, 'None') AS compound, _field, _value, date AS _time
+SELECT 'telemetry' AS _measurement, CAST(session_key AS VARCHAR) AS session_key,
+  CAST(driver_number AS VARCHAR) AS driver_number, _field, _value, t AS _time
 FROM (
-  SELECT *, row_number() OVER (PARTITION BY session_key, compound, date, _field
-                               ORDER BY session_key DESC, driver_number DESC, stint_number DESC, date DESC) AS w
+  SELECT *, row_number() OVER (PARTITION BY session_key, driver_number, t, _field ORDER BY date DESC) AS w
   FROM pts) x
 WHERE w = 1"""
 
@@ -545,7 +539,7 @@ FROM r GROUP BY session_key, driver_number, run_id, drs, brake_state"""
 
 def operator_sql() -> dict[str, str]:
     return {
-        "r3b_tyre_temp_points": R3B, "r3c_tyre_temp_denorm": R3C, "r3c_tyre_temp_denorm_points": R3C, "r6_sector_samples": R6, "j5_left_label": J5,
+        "r3b_tyre_temp_points": R3B, "r3c_tyre_temp_denorm": R3C, "r6_sector_samples": R6, "j5_left_label": J5,
         "r7_timing_summary": R7, "r8_timing_population": R8, "s9_points_unpivot": S9, "a15_points_pivot": A15,
         "a17_last_write_wins": A17, "c5_dedup_first": C5, "c6_drop_nulls": C6, "c7_semi_filter": C7,
         "c8_composite_semi": C8, "c10_bool_cast": C10, "c12_iso_timestamp": C12, "c13_pk_audit": C13,

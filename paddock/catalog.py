@@ -27,17 +27,11 @@ def report_queries() -> dict[str, Query]:
         "r1b_sector_speed_all_laps": lambda s, d: R.sector_speed(_t(s, d), all_laps=True),
         "r1c_sector_speed_best_lap": lambda s, d: R.sector_speed_best_lap(_t(s, d)),
         "r2a_sector_accel": lambda s, d: R.sector_acceleration(_t(s, d), RACE_SESSION),
-        "r2a_sector_accel_fanout": lambda s, d: R.sector_acceleration(_t(s, d), RACE_SESSION, method="fanout",
-                                                                      bucket_seconds=None),
         "r2b_sector_accel_nojoin": lambda s, d: R.sector_acceleration(_t(s, d), RACE_SESSION,
                                                                       require_telemetry_laps=False),
         "r3a_tyre_temp": lambda s, d: R.tyre_temperature(_t(s, d)),
-        "r3a_tyre_temp_fanout": lambda s, d: R.tyre_temperature(_t(s, d), method="fanout"),
         "r4_drs_runs": lambda s, d: R.drs_runs(_t(s, d)),
-        "r4_drs_runs_unbucketed": lambda s, d: R.drs_runs(_t(s, d), bucket_seconds=None),
-        "r4_drs_runs_selfjoin": lambda s, d: R.drs_runs(_t(s, d), method="selfjoin", bucket_seconds=None),
         "r5_temp_speed": lambda s, d: R.temperature_speed(_t(s, d), RACE_SESSION),
-        "r5_temp_speed_fanout": lambda s, d: R.temperature_speed(_t(s, d), RACE_SESSION, method="fanout"),
     }
 
 
@@ -100,12 +94,13 @@ def operator_queries() -> dict[str, Query]:
     def telemetry_points(s, d):
         return P.points_of(_t(s, d).telemetrys, "telemetry", "session_first")
 
-    def compound_points(s, d):
-        rows = P.stint_weather(_t(s, d)).withColumn(
-            "_seq", F.struct("session_key", "driver_number", "stint_number", "date"))
-        p = to_points(rows, "query3_by_compound", ["session_key", "compound"],
-                      {"lap_start": "int", "lap_end": "int", "track_temperature": "float"}, "date", carry=["_seq"])
-        return last_write_wins(p, ["session_key", "compound"], [F.col("_seq")]).drop("_seq")
+    def second_precision_points(s, d):
+        # Written at one-second precision, samples of a driver in the same second land on
+        # the same point; the later sample (write order = sample time) wins.
+        tel = _t(s, d).telemetrys.withColumn("_seq", F.col("date"))
+        p = to_points(tel, "telemetry", ["session_key", "driver_number"], {"speed": "int", "drs": "int"},
+                      F.date_trunc("second", F.col("date")).cast("timestamp_ntz"), carry=["_seq"])
+        return last_write_wins(p, ["session_key", "driver_number"], [F.col("_seq")]).drop("_seq")
 
     def union_laps_stints(s, d):
         t = _t(s, d)
@@ -115,8 +110,6 @@ def operator_queries() -> dict[str, Query]:
     return {
         "r3b_tyre_temp_points": lambda s, d: P.tyre_temperature_from_points(P.load_points(_t(s, d))),
         "r3c_tyre_temp_denorm": lambda s, d: P.tyre_temperature_denormalised_preagg(_t(s, d)),
-        "r3c_tyre_temp_denorm_points": lambda s, d: P.tyre_temperature_denormalised(
-            P.stint_weather_points(_t(s, d), on_conflict="last")),
         "r6_sector_samples": lambda s, d: P.sector_sample_points(_t(s, d)),
         "j5_left_label": lambda s, d: R.sector_samples(_t(s, d).telemetrys, _t(s, d).laps),
         "r7_timing_summary": lambda s, d: TM.timing_summary(timing_log(s, d)),
@@ -125,7 +118,7 @@ def operator_queries() -> dict[str, Query]:
         "a15_points_pivot": lambda s, d: pivot_points(telemetry_points(s, d),
                                                       ["_time", "session_key", "driver_number"],
                                                       ["speed", "throttle", "brake", "drs"]),
-        "a17_last_write_wins": compound_points,
+        "a17_last_write_wins": second_precision_points,
         "c5_dedup_first": lineitem_dedup,
         "c6_drop_nulls": lambda s, d: C.drop_nulls(_t(s, d).drivers),
         "c7_semi_filter": lambda s, d: read(s, d, "orders").join(

@@ -98,6 +98,7 @@ def test_r4_runs_bucketed_equal(spark):
     a = R.drs_runs(t, bucket_seconds=None)
     b = R.drs_runs(t, bucket_seconds=7)
     assert same(a, b)
+    assert same(a, R.drs_runs(t, method="selfjoin", bucket_seconds=None))  # J9 literal form = G9
     ann = rows(a.where(F.col("full_name") == "Ann").select("start_speed", "end_speed", "drs", "sector",
                                                             "brake_state"), "start_time")
     assert ann[0] == (0.0, 18.0, "ATIVO", "SETOR 1", "NORMAL")
