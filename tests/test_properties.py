@@ -1,0 +1,72 @@
+"""Invariants on random rows, a few examples each (Spark calls are slow)."""
+
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from helpers import at
+from paddock.functions.exact import mean_2dp
+from paddock.functions.labels import sector_label, sector_reach
+from paddock.operators.joins import semi
+from paddock.operators.windows import islands
+
+SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+KEYS = ["session_key", "driver_number"]
+
+rows_strategy = st.lists(
+    st.tuples(st.integers(1, 3), st.integers(0, 20000), st.sampled_from(["A", "B", None])),
+    min_size=1, max_size=60, unique_by=lambda r: (r[0], r[1]))
+
+
+@SETTINGS
+@given(rows_strategy, st.sampled_from([None, 600, 3600]))
+def test_islands_partition_input(spark, data, bucket):
+    df = spark.createDataFrame([(1, d, at(t), s) for d, t, s in data],
+                               "session_key int, driver_number int, date timestamp_ntz, st string")
+    out = sorted((r.driver_number, r.date, r.st, r.run_id)
+                 for r in islands(df, KEYS, "date", ["st"], bucket_seconds=bucket).collect())
+    assert len(out) == len(data)
+    by_driver = {}
+    for d, t, s, run in out:
+        by_driver.setdefault(d, []).append((t, s, run))
+    for seq in by_driver.values():
+        seq.sort()
+        runs = [r for _, _, r in seq]
+        assert runs[0] == 1 and all(b - a in (0, 1) for a, b in zip(runs, runs[1:]))
+        for (_, s0, r0), (_, s1, r1) in zip(seq, seq[1:]):
+            assert (r0 == r1) == (s0 is not None and s0 == s1)
+
+
+@SETTINGS
+@given(st.lists(st.floats(-5, 100, allow_nan=False), min_size=1, max_size=30),
+       st.tuples(st.integers(1, 30), st.integers(1, 30), st.integers(1, 30)))
+def test_cumulative_labels_cover_lap_once(spark, offsets, d):
+    df = spark.createDataFrame([(at(o), at(0), float(d[0]), float(d[1]), float(d[2])) for o in offsets],
+                               "t timestamp_ntz, s timestamp_ntz, d1 double, d2 double, d3 double")
+    lo, hi = sector_reach(F.col("s"), F.col("d1"), F.col("d2"), F.col("d3"), "cumulative")
+    got = df.select(((F.col("t") >= lo) & (F.col("t") <= hi)).alias("inside"),
+                    sector_label("t", "s", "d1", "d2", "d3", "cumulative").alias("x")).collect()
+    for r in got:
+        assert (r.x is not None) == r.inside
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(1, 5)), max_size=40),
+       st.lists(st.tuples(st.integers(1, 3), st.integers(1, 5)), max_size=20))
+def test_semi_join_never_grows(spark, left, right):
+    schema = "session_key int, driver_number int"
+    l_df = spark.createDataFrame(left, schema)
+    r_df = spark.createDataFrame(right + right, schema)  # duplicates on the right must not fan out
+    out = semi(l_df, r_df, KEYS).collect()
+    assert len(out) == sum(1 for r in left if r in set(right))
+
+
+@SETTINGS
+@given(st.lists(st.integers(0, 50000), min_size=1, max_size=40))
+def test_exact_mean_matches_decimal(spark, cents):
+    vals = [c / 100 for c in cents]
+    got = spark.createDataFrame([(v,) for v in vals], "x double").agg(mean_2dp("x")).first()[0]
+    want = (sum(Decimal(c) for c in cents) / Decimal(100 * len(cents))).quantize(Decimal("0.01"), ROUND_HALF_UP)
+    assert got == want
