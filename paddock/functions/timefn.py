@@ -54,8 +54,7 @@ def parse_iso_utc(text) -> Column:
     """
     t = _c(text)
     has_zone = t.rlike(r"(Z|[+-]\d\d:?\d\d)$")
-    zoned = F.try_to_timestamp(t)  # instant in the session zone
-    utc_wall = F.to_utc_timestamp(zoned, F.current_timezone()).cast("timestamp_ntz")
-    naive = F.try_to_timestamp(F.regexp_replace(t, "T", " "), F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]"))
-    naive = F.coalesce(naive, F.try_to_timestamp(F.regexp_replace(t, "T", " "))).cast("string")
-    return F.when(has_zone, utc_wall).otherwise(F.to_timestamp_ntz(naive))
+    instant = F.try_to_timestamp(t)  # naive text is read as wall clock of the session zone
+    # Zoned text: the instant's UTC wall clock; naive text: its own wall clock.
+    return (F.when(has_zone, F.to_utc_timestamp(instant, F.current_timezone()))
+            .otherwise(instant).cast("timestamp_ntz"))

@@ -38,9 +38,9 @@ LAP_COLS = ["date_start", "duration_sector_1", "duration_sector_2", "duration_se
 
 
 def _exact_mean(scaled_sum, count):
-    """Mean of values with <= 4 decimals from integral sums, as a correctly rounded double."""
-    return (F.col(scaled_sum).cast("double") / (F.col(count).cast("double") * F.lit(1e4))) \
-        if isinstance(scaled_sum, str) else scaled_sum.cast("double") / (count.cast("double") * F.lit(1e4))
+    """Mean of values with <= 4 decimals from their scaled integral sum: one correctly
+    rounded division of two exact numbers, so every engine gets the same double."""
+    return scaled_sum.cast("double") / (count.cast("double") * F.lit(1e4))
 
 
 # --------------------------------------------------------------------------- R0
