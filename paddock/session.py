@@ -30,17 +30,38 @@ SCALE_CONF = {
 }
 
 
+# What a 1000-executor cluster reading ~100 TB would add on top of SCALE_CONF (applied by
+# ``get_spark(cluster=True)`` or the cluster's own defaults). Scan splits of 256 MB keep the
+# task count near 400k; the shuffle starts wide and AQE coalesces toward 256 MB partitions and
+# splits skewed ones; Kryo and a larger broadcast timeout suit wide joins.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1GB",
+    "spark.sql.broadcastTimeout": "900",
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def get_spark(app: str = "paddock", cpus: int | str = "*", shuffle_partitions: int | None = None,
-              driver_memory: str | None = None, extra: dict | None = None) -> SparkSession:
+              driver_memory: str | None = None, extra: dict | None = None,
+              cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with the scale settings above.
 
     ``shuffle_partitions`` defaults to the local core count; on a cluster pass a
     value sized so one shuffle partition stays around 128-256 MB.
     """
-    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
+    builder = SparkSession.builder.appName(app)
     conf = dict(SCALE_CONF)
-    n = shuffle_partitions or (os.cpu_count() if cpus == "*" else int(cpus))
-    conf["spark.sql.shuffle.partitions"] = str(n)
+    if cluster:  # the master comes from spark-submit
+        conf.update(CLUSTER_CONF)
+    else:
+        builder = builder.master(f"local[{cpus}]")
+        n = shuffle_partitions or (os.cpu_count() if cpus == "*" else int(cpus))
+        conf["spark.sql.shuffle.partitions"] = str(n)
     if driver_memory:
         conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})

@@ -95,3 +95,11 @@ def test_strict_reach_is_reference_window(spark):
     df = spark.createDataFrame([(at(0), 10.0, 20.0, 30.0)], "s timestamp_ntz, d1 double, d2 double, d3 double")
     lo, hi = sector_reach(F.col("s"), F.col("d1"), F.col("d2"), F.col("d3"), "strict")
     assert tuple(df.select(lo, hi).first()) == (at(0), at(60))
+
+
+def test_suggest_bucket_seconds(spark):
+    from paddock.operators.windows import suggest_bucket_seconds
+    df = spark.createDataFrame([(1, 1, at(t)) for t in range(0, 10000)] + [(1, 2, at(t)) for t in range(0, 100)],
+                               "session_key int, driver_number int, date timestamp_ntz")
+    b = suggest_bucket_seconds(df, KEYS, "date")
+    assert 90 <= b <= 110  # 10k rows over ~10k s: about 100 rows per bucket
