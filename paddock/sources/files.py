@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,14 +106,18 @@ def write_layout(df: DataFrame, path: str, lead: str = "session_key",
      .write.mode(mode).partitionBy(lead).parquet(path))
 
 
-def conform(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """Cast to the table schema, dedup on the key (first row wins), quarantine bad rows.
+def conform(df: DataFrame, table: str, order: Sequence[Column] | None = None,
+            on_duplicate: str = "first") -> tuple[DataFrame, DataFrame]:
+    """Cast to the table schema, enforce the primary key, quarantine bad rows.
 
-    A row is bad when a key column is null or a value does not cast. Returns
+    A row is bad when a key column is null or a value does not cast. Rows sharing a
+    key are ordered by ``order`` (default: the other columns); with
+    ``on_duplicate="first"`` the first is kept and the rest dropped, with
+    ``"quarantine"`` the rest go to the bad rows as ``duplicate key``. Returns
     ``(good, bad)``; bad rows carry ``_reason``.
     """
     schema = schemas.SCHEMAS[table]
-    keys = schemas.PRIMARY_KEYS[table]
+    keys = list(schemas.PRIMARY_KEYS[table])
     have = set(df.columns)
     casts, rules = [], {}
     for f in schema.fields:
@@ -125,9 +129,19 @@ def conform(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     for k in keys:
         rules[f"null {k}"] = F.col(k).isNull()
     good, bad = quarantine(df, rules)
-    good = good.select(*casts)
-    order = [F.col(c).asc_nulls_last() for c in good.columns if c not in keys]
-    return dedup_first(good, keys, order), bad
+    extra = [c for c in good.columns if c not in schema.fieldNames()]
+    good = good.select(*casts, *extra)
+    order = list(order) if order is not None else [F.col(c).asc_nulls_last() for c in schema.fieldNames()
+                                                   if c not in keys and c in have]
+    if on_duplicate == "first":
+        return dedup_first(good, keys, order).drop(*extra), bad
+    if on_duplicate == "quarantine":
+        w = Window.partitionBy(*keys).orderBy(*order)
+        ranked = good.withColumn("_dup", F.row_number().over(w) > 1)
+        dups = ranked.where("_dup").drop("_dup", *extra).withColumn("_reason", F.lit("duplicate key"))
+        bad = bad.drop(*[c for c in extra if c in bad.columns]).unionByName(dups, allowMissingColumns=True)
+        return ranked.where(~F.col("_dup")).drop("_dup", *extra), bad
+    raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 
 
 def load_tables(spark: SparkSession, paths: Mapping[str, str]) -> tuple[Tables, dict[str, DataFrame]]:
