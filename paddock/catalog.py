@@ -16,8 +16,19 @@ from paddock.sources.standin import RACE_SESSION, standin_tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_TABLES: dict = {}
+
+
 def _t(spark: SparkSession, sf_dir: str):
-    return standin_tables(spark, sf_dir)
+    """The stand-in tables of ``sf_dir``, defined once per session and reused.
+
+    They are lazy plans (no data is cached): defining them reads parquet footers
+    and builds seven views, which is worth doing once, as an application would.
+    """
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = standin_tables(spark, sf_dir)
+    return _TABLES[key]
 
 
 def report_queries() -> dict[str, Query]:

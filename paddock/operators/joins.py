@@ -44,15 +44,17 @@ def interval_join(samples: DataFrame, intervals: DataFrame, on: Sequence[str], t
     by a bucketed window), so samples partitioned by it are not shuffled again.
     """
     on = list(on)
-    iv = intervals.withColumn("_lo", lo).withColumn("_hi", hi)
-    keys = on
-    s = samples
+    keys = list(on)
+    iv = intervals.select("*", lo.alias("_lo"), hi.alias("_hi"))
+    smp = samples
     if bucket_seconds:
-        iv = iv.withColumn("_tb", F.explode(F.sequence(time_bucket(F.col("_lo"), bucket_seconds),
-                                                       time_bucket(F.col("_hi"), bucket_seconds))))
-        s = s.withColumn("_tb", F.col(sample_bucket) if sample_bucket else time_bucket(F.col(ts), bucket_seconds))
-        keys = on + ["_tb"]
-    out = s.join(iv, keys, "inner").where(F.col(ts).between(F.col("_lo"), F.col("_hi")))
+        iv = iv.select("*", F.explode(F.sequence(time_bucket(F.col("_lo"), bucket_seconds),
+                                                 time_bucket(F.col("_hi"), bucket_seconds))).alias("_tb"))
+        tb = F.col(sample_bucket) if sample_bucket else time_bucket(F.col(ts), bucket_seconds)
+        smp = smp.select("*", tb.alias("_tb"))
+        keys.append("_tb")
+    out = smp.join(iv, keys, "inner").where(F.col(ts).between(F.col("_lo"), F.col("_hi")))
+    cols = [F.col(c) for c in out.columns if c not in ("_lo", "_hi", "_tb")]
     if keep_bucket and bucket_seconds:
-        out = out.withColumnRenamed("_tb", keep_bucket)
-    return out.drop("_lo", "_hi", "_tb")
+        cols.append(F.col("_tb").alias(keep_bucket))
+    return out.select(*cols)

@@ -42,7 +42,7 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequ
         w = Window.partitionBy(*keys).orderBy(order_col)
         return df.select("*", *[F.lag(c, 1).over(w).alias(prefix + c) for c in cols])
 
-    b = df.withColumn("_b", time_bucket(F.col(order_col), bucket_seconds))
+    b = df.select("*", time_bucket(F.col(order_col), bucket_seconds).alias("_b"))
     wb = Window.partitionBy(*keys, "_b").orderBy(order_col)
     whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     st = F.struct(*[F.col(c).alias(c) for c in cols])
@@ -94,28 +94,31 @@ def islands(df: DataFrame, keys: Sequence[str], order_col: str, states: Sequence
     # 1. One window pass per (keys, bucket): changes between consecutive rows, their
     #    running sum, and the bucket's first/last state and number of inner changes.
     bucket = F.col(bucket_col) if bucket_col else time_bucket(F.col(order_col), bucket_seconds)
-    b = df.withColumn("_b", bucket)
+    b = df.select("*", bucket.alias("_b"))
     wb = Window.partitionBy(*keys, "_b").orderBy(order_col)
     whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    b = b.select("*", F.lag(order_col, 1).over(wb).alias("_po"),
-                 *[F.lag(s, 1).over(wb).alias("prev_" + s) for s in states])
-    b = b.withColumn("_ichg", F.when(F.col("_po").isNull(), 0).otherwise(change_flag(states)))
+    first_in_bucket = F.lag(order_col, 1).over(wb).isNull()
+    same_as_prev = None
+    for s in states:
+        e = F.lag(s, 1).over(wb) == F.col(s)
+        same_as_prev = e if same_as_prev is None else same_as_prev & e
+    b = b.select("*", first_in_bucket.alias("_first_row"),
+                 F.when(first_in_bucket | same_as_prev, 0).otherwise(1).alias("_ichg"))
     st = F.struct(*[F.col(s).alias(s) for s in states])
     b = b.select("*", F.sum("_ichg").over(wb).alias("_irun"), F.first(st).over(whole).alias("_first"),
                  F.last(st).over(whole).alias("_last"), F.sum("_ichg").over(whole).alias("_n"))
     # 2. One row per bucket (small). Stitch: does the bucket's first row change against
     #    the previous bucket's last row? Offsets = changes in all earlier buckets.
     wk = Window.partitionBy(*keys).orderBy("_b")
-    per = b.where(F.col("_po").isNull()).select(*keys, "_b", "_first", "_last", "_n")
-    per = per.withColumn("_pl", F.lag("_last", 1).over(wk))
+    prev_last = F.lag("_last", 1).over(wk)
     same = None
     for s in states:
-        e = F.col("_pl." + s) == F.col("_first." + s)
+        e = prev_last.getField(s) == F.col("_first." + s)
         same = e if same is None else same & e
-    per = per.withColumn("_fchg", F.when(same, 0).otherwise(1))
-    per = per.withColumn("_off", F.coalesce(
-        F.sum(F.col("_fchg") + F.col("_n")).over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    per = per.select(*keys, "_b", "_fchg", "_off")
+    per = (b.where(F.col("_first_row")).select(*keys, "_b", "_n", F.when(same, 0).otherwise(1).alias("_fchg")))
+    per = per.select(*keys, "_b", "_fchg", F.coalesce(
+        F.sum(F.col("_fchg") + F.col("_n")).over(wk.rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("_off"))
     # 3. Join the small per-bucket table back; the big side keeps its (keys, bucket) partitioning.
     out = b.join(per, keys + ["_b"], "inner")
     run = (F.col("_off") + F.col("_fchg") + F.col("_irun")).cast("long")

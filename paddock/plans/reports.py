@@ -70,9 +70,9 @@ def _speed_by_sector(samples: DataFrame, laps: DataFrame, group_extra: Sequence[
     lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                           F.col("duration_sector_3"), "strict")
     j = interval_join(samples.select(*SD, "date", "speed"), laps, SD, "date", lo, hi, bucket_seconds)
-    j = j.withColumn("sector", sector_label("date", "date_start", "duration_sector_1", "duration_sector_2",
-                                            "duration_sector_3", "strict"))
-    return j.groupBy(*SD, *group_extra, "sector").agg(F.sum(scaled_int("speed")).alias("_s"),
+    sector = sector_label("date", "date_start", "duration_sector_1", "duration_sector_2", "duration_sector_3",
+                          "strict")
+    return j.groupBy(*SD, *group_extra, sector.alias("sector")).agg(F.sum(scaled_int("speed")).alias("_s"),
                                                       F.count("speed").alias("_n"),
                                                       F.min("lap_duration").alias("_min_lap"))
 
@@ -151,16 +151,16 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
                          "duration_sector_3", "offset")
     dec = F.col("acceleration").cast("decimal(38,18)")
     if method == "fanout":
-        g = (acc.join(laps, SD, "inner").withColumn("sector", label)
-             .groupBy(*SD, "sector").agg(F.sum(dec).alias("_s"), F.count("acceleration").alias("_n")))
+        g = (acc.join(laps, SD, "inner")
+             .groupBy(*SD, label.alias("sector")).agg(F.sum(dec).alias("_s"), F.count("acceleration").alias("_n")))
     elif method == "preagg":
         # One pass over the labelled pairs: each adds to its sector and subtracts from
         # the NULL group, which starts from (all samples of the driver) x (its laps).
         lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                               F.col("duration_sector_3"), "offset")
         pairs = (interval_join(acc, laps, SD, "date", lo, hi, bucket_seconds, sample_bucket=kb)
-                 .withColumn("sector", label).where(F.col("sector").isNotNull())
-                 .withColumn("_plus", F.explode(F.array(F.lit(True), F.lit(False)))))
+                 .select(*SD, "acceleration", label.alias("sector")).where(F.col("sector").isNotNull())
+                 .select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("_plus")))
         sign = F.when(F.col("_plus"), F.lit(1)).otherwise(F.lit(-1))
         signed = pairs.select(*SD, F.when(F.col("_plus"), F.col("sector")).alias("sector"),
                               (F.col("acceleration") * sign).alias("_s"),
@@ -358,8 +358,8 @@ def sector_samples(telemetry: DataFrame, laps: DataFrame, sessions: Sequence[int
     lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                           F.col("duration_sector_3"), "cumulative")
     j = interval_join(telemetry.select(*SD, "date", "speed"), laps, SD, "date", lo, hi, bucket_seconds)
-    j = j.withColumn("sector", sector_label("date", "date_start", "duration_sector_1", "duration_sector_2",
-                                            "duration_sector_3", "cumulative"))
+    j = j.select("*", sector_label("date", "date_start", "duration_sector_1", "duration_sector_2",
+                                   "duration_sector_3", "cumulative").alias("sector"))
     return j.where(F.col("sector").isNotNull()).select(
         "driver_number", "session_key", F.col("sector").cast("int").alias("sector"), "speed",
         "duration_sector_1", "duration_sector_2", "duration_sector_3", "date")
