@@ -24,6 +24,10 @@ SCALE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # Dynamic partition pruning even when the filtering side is not a broadcast
+    # (static broadcasts are off): a session-partitioned telemetry scan only reads
+    # the sessions the other side of the join keeps.
+    "spark.sql.optimizer.dynamicPartitionPruning.reuseBroadcastOnly": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

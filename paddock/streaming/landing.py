@@ -15,6 +15,7 @@ import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paddock import schemas
@@ -39,12 +40,19 @@ def load_stream(spark: SparkSession, src_dir: str, table: str, target: str, quar
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "landing", table)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
+        df = df.persist()  # read by the quarantine, the lead-key lookup and the append
         good, bad = conform(df, table)
         if quarantine:
             bad.write.mode("append").parquet(quarantine)
         have = _existing(df.sparkSession, target)
-        new = good if have is None else anti(good, have.select(*keys), keys)
+        if have is not None:
+            # Only the target partitions this batch touches: the batch's lead keys are a
+            # handful of values, so they become a static partition filter on the target.
+            leads = [r[0] for r in good.select(lead).distinct().collect()]
+            have = have.where(F.col(lead).isin(*leads)).select(*keys)
+        new = good if have is None else anti(good, have, keys)
         new.write.mode("append").partitionBy(lead).parquet(target)
+        df.unpersist()
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

@@ -71,3 +71,17 @@ def test_timing_log_and_summaries(spark):
     assert [str(v) for v in s[0]] == ["2.50", "1.00", "1.75", "2.50", "3.25", "4.00", "1.29"]
     p = rows(timing_population(log.where(F.col("index_type") == "BTREE")).select("mean", "median", "std"))
     assert p == [(2.5, 2.5, 1.118034)]
+
+
+def test_reports_prune_session_partitions(spark, tmp_dir):
+    from paddock.plans import reports as R
+    from paddock.sources.standin import standin_tables
+    t = standin_tables(spark, "/root/testdata/sf0.001")
+    write_layout(t.telemetrys, os.path.join(tmp_dir, "tel"))
+    t2 = t.with_(telemetrys=spark.read.parquet(os.path.join(tmp_dir, "tel")))
+    r1 = R.sector_speed(t2, all_laps=True)
+    r1.collect()
+    assert "dynamicpruningexpression(session_key" in r1._jdf.queryExecution().executedPlan().toString()
+    r5 = R.temperature_speed(t2, 9992)
+    r5.collect()
+    assert "PartitionFilters: [isnotnull(session_key" in r5._jdf.queryExecution().executedPlan().toString()
