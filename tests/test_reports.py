@@ -117,3 +117,15 @@ def test_r3c_preagg_equals_points_with_collisions(spark):
     b = P.tyre_temperature_denormalised_preagg(t)
     assert same(a, b)
     assert {r[0]: r[2] for r in a.collect()}["SOFT"] == 14.0  # the later stint of driver 10 won
+
+
+def test_r2_order_nulls_first_then_driver(spark):
+    tel = [(1, 10, s, float(s), 0, 0, 0) for s in (0, 5)] + [(1, 11, s, 2.0 * s, 0, 0, 0) for s in (0, 5)] + \
+          [(1, 12, 0, 1.0, 0, 0, 0)]
+    lap_rows = [(1, d, 1, 0, 10.0, 20.0, 30.0, 60.0) for d in (10, 11, 12)]
+    t = _tables(spark, tel, lap_rows)
+    got = [(r.driver_number, r.sector, r.mean_acceleration) for r in R.sector_acceleration(t, 1).collect()]
+    # driver 12 has one sample (no acceleration): its S1 mean is null and sorts first
+    assert got[0] == (12, "SECTOR 1", None)
+    means = [m for _, _, m in got[1:]]
+    assert means == sorted(means, reverse=True)
