@@ -22,13 +22,16 @@ PATH_KEYS_PATTERN = r"session_key=(\d+)&driver_number=(\d+)"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               drop: Sequence[str] = schemas.DROPPED_ON_LOAD) -> DataFrame:
+               drop: Sequence[str] = schemas.DROPPED_ON_LOAD, skip_corrupt_files: bool = False) -> DataFrame:
     """Read one parquet file or a directory of them (one scan, split by Spark).
 
     With ``schema`` the read is typed and column-pruned by the schema; columns
-    dropped on load are removed if present (C1/C2).
+    dropped on load are removed if present (C1/C2). ``skip_corrupt_files`` lets a
+    directory load go on past unreadable files (C15), as the per-file loader did.
     """
     reader = spark.read
+    if skip_corrupt_files:
+        reader = reader.option("ignoreCorruptFiles", "true")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(path).drop(*drop)

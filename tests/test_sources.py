@@ -85,3 +85,11 @@ def test_reports_prune_session_partitions(spark, tmp_dir):
     r5 = R.temperature_speed(t2, 9992)
     r5.collect()
     assert "PartitionFilters: [isnotnull(session_key" in r5._jdf.queryExecution().executedPlan().toString()
+
+
+def test_corrupt_file_skipped_on_request(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "tel")
+    _tel(spark).coalesce(1).write.parquet(d)
+    with open(os.path.join(d, "broken.parquet"), "wb") as fh:
+        fh.write(b"not a parquet file")
+    assert read_table(spark, d, schemas.TELEMETRYS, skip_corrupt_files=True).count() == 25
