@@ -72,9 +72,9 @@ def _speed_by_sector(samples: DataFrame, laps: DataFrame, group_extra: Sequence[
     j = interval_join(samples.select(*SD, "date", "speed"), laps, SD, "date", lo, hi, bucket_seconds)
     sector = sector_label("date", "date_start", "duration_sector_1", "duration_sector_2", "duration_sector_3",
                           "strict")
-    return j.groupBy(*SD, *group_extra, sector.alias("sector")).agg(F.sum(scaled_int("speed")).alias("_s"),
-                                                      F.count("speed").alias("_n"),
-                                                      F.min("lap_duration").alias("_min_lap"))
+    return j.groupBy(*SD, *group_extra, sector.alias("sector")).agg(
+        F.sum(scaled_int("speed")).alias("_s"), F.count("speed").alias("_n"),
+        F.min("lap_duration").alias("_min_lap"))
 
 
 def sector_speed(t: Tables, *, all_laps: bool = False, require_telemetry_laps: bool = True,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from helpers import at, rows
 from paddock import schemas
 from paddock.plans.timing import append_runs, timing_population, timing_summary
-from paddock.sources.files import (conform, land_json, read_table, read_with_path_keys, write_csv,
+from paddock.sources.files import (conform, land_json, read_table, read_with_path_keys, run_sql, write_csv,
                                    write_layout)
 
 
@@ -93,3 +93,17 @@ def test_corrupt_file_skipped_on_request(spark, tmp_dir):
     with open(os.path.join(d, "broken.parquet"), "wb") as fh:
         fh.write(b"not a parquet file")
     assert read_table(spark, d, schemas.TELEMETRYS, skip_corrupt_files=True).count() == 25
+
+
+def test_tables_register_for_sql(spark):
+    from paddock.sources.standin import standin_tables
+    t = standin_tables(spark, "/root/testdata/sf0.001")
+    t.register("sf_")
+    got = run_sql(spark, "SELECT count(*) FROM sf_laps l JOIN sf_sessions s USING (session_key) "
+                         "WHERE s.session_name = 'Race'").first()[0]
+    assert got == R_laps_in_races(t)
+
+
+def R_laps_in_races(t):
+    from paddock.plans.reports import race_laps
+    return race_laps(t).count()
