@@ -219,7 +219,11 @@ def _halfopen(n: int) -> str:
     return f"{lo} AND x.date <= {s} + {secs(f'l.duration_sector_{n}')}"
 
 
-R4 = views("telemetrys", "telemetrys_laps", "laps", "drivers", "sessions") + f"""
+def _r4(existence: bool) -> str:
+    keep = """
+    WHERE (x.session_key, x.driver_number) IN (SELECT session_key, driver_number FROM telemetrys_laps)""" \
+        if existence else ""
+    return views("telemetrys", "telemetrys_laps", "laps", "drivers", "sessions") + f"""
 , tagged AS (
     SELECT x.session_key, x.driver_number, x.date, x.speed,
       CASE WHEN x.drs IN (8, 10, 12, 14) THEN 'ATIVO' ELSE 'NÃO ATIVO' END AS drs,
@@ -227,8 +231,7 @@ R4 = views("telemetrys", "telemetrys_laps", "laps", "drivers", "sessions") + f""
       CASE WHEN {_halfopen(1)} THEN 'SETOR 1' WHEN {_halfopen(2)} THEN 'SETOR 2'
            WHEN {_halfopen(3)} THEN 'SETOR 3' END AS sector
     FROM telemetrys x
-    JOIN laps l ON l.session_key = x.session_key AND l.driver_number = x.driver_number
-    WHERE (x.session_key, x.driver_number) IN (SELECT session_key, driver_number FROM telemetrys_laps)
+    JOIN laps l ON l.session_key = x.session_key AND l.driver_number = x.driver_number{keep}
 ), states AS (
     SELECT * FROM tagged WHERE sector IS NOT NULL
 ), flagged AS (
@@ -256,6 +259,10 @@ FROM (
 ) g"""
 
 
+R4 = _r4(True)
+R4_NOJOIN = _r4(False)
+
+
 def all_sql() -> dict[str, str]:
     return {
         "r0_drivers": R0,
@@ -266,6 +273,7 @@ def all_sql() -> dict[str, str]:
         "r2b_sector_accel_nojoin": R2B,
         "r3a_tyre_temp": R3A,
         "r4_drs_runs": R4,
+        "r4_drs_runs_nojoin": R4_NOJOIN,
         "r5_temp_speed": R5,
         **operator_sql(),
     }

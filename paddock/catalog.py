@@ -42,6 +42,7 @@ def report_queries() -> dict[str, Query]:
                                                                       require_telemetry_laps=False),
         "r3a_tyre_temp": lambda s, d: R.tyre_temperature(_t(s, d)),
         "r4_drs_runs": lambda s, d: R.drs_runs(_t(s, d)),
+        "r4_drs_runs_nojoin": lambda s, d: R.drs_runs(_t(s, d), require_telemetry_laps=False),
         "r5_temp_speed": lambda s, d: R.temperature_speed(_t(s, d), RACE_SESSION),
     }
 
