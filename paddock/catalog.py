@@ -120,7 +120,8 @@ def operator_queries() -> dict[str, Query]:
                 .unionByName(t.tyre_stints.select(*R.SD, "stint_number", "compound"), allowMissingColumns=True))
 
     return {
-        "r3b_tyre_temp_points": lambda s, d: P.tyre_temperature_from_points(P.load_points(_t(s, d))),
+        "r3b_tyre_temp_points": lambda s, d: P.tyre_temperature_from_points(
+            P.load_points(_t(s, d), measurements=["tyre_stints", "weather_conditions"])),
         "r3c_tyre_temp_denorm": lambda s, d: P.tyre_temperature_denormalised_preagg(_t(s, d)),
         "r6_sector_samples": lambda s, d: P.sector_sample_points(_t(s, d)),
         "j5_left_label": lambda s, d: R.sector_samples(_t(s, d).telemetrys, _t(s, d).laps),

@@ -37,11 +37,14 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop any row with a null (NaN counts as null, as in pandas ``dropna``)."""
-    out = df.na.drop("any", subset=list(subset) if subset else None)
-    for f in out.schema.fields:
-        if (subset is None or f.name in subset) and f.dataType.typeName() in ("double", "float"):
-            out = out.where(~F.isnan(F.col(f.name)))
-    return out
+    cols = [f for f in df.schema.fields if subset is None or f.name in subset]
+    keep = None
+    for f in cols:
+        ok = F.col(f.name).isNotNull()
+        if f.dataType.typeName() in ("double", "float"):
+            ok = ok & ~F.isnan(F.col(f.name))
+        keep = ok if keep is None else keep & ok
+    return df if keep is None else df.where(keep)
 
 
 def keep_keys_in(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
