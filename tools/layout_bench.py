@@ -2,7 +2,7 @@
 
 Usage: python tools/layout_bench.py [sf_dir] [scratch_dir]
 Writes telemetry and lap points of the stand-in tables in both layouts under
-``scratch_dir`` (a new temporary folder by default), then times reading the race
+``scratch_dir`` (by default a new folder under the session's ``spark.checkpoint.dir``), then times reading the race
 sessions' speed samples and laps back, pivoting them and labelling every sample
 with its sector (the shape of R6), and prints one JSON line with the medians and
 the number of files each layout had to read.
@@ -22,16 +22,18 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    scratch = sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="layout-")
     from pyspark.sql import functions as F
 
     from paddock.operators.points import pivot_points, read_points, write_points
     from paddock.plans.point_reports import LAYOUTS, points_of
     from paddock.plans.reports import sector_samples
-    from paddock.session import get_spark
+    from paddock.session import checkpoint_dir, get_spark
     from paddock.sources.standin import standin_tables
 
     spark = get_spark("layout", shuffle_partitions=8, driver_memory="8g")
+    # Scratch space in the shared folder the cluster names, never a machine-local one.
+    scratch = sys.argv[2] if len(sys.argv) > 2 else os.path.join(
+        checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="layout-")), "layout-bench", str(int(time.time())))
     t = standin_tables(spark, sf)
     races = [r[0] for r in t.sessions.where(F.col("session_name") == "Race").select("session_key").collect()]
     out = {"sf": sf, "race_sessions": races}
