@@ -45,7 +45,9 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequ
     b = df.select("*", time_bucket(F.col(order_col), bucket_seconds).alias("_b"))
     wb = Window.partitionBy(*keys, "_b").orderBy(order_col)
     whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    st = F.struct(*[F.col(c).alias(c) for c in cols])
+    # The bucket's last row travels whole, so the stitch reads the same input columns as
+    # the main branch and Spark reuses the input's shuffle.
+    st = F.struct(*[F.col(c).alias(c) for c in df.columns])
     # One pass per (keys, bucket): the in-bucket lag and the bucket's last row.
     b = b.select("*", F.lag(order_col, 1).over(wb).alias("_po"),
                  *[F.lag(c, 1).over(wb).alias("_in_" + c) for c in cols],
@@ -105,8 +107,11 @@ def islands(df: DataFrame, keys: Sequence[str], order_col: str, states: Sequence
     b = b.select("*", first_in_bucket.alias("_first_row"),
                  F.when(first_in_bucket | same_as_prev, 0).otherwise(1).alias("_ichg"))
     st = F.struct(*[F.col(s).alias(s) for s in states])
+    # The bucket's last row travels whole: the stitch then reads the same input columns
+    # as the main branch, so Spark reuses the input's shuffle instead of redoing it.
+    last_row = F.struct(*[F.col(c).alias(c) for c in df.columns])
     b = b.select("*", F.sum("_ichg").over(wb).alias("_irun"), F.first(st).over(whole).alias("_first"),
-                 F.last(st).over(whole).alias("_last"), F.sum("_ichg").over(whole).alias("_n"))
+                 F.last(last_row).over(whole).alias("_last"), F.sum("_ichg").over(whole).alias("_n"))
     # 2. One row per bucket (small). Stitch: does the bucket's first row change against
     #    the previous bucket's last row? Offsets = changes in all earlier buckets.
     wk = Window.partitionBy(*keys).orderBy("_b")
