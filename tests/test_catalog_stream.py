@@ -56,3 +56,14 @@ def test_stream_load_enforces_key_across_batches(spark, tmp_dir):
     assert t.count() == 7
     assert t.groupBy("session_key", "driver_number", "date").count().where(F.col("count") > 1).count() == 0
     assert rows(t.where(F.col("date") == at(3)).select("speed")) == [(103.0,)]  # first load kept
+
+
+def test_stream_load_replay_after_lost_checkpoint_appends_nothing(spark, tmp_dir):
+    src, target = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "telemetrys")
+    _tel_rows(spark, 9998, 30, range(6)).coalesce(1).write.parquet(os.path.join(src, "a"))
+    load_stream(spark, os.path.join(src, "*"), "telemetrys", target,
+                checkpoint=os.path.join(tmp_dir, "ckpt1")).awaitTermination()
+    # The checkpoint is gone (say, a failed driver with a lost folder): every file is replayed.
+    load_stream(spark, os.path.join(src, "*"), "telemetrys", target,
+                checkpoint=os.path.join(tmp_dir, "ckpt2")).awaitTermination()
+    assert spark.read.parquet(target).count() == 6
