@@ -136,6 +136,7 @@ def conform(df: DataFrame, table: str, order: Sequence[Column] | None = None,
     good = good.select(*casts, *extra)
     order = list(order) if order is not None else [F.col(c).asc_nulls_last() for c in schema.fieldNames()
                                                    if c not in keys and c in have]
+    order = order or [F.col(k) for k in keys]  # only key columns: duplicates are identical rows
     if on_duplicate == "first":
         return dedup_first(good, keys, order).drop(*extra), bad
     if on_duplicate == "quarantine":

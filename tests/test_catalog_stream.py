@@ -67,3 +67,25 @@ def test_stream_load_replay_after_lost_checkpoint_appends_nothing(spark, tmp_dir
     load_stream(spark, os.path.join(src, "*"), "telemetrys", target,
                 checkpoint=os.path.join(tmp_dir, "ckpt2")).awaitTermination()
     assert spark.read.parquet(target).count() == 6
+
+
+def test_reference_api_over_catalog_tables(spark, tmp_dir):
+    from paddock.plans import reports as R
+    from paddock.sources.files import conform
+    from paddock.sources.load import write_tables
+    from paddock.sources.standin import standin_tables
+    from paddock.sources.tables import Tables
+    from helpers import same
+
+    raw = standin_tables(spark, "/root/testdata/sf0.001")
+    clean = Tables(**{n: conform(getattr(raw, n), n)[0] for n in raw.names()})
+    create_tables(spark, "paddock_api", location=os.path.join(tmp_dir, "wh"))
+    write_tables(clean, "paddock_api")
+    t = api.tables_from_catalog(spark, "paddock_api")
+    assert same(api.first_query(spark, "paddock_api"), R.sector_speed(clean))
+    assert same(api.second_query(spark, "paddock_api", 9992), R.sector_acceleration(clean, 9992))
+    assert same(api.third_query(spark, "paddock_api"), R.tyre_temperature(clean))
+    assert same(api.fourth_query(spark, "paddock_api", 9992, None), R.drs_runs(clean, 9992))
+    assert same(api.fifth_query(spark, "paddock_api", 9992), R.temperature_speed(clean, 9992))
+    assert t.telemetrys.count() == raw.telemetrys.count()
+    spark.sql("DROP DATABASE paddock_api CASCADE")
