@@ -63,9 +63,13 @@ def read_with_path_keys(spark: SparkSession, path: str, schema: T.StructType | N
 
 
 def land_json(spark: SparkSession, json_path: str, schema: T.StructType, out_path: str,
-              mode: str = "overwrite") -> None:
-    """JSON records (arrays or lines) as fetched from the API -> typed parquet."""
-    (spark.read.schema(schema).option("multiLine", True).json(json_path)
+              mode: str = "overwrite", json_lines: bool = False) -> None:
+    """JSON records as fetched from the API -> typed parquet.
+
+    By default each file is one JSON document (an array of records, as the API
+    returns them); ``json_lines=True`` reads one record per line instead.
+    """
+    (spark.read.schema(schema).option("multiLine", not json_lines).json(json_path)
      .write.mode(mode).parquet(out_path))
 
 

@@ -107,3 +107,14 @@ def test_tables_register_for_sql(spark):
 def R_laps_in_races(t):
     from paddock.plans.reports import race_laps
     return race_laps(t).count()
+
+
+def test_json_lines_landing(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "pits.jsonl")
+    with open(src, "w") as fh:
+        for lap in (3, 4):
+            fh.write(json.dumps({"session_key": 9998, "driver_number": 30, "lap_number": lap,
+                                 "date": "2024-01-01T00:00:00", "pit_duration": 20.0 + lap}) + "\n")
+    out = os.path.join(tmp_dir, "pits")
+    land_json(spark, src, schemas.PITS, out, json_lines=True)
+    assert rows(read_table(spark, out).select("lap_number"), "lap_number") == [(3,), (4,)]
