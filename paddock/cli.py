@@ -45,7 +45,6 @@ def main(argv=None) -> None:
         df = STANDIN[a.report](standin_tables(spark, a.standin))
     if a.csv:
         write_csv(df, a.csv)
-        df = spark.read.option("header", True).option("inferSchema", True).csv(a.csv)
     n = df.count()
     print(f"rows: {n}  columns: {len(df.columns)}  seconds: {time.perf_counter() - t0:.2f}")
     df.show(a.show, truncate=False)
