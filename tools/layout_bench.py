@@ -20,23 +20,18 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+def run_layout_experiment(spark, sf: str, scratch: str, runs: int = 3) -> dict:
+    """Write the points in both layouts under ``scratch`` and time the session-filtered read."""
     from pyspark.sql import functions as F
 
     from paddock.operators.points import pivot_points, read_points, write_points
     from paddock.plans.point_reports import LAYOUTS, points_of
     from paddock.plans.reports import sector_samples
-    from paddock.session import checkpoint_dir, get_spark
     from paddock.sources.standin import standin_tables
 
-    spark = get_spark("layout", shuffle_partitions=8, driver_memory="8g")
-    # Scratch space in the shared folder the cluster names, never a machine-local one.
-    scratch = sys.argv[2] if len(sys.argv) > 2 else os.path.join(
-        checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="layout-")), "layout-bench", str(int(time.time())))
     t = standin_tables(spark, sf)
     races = [r[0] for r in t.sessions.where(F.col("session_name") == "Race").select("session_key").collect()]
-    out = {"sf": sf, "race_sessions": races}
+    out = {"race_sessions": sorted(races)}
     for layout, lead in LAYOUTS.items():
         path = os.path.join(scratch, layout)
         pts = points_of(t.telemetrys, "telemetry", layout).unionByName(
@@ -45,17 +40,15 @@ def main() -> None:
 
         def query():
             tags = {"session_key": races}
+            fields = ["duration_sector_1", "duration_sector_2", "duration_sector_3"]
             tel = pivot_points(read_points(spark, path, ["telemetry"], tags, ["speed"]),
                                ["_time", "session_key", "driver_number"], ["speed"])
-            lap = pivot_points(read_points(spark, path, ["laps"], tags,
-                                           ["duration_sector_1", "duration_sector_2", "duration_sector_3"]),
-                               ["_time", "session_key", "driver_number"],
-                               ["duration_sector_1", "duration_sector_2", "duration_sector_3"])
+            lap = pivot_points(read_points(spark, path, ["laps"], tags, fields),
+                               ["_time", "session_key", "driver_number"], fields)
             cast = [F.col("session_key").cast("int").alias("session_key"),
                     F.col("driver_number").cast("int").alias("driver_number")]
             tel = tel.select(*cast, F.col("_time").alias("date"), "speed")
-            lap = lap.select(*cast, F.col("_time").alias("date_start"), "duration_sector_1", "duration_sector_2",
-                             "duration_sector_3")
+            lap = lap.select(*cast, F.col("_time").alias("date_start"), *fields)
             return sector_samples(tel, lap)
 
         def once() -> float:
@@ -64,14 +57,24 @@ def main() -> None:
             return time.perf_counter() - t0
 
         once()
-        secs = [once() for _ in range(3)]
+        secs = [once() for _ in range(runs)]
         df = query()
-        df.collect()
+        n = len(df.collect())
         plan = df._jdf.queryExecution().executedPlan()
-        files = sum(int(str(m.value())) for node in [plan] for m in _metric_values(node, "numFiles"))
-        out[layout] = {"median_sec": round(statistics.median(secs), 3), "files_read": files,
-                       "rows": df.count()}
-    print(json.dumps(out))
+        files = sum(int(str(m.value())) for m in _metric_values(plan, "numFiles"))
+        out[layout] = {"median_sec": round(statistics.median(secs), 3), "files_read": files, "rows": n}
+    return out
+
+
+def main() -> None:
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    from paddock.session import checkpoint_dir, get_spark
+
+    spark = get_spark("layout", shuffle_partitions=8, driver_memory="8g")
+    # Scratch space in the shared folder the cluster names, never a machine-local one.
+    scratch = sys.argv[2] if len(sys.argv) > 2 else os.path.join(
+        checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="layout-")), "layout-bench", str(int(time.time())))
+    print(json.dumps({"sf": sf, **run_layout_experiment(spark, sf, scratch)}))
     spark.stop()
 
 
