@@ -129,3 +129,16 @@ def test_r2_order_nulls_first_then_driver(spark):
     assert got[0] == (12, "SECTOR 1", None)
     means = [m for _, _, m in got[1:]]
     assert means == sorted(means, reverse=True)
+
+
+def test_reports_on_empty_tables(spark):
+    from paddock.plans import point_reports as P
+    t = _tables(spark, [(1, 10, 0, 1.0, 0, 0, 0)], [(1, 10, 1, 0, 1.0, 1.0, 1.0, 3.0)])
+    empty = t.with_(**{n: getattr(t, n).limit(0) for n in t.names()})
+    drivers = spark.createDataFrame([], "driver_number int, full_name string, country_code string, team_name string")
+    assert R.all_drivers(empty.with_(drivers=drivers)).count() == 0
+    for df in (R.sector_speed(empty), R.sector_speed(empty, all_laps=True),
+               R.sector_speed_best_lap(empty), R.sector_acceleration(empty, 1), R.tyre_temperature(empty),
+               R.drs_runs(empty), R.temperature_speed(empty, 1), P.tyre_temperature_denormalised_preagg(empty),
+               R.sector_samples(empty.telemetrys, empty.laps)):
+        assert df.count() == 0
