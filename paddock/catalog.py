@@ -25,7 +25,11 @@ def _t(spark: SparkSession, sf_dir: str):
     They are lazy plans (no data is cached): defining them reads parquet footers
     and builds seven views, which is worth doing once, as an application would.
     """
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # a Spark Connect session has no SparkContext
+        app = None
+    key = (app, id(spark), sf_dir)
     if key not in _TABLES:
         _TABLES[key] = standin_tables(spark, sf_dir)
     return _TABLES[key]
