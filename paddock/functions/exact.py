@@ -50,15 +50,24 @@ def mean_2dp(c) -> Column:
     return half_up_2dp(F.sum(scaled_int(c)), F.count(_c(c)))
 
 
+def _scaled_quantile_2dp(q: Column) -> Column:
+    hundredths = F.signum(q) * F.floor(F.abs(q) / F.lit(SCALE / 100) + F.lit(0.5))
+    return (hundredths.cast("decimal(20,0)") / F.lit(100)).cast("decimal(8,2)")
+
+
 def quantile_2dp(c, p: float) -> Column:
     """Aggregate: ``percentile_cont(p) WITHIN GROUP (ORDER BY c)::NUMERIC(8,2)``, exact.
 
     The interpolation runs on the scaled integers, where ``a + f*(b-a)`` with
     ``f`` a multiple of 1/4 is exact in a double; the final rounding is then exact too.
     """
-    q = F.percentile(scaled_int(c), F.lit(p))
-    hundredths = F.signum(q) * F.floor(F.abs(q) / F.lit(SCALE / 100) + F.lit(0.5))
-    return (hundredths.cast("decimal(20,0)") / F.lit(100)).cast("decimal(8,2)")
+    return _scaled_quantile_2dp(F.percentile(scaled_int(c), F.lit(p)))
+
+
+def quantiles_2dp(c, ps) -> list[Column]:
+    """Several exact quantiles from one aggregate (one count map per group instead of one per quantile)."""
+    qs = F.percentile(scaled_int(c), F.array(*[F.lit(p) for p in ps]))
+    return [_scaled_quantile_2dp(F.element_at(qs, i + 1)) for i in range(len(ps))]
 
 
 def cast_2dp(c) -> Column:

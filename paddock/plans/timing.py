@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paddock.functions.exact import SCALE, cast_2dp, mean_2dp, quantile_2dp, scaled_int
+from paddock.functions.exact import SCALE, cast_2dp, mean_2dp, quantiles_2dp, scaled_int
 
 LOG_SCHEMA = T.StructType([
     T.StructField("statid", T.LongType()), T.StructField("queryid", T.LongType()),
@@ -56,12 +56,13 @@ def timing_summary(log: DataFrame, queryid: int | None = None, index_type: str |
     sxx = F.sum(s.cast("decimal(38,0)") * s.cast("decimal(38,0)"))
     var_scaled = (n * sxx - sx * sx).cast("double") / (n * (n - 1)).cast("double")
     stddev = F.when(n > 1, F.sqrt(var_scaled) / F.lit(float(SCALE)))
+    q1, q2, q3 = quantiles_2dp(v, (0.25, 0.5, 0.75))
     return log.groupBy("queryid", "index_type").agg(
         mean_2dp(v).alias("mean_time"),
         cast_2dp(F.min(v)).alias("min_time"),
-        quantile_2dp(v, 0.25).alias("q1_time"),
-        quantile_2dp(v, 0.5).alias("median_time"),
-        quantile_2dp(v, 0.75).alias("q3_time"),
+        q1.alias("q1_time"),
+        q2.alias("median_time"),
+        q3.alias("q3_time"),
         cast_2dp(F.max(v)).alias("max_time"),
         cast_2dp(stddev).alias("stddev_time"),
     )
