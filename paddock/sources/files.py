@@ -91,6 +91,14 @@ def create_tables(spark: SparkSession, database: str, location: str | None = Non
         spark.sql(f"CREATE TABLE {database}.{name} ({cols}) USING parquet")
 
 
+def analyze_tables(spark: SparkSession, database: str, tables: Sequence[str] | None = None) -> None:
+    """Table and column statistics for the catalog tables (the reference's ``ANALYZE``),
+    so static planning sees real sizes; AQE still re-plans with run-time sizes."""
+    present = {t.name for t in spark.catalog.listTables(database)}
+    for name in tables or [n for n in schemas.SCHEMAS if n in present]:
+        spark.sql(f"ANALYZE TABLE {database}.{name} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
     """SQL text over registered views -> DataFrame (lazy)."""
     return spark.sql(text)

@@ -25,6 +25,10 @@ def test_catalog_tables_and_reference_api(spark, tmp_dir):
     # SQL text over the catalog tables
     got = run_sql(spark, "SELECT count(*) FROM paddock_t.drivers WHERE full_name IS NULL").first()[0]
     assert got == 1
+    from paddock.sources.files import analyze_tables
+    analyze_tables(spark, "paddock_t", ["drivers"])
+    stats = spark.sql("DESCRIBE TABLE EXTENDED paddock_t.drivers").where("col_name = 'Statistics'").first()
+    assert stats is not None and "2 rows" in stats[1]
     spark.sql("DROP DATABASE paddock_t CASCADE")
 
 
