@@ -77,3 +77,29 @@ def test_best_lap_is_a_group_limit(no_broadcast):
     # partitioned by (session, driver) from the existence join, so only the Final one is needed).
     lines = _final_plan(E.queries()["r1a_sector_speed"](no_broadcast, SF))
     assert any("WindowGroupLimit" in x for x in lines)
+
+
+def test_hot_driver_is_spread_over_partitions(spark):
+    """One driver with a third of the rows: the plain window puts all of them in one partition,
+    the bucketed one spreads them (AQE coalescing off so the partitioning is visible)."""
+    from pyspark.sql import functions as F
+
+    from helpers import at
+    from paddock.operators.windows import with_previous
+    hot = [(1, 7, at(s * 36), float(s)) for s in range(3000)]          # 30 hours of one driver
+    cold = [(1, d, at(s * 600), 1.0) for d in range(20, 320) for s in range(20)]
+    df = spark.createDataFrame(hot + cold, "session_key int, driver_number int, date timestamp_ntz, speed double")
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        def parts(out):
+            # prev_speed is used so the optimizer keeps the window in the plan
+            hot_rows = out.where(F.col("driver_number") == 7).select(F.spark_partition_id().alias("p"), "prev_speed")
+            return len(hot_rows.groupBy("p").agg(F.count("prev_speed").alias("n")).collect())
+        plain = with_previous(df, ["session_key", "driver_number"], "date", ["speed"])
+        bucketed = with_previous(df, ["session_key", "driver_number"], "date", ["speed"], bucket_seconds=3600)
+        assert parts(plain) == 1
+        assert parts(bucketed) >= 3
+    finally:
+        spark.conf.set(key, old)
