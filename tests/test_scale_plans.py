@@ -103,3 +103,32 @@ def test_hot_driver_is_spread_over_partitions(spark):
         assert parts(bucketed) >= 3
     finally:
         spark.conf.set(key, old)
+
+
+def test_hot_driver_interval_join_spread(spark):
+    """The interval join keyed on (session, driver, bucket) spreads a hot driver's samples too."""
+    from pyspark.sql import functions as F
+
+    from helpers import at
+    from paddock.operators.joins import interval_join
+    samples = spark.createDataFrame([(1, 7, at(s * 36)) for s in range(3000)] +
+                                    [(1, d, at(0)) for d in range(20, 120)],
+                                    "session_key int, driver_number int, date timestamp_ntz")
+    laps = spark.createDataFrame([(1, 7, at(h * 3600), float(h)) for h in range(30)],
+                                 "session_key int, driver_number int, start timestamp_ntz, lap double")
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def parts(bucket):
+            j = interval_join(samples, laps, ["session_key", "driver_number"], "date", F.col("start"),
+                              F.col("start") + F.expr("INTERVAL 3599 SECONDS"), bucket)
+            rows = j.select(F.spark_partition_id().alias("p"), "lap").groupBy("p").agg(F.count("lap").alias("n"))
+            got = rows.collect()
+            assert sum(r.n for r in got) == 3000
+            return len(got)
+        assert parts(None) == 1
+        assert parts(3600) >= 3
+    finally:
+        spark.conf.set(key, old)
