@@ -33,8 +33,9 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequ
                   keep_bucket: str | None = None) -> DataFrame:
     """Add ``prev_<c>`` = ``LAG(c, 1)`` within ``keys`` ordered by ``order_col``.
 
-    Rows are assumed unique on (keys, order_col) (the telemetry primary key).
-    ``keep_bucket`` keeps the time bucket under that name for a later bucketed join.
+    Rows are assumed unique on (keys, order_col), with no nulls there (the telemetry
+    primary key); the bucketed form relies on it. ``keep_bucket`` keeps the time
+    bucket under that name for a later bucketed join.
     """
     keys = list(keys)
     cols = list(cols)
@@ -82,7 +83,8 @@ def islands(df: DataFrame, keys: Sequence[str], order_col: str, states: Sequence
     ``run_col`` = running ``SUM(change_flag)`` per ``keys`` ordered by ``order_col``
     (a run restarts at every change and at every null state). Run ids restart at
     1 for every key. ``bucket_col`` names an existing column that already holds
-    ``floor(order_col / bucket_seconds)`` (e.g. kept by ``interval_join``).
+    ``floor(order_col / bucket_seconds)`` (e.g. kept by ``interval_join``). Keys and
+    ``order_col`` must not be null (primary-key columns); states may be.
     """
     keys = list(keys)
     states = list(states)
