@@ -142,3 +142,22 @@ def test_reports_on_empty_tables(spark):
                R.drs_runs(empty), R.temperature_speed(empty, 1), P.tyre_temperature_denormalised_preagg(empty),
                R.sector_samples(empty.telemetrys, empty.laps)):
         assert df.count() == 0
+
+
+def test_r1c_equals_r1a_on_their_common_ground(spark):
+    from paddock.sources.standin import standin_tables
+    t = standin_tables(spark, "/root/testdata/sf0.001")
+    a = R.sector_speed(t)
+    c = (R.sector_speed_best_lap(t).where(F.col("best_lap_duration").isNotNull())
+         .join(t.telemetrys_laps, ["session_key", "driver_number"], "left_semi")
+         .withColumnRenamed("best_lap_duration", "lap_duration"))
+    assert a.count() > 0 and same(a, c)
+
+
+def test_r3b_equals_r3c_on_key_unique_stints(spark):
+    from paddock.plans import point_reports as P
+    from paddock.sources.standin import standin_tables
+    t = standin_tables(spark, "/root/testdata/sf0.001")
+    b = P.tyre_temperature_from_points(P.load_points(t, measurements=["tyre_stints", "weather_conditions"]))
+    c = P.tyre_temperature_denormalised_preagg(t)
+    assert b.count() > 0 and same(b, c)
