@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from helpers import at, rows
 from paddock.functions.labels import brake_state, drs_state, instant_acceleration, sector_label

@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from helpers import at, rows
 from paddock.sources.load import load_reference_layout
