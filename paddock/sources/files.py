@@ -99,6 +99,24 @@ def analyze_tables(spark: SparkSession, database: str, tables: Sequence[str] | N
         spark.sql(f"ANALYZE TABLE {database}.{name} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def materialize(spark: SparkSession, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as parquet under the shared ``spark.checkpoint.dir`` and read it back.
+
+    Cuts the lineage at a point every later job can restart from (a lost executor
+    never recomputes what came before), unlike ``localCheckpoint``. Each call
+    writes a new folder, so nothing that is being read is overwritten.
+    """
+    import uuid
+
+    from paddock.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}/{uuid.uuid4().hex}"
+    w = df.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.parquet(path)
+
+
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
     """SQL text over registered views -> DataFrame (lazy)."""
     return spark.sql(text)

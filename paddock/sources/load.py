@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from paddock import schemas
 from paddock.operators.clean import distinct_pairs, dedup_first, to_bool
 from paddock.operators.joins import semi
-from paddock.sources.files import append_table, conform
+from paddock.sources.files import append_table, conform, materialize
 from paddock.sources.tables import Tables
 
 # Where the loaders find each table under the data folder, in load order.
@@ -54,8 +54,14 @@ def read_in_file_order(spark: SparkSession, path: str) -> DataFrame:
     return df.drop(*schemas.DROPPED_ON_LOAD)
 
 
-def load_reference_layout(spark: SparkSession, root: str) -> tuple[Tables, dict[str, DataFrame]]:
-    """Load every table found under ``root``; returns the clean tables and the rejected rows."""
+def load_reference_layout(spark: SparkSession, root: str,
+                          materialized: bool = False) -> tuple[Tables, dict[str, DataFrame]]:
+    """Load every table found under ``root``; returns the clean tables and the rejected rows.
+
+    With ``materialized`` the clean tables are written once under ``spark.checkpoint.dir``
+    (telemetry partitioned by session) and returned as reads of those files, so the
+    reports that follow neither recompute the load nor depend on its lineage.
+    """
     raw: dict[str, DataFrame] = {}
     for name, rel in SOURCE_FILES.items():
         path = os.path.join(root, rel)
@@ -76,6 +82,8 @@ def load_reference_layout(spark: SparkSession, root: str) -> tuple[Tables, dict[
         if name in DEDUP_ON_LOAD:
             df = dedup_first(df, list(DEDUP_ON_LOAD[name]), file_order())
         good, rejected = conform(df, name, order=file_order(), on_duplicate="quarantine")
+        if materialized:
+            good = materialize(spark, good, name, ["session_key"] if name == "telemetrys" else ())
         clean[name], bad[name] = good, rejected.drop("_file", "_row")
     return Tables(**clean), bad
 

@@ -50,3 +50,14 @@ def test_reference_load(spark, tmp_dir):
     # telemetry: first row per key in file order
     assert rows(t.telemetrys.select("driver_number", "speed"), "driver_number") == [(30, 1.0), (44, 3.0)]
     assert t.telemetrys.schema["session_key"].dataType.simpleString() == "int"
+
+
+def test_materialized_load_reads_from_shared_folder(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "data")
+    _write(spark.createDataFrame([(9998, 30, at(0), 1.0), (9998, 30, at(0), 2.0)],
+                                 "session_key int, driver_number int, date timestamp_ntz, speed double"),
+           os.path.join(root, "telemetrys"))
+    t, _ = load_reference_layout(spark, root, materialized=True)
+    ckpt = spark.conf.get("spark.checkpoint.dir")
+    assert all(ckpt.rstrip("/") + "/tables/telemetrys/" in f for f in t.telemetrys.inputFiles())
+    assert rows(t.telemetrys.select("speed")) == [(1.0,)]
