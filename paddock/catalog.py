@@ -160,3 +160,23 @@ def operator_queries() -> dict[str, Query]:
         "w2_best_lap": lambda s, d: R.best_laps(_t(s, d).laps),
         "w6_islands": telemetry_runs,
     }
+
+
+def reports_on_tables() -> dict[str, Callable]:
+    """The headline reports as functions of loaded ``Tables`` (used by the benchmark)."""
+    from paddock.plans import point_reports as P
+    return {
+        "r0_drivers": R.all_drivers,
+        "r1a_sector_speed": R.sector_speed,
+        "r1b_sector_speed_all_laps": lambda t: R.sector_speed(t, all_laps=True),
+        "r1c_sector_speed_best_lap": R.sector_speed_best_lap,
+        "r2a_sector_accel": lambda t: R.sector_acceleration(t, RACE_SESSION),
+        "r2b_sector_accel_nojoin": lambda t: R.sector_acceleration(t, RACE_SESSION, require_telemetry_laps=False),
+        "r3a_tyre_temp": R.tyre_temperature,
+        "r3b_tyre_temp_points": lambda t: P.tyre_temperature_from_points(
+            P.load_points(t, measurements=["tyre_stints", "weather_conditions"])),
+        "r3c_tyre_temp_denorm": P.tyre_temperature_denormalised_preagg,
+        "r4_drs_runs": R.drs_runs,
+        "r5_temp_speed": lambda t: R.temperature_speed(t, RACE_SESSION),
+        "r6_sector_samples": P.sector_sample_points,
+    }

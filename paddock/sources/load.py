@@ -94,3 +94,19 @@ def write_tables(t: Tables, database: str) -> None:
         df = getattr(t, name, None)
         if df is not None:
             append_table(df.select(*schemas.SCHEMAS[name].fieldNames()), name, database)
+
+
+def materialize_tables(spark: SparkSession, t: Tables) -> Tables:
+    """Conform every table to its schema and write it once under ``spark.checkpoint.dir``:
+    telemetry partitioned by session and time-ordered per driver inside files (the
+    S13 layout), the rest as plain parquet. Returns the tables as reads of those files,
+    the state a loaded warehouse is in when reports run."""
+    out = {}
+    for name in t.names():
+        good, _ = conform(getattr(t, name), name)
+        if name == "telemetrys":
+            good = good.repartition("session_key").sortWithinPartitions("session_key", "driver_number", "date")
+            out[name] = materialize(spark, good, name, ["session_key"])
+        else:
+            out[name] = materialize(spark, good, name)
+    return Tables(**out)
