@@ -97,13 +97,15 @@ def write_tables(t: Tables, database: str) -> None:
 
 
 def materialize_tables(spark: SparkSession, t: Tables) -> Tables:
-    """Conform every table to its schema and write it once under ``spark.checkpoint.dir``:
-    telemetry partitioned by session and time-ordered per driver inside files (the
-    S13 layout), the rest as plain parquet. Returns the tables as reads of those files,
-    the state a loaded warehouse is in when reports run."""
+    """Write every table once under ``spark.checkpoint.dir``, as it is (``load_reference_layout``
+    has already conformed loaded tables; adding absent columns as nulls here would change
+    what the null-dropping point loader keeps): telemetry partitioned by session and
+    time-ordered per driver inside files (the S13 layout), the rest as plain parquet.
+    Returns the tables as reads of those files, the state a loaded warehouse is in
+    when reports run."""
     out = {}
     for name in t.names():
-        good, _ = conform(getattr(t, name), name)
+        good = getattr(t, name)
         if name == "telemetrys":
             good = good.repartition("session_key").sortWithinPartitions("session_key", "driver_number", "date")
             out[name] = materialize(spark, good, name, ["session_key"])

@@ -61,3 +61,17 @@ def test_materialized_load_reads_from_shared_folder(spark, tmp_dir):
     ckpt = spark.conf.get("spark.checkpoint.dir")
     assert all(ckpt.rstrip("/") + "/tables/telemetrys/" in f for f in t.telemetrys.inputFiles())
     assert rows(t.telemetrys.select("speed")) == [(1.0,)]
+
+
+def test_reports_on_loaded_tables_equal_registered_queries(spark):
+    """The benchmark times the reports on tables loaded once; they must compute the same thing."""
+    import __spark_entry__ as E
+    from helpers import same
+    from paddock.catalog import reports_on_tables
+    from paddock.sources.load import materialize_tables
+    from paddock.sources.standin import standin_tables
+    sf = "/root/testdata/sf0.001"
+    loaded = materialize_tables(spark, standin_tables(spark, sf))
+    qs = E.queries()
+    for name, fn in reports_on_tables().items():
+        assert same(fn(loaded), qs[name](spark, sf)), name
