@@ -43,25 +43,25 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequ
         w = Window.partitionBy(*keys).orderBy(order_col)
         return df.select("*", *[F.lag(c, 1).over(w).alias(prefix + c) for c in cols])
 
-    b = df.select("*", time_bucket(F.col(order_col), bucket_seconds).alias("_b"))
+    # The explicit not-null filter matches the one Spark infers for the stitch join, so both
+    # branches read the same input and its shuffle is reused (times are never null here).
+    b = df.select("*", time_bucket(F.col(order_col), bucket_seconds).alias("_b")).where(F.col("_b").isNotNull())
     wb = Window.partitionBy(*keys, "_b").orderBy(order_col)
     whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # The bucket's last row travels whole, so the stitch reads the same input columns as
-    # the main branch and Spark reuses the input's shuffle.
-    st = F.struct(*[F.col(c).alias(c) for c in df.columns])
-    # One pass per (keys, bucket): the in-bucket lag and the bucket's last row.
+    # One pass per (keys, bucket): the in-bucket lag and the bucket's last values. The stitch
+    # reads the same input columns as the main branch, so Spark reuses the input's shuffle.
     b = b.select("*", F.lag(order_col, 1).over(wb).alias("_po"),
                  *[F.lag(c, 1).over(wb).alias("_in_" + c) for c in cols],
-                 F.last(st).over(whole).alias("_last"))
-    # One row per bucket (its first row), then the previous non-empty bucket's last row.
+                 *[F.last(c).over(whole).alias("_last_" + c) for c in cols])
+    # One row per bucket (its first row), then the previous non-empty bucket's last values.
     wk = Window.partitionBy(*keys).orderBy("_b")
-    per = (b.where(F.col("_po").isNull()).select(*keys, "_b", "_last")
-           .select(*keys, "_b", F.lag("_last", 1).over(wk).alias("_pl")))
+    per = (b.where(F.col("_po").isNull())
+           .select(*keys, "_b", *[F.lag("_last_" + c, 1).over(wk).alias("_pl_" + c) for c in cols]))
     out = b.join(per, keys + ["_b"], "inner")
     first_in_bucket = F.col("_po").isNull()
     kept = [F.col("_b").alias(keep_bucket)] if keep_bucket else []
     return out.select(*[F.col(c) for c in df.columns],
-                      *[F.when(first_in_bucket, F.col("_pl." + c)).otherwise(F.col("_in_" + c)).alias(prefix + c)
+                      *[F.when(first_in_bucket, F.col("_pl_" + c)).otherwise(F.col("_in_" + c)).alias(prefix + c)
                         for c in cols], *kept)
 
 
@@ -98,7 +98,7 @@ def islands(df: DataFrame, keys: Sequence[str], order_col: str, states: Sequence
     # 1. One window pass per (keys, bucket): changes between consecutive rows, their
     #    running sum, and the bucket's first/last state and number of inner changes.
     bucket = F.col(bucket_col) if bucket_col else time_bucket(F.col(order_col), bucket_seconds)
-    b = df.select("*", bucket.alias("_b"))
+    b = df.select("*", bucket.alias("_b")).where(F.col("_b").isNotNull())  # see with_previous
     wb = Window.partitionBy(*keys, "_b").orderBy(order_col)
     whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first_in_bucket = F.lag(order_col, 1).over(wb).isNull()
