@@ -132,3 +132,16 @@ def test_hot_driver_interval_join_spread(spark):
         assert parts(3600) >= 3
     finally:
         spark.conf.set(key, old)
+
+
+def test_reports_scan_telemetry_once_on_loaded_tables(no_broadcast):
+    from paddock.catalog import reports_on_tables
+    from paddock.sources.load import materialize_tables
+    from paddock.sources.standin import standin_tables
+    spark = no_broadcast
+    loaded = materialize_tables(spark, standin_tables(spark, SF))
+    on = reports_on_tables()
+    for name in ("r1a_sector_speed", "r2a_sector_accel", "r4_drs_runs", "r5_temp_speed", "r6_sector_samples"):
+        lines = _final_plan(on[name](loaded))
+        scans = [x for x in lines if "FileScan" in x and "/tables/telemetrys/" in x]
+        assert len(scans) == 1, (name, len(scans))
