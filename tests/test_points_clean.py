@@ -94,3 +94,10 @@ def test_label_means_and_split(spark):
     df = spark.createDataFrame([("BTREE", 1.0), ("BTREE", 3.0), ("BRIN", 5.0)], "index_type string, t double")
     assert rows(label_means(df, "index_type", "t"), "index_type") == [("BRIN", 5.0), ("BTREE", 2.0)]
     assert rows(C.split_by(df, "index_type"), "index_type") == [("BRIN",), ("BTREE",)]
+
+
+def test_write_time_is_distinct_per_row(spark):
+    df = spark.range(500).selectExpr("CAST(id % 3 AS INT) AS session_key", "CAST(id AS INT) AS lap_end") \
+        .repartition(4)
+    p = to_points(df, "tyre_stints", ["session_key"], {"lap_end": "int"}, None)
+    assert p.select("_time").distinct().count() == 500  # stints with equal tags never collide
