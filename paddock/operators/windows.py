@@ -147,21 +147,28 @@ def run_summary(df: DataFrame, keys: Sequence[str], run_col: str, order_col: str
 
 
 def suggest_bucket_seconds(df: DataFrame, keys: Sequence[str], order_col: str,
-                           rows_per_bucket: int | None = None, floor_seconds: int = 1) -> int:
+                           rows_per_bucket: int | None = None, floor_seconds: int = 1,
+                           sample_fraction: float | None = None) -> int:
     """A bucket width for the bucketed windows and joins, from the data (runs one small job).
 
     Takes the key with the most rows (n) and its time span, and returns the width that
     gives it about ``rows_per_bucket`` rows per bucket (default sqrt(n)): then neither a
     bucket nor the per-bucket stitch table of that key holds more than ~sqrt(n) rows.
-    Only one aggregated row reaches the driver.
+    Only one aggregated row reaches the driver. ``sample_fraction`` estimates n and the
+    span from a Bernoulli sample (the width is only a tuning parameter; results never
+    depend on it).
     """
     from paddock.functions.timefn import epoch_micros
+    scale = 1.0
+    if sample_fraction:
+        df = df.sample(withReplacement=False, fraction=sample_fraction, seed=7)
+        scale = 1.0 / sample_fraction
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
                                     (F.max(epoch_micros(F.col(order_col)))
                                      - F.min(epoch_micros(F.col(order_col)))).alias("span_us"))
     top = per_key.orderBy(F.col("n").desc()).select("n", "span_us").first()
     if top is None or not top["n"]:
         return floor_seconds
-    n, span_s = top["n"], (top["span_us"] or 0) / 1e6
+    n, span_s = top["n"] * scale, (top["span_us"] or 0) / 1e6
     target = rows_per_bucket or max(1, int(n ** 0.5))
     return max(floor_seconds, int(span_s * target / n))

@@ -16,7 +16,8 @@ Scale notes, per report:
   weight by the other side's row count (G1); the literal fan-out form is kept
   (``method="fanout"``) as a cross-check.
 * Ordered windows (lag, islands) run per (keys, time bucket) when
-  ``bucket_seconds`` is given, so a hot driver is spread over many tasks.
+  ``bucket_seconds`` is given, so a hot driver is spread over many tasks;
+  ``bucket_seconds="auto"`` derives the width from the telemetry's hottest driver.
 """
 
 from __future__ import annotations
@@ -37,6 +38,15 @@ SD = ["session_key", "driver_number"]
 LAP_COLS = ["date_start", "duration_sector_1", "duration_sector_2", "duration_sector_3"]
 
 
+def _bucket(bucket_seconds, samples: DataFrame):
+    """``bucket_seconds`` as given, or derived from the samples' hottest key when ``"auto"``
+    (one small job on a 1 % sample; the results do not depend on the width)."""
+    if bucket_seconds != "auto":
+        return bucket_seconds
+    from paddock.operators.windows import suggest_bucket_seconds
+    return suggest_bucket_seconds(samples, SD, "date", sample_fraction=0.01, floor_seconds=60)
+
+
 def _exact_mean(scaled_sum, count):
     """Mean of values with <= 4 decimals from their scaled integral sum: one correctly
     rounded division of two exact numbers, so every engine gets the same double."""
@@ -88,6 +98,7 @@ def sector_speed(t: Tables, *, all_laps: bool = False, require_telemetry_laps: b
     R1a keeps only drivers listed in ``telemetrys_laps``; the existence test is
     applied to the lap side, which has the same keys and is far smaller.
     """
+    bucket_seconds = _bucket(bucket_seconds, t.telemetrys)
     laps = race_laps(t)
     if not all_laps:
         if require_telemetry_laps:
@@ -106,6 +117,7 @@ def sector_speed_best_lap(t: Tables, bucket_seconds: int | None = DEFAULT_BUCKET
     Output ``session_key, driver_number, best_lap_duration, sector, max_speed``;
     no HAVING, so a driver whose laps all lack a duration still shows its rank-1 lap.
     """
+    bucket_seconds = _bucket(bucket_seconds, t.telemetrys)
     laps = race_laps(t).where(F.col("lap_number").isNotNull())
     laps = best_laps(laps).select(*SD, "lap_duration", *LAP_COLS)
     g = _speed_by_sector(t.telemetrys, laps, [], bucket_seconds)
@@ -140,6 +152,7 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
     if session_key is not None:
         tel = tel.where(F.col("session_key") == session_key)
         laps = laps.where(F.col("session_key") == session_key)
+    bucket_seconds = _bucket(bucket_seconds, tel)
     kb = "_bucket" if (bucket_seconds and method == "preagg") else None
     acc = accelerations(tel, bucket_seconds, keep_bucket=kb)
     if require_telemetry_laps:
@@ -254,6 +267,7 @@ def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | Non
     if require_telemetry_laps:
         laps = semi(laps, t.telemetrys_laps, SD)
     laps = laps.select(*SD, *LAP_COLS)
+    bucket_seconds = _bucket(bucket_seconds, tel)
     lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                           F.col("duration_sector_3"), "halfopen")
     base = interval_join(tel.select(*SD, "date", "speed", "brake", "drs"), laps, SD, "date", lo, hi,
@@ -354,6 +368,7 @@ def sector_samples(telemetry: DataFrame, laps: DataFrame, sessions: Sequence[int
     if sessions is not None:
         telemetry = telemetry.where(F.col("session_key").isin(*sessions))
         laps = laps.where(F.col("session_key").isin(*sessions))
+    bucket_seconds = _bucket(bucket_seconds, telemetry)
     laps = laps.select(*SD, *LAP_COLS)
     lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                           F.col("duration_sector_3"), "cumulative")

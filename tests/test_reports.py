@@ -161,3 +161,10 @@ def test_r3b_equals_r3c_on_key_unique_stints(spark):
     b = P.tyre_temperature_from_points(P.load_points(t, measurements=["tyre_stints", "weather_conditions"]))
     c = P.tyre_temperature_denormalised_preagg(t)
     assert b.count() > 0 and same(b, c)
+
+
+def test_auto_bucket_width_gives_same_results(spark):
+    from paddock.sources.standin import standin_tables
+    t = standin_tables(spark, "/root/testdata/sf0.001")
+    assert same(R.drs_runs(t, bucket_seconds="auto"), R.drs_runs(t))
+    assert same(R.sector_acceleration(t, 9992, bucket_seconds="auto"), R.sector_acceleration(t, 9992))
