@@ -70,3 +70,34 @@ def test_exact_mean_matches_decimal(spark, cents):
     got = spark.createDataFrame([(v,) for v in vals], "x double").agg(mean_2dp("x")).first()[0]
     want = (sum(Decimal(c) for c in cents) / Decimal(100 * len(cents))).quantize(Decimal("0.01"), ROUND_HALF_UP)
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 2), st.integers(0, 20000)), min_size=1, max_size=50),
+       st.lists(st.tuples(st.integers(1, 2), st.integers(0, 20000), st.one_of(st.none(), st.integers(0, 5000))),
+                min_size=1, max_size=10),
+       st.sampled_from([None, 60, 900, 7200]))
+def test_interval_join_equals_brute_force(spark, samples, intervals, bucket):
+    from paddock.operators.joins import interval_join
+    s = spark.createDataFrame([(1, d, at(t)) for d, t in samples],
+                              "session_key int, driver_number int, date timestamp_ntz")
+    iv = spark.createDataFrame([(1, d, at(lo), at(lo + w) if w is not None else None, k)
+                                for k, (d, lo, w) in enumerate(intervals)],
+                               "session_key int, driver_number int, a timestamp_ntz, z timestamp_ntz, k int")
+    got = sorted((r.driver_number, r.date, r.k) for r in
+                 interval_join(s, iv, KEYS, "date", F.col("a"), F.col("z"), bucket).collect())
+    want = sorted((d, at(t), k) for d, t in samples for k, (d2, lo, w) in enumerate(intervals)
+                  if d == d2 and w is not None and lo <= t <= lo + w)
+    assert got == want
+
+
+@SETTINGS
+@given(rows_strategy, st.sampled_from([60, 600, 3600]))
+def test_bucketed_lag_equals_plain(spark, data, bucket):
+    from paddock.operators.windows import with_previous
+    df = spark.createDataFrame([(1, d, at(t), s) for d, t, s in data],
+                               "session_key int, driver_number int, date timestamp_ntz, st string")
+    a = sorted((tuple(r) for r in with_previous(df, KEYS, "date", ["date", "st"]).collect()), key=str)
+    b = sorted((tuple(r) for r in with_previous(df, KEYS, "date", ["date", "st"], bucket_seconds=bucket)
+                .collect()), key=str)
+    assert a == b
