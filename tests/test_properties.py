@@ -101,3 +101,11 @@ def test_bucketed_lag_equals_plain(spark, data, bucket):
     b = sorted((tuple(r) for r in with_previous(df, KEYS, "date", ["date", "st"], bucket_seconds=bucket)
                 .collect()), key=str)
     assert a == b
+
+
+@SETTINGS
+@given(st.lists(st.integers(-50000, 50000), min_size=1, max_size=40))
+def test_exact_mean_matches_decimal_with_negatives(spark, cents):
+    got = spark.createDataFrame([(c / 100,) for c in cents], "x double").agg(mean_2dp("x")).first()[0]
+    want = (sum(Decimal(c) for c in cents) / Decimal(100 * len(cents))).quantize(Decimal("0.01"), ROUND_HALF_UP)
+    assert got == want
