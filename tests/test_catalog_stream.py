@@ -93,3 +93,12 @@ def test_reference_api_over_catalog_tables(spark, tmp_dir):
     assert same(api.fifth_query(spark, "paddock_api", 9992), R.temperature_speed(clean, 9992))
     assert t.telemetrys.count() == raw.telemetrys.count()
     spark.sql("DROP DATABASE paddock_api CASCADE")
+
+
+def test_cli_runs_a_report_and_writes_csv(spark, tmp_dir, capsys):
+    from paddock import cli
+    out = os.path.join(tmp_dir, "fifth")
+    cli.main(["fifth", "--standin", "/root/testdata/sf0.001", "--csv", out, "--show", "3"])
+    printed = capsys.readouterr().out
+    assert printed.startswith("rows: 15  columns: 5")
+    assert spark.read.option("header", True).csv(out).count() == 15
