@@ -101,3 +101,14 @@ def test_write_time_is_distinct_per_row(spark):
         .repartition(4)
     p = to_points(df, "tyre_stints", ["session_key"], {"lap_end": "int"}, None)
     assert p.select("_time").distinct().count() == 500  # stints with equal tags never collide
+
+
+def test_small_cleaning_wrappers(spark):
+    df = spark.createDataFrame([(1, 9998, "x"), (2, 9999, "y")], "driver_number int, session_key int, meeting_key string")
+    assert C.drop_columns(df, "meeting_key", "segments_sector_1").columns == ["driver_number", "session_key"]
+    assert C.project(df, ["session_key"], {"session_key": "s"}).columns == ["s"]
+    keys = spark.createDataFrame([(1, 9998)], "driver_number int, session_key int")
+    assert rows(C.keep_keys_in(df, keys, ["driver_number", "session_key"]).select("meeting_key")) == [("x",)]
+    big = spark.range(20000)
+    n = C.bernoulli_sample(big, 0.05).count()
+    assert 700 < n < 1300  # about 5 %, not exact
