@@ -168,3 +168,16 @@ def test_auto_bucket_width_gives_same_results(spark):
     t = standin_tables(spark, "/root/testdata/sf0.001")
     assert same(R.drs_runs(t, bucket_seconds="auto"), R.drs_runs(t))
     assert same(R.sector_acceleration(t, 9992, bucket_seconds="auto"), R.sector_acceleration(t, 9992))
+
+
+def test_denormalised_measure_layouts(spark):
+    from paddock.plans import point_reports as P
+    t = _tables(spark, [(1, 10, 0, 1.0, 0, 0, 0)], [(1, 10, 1, 0, 1.0, 1.0, 1.0, 3.0)],
+                stints=[(1, 10, 1, 1, 5, "SOFT")], weather=[(1, at(0), 30.0), (1, at(60), 31.0)])
+    a = P.stint_weather_points(t)
+    b = P.stint_weather_points(t, lead="compound")
+    assert a.columns[:4] == ["_measurement", "session_key", "compound", "driver_number"]
+    assert b.columns[:4] == ["_measurement", "compound", "session_key", "driver_number"]
+    assert rows(a.select("_measurement").distinct()) == [("query3",)]
+    assert rows(b.select("_measurement").distinct()) == [("query3_compund",)]
+    assert same(P.tyre_temperature_denormalised(a), P.tyre_temperature_denormalised(b, "query3_compund"))
