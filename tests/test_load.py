@@ -75,3 +75,23 @@ def test_reports_on_loaded_tables_equal_registered_queries(spark):
     qs = E.queries()
     for name, fn in reports_on_tables().items():
         assert same(fn(loaded), qs[name](spark, sf)), name
+
+
+def test_load_tables_from_explicit_paths(spark, tmp_dir):
+    from paddock.sources.files import load_tables
+    p = os.path.join(tmp_dir, "pos")
+    _write(spark.createDataFrame([(1, 9998, 30, at(0), 2), (1, 9998, 30, at(0), 1), (1, None, 30, at(1), 3)],
+                                 "meeting_key long, session_key long, driver_number long, date timestamp_ntz, "
+                                 "position long"), p)
+    t, bad = load_tables(spark, {"positions": p})
+    assert rows(t.positions.select("position")) == [(1,)]  # first by the other columns: date, then position
+    assert rows(bad["positions"].select("_reason")) == [("null session_key",)]
+
+
+def test_measurement_layouts():
+    from paddock.plans.point_reports import measurement_spec
+    tags, fields, time = measurement_spec("laps", "driver_first")
+    assert tags == ("driver_number", "session_key") and "is_pit_out_lap" in fields and time == "date_start"
+    tags, fields, _ = measurement_spec("laps", "session_first")
+    assert tags == ("session_key", "driver_number", "is_pit_out_lap") and "is_pit_out_lap" not in fields
+    assert measurement_spec("tyre_stints", "session_first")[2] is None  # written at load time
