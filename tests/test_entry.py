@@ -39,3 +39,17 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(ocols, cur.fetchall())
+
+
+SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                   "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    fields = E.queries()[name](spark, SF).schema.fields
+    rel = con.sql(E.oracle_sql()[name])
+    oracle_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in fields:
+        t = f.dataType.simpleString()
+        assert SPARK_TO_DUCKDB.get(t, t.upper()) == oracle_types[f.name], (f.name, t, oracle_types[f.name])
