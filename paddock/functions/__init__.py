@@ -1,0 +1 @@
+"""Column functions: sector and state labels, time arithmetic, exact decimals."""

@@ -1,0 +1 @@
+"""DataFrame operators: joins (interval, semi, anti), ordered windows, points, cleaning."""

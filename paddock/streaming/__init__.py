@@ -1,0 +1 @@
+"""Structured Streaming: incremental load of a landing folder."""
