@@ -27,3 +27,10 @@ def test_quantiles(spark):
     assert tuple(r) == (Decimal("2.00"), Decimal("3.00"), Decimal("4.00"))
     df = spark.createDataFrame([(0.0,), (0.01,)], "x double")
     assert df.agg(quantile_2dp("x", 0.5)).first()[0] == Decimal("0.01")  # 0.005 -> 0.01
+
+
+def test_mean_2dp_of_all_null_group_is_null(spark):
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"  # a zero count must not reach the division
+    df = spark.createDataFrame([(1, None), (1, None), (2, 1.5)], "g int, x double")
+    got = dict(tuple(r) for r in df.groupBy("g").agg(mean_2dp("x")).collect())
+    assert got == {1: None, 2: Decimal("1.50")}
