@@ -9,14 +9,43 @@ from pyspark.sql import DataFrame, SparkSession
 from paddock.llm.common import table
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.mixing import mixed
+    return mixed(spark, table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.secret_scan import scanned, spans_text
+    return scanned(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", spans_text("found").alias("spans"))
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from paddock.llm.byte_bpe import encoded
+    return encoded(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.quality_rules import fit, judged
+    docs = table(spark, sf_dir, "documents")
+    return judged(spark, docs, fit(spark, docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paddock.llm.jaccard_join import jaccard_components
     return jaccard_components(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op8_ngram_jaccard_join,
+        op1_source_mix, op3_secret_scan, op5_byte_bpe, op7_quality_rules, op8_ngram_jaccard_join, pipeline,
     )}
 
 
