@@ -134,3 +134,36 @@ def repeated(spark: SparkSession, docs: DataFrame, weights: tuple = WEIGHTS, max
     copies = F.when(F.col("size") == 0, 1).otherwise(_copies(max_repeats)).cast("int")
     out = join_small(row, thresholds, "key", n).withColumn("copies", copies).filter("copies > 0")
     return out.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+
+
+def oracle() -> str:
+    """doc_id, size, source_size, target, taken in DuckDB's SQL."""
+    weight = " ".join(f"when {i} then {float(w)}" for i, w in enumerate(WEIGHTS))
+    digits = HASH_BITS // 4
+    return f"""
+with digest as (
+  select doc_id, coalesce('0' || source, '1') as key, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::bigint as size,
+         ('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || '|' || coalesce(text, '')), 1, {digits}))::bigint as h
+  from documents),
+sizes as (select key, sum(size)::bigint as source_size from digest group by key),
+per as (
+  select *, {MAX_REPEATS} * source_size as stop, case (row_number() over (order by key) - 1) % {len(WEIGHTS)} {weight} end::double as weight from sizes),
+levels as (
+  select *, (sum(source_size) over () - coalesce(sum(stop) over (order by stop / weight, key rows between unbounded preceding and 1 preceding), 0))::double
+            / sum(weight) over (order by stop / weight, key rows between current row and unbounded following) as level,
+         row_number() over (order by stop / weight, key) as place
+  from per),
+level as (select coalesce(arg_min(level, place) filter (where level <= stop / weight), arg_max(level, place)) as level from levels),
+targets as (select key, source_size, least(stop::double, weight * level) as target from per, level),
+budgets as (
+  select *, case when source_size > 0 then least({MAX_REPEATS}, floor(target / source_size)) else 0 end::bigint as whole,
+         target - whole * source_size as rest
+  from targets),
+by_hash as (select key, h, sum(size) as size from digest group by key, h),
+upto as (select key, h, size, sum(size) over (partition by key order by h) as upto from by_hash),
+ends as (
+  select key, max(h) as threshold from upto join budgets using (key)
+  where rest > 0 and size > 0 and upto - size / 2 <= rest group by key)
+select doc_id, size, source_size, target,
+       size * (whole + case when whole < {MAX_REPEATS} and h <= threshold then 1 else 0 end)::bigint as taken
+from digest join budgets using (key) left join ends using (key)"""

@@ -20,6 +20,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", spans_text("found").alias("spans"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.license_scan import scanned
+    return scanned(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from paddock.llm.byte_bpe import encoded
@@ -45,9 +50,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_source_mix, op3_secret_scan, op5_byte_bpe, op7_quality_rules, op8_ngram_jaccard_join, pipeline,
+        op1_source_mix, op3_secret_scan, op4_license_scan, op5_byte_bpe, op7_quality_rules, op8_ngram_jaccard_join, pipeline,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from paddock.llm import license_scan, mixing
+    return {"op1_source_mix": mixing.oracle(), "op4_license_scan": license_scan.oracle()}
