@@ -43,6 +43,13 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import json
+    from paddock.llm import chat_format as c
+    probe = spark.createDataFrame([(json.dumps(c.PROBE),)], "record string")
+    return c.digests(spark, c.from_turn_rows(table(spark, sf_dir, "conversations")).unionByName(probe))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -50,10 +57,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_source_mix, op3_secret_scan, op4_license_scan, op5_byte_bpe, op7_quality_rules, op8_ngram_jaccard_join, pipeline,
+        op1_source_mix, op3_secret_scan, op4_license_scan, op5_byte_bpe, op7_quality_rules, op8_ngram_jaccard_join,
+        op10_chat_format, pipeline,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    from paddock.llm import license_scan, mixing
-    return {"op1_source_mix": mixing.oracle(), "op4_license_scan": license_scan.oracle()}
+    from paddock.llm import chat_format, license_scan, mixing
+    return {"op1_source_mix": mixing.oracle(), "op4_license_scan": license_scan.oracle(), "op10_chat_format": chat_format.oracle()}
