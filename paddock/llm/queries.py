@@ -14,6 +14,12 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(spark, table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm import vector_search as v
+    rows = v.valid(table(spark, sf_dir, "embeddings"))
+    return v.search(spark, v.index(spark, rows), v.stated_queries(rows))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paddock.llm.secret_scan import scanned, spans_text
     return scanned(spark, table(spark, sf_dir, "documents")).select(
@@ -31,6 +37,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.html_text import extracted
+    return extracted(spark, table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paddock.llm.quality_rules import fit, judged
     docs = table(spark, sf_dir, "documents")
@@ -43,6 +54,11 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.language_id import predicted
+    return predicted(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     import json
     from paddock.llm import chat_format as c
@@ -57,8 +73,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_source_mix, op3_secret_scan, op4_license_scan, op5_byte_bpe, op7_quality_rules, op8_ngram_jaccard_join,
-        op10_chat_format, pipeline,
+        op1_source_mix, op2_vector_search, op3_secret_scan, op4_license_scan, op5_byte_bpe, op6_html_text, op7_quality_rules,
+        op8_ngram_jaccard_join, op9_language_id, op10_chat_format, pipeline,
     )}
 
 
