@@ -43,6 +43,14 @@ def written(spark: SparkSession, df: DataFrame, name: str, by: str | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per application."""
     app = spark.sparkContext.applicationId

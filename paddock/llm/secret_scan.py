@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm.common import join_small, ship_package, written
+from paddock.llm.common import fresh, join_small, ship_package, written
 
 SCOPE = 400
 KINDS = ("assign", "access", "hex")
@@ -155,15 +155,15 @@ def redacted(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows = docs.select(_key().alias("row"), F.lit(None).cast("long").alias("doc_id"), "text")
     scan = rows.mapInArrow(_scan, _SCAN).filter(F.exists("parts", lambda p: ~p["kind"].isin(*KINDS)))
     links = _linked(written(spark, scan.select("row", "parts").groupBy("row").agg(F.min("parts").alias("parts")), "secrets-weak"))
-    more = written(spark, links.groupBy("row").agg(F.collect_set(F.struct("kind", "start", "end")).alias("_more"), F.count("*").alias("_n"))
-                   .withColumnRenamed("row", "_key"), "secrets-linked")
-    n = more.agg(F.sum("_n")).first()[0] or 0
     names = docs.columns
-    both = join_small(docs.withColumn("_key", _key()), more.drop("_n"), "_key", n)
+    key, extra = fresh(docs, "key"), fresh(docs, "more")
+    more = written(spark, links.groupBy(F.col("row").alias(key)).agg(F.collect_set(F.struct("kind", "start", "end")).alias(extra), F.count("*").alias("spans")), "secrets-linked")
+    n = more.agg(F.sum("spans")).first()[0] or 0
+    both = join_small(docs.withColumn(key, _key()), more.drop("spans"), key, n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if t is None else cut(t, m or []) for t, m in zip(batch.column("text").to_pylist(), batch.column("_more").to_pylist(), strict=True)]
+            texts = [None if t is None else cut(t, m or []) for t, m in zip(batch.column("text").to_pylist(), batch.column(extra).to_pylist(), strict=True)]
             columns = {n: batch.column(n) for n in names} | {"text": pa.array(texts, batch.schema.field("text").type)}
             if "n_chars" in columns:
                 columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(columns["n_chars"].type)
