@@ -35,19 +35,31 @@ def _t(spark: SparkSession, sf_dir: str):
     return _TABLES[key]
 
 
+def _nine(df: DataFrame, *columns: str) -> DataFrame:
+    """Doubles that engines sum in different ways, to nine places for the comparison; the reports don't round."""
+    from pyspark.sql import functions as F
+    return df.withColumns({c: F.round(c, 9) for c in columns})
+
+
+ONE_DRIVER = 30
+
+
 def report_queries() -> dict[str, Query]:
     return {
         "r0_drivers": lambda s, d: R.all_drivers(_t(s, d)),
         "r1a_sector_speed": lambda s, d: R.sector_speed(_t(s, d)),
         "r1b_sector_speed_all_laps": lambda s, d: R.sector_speed(_t(s, d), all_laps=True),
         "r1c_sector_speed_best_lap": lambda s, d: R.sector_speed_best_lap(_t(s, d)),
-        "r2a_sector_accel": lambda s, d: R.sector_acceleration(_t(s, d), RACE_SESSION),
-        "r2b_sector_accel_nojoin": lambda s, d: R.sector_acceleration(_t(s, d), RACE_SESSION,
-                                                                      require_telemetry_laps=False),
+        "r2a_sector_accel": lambda s, d: _nine(R.sector_acceleration(_t(s, d), RACE_SESSION), "mean_acceleration"),
+        "r2b_sector_accel_nojoin": lambda s, d: _nine(R.sector_acceleration(
+            _t(s, d), RACE_SESSION, require_telemetry_laps=False), "mean_acceleration"),
+        "r2a_all_sessions": lambda s, d: _nine(R.sector_acceleration(_t(s, d), None), "mean_acceleration"),
         "r3a_tyre_temp": lambda s, d: R.tyre_temperature(_t(s, d)),
         "r4_drs_runs": lambda s, d: R.drs_runs(_t(s, d)),
         "r4_drs_runs_nojoin": lambda s, d: R.drs_runs(_t(s, d), require_telemetry_laps=False),
+        "r4_one_driver": lambda s, d: R.drs_runs(_t(s, d), session_key=RACE_SESSION, driver_number=ONE_DRIVER),
         "r5_temp_speed": lambda s, d: R.temperature_speed(_t(s, d), RACE_SESSION),
+        "r5_all_sessions": lambda s, d: R.temperature_speed(_t(s, d), None),
     }
 
 
@@ -124,13 +136,15 @@ def operator_queries() -> dict[str, Query]:
                 .unionByName(t.tyre_stints.select(*R.SD, "stint_number", "compound"), allowMissingColumns=True))
 
     return {
-        "r3b_tyre_temp_points": lambda s, d: P.tyre_temperature_from_points(
-            P.load_points(_t(s, d), measurements=["tyre_stints", "weather_conditions"])),
-        "r3c_tyre_temp_denorm": lambda s, d: P.tyre_temperature_denormalised_preagg(_t(s, d)),
+        "r3b_tyre_temp_points": lambda s, d: _nine(P.tyre_temperature_from_points(
+            P.load_points(_t(s, d), measurements=["tyre_stints", "weather_conditions"])), "mean_track_temperature"),
+        "r3c_tyre_temp_denorm": lambda s, d: _nine(P.tyre_temperature_denormalised_preagg(_t(s, d)), "mean_track_temperature"),
         "r6_sector_samples": lambda s, d: P.sector_sample_points(_t(s, d)),
         "j5_left_label": lambda s, d: R.sector_samples(_t(s, d).telemetrys, _t(s, d).laps),
         "r7_timing_summary": lambda s, d: TM.timing_summary(timing_log(s, d)),
-        "r8_timing_population": lambda s, d: TM.timing_population(timing_log(s, d)),
+        "r8_timing_population": lambda s, d: _nine(TM.timing_population(timing_log(s, d)), "mean", "median", "std"),
+        "a7_filtered_summary": lambda s, d: TM.timing_summary(timing_log(s, d), index_type="purchase"),
+        "a18_label_means": lambda s, d: _nine(TM.label_means(timing_log(s, d), "index_type", "elapsedtime"), "mean_elapsedtime"),
         "s9_points_unpivot": telemetry_points,
         "a15_points_pivot": lambda s, d: pivot_points(telemetry_points(s, d),
                                                       ["_time", "session_key", "driver_number"],
@@ -170,12 +184,13 @@ def reports_on_tables() -> dict[str, Callable]:
         "r1a_sector_speed": R.sector_speed,
         "r1b_sector_speed_all_laps": lambda t: R.sector_speed(t, all_laps=True),
         "r1c_sector_speed_best_lap": R.sector_speed_best_lap,
-        "r2a_sector_accel": lambda t: R.sector_acceleration(t, RACE_SESSION),
-        "r2b_sector_accel_nojoin": lambda t: R.sector_acceleration(t, RACE_SESSION, require_telemetry_laps=False),
+        "r2a_sector_accel": lambda t: _nine(R.sector_acceleration(t, RACE_SESSION), "mean_acceleration"),
+        "r2b_sector_accel_nojoin": lambda t: _nine(R.sector_acceleration(t, RACE_SESSION, require_telemetry_laps=False),
+                                                   "mean_acceleration"),
         "r3a_tyre_temp": R.tyre_temperature,
-        "r3b_tyre_temp_points": lambda t: P.tyre_temperature_from_points(
-            P.load_points(t, measurements=["tyre_stints", "weather_conditions"])),
-        "r3c_tyre_temp_denorm": P.tyre_temperature_denormalised_preagg,
+        "r3b_tyre_temp_points": lambda t: _nine(P.tyre_temperature_from_points(
+            P.load_points(t, measurements=["tyre_stints", "weather_conditions"])), "mean_track_temperature"),
+        "r3c_tyre_temp_denorm": lambda t: _nine(P.tyre_temperature_denormalised_preagg(t), "mean_track_temperature"),
         "r4_drs_runs": R.drs_runs,
         "r5_temp_speed": lambda t: R.temperature_speed(t, RACE_SESSION),
         "r6_sector_samples": P.sector_sample_points,

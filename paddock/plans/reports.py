@@ -2,8 +2,8 @@
 
 The reference hard-codes one race session and one driver; here they are
 parameters. Output columns are English snake_case; label values keep the
-reference's text. Means of values with at most four decimals are computed
-exactly (see ``paddock.functions.exact``).
+reference's text. Means don't depend on the order of summation and nothing is
+rounded before it is summed (see ``paddock.functions.exact``).
 
 Scale notes, per report:
 
@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.functions.exact import half_up_2dp, scaled_int
+from paddock.functions.exact import exact_mean, exact_mean_2dp, exact_sums, weighted_sums
 from paddock.functions.labels import (brake_state, drs_state, instant_acceleration, sector_label,
                                       sector_reach)
 from paddock.operators.joins import DEFAULT_BUCKET_SECONDS, interval_join, semi
@@ -47,12 +47,6 @@ def _bucket(bucket_seconds, samples: DataFrame):
     return suggest_bucket_seconds(samples, SD, "date", sample_fraction=0.01, floor_seconds=60)
 
 
-def _exact_mean(scaled_sum, count):
-    """Mean of values with <= 4 decimals from their scaled integral sum: one correctly
-    rounded division of two exact numbers, so every engine gets the same double."""
-    return scaled_sum.cast("double") / (count.cast("double") * F.lit(1e4))
-
-
 # --------------------------------------------------------------------------- R0
 def all_drivers(t: Tables) -> DataFrame:
     """Distinct (driver_number, full_name, country_code, team_name) with no nulls, by number."""
@@ -83,8 +77,7 @@ def _speed_by_sector(samples: DataFrame, laps: DataFrame, group_extra: Sequence[
     sector = sector_label("date", "date_start", "duration_sector_1", "duration_sector_2", "duration_sector_3",
                           "strict")
     return j.groupBy(*SD, *group_extra, sector.alias("sector")).agg(
-        F.sum(scaled_int("speed")).alias("_s"), F.count("speed").alias("_n"),
-        F.min("lap_duration").alias("_min_lap"))
+        *exact_sums("speed", "sp"), F.min("lap_duration").alias("_min_lap"))
 
 
 def sector_speed(t: Tables, *, all_laps: bool = False, require_telemetry_laps: bool = True,
@@ -107,7 +100,7 @@ def sector_speed(t: Tables, *, all_laps: bool = False, require_telemetry_laps: b
     laps = laps.select(*SD, "lap_duration", *LAP_COLS)
     g = _speed_by_sector(t.telemetrys, laps, ["lap_duration"], bucket_seconds)
     return (g.where(F.col("lap_duration").isNotNull())
-            .select(*SD, "lap_duration", "sector", _exact_mean(F.col("_s"), F.col("_n")).alias("max_speed"))
+            .select(*SD, "lap_duration", "sector", exact_mean("sp").alias("max_speed"))
             .orderBy(*[F.col(c).asc_nulls_last() for c in (*SD, "lap_duration", "sector")]))
 
 
@@ -122,7 +115,7 @@ def sector_speed_best_lap(t: Tables, bucket_seconds: int | None = DEFAULT_BUCKET
     laps = best_laps(laps).select(*SD, "lap_duration", *LAP_COLS)
     g = _speed_by_sector(t.telemetrys, laps, [], bucket_seconds)
     return g.select(*SD, F.col("_min_lap").alias("best_lap_duration"), "sector",
-                    _exact_mean(F.col("_s"), F.col("_n")).alias("max_speed"))
+                    exact_mean("sp").alias("max_speed"))
 
 
 # --------------------------------------------------------------------------- R2
@@ -144,8 +137,7 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
     the NULL sector group, which is part of the output. ``method="fanout"`` builds
     the pairs; ``"preagg"`` (default) gets the labelled pairs from an interval join
     and the NULL group from per-driver totals x lap counts, in one aggregate.
-    Output ``driver_number, session_key, sector, mean_acceleration`` (rounded to 9 places),
-    ordered by the mean descending (nulls first), then driver.
+    Output ``driver_number, session_key, sector, mean_acceleration``, ordered by the mean descending (nulls first), then driver.
     """
     tel = t.telemetrys
     laps = t.laps
@@ -162,36 +154,38 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
     laps = laps.select(*SD, *LAP_COLS)
     label = sector_label("date", "date_start", "duration_sector_1", "duration_sector_2",
                          "duration_sector_3", "offset")
-    dec = F.col("acceleration").cast("decimal(38,18)")
+    # 10^18 times the acceleration, as an integer: both sides of the subtraction below are exact
+    whole = (F.col("acceleration").cast("decimal(38,18)") * F.lit(10 ** 18).cast("decimal(19,0)")).cast("decimal(38,0)")
+    acc = acc.withColumn("_a", whole)
     if method == "fanout":
         g = (acc.join(laps, SD, "inner")
-             .groupBy(*SD, label.alias("sector")).agg(F.sum(dec).alias("_s"), F.count("acceleration").alias("_n")))
+             .groupBy(*SD, label.alias("sector")).agg(F.sum("_a").alias("_s"), F.count("_a").alias("_n")))
     elif method == "preagg":
         # One pass over the labelled pairs: each adds to its sector and subtracts from
         # the NULL group, which starts from (all samples of the driver) x (its laps).
         lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                               F.col("duration_sector_3"), "offset")
         pairs = (interval_join(acc, laps, SD, "date", lo, hi, bucket_seconds, sample_bucket=kb)
-                 .select(*SD, "acceleration", label.alias("sector")).where(F.col("sector").isNotNull())
+                 .select(*SD, "_a", label.alias("sector")).where(F.col("sector").isNotNull())
                  .select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("_plus")))
         sign = F.when(F.col("_plus"), F.lit(1)).otherwise(F.lit(-1))
         signed = pairs.select(*SD, F.when(F.col("_plus"), F.col("sector")).alias("sector"),
-                              (F.col("acceleration") * sign).alias("_s"),
-                              (F.col("acceleration").isNotNull().cast("long") * sign).alias("_n"),
+                              F.when(F.col("_plus"), F.col("_a")).otherwise(-F.col("_a")).alias("_s"),
+                              (F.col("_a").isNotNull().cast("long") * sign).alias("_n"),
                               sign.cast("long").alias("_r"))
-        totals = acc.groupBy(*SD).agg(F.sum("acceleration").alias("_ts"), F.count("acceleration").alias("_tn"),
+        totals = acc.groupBy(*SD).agg(F.sum("_a").alias("_ts"), F.count("_a").alias("_tn"),
                                       F.count(F.lit(1)).alias("_tr"))
         n_laps = laps.groupBy(*SD).agg(F.count(F.lit(1)).alias("_laps"))
         base = (totals.join(n_laps, SD, "inner")
                 .select(*SD, F.lit(None).cast("string").alias("sector"),
-                        (F.col("_ts") * F.col("_laps")).alias("_s"), (F.col("_tn") * F.col("_laps")).alias("_n"),
+                        (F.col("_ts") * F.col("_laps")).cast("decimal(38,0)").alias("_s"), (F.col("_tn") * F.col("_laps")).alias("_n"),
                         (F.col("_tr") * F.col("_laps")).alias("_r")))
         g = (signed.unionByName(base).groupBy(*SD, "sector")
              .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.sum("_r").alias("_r"))
              .where(F.col("_r") > 0).drop("_r"))
     else:
         raise ValueError(f"unknown method {method!r}")
-    mean = F.when(F.col("_n") > 0, F.round(F.col("_s").cast("double") / F.col("_n"), 9))
+    mean = F.when(F.col("_n") > 0, F.col("_s").cast("double") / F.lit(1e18) / F.col("_n"))
     return (g.select("driver_number", "session_key", "sector", mean.alias("mean_acceleration"))
             .orderBy(F.col("mean_acceleration").desc_nulls_first(), F.col("driver_number").asc_nulls_last()))
 
@@ -205,20 +199,18 @@ def tyre_temperature(t: Tables, method: str = "preagg") -> DataFrame:
     the longest stint only counts sessions that have weather. NULL compound is a group.
     """
     st = t.tyre_stints.select("session_key", "compound", (F.col("lap_end") - F.col("lap_start")).alias("_len"))
-    wc = t.weather_conditions.select("session_key", scaled_int("track_temperature").alias("_temp"))
+    wc = t.weather_conditions.select("session_key", "track_temperature")
     if method == "fanout":
         g = (st.join(wc, "session_key").groupBy("compound")
-             .agg(F.sum("_temp").alias("_s"), F.count("_temp").alias("_n"), F.max("_len").alias("_max")))
+             .agg(*exact_sums("track_temperature", "tt"), F.max("_len").alias("_max")))
     elif method == "preagg":
-        w = wc.groupBy("session_key").agg(F.sum("_temp").alias("_ws"), F.count("_temp").alias("_wn"),
-                                          F.count(F.lit(1)).alias("_wr"))
+        w = wc.groupBy("session_key").agg(*exact_sums("track_temperature", "w"))
         s = st.groupBy("session_key", "compound").agg(F.count(F.lit(1)).alias("_sr"), F.max("_len").alias("_max"))
         g = (s.join(w, "session_key").groupBy("compound")
-             .agg(F.sum(F.col("_ws").cast("decimal(38,0)") * F.col("_sr")).alias("_s"),
-                  F.sum(F.col("_wn") * F.col("_sr")).alias("_n"), F.max("_max").alias("_max")))
+             .agg(*weighted_sums("w", "_sr", "tt"), F.max("_max").alias("_max")))
     else:
         raise ValueError(f"unknown method {method!r}")
-    return (g.select("compound", half_up_2dp(F.col("_s"), F.col("_n")).alias("mean_track_temperature"),
+    return (g.select("compound", exact_mean_2dp("tt").alias("mean_track_temperature"),
                      F.col("_max").cast("int").alias("max_stint_laps"))
             .orderBy(F.col("max_stint_laps").desc_nulls_first()))
 
@@ -232,13 +224,11 @@ def tyre_temperature_points(stints: DataFrame, weather: DataFrame) -> DataFrame:
     """
     st = stints.select("session_key", "compound",
                        (F.col("lap_end").cast("double") - F.col("lap_start").cast("double")).alias("_len"))
-    w = (weather.groupBy("session_key")
-         .agg(F.sum(scaled_int("track_temperature")).alias("_ws"), F.count(F.lit(1)).alias("_wr")))
+    w = weather.groupBy("session_key").agg(*exact_sums("track_temperature", "w"))
     s = st.groupBy("session_key", "compound").agg(F.count(F.lit(1)).alias("_sr"), F.max("_len").alias("_max"))
     g = (s.join(w, "session_key").groupBy("compound")
-         .agg(F.sum(F.col("_ws").cast("decimal(38,0)") * F.col("_sr")).alias("_s"),
-              F.sum(F.col("_wr") * F.col("_sr")).alias("_n"), F.max("_max").alias("_max")))
-    return (g.select("compound", _exact_mean(F.col("_s"), F.col("_n")).alias("mean_track_temperature"),
+         .agg(*weighted_sums("w", "_sr", "tt"), F.max("_max").alias("_max")))
+    return (g.select("compound", exact_mean("tt").alias("mean_track_temperature"),
                      F.greatest(F.col("_max"), F.lit(0.0)).alias("max_lap_duration"))
             .orderBy(F.col("max_lap_duration").desc()))
 
@@ -323,35 +313,23 @@ def temperature_speed(t: Tables, session_key: int | None, method: str = "preagg"
     if session_key is not None:
         tel = tel.where(F.col("session_key") == session_key)
         wc = wc.where(F.col("session_key") == session_key)
-    tel = tel.select(*SD, scaled_int("speed").alias("_sp"), scaled_int("throttle").alias("_th"))
-    wc = wc.select("session_key", scaled_int("track_temperature").alias("_tt"))
+    tel = tel.select(*SD, "speed", "throttle")
+    wc = wc.select("session_key", "track_temperature")
     drv = t.drivers.select(*SD, "full_name")
     ses = t.sessions.select("session_key", "circuit_short_name")
     keys = ["circuit_short_name", "full_name"]
     if method == "fanout":
         g = (tel.join(drv, SD).join(wc, "session_key").join(ses, "session_key").groupBy(*keys)
-             .agg(F.sum("_sp").alias("sp_s"), F.count("_sp").alias("sp_n"),
-                  F.sum("_th").alias("th_s"), F.count("_th").alias("th_n"),
-                  F.sum("_tt").alias("tt_s"), F.count("_tt").alias("tt_n")))
+             .agg(*exact_sums("speed", "sp"), *exact_sums("throttle", "th"), *exact_sums("track_temperature", "tt")))
     elif method == "preagg":
-        ta = tel.groupBy(*SD).agg(F.sum("_sp").alias("_sps"), F.count("_sp").alias("_spn"),
-                                  F.sum("_th").alias("_ths"), F.count("_th").alias("_thn"),
-                                  F.count(F.lit(1)).alias("_tr"))
-        wa = wc.groupBy("session_key").agg(F.sum("_tt").alias("_tts"), F.count("_tt").alias("_ttn"),
-                                           F.count(F.lit(1)).alias("_wr"))
-        d38 = "decimal(38,0)"
+        ta = tel.groupBy(*SD).agg(*exact_sums("speed", "s"), *exact_sums("throttle", "h"), F.count(F.lit(1)).alias("_tr"))
+        wa = wc.groupBy("session_key").agg(*exact_sums("track_temperature", "w"), F.count(F.lit(1)).alias("_wr"))
         g = (ta.join(drv, SD).join(wa, "session_key").join(ses, "session_key").groupBy(*keys)
-             .agg(F.sum(F.col("_sps").cast(d38) * F.col("_wr")).alias("sp_s"),
-                  F.sum(F.col("_spn") * F.col("_wr")).alias("sp_n"),
-                  F.sum(F.col("_ths").cast(d38) * F.col("_wr")).alias("th_s"),
-                  F.sum(F.col("_thn") * F.col("_wr")).alias("th_n"),
-                  F.sum(F.col("_tts").cast(d38) * F.col("_tr")).alias("tt_s"),
-                  F.sum(F.col("_ttn") * F.col("_tr")).alias("tt_n")))
+             .agg(*weighted_sums("s", "_wr", "sp"), *weighted_sums("h", "_wr", "th"), *weighted_sums("w", "_tr", "tt")))
     else:
         raise ValueError(f"unknown method {method!r}")
-    return g.select(*keys, half_up_2dp(F.col("sp_s"), F.col("sp_n")).alias("mean_speed"),
-                    half_up_2dp(F.col("th_s"), F.col("th_n")).alias("mean_throttle"),
-                    half_up_2dp(F.col("tt_s"), F.col("tt_n")).alias("mean_track_temperature"))
+    return g.select(*keys, exact_mean_2dp("sp").alias("mean_speed"), exact_mean_2dp("th").alias("mean_throttle"),
+                    exact_mean_2dp("tt").alias("mean_track_temperature"))
 
 
 # --------------------------------------------------------------------------- R6 / J5

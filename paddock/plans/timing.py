@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paddock.functions.exact import SCALE, cast_2dp, mean_2dp, quantiles_2dp, scaled_int
+from paddock.functions.exact import SCALE, all_coarse, cast_2dp, exact_mean, exact_mean_2dp, exact_sums, quantiles_2dp, scaled_int
 
 LOG_SCHEMA = T.StructType([
     T.StructField("statid", T.LongType()), T.StructField("queryid", T.LongType()),
@@ -44,45 +44,40 @@ def append_runs(spark: SparkSession, log: DataFrame | None, runs: list[tuple[int
 def timing_summary(log: DataFrame, queryid: int | None = None, index_type: str | None = None,
                    value: str = "elapsedtime") -> DataFrame:
     """Per (queryid, index_type): mean, min, quartiles, median, max, sample stddev,
-    each ``NUMERIC(8,2)`` (exact for values with at most four decimals)."""
+    each ``NUMERIC(8,2)``."""
     if queryid is not None:
         log = log.where(F.col("queryid") == queryid)
     if index_type is not None:
         log = log.where(F.col("index_type") == index_type)
     v = F.col(value)
-    s = scaled_int(v)
-    n = F.count(v).cast("decimal(38,0)")
-    sx = F.sum(s.cast("decimal(38,0)"))
-    sxx = F.sum(s.cast("decimal(38,0)") * s.cast("decimal(38,0)"))
+    s = scaled_int(v).cast("decimal(38,0)")
+    n = F.count(s).cast("decimal(38,0)")
+    sx, sxx = F.sum(s), F.sum(s * s)
     var_scaled = (n * sxx - sx * sx).cast("double") / (n * (n - 1)).cast("double")
     stddev = F.when(n > 1, F.sqrt(var_scaled) / F.lit(float(SCALE)))
+    stddev = F.when(all_coarse(v), stddev).otherwise(F.when(~F.isnan(F.stddev_samp(v)), F.stddev_samp(v)))
     q1, q2, q3 = quantiles_2dp(v, (0.25, 0.5, 0.75))
-    return log.groupBy("queryid", "index_type").agg(
-        mean_2dp(v).alias("mean_time"),
-        cast_2dp(F.min(v)).alias("min_time"),
-        q1.alias("q1_time"),
-        q2.alias("median_time"),
-        q3.alias("q3_time"),
-        cast_2dp(F.max(v)).alias("max_time"),
-        cast_2dp(stddev).alias("stddev_time"),
-    )
+    g = log.groupBy("queryid", "index_type").agg(
+        *exact_sums(v, "t"), cast_2dp(F.min(v)).alias("min_time"), q1.alias("q1_time"), q2.alias("median_time"),
+        q3.alias("q3_time"), cast_2dp(F.max(v)).alias("max_time"), cast_2dp(stddev).alias("stddev_time"))
+    return g.select("queryid", "index_type", exact_mean_2dp("t").alias("mean_time"), "min_time", "q1_time", "median_time",
+                    "q3_time", "max_time", "stddev_time")
 
 
 def timing_population(log: DataFrame, keys=("queryid", "index_type"), value: str = "elapsedtime") -> DataFrame:
-    """Numpy-style statistics per key: mean, median, population std, min, max
-    (unrounded in the reference; rounded to 6 places here for a stable comparison)."""
+    """Numpy-style statistics per key: mean, median, population std, min, max, none of them rounded."""
     v = F.col(value)
     s = scaled_int(v).cast("decimal(38,0)")
-    n = F.count(v).cast("decimal(38,0)")
+    n = F.count(s).cast("decimal(38,0)")
     sx, sxx = F.sum(s), F.sum(s * s)
     var_scaled = (n * sxx - sx * sx).cast("double") / (n * n).cast("double")
-    return log.groupBy(*keys).agg(
-        F.round(sx.cast("double") / (n.cast("double") * F.lit(float(SCALE))), 6).alias("mean"),
-        F.round(F.percentile(scaled_int(v), F.lit(0.5)) / F.lit(float(SCALE)), 6).alias("median"),
-        F.round(F.sqrt(var_scaled) / F.lit(float(SCALE)), 6).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    )
+    exact = all_coarse(v)
+    g = log.groupBy(*keys).agg(
+        *exact_sums(v, "t"),
+        F.when(exact, F.percentile(scaled_int(v), F.lit(0.5)) / F.lit(float(SCALE))).otherwise(F.percentile(v, F.lit(0.5))).alias("median"),
+        F.when(exact, F.sqrt(var_scaled) / F.lit(float(SCALE))).otherwise(F.stddev_pop(v)).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    return g.select(*keys, exact_mean("t").alias("mean"), "median", "std", "min", "max")
 
 
 def label_means(df: DataFrame, label: str, value: str) -> DataFrame:
