@@ -78,5 +78,12 @@ FOREIGN_KEYS: list[tuple[str, tuple[str, ...], str, tuple[str, ...]]] = [
     ("race_controls", ("driver_number", "session_key"), "drivers", ("driver_number", "session_key")),
 ]
 
-# Columns the loaders drop on the way in.
+# Columns the loaders drop on the way in (C1): the meeting's key, which only meetings and sessions keep, and
+# the segment arrays of laps.
 DROPPED_ON_LOAD = ("meeting_key", "segments_sector_1", "segments_sector_2", "segments_sector_3")
+KEEP_MEETING_KEY = ("meetings", "sessions")
+
+
+def dropped_on_load(table: str) -> tuple[str, ...]:
+    """The columns that the load of ``table`` drops."""
+    return tuple(c for c in DROPPED_ON_LOAD if not (c == "meeting_key" and table in KEEP_MEETING_KEY))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paddock import schemas
+from paddock.functions.timefn import parse_iso_utc
 from paddock.operators.clean import dedup_first, quarantine
 from paddock.sources.tables import Tables
 
@@ -22,12 +23,13 @@ PATH_KEYS_PATTERN = r"session_key=(\d+)&driver_number=(\d+)"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               drop: Sequence[str] = schemas.DROPPED_ON_LOAD, skip_corrupt_files: bool = False) -> DataFrame:
+               drop: Sequence[str] = (), skip_corrupt_files: bool = False) -> DataFrame:
     """Read one parquet file or a directory of them (one scan, split by Spark).
 
-    With ``schema`` the read is typed and column-pruned by the schema; columns
-    dropped on load are removed if present (C1/C2). ``skip_corrupt_files`` lets a
-    directory load go on past unreadable files (C15), as the per-file loader did.
+    With ``schema`` the read is typed and column-pruned by the schema; columns in ``drop``
+    (``schemas.dropped_on_load`` of the table) are removed if present (C1/C2).
+    ``skip_corrupt_files`` lets a directory load go on past unreadable files (C15), as the
+    per-file loader did; ``unread_files`` names them.
     """
     reader = spark.read
     if skip_corrupt_files:
@@ -37,6 +39,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path).drop(*drop)
 
 
+def unread_files(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """The files under ``path`` that gave ``df`` no row, because they can't be read or are empty (``path``)."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    read = df.select(F.col("_metadata.file_path").alias("path")).distinct()
+    return found.select("path").join(read, "path", "left_anti")
+
+
 def keys_from_path(path_col: Column, pattern: str = PATH_KEYS_PATTERN,
                    names: Sequence[str] = ("session_key", "driver_number"),
                    types: Sequence[str] | None = None) -> list[Column]:
@@ -135,8 +144,28 @@ def write_layout(df: DataFrame, path: str, lead: str = "session_key",
     filter; sorting inside files keeps parquet row-group min/max tight so a
     driver/time filter skips row groups (what an index did in the reference).
     """
-    (df.repartition(lead).sortWithinPartitions(lead, *sort)
-     .write.mode(mode).partitionBy(lead).parquet(path))
+    (ranged(df, [lead, *sort]).write.mode(mode).partitionBy(lead).parquet(path))
+
+
+def ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows dealt by ranges of ``order`` and sorted within each: a lead key that holds much of the
+    data spans many tasks and files, each with its own range of the other columns."""
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+#: Metadata of a column that the loaded files don't have.
+ABSENT = {"absent": True}
+
+
+def converted(c: Column, kind: T.DataType, to: T.DataType) -> Column:
+    """``c`` as the schema's type, null where it doesn't fit (C12: ISO text with an offset moves to UTC)."""
+    if isinstance(to, (T.TimestampNTZType, T.TimestampType)) and isinstance(kind, T.StringType):
+        return parse_iso_utc(c).cast(to)
+    out = c.try_cast(to)
+    if isinstance(to, T.IntegralType) and isinstance(kind, (T.FractionalType, T.DecimalType)):
+        # NaN is what a whole number with gaps looks like in a data frame of doubles: null, as try_cast has it
+        return F.when(out == c, out)
+    return out
 
 
 def conform(df: DataFrame, table: str, order: Sequence[Column] | None = None,
@@ -144,7 +173,9 @@ def conform(df: DataFrame, table: str, order: Sequence[Column] | None = None,
     """Cast to the table schema, enforce the primary key, quarantine bad rows.
 
     A row is bad when a key column is null or a value does not cast. Rows sharing a
-    key are ordered by ``order`` (default: the other columns); with
+    key are ordered by ``order`` (default: the other columns). ISO text becomes UTC where the schema has
+    a time; a fraction where it has a whole number is a bad value. Columns that ``df`` doesn't have are null, and
+    marked as absent in the field's metadata. With
     ``on_duplicate="first"`` the first is kept and the rest dropped, with
     ``"quarantine"`` the rest go to the bad rows as ``duplicate key``. Returns
     ``(good, bad)``; bad rows carry ``_reason``.
@@ -153,12 +184,14 @@ def conform(df: DataFrame, table: str, order: Sequence[Column] | None = None,
     keys = list(schemas.PRIMARY_KEYS[table])
     have = set(df.columns)
     casts, rules = [], {}
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     for f in schema.fields:
         if f.name in have:
-            casts.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-            rules[f"bad {f.name}"] = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+            value = converted(F.col(f.name), kinds[f.name], f.dataType)
+            casts.append(value.alias(f.name))
+            rules[f"bad {f.name}"] = F.col(f.name).isNotNull() & value.isNull()
         else:
-            casts.append(F.lit(None).cast(f.dataType).alias(f.name))
+            casts.append(F.lit(None).cast(f.dataType).alias(f.name, metadata=ABSENT))
     for k in keys:
         rules[f"null {k}"] = F.col(k).isNull()
     good, bad = quarantine(df, rules)
@@ -185,6 +218,6 @@ def load_tables(spark: SparkSession, paths: Mapping[str, str]) -> tuple[Tables,
     """
     clean, bad = {}, {}
     for name, path in paths.items():
-        g, b = conform(read_table(spark, path), name)
+        g, b = conform(read_table(spark, path, drop=schemas.dropped_on_load(name)), name)
         clean[name], bad[name] = g, b
     return Tables(**clean), bad

@@ -1,7 +1,7 @@
 """The table load of the reference, as one Spark job per table.
 
-Order and per-table steps follow the loaders: parents first; ``meeting_key`` and the
-segment arrays dropped; positions, weather, stints and telemetry reduced to the
+Order and per-table steps follow the loaders: parents first; ``meeting_key`` (but from meetings
+and sessions) and the segment arrays dropped; positions, weather, stints and telemetry reduced to the
 first row per key in file order (``_metadata.file_path``, ``_metadata.row_index``,
 the pandas ``drop_duplicates`` rule); weather restricted to known sessions with
 ``rainfall`` made boolean; ``telemetrys_laps`` derived from laps. Every table is
@@ -11,15 +11,16 @@ reject a whole insert, repeated keys are quarantined instead and the load goes o
 
 from __future__ import annotations
 
-import os
+import warnings
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddock import schemas
-from paddock.operators.clean import distinct_pairs, dedup_first, to_bool
+from paddock.operators.clean import dedup_first, distinct_pairs, drop_nulls, to_bool
 from paddock.operators.joins import semi
-from paddock.sources.files import append_table, conform, materialize
+from paddock.sources.files import append_table, conform, materialize, ranged
 from paddock.sources.tables import Tables
 
 # Where the loaders find each table under the data folder, in load order.
@@ -47,11 +48,46 @@ def file_order() -> list:
     return [F.col("_file"), F.col("_row")]
 
 
-def read_in_file_order(spark: SparkSession, path: str) -> DataFrame:
+def read_in_file_order(spark: SparkSession, path: str, table: str) -> DataFrame:
     """All rows of a file or directory, with their file and row position, load-time columns dropped."""
     df = spark.read.parquet(path)
     df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return df.drop(*schemas.DROPPED_ON_LOAD)
+    return df.drop(*schemas.dropped_on_load(table))
+
+
+def read_layout(spark: SparkSession, root: str, tables: tuple[str, ...] = tuple(SOURCE_FILES)) -> dict[str, DataFrame]:
+    """The raw rows of every table found under ``root``, any path that Spark reads. Tables without files are
+    named in a warning; if there is none at all that is an error."""
+    raw, missing = {}, []
+    for name in tables:
+        try:
+            raw[name] = read_in_file_order(spark, f"{root.rstrip('/')}/{SOURCE_FILES[name]}", name)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing.append(name)
+    if not raw:
+        raise FileNotFoundError(f"none of the tables {', '.join(missing)} is under {root}")
+    if missing:
+        warnings.warn(f"no files under {root} for {', '.join(missing)}", stacklevel=2)
+    return raw
+
+
+def load_for_points(spark: SparkSession, root: str) -> tuple[Tables, dict[str, DataFrame]]:
+    """The tables as the point loaders read them: rows with any null in the files' own columns go first, then
+    repeated keys (in file order), then the values are converted. Returns the clean tables and the rejected rows."""
+    clean, bad = {}, {}
+    for name, df in read_layout(spark, root).items():
+        df = drop_nulls(df)
+        if name == "weather_conditions" and "rainfall" in df.columns:
+            df = df.withColumn("rainfall", to_bool("rainfall"))
+        if name in DEDUP_ON_LOAD:
+            df = dedup_first(df, list(DEDUP_ON_LOAD[name]), file_order())
+        clean[name], rejected = conform(df, name, order=file_order(), on_duplicate="quarantine")
+        bad[name] = rejected.drop("_file", "_row")
+    if "weather_conditions" in clean and "sessions" in clean:
+        clean["weather_conditions"] = semi(clean["weather_conditions"], clean["sessions"], ["session_key"])
+    return Tables(**clean), bad
 
 
 def load_reference_layout(spark: SparkSession, root: str,
@@ -62,11 +98,7 @@ def load_reference_layout(spark: SparkSession, root: str,
     (telemetry partitioned by session) and returned as reads of those files, so the
     reports that follow neither recompute the load nor depend on its lineage.
     """
-    raw: dict[str, DataFrame] = {}
-    for name, rel in SOURCE_FILES.items():
-        path = os.path.join(root, rel)
-        if os.path.exists(path):
-            raw[name] = read_in_file_order(spark, path)
+    raw = read_layout(spark, root)
     if "laps" in raw:
         raw["telemetrys_laps"] = distinct_pairs(raw["laps"], ["driver_number", "session_key"]) \
             .withColumn("_file", F.lit("")).withColumn("_row", F.lit(0).cast("long"))
@@ -107,7 +139,7 @@ def materialize_tables(spark: SparkSession, t: Tables) -> Tables:
     for name in t.names():
         good = getattr(t, name)
         if name == "telemetrys":
-            good = good.repartition("session_key").sortWithinPartitions("session_key", "driver_number", "date")
+            good = ranged(good, ["session_key", "driver_number", "date"])
             out[name] = materialize(spark, good, name, ["session_key"])
         else:
             out[name] = materialize(spark, good, name)

@@ -1,7 +1,7 @@
 """A bundle of the telemetry tables a report reads.
 
 Reports take a ``Tables`` and never read files themselves, so the same report
-runs on the loaded warehouse tables (``read_tables``), on the stand-in views
+runs on the loaded warehouse tables (``load_reference_layout``), on the stand-in views
 derived from the driver's synthetic tables (``standin_tables``) or on hand-made
 rows in tests.
 """

@@ -95,3 +95,78 @@ def test_measurement_layouts():
     tags, fields, _ = measurement_spec("laps", "session_first")
     assert tags == ("session_key", "driver_number", "is_pit_out_lap") and "is_pit_out_lap" not in fields
     assert measurement_spec("tyre_stints", "session_first")[2] is None  # written at load time
+
+
+def _all_files(spark, root):
+    """One small file for each of the nine tables, times as text with an offset."""
+    iso = "2024-01-01T02:00:0{}+02:00"
+    tables = {
+        "meetings/meetings.parquet": ([(1200, "GP", "2024-01-01T02:00:00+02:00", 2024)], "meeting_key long, meeting_name string, date_start string, year long"),
+        "sessions/sessions.parquet": ([(9998, 1200, "Race", iso.format(0))], "session_key long, meeting_key long, session_name string, date_start string"),
+        "drivers/drivers.parquet": ([(30, 9998, 1200, "A B")], "driver_number long, session_key long, meeting_key long, full_name string"),
+        "telemetrys": ([(9998, 30, iso.format(1), 100.5, 1200)], "session_key long, driver_number long, date string, speed double, meeting_key long"),
+        "laps/laps.parquet": ([(1200, 9998, 30, 1, iso.format(0), 1.5, "[1]")], "meeting_key long, session_key long, driver_number long, lap_number long, "
+                              "date_start string, lap_duration double, segments_sector_1 string"),
+        "pits/pits.parquet": ([(9998, 30, 1, iso.format(3), 20.5, 1200)], "session_key long, driver_number long, lap_number long, date string, pit_duration double, meeting_key long"),
+        "positions/positions.parquet": ([(9998, 30, iso.format(4), 2, 1200)], "session_key long, driver_number long, date string, position long, meeting_key long"),
+        "stints/stints.parquet": ([(9998, 30, 1, 1, 9, "SOFT", 1200), (9998, 30, 2, 10, None, "HARD", 1200), (9998, 30, 2, 10, 12, "HARD", 1200)],
+                                  "session_key long, driver_number long, stint_number long, lap_start long, lap_end long, compound string, meeting_key long"),
+        "weather_conditions/weather_conditions.parquet": ([(9998, iso.format(5), 1.0, 30.25, 1200)], "session_key long, date string, rainfall double, track_temperature double, meeting_key long"),
+    }
+    for path, (data, schema) in tables.items():
+        _write(spark.createDataFrame(data, schema), os.path.join(root, path))
+
+
+def test_all_nine_tables_from_a_uri(spark, tmp_dir):
+    _all_files(spark, tmp_dir)
+    t, bad = load_reference_layout(spark, "file://" + tmp_dir)
+    assert set(t.names()) == {"meetings", "sessions", "drivers", "telemetrys", "telemetrys_laps", "laps", "pits", "positions", "tyre_stints", "weather_conditions"}
+    assert rows(t.sessions.select("meeting_key", "date_start")) == [(1200, at(0))] and rows(t.meetings.select("meeting_key")) == [(1200,)]
+    assert all("meeting_key" not in getattr(t, n).columns for n in t.names() if n not in ("meetings", "sessions"))
+    assert rows(t.telemetrys.select("date", "speed")) == [(at(1), 100.5)] and rows(t.weather_conditions.select("date")) == [(at(5),)]
+    assert all(b.count() == 0 for b in bad.values())
+
+
+def test_missing_tables_are_named_and_none_is_an_error(spark, tmp_dir):
+    import pytest
+    _all_files(spark, tmp_dir)
+    with pytest.raises(FileNotFoundError):
+        load_reference_layout(spark, "file://" + os.path.join(tmp_dir, "nowhere"))
+    part = os.path.join(tmp_dir, "part")
+    _write(spark.createDataFrame([(9998, 1200)], "session_key long, meeting_key long"), os.path.join(part, "sessions/sessions.parquet"))
+    with pytest.warns(UserWarning, match="meetings.*weather_conditions"):
+        t, _ = load_reference_layout(spark, part)
+    assert t.names() == ["sessions"]
+
+
+def test_points_load_drops_nulls_before_repeats(spark, tmp_dir):
+    """An incomplete first row doesn't hide a complete second one; columns that no file has don't count as null."""
+    from paddock.plans.point_reports import load_points, points_of
+    from paddock.sources.load import load_for_points
+    _all_files(spark, tmp_dir)
+    t, _ = load_for_points(spark, tmp_dir)
+    assert rows(t.tyre_stints.select("stint_number", "lap_end"), "stint_number") == [(1, 9), (2, 12)]
+    assert points_of(t.tyre_stints, "tyre_stints").select("_field").distinct().count() == 3
+    assert points_of(t.tyre_stints, "tyre_stints").count() == 6
+    assert load_points(t).select("_measurement").distinct().count() == 7  # the sessions file has no field
+    # the relational load of the same files still has points, too
+    assert points_of(load_reference_layout(spark, tmp_dir)[0].telemetrys, "telemetry").count() == 1
+
+
+def test_values_that_do_not_fit_are_rejected(spark):
+    from paddock.sources.files import conform
+    df = spark.createDataFrame([(1, 30, 1.0, "2024-01-01T00:00:00Z"), (1, 31, 2.5, "2024-01-01T00:00:00"), (1, 32, 3.0, "no time")],
+                               "session_key long, driver_number long, position double, date string")
+    good, bad = conform(df, "positions")
+    assert rows(good.select("driver_number", "position", "date"), "driver_number") == [(30, 1, at(0))]
+    assert rows(bad.select("driver_number", "_reason"), "driver_number") == [(31, "bad position"), (32, "bad date")]
+
+
+def test_unread_files_are_named(spark, tmp_dir):
+    from paddock.sources.files import read_table, unread_files
+    _write(spark.createDataFrame([(1,)], "x int"), tmp_dir)
+    broken = os.path.join(tmp_dir, "broken.parquet")
+    with open(broken, "wb") as f:
+        f.write(b"PAR1 nothing PAR1")
+    df = read_table(spark, tmp_dir, spark.createDataFrame([], "x int").schema, skip_corrupt_files=True)
+    assert [os.path.basename(r[0]) for r in unread_files(spark, tmp_dir, df).collect()] == ["broken.parquet"]
