@@ -101,6 +101,33 @@ def test_write_time_is_distinct_per_row(spark):
         .repartition(4)
     p = to_points(df, "tyre_stints", ["session_key"], {"lap_end": "int"}, None)
     assert p.select("_time").distinct().count() == 500  # stints with equal tags never collide
+    # the same rows get the same times, however they are dealt
+    day = p.select(F.date_format("_time", "HH:mm:ss.SSSSSS").alias("t"), "_value")
+    again = to_points(df.repartition(7), "tyre_stints", ["session_key"], {"lap_end": "int"}, None)
+    assert set(day.collect()) == set(again.select(F.date_format("_time", "HH:mm:ss.SSSSSS").alias("t"), "_value").collect())
+
+
+def test_a_hot_tag_is_written_by_several_tasks(spark, tmp_dir, request):
+    import os
+    from paddock.operators.points import read_points, write_points
+    from paddock.sources.files import write_layout
+    df = spark.range(4000).selectExpr("CAST(if(id < 3900, 1, id % 5) AS INT) AS session_key", "CAST(id % 7 AS INT) AS driver_number",
+                                      "CAST(id * 7919 % 4000 AS INT) AS speed", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 31 % 4000) AS date")
+    out = os.path.join(tmp_dir, "layout")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the rows here are few
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true"))
+    write_layout(df, out)
+    files = os.listdir(os.path.join(out, "session_key=1"))
+    assert sum(f.endswith(".parquet") for f in files) > 1
+    for f in files:
+        if f.endswith(".parquet"):
+            part = [tuple(r) for r in spark.read.parquet(os.path.join(out, "session_key=1", f)).select("driver_number", "date").collect()]
+            assert part == sorted(part)
+    assert spark.read.parquet(out).count() == 4000
+    points = os.path.join(tmp_dir, "points")
+    write_points(to_points(df, "telemetry", ["session_key", "driver_number"], {"speed": "int"}, "date"), points, "session_key")
+    assert len([f for f in os.listdir(os.path.join(points, "_measurement=telemetry", "session_key=1")) if f.endswith(".parquet")]) > 1
+    assert read_points(spark, points, ["telemetry"], {"session_key": [1]}).count() == df.filter("session_key = 1").count()
 
 
 def test_small_cleaning_wrappers(spark):
