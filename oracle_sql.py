@@ -331,6 +331,11 @@ S9 = views("telemetrys") + "\n" + "\nUNION ALL\n".join(
   CAST(CAST(trunc({f}) AS INT) AS DOUBLE) AS _value, date AS _time
 FROM telemetrys WHERE {_TEL_COMPLETE}""" for f in _TEL_FIELDS)
 
+S10 = views("telemetrys") + "\n" + "\nUNION ALL\n".join(
+    f"""SELECT 'telemetry' AS _measurement, CAST(session_key AS VARCHAR) AS session_key,
+  CAST(driver_number AS VARCHAR) AS driver_number, '{f}' AS _field, CAST(CAST(trunc({f}) AS INT) AS DOUBLE) AS _value, date AS _time
+FROM telemetrys WHERE session_key = {RACE} AND {_TEL_COMPLETE}""" for f in ("speed", "drs"))
+
 A15 = views("telemetrys") + f"""
 SELECT date AS _time, CAST(session_key AS VARCHAR) AS session_key, CAST(driver_number AS VARCHAR) AS driver_number,
   {", ".join(f"max(CAST(CAST(trunc({f}) AS INT) AS DOUBLE)) AS {f}" for f in _TEL_FIELDS)}
@@ -525,7 +530,8 @@ FROM r GROUP BY session_key, driver_number, run_id, drs, brake_state"""
 def operator_sql() -> dict[str, str]:
     return {
         "r3b_tyre_temp_points": R3B, "r3c_tyre_temp_denorm": R3C, "r6_sector_samples": R6, "j5_left_label": J5,
-        "r7_timing_summary": R7, "a7_filtered_summary": A7, "a18_label_means": A18, "r8_timing_population": R8, "s9_points_unpivot": S9, "a15_points_pivot": A15,
+        "r7_timing_summary": R7, "a7_filtered_summary": A7, "a18_label_means": A18, "r8_timing_population": R8, "s9_points_unpivot": S9,
+        "s10_points_read_back": S10, "r3b_stored_points": R3B, "a15_points_pivot": A15,
         "a17_last_write_wins": A17, "c5_dedup_first": C5, "c6_drop_nulls": C6, "c7_semi_filter": C7,
         "c8_composite_semi": C8, "c10_bool_cast": C10, "c12_iso_timestamp": C12, "c13_pk_audit": C13,
         "c14_fk_audit": C14, "c15_quarantine": C15, "c16_modulus_sample": C16, "c17_distinct_pairs": C17,

@@ -80,7 +80,7 @@ def operator_queries() -> dict[str, Query]:
     from paddock.functions.timefn import parse_iso_utc
     from paddock.operators import clean as C
     from paddock.operators.joins import semi
-    from paddock.operators.points import last_write_wins, pivot_points, to_points
+    from paddock.operators.points import last_write_wins, pivot_points, read_points, to_points
     from paddock.operators.windows import islands, run_summary
     from paddock.plans import point_reports as P
     from paddock.plans import timing as TM
@@ -116,12 +116,33 @@ def operator_queries() -> dict[str, Query]:
     def telemetry_runs(s, d):
         tel = _t(s, d).telemetrys.select(R.SD[0], R.SD[1], "date", "speed", drs_state("drs").alias("drs"),
                                          brake_state("brake").alias("brake_state"))
-        runs = islands(tel, R.SD, "date", ["drs", "brake_state"], "run_id", bucket_seconds=3600)
+        runs = islands(tel, R.SD, "date", ["drs", "brake_state"], "run_id", bucket_seconds=_t(s, d).bucket_seconds())
         return run_summary(runs, R.SD, "run_id", "date", "speed", ["drs", "brake_state"])
 
     def telemetry_points(s, d):
         return P.points_of(_t(s, d).telemetrys, "telemetry", "session_first")
 
+    def stored(s, points):
+        """The points written to the shared folder and read back; the folder is new each time."""
+        import tempfile
+        import uuid
+
+        from paddock.operators.points import write_points
+        from paddock.session import checkpoint_dir
+        local = s.sparkContext.master.split("[")[0] == "local"
+        path = f"{checkpoint_dir(s, tempfile.mkdtemp(prefix='paddock-') if local else None)}/points/{uuid.uuid4().hex}"
+        write_points(points, path, "session_key")
+        return path
+
+    def points_read_back(s, d):
+        path = stored(s, P.load_points(_t(s, d), measurements=["telemetry"]))
+        return read_points(s, path, ["telemetry"], {"session_key": [RACE_SESSION]}, ["speed", "drs"])
+
+    def tyre_temperature_stored(s, d):
+        path = stored(s, P.load_points(_t(s, d), measurements=["tyre_stints", "weather_conditions"]))
+        points = read_points(s, path, ["tyre_stints", "weather_conditions"])
+        return _nine(P.tyre_temperature_from_points(points), "mean_track_temperature")
+
     def second_precision_points(s, d):
         # Written at one-second precision, samples of a driver in the same second land on
         # the same point; the later sample (write order = sample time) wins.
@@ -146,6 +167,8 @@ def operator_queries() -> dict[str, Query]:
         "a7_filtered_summary": lambda s, d: TM.timing_summary(timing_log(s, d), index_type="purchase"),
         "a18_label_means": lambda s, d: _nine(TM.label_means(timing_log(s, d), "index_type", "elapsedtime"), "mean_elapsedtime"),
         "s9_points_unpivot": telemetry_points,
+        "s10_points_read_back": points_read_back,
+        "r3b_stored_points": tyre_temperature_stored,
         "a15_points_pivot": lambda s, d: pivot_points(telemetry_points(s, d),
                                                       ["_time", "session_key", "driver_number"],
                                                       ["speed", "throttle", "brake", "drs"]),

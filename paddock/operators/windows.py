@@ -146,6 +146,19 @@ def run_summary(df: DataFrame, keys: Sequence[str], run_col: str, order_col: str
                  F.count(F.lit(1)).alias("n_samples")))
 
 
+def bucket_seconds_by_rows(df: DataFrame, keys: Sequence[str], order_col: str, rows: int = 250_000,
+                           sample_fraction: float = 0.01, widest: int = 3600) -> int:
+    """A bucket width that gives the densest stretch of the hottest key about ``rows`` rows per bucket.
+
+    The densest ``widest`` seconds of any key are found on a sample (one aggregate that combines before the
+    shuffle, one row to the driver); the width is a tuning parameter on which no result depends.
+    """
+    sample = df.sample(withReplacement=False, fraction=sample_fraction, seed=7)
+    top = (sample.groupBy(*keys, time_bucket(F.col(order_col), widest).alias("_b")).agg(F.count(F.lit(1)).alias("n"))
+           .agg(F.max("n")).first()[0] or 0)
+    return max(1, min(widest, int(widest * rows * sample_fraction / max(top, 1))))
+
+
 def suggest_bucket_seconds(df: DataFrame, keys: Sequence[str], order_col: str,
                            rows_per_bucket: int | None = None, floor_seconds: int = 1,
                            sample_fraction: float | None = None) -> int:

@@ -15,9 +15,9 @@ Scale notes, per report:
 * R3/R5 pre-aggregate each side of their many-to-many join per session and then
   weight by the other side's row count (G1); the literal fan-out form is kept
   (``method="fanout"``) as a cross-check.
-* Ordered windows (lag, islands) run per (keys, time bucket) when
-  ``bucket_seconds`` is given, so a hot driver is spread over many tasks;
-  ``bucket_seconds="auto"`` derives the width from the telemetry's hottest driver.
+* Ordered windows (lag, islands) and interval joins run per (keys, time bucket), so a hot
+  driver is spread over many tasks; ``bucket_seconds="auto"`` (the default) derives the width
+  from the rows of the telemetry's densest stretch.
 """
 
 from __future__ import annotations
@@ -30,21 +30,20 @@ from pyspark.sql import functions as F
 from paddock.functions.exact import exact_mean, exact_mean_2dp, exact_sums, weighted_sums
 from paddock.functions.labels import (brake_state, drs_state, instant_acceleration, sector_label,
                                       sector_reach)
-from paddock.operators.joins import DEFAULT_BUCKET_SECONDS, interval_join, semi
-from paddock.operators.windows import best_row, islands, run_summary, with_previous
+from paddock.operators.joins import interval_join, semi
+from paddock.operators.windows import best_row, bucket_seconds_by_rows, islands, run_summary, with_previous
 from paddock.sources.tables import Tables
 
 SD = ["session_key", "driver_number"]
 LAP_COLS = ["date_start", "duration_sector_1", "duration_sector_2", "duration_sector_3"]
 
 
-def _bucket(bucket_seconds, samples: DataFrame):
-    """``bucket_seconds`` as given, or derived from the samples' hottest key when ``"auto"``
-    (one small job on a 1 % sample; the results do not depend on the width)."""
+def _bucket(bucket_seconds, t):
+    """``bucket_seconds`` as given, or for ``"auto"`` from the densest stretch of the telemetry: that of the
+    tables ``t``, worked out once, or of a telemetry DataFrame. No result depends on the width."""
     if bucket_seconds != "auto":
         return bucket_seconds
-    from paddock.operators.windows import suggest_bucket_seconds
-    return suggest_bucket_seconds(samples, SD, "date", sample_fraction=0.01, floor_seconds=60)
+    return t.bucket_seconds() if isinstance(t, Tables) else bucket_seconds_by_rows(t, SD, "date")
 
 
 # --------------------------------------------------------------------------- R0
@@ -81,7 +80,7 @@ def _speed_by_sector(samples: DataFrame, laps: DataFrame, group_extra: Sequence[
 
 
 def sector_speed(t: Tables, *, all_laps: bool = False, require_telemetry_laps: bool = True,
-                 bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                 bucket_seconds: int | str | None = "auto") -> DataFrame:
     """R1a (best lap, ``all_laps=False``) and R1b (every race lap, ``all_laps=True``).
 
     Mean speed of the samples in each sector of the lap (strict labels, L1); the
@@ -91,7 +90,7 @@ def sector_speed(t: Tables, *, all_laps: bool = False, require_telemetry_laps: b
     R1a keeps only drivers listed in ``telemetrys_laps``; the existence test is
     applied to the lap side, which has the same keys and is far smaller.
     """
-    bucket_seconds = _bucket(bucket_seconds, t.telemetrys)
+    bucket_seconds = _bucket(bucket_seconds, t)
     laps = race_laps(t)
     if not all_laps:
         if require_telemetry_laps:
@@ -104,13 +103,13 @@ def sector_speed(t: Tables, *, all_laps: bool = False, require_telemetry_laps: b
             .orderBy(*[F.col(c).asc_nulls_last() for c in (*SD, "lap_duration", "sector")]))
 
 
-def sector_speed_best_lap(t: Tables, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def sector_speed_best_lap(t: Tables, bucket_seconds: int | str | None = "auto") -> DataFrame:
     """The best-lap rewrite (row_number = 1 over race laps with a lap number).
 
     Output ``session_key, driver_number, best_lap_duration, sector, max_speed``;
     no HAVING, so a driver whose laps all lack a duration still shows its rank-1 lap.
     """
-    bucket_seconds = _bucket(bucket_seconds, t.telemetrys)
+    bucket_seconds = _bucket(bucket_seconds, t)
     laps = race_laps(t).where(F.col("lap_number").isNotNull())
     laps = best_laps(laps).select(*SD, "lap_duration", *LAP_COLS)
     g = _speed_by_sector(t.telemetrys, laps, [], bucket_seconds)
@@ -129,7 +128,7 @@ def accelerations(tel: DataFrame, bucket_seconds: int | None = None, keep_bucket
 
 
 def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry_laps: bool = True,
-                        method: str = "preagg", bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                        method: str = "preagg", bucket_seconds: int | str | None = "auto") -> DataFrame:
     """R2a (``require_telemetry_laps=True``) / R2b: mean acceleration per driver and sector.
 
     Every sample is paired with every lap of its driver (no time predicate) and
@@ -144,7 +143,7 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
     if session_key is not None:
         tel = tel.where(F.col("session_key") == session_key)
         laps = laps.where(F.col("session_key") == session_key)
-    bucket_seconds = _bucket(bucket_seconds, tel)
+    bucket_seconds = _bucket(bucket_seconds, t)
     kb = "_bucket" if (bucket_seconds and method == "preagg") else None
     acc = accelerations(tel, bucket_seconds, keep_bucket=kb)
     if require_telemetry_laps:
@@ -236,7 +235,7 @@ def tyre_temperature_points(stints: DataFrame, weather: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- R4
 def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | None = None, *,
              require_telemetry_laps: bool = True, method: str = "onepass",
-             bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+             bucket_seconds: int | str | None = "auto") -> DataFrame:
     """Runs of equal (DRS state, sector, brake state) per driver with entry/exit speed.
 
     Samples are labelled against every lap of their driver with the half-open
@@ -257,7 +256,7 @@ def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | Non
     if require_telemetry_laps:
         laps = semi(laps, t.telemetrys_laps, SD)
     laps = laps.select(*SD, *LAP_COLS)
-    bucket_seconds = _bucket(bucket_seconds, tel)
+    bucket_seconds = _bucket(bucket_seconds, t)
     lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                           F.col("duration_sector_3"), "halfopen")
     base = interval_join(tel.select(*SD, "date", "speed", "brake", "drs"), laps, SD, "date", lo, hi,
@@ -334,7 +333,7 @@ def temperature_speed(t: Tables, session_key: int | None, method: str = "preagg"
 
 # --------------------------------------------------------------------------- R6 / J5
 def sector_samples(telemetry: DataFrame, laps: DataFrame, sessions: Sequence[int] | None = None,
-                   bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                   bucket_seconds: int | str | None = "auto") -> DataFrame:
     """J5 + L4: samples labelled 1/2/3 by the cumulative half-open convention; unlabelled dropped.
 
     ``telemetry`` (session_key, driver_number, date, speed), ``laps`` (session_key,

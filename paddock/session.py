@@ -76,19 +76,22 @@ def get_spark(app: str = "paddock", cpus: int | str = "*", shuffle_partitions: i
     return spark
 
 
+_FALLBACK: dict[str, str] = {}  # by application: the folder used where none is set
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (tests) is ``fallback`` used and
-    written back to the session. The folder is registered with the SparkContext
+    The cluster names it; only when it is unset (tests) is ``fallback`` used, and
+    remembered for the application. The folder is registered with the SparkContext
     so ``DataFrame.checkpoint()`` cuts lineage into reliable storage.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
     if not path:
-        if fallback is None:
+        if fallback is None and app not in _FALLBACK:
             raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-        path = fallback
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = _FALLBACK.setdefault(app, fallback)
     spark.sparkContext.setCheckpointDir(path)
     return path
