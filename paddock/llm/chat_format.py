@@ -7,8 +7,8 @@ layouts' own fingerprints come from an example record each, by the same expressi
 unknown layout are returned by ``unknown``, never guessed.
 
 The canonical turns are formatted with ``<turn:ROLE>\\n`` before and ``</turn>\\n`` after each. In roles and
-texts every backslash becomes ``\\b`` and every ``<`` becomes ``\\l``, so no text can hold a control
-string, and undoing the second and then the first gives the text back. Offsets of the assistant's
+texts every backslash becomes ``\\b`` and every ``<`` becomes ``\\l`` (in roles ``>`` becomes ``\\g``, too), so no
+text can hold a control string, and undoing the replacements in reverse gives the text back. Offsets of the assistant's
 texts in the formatted string are the loss mask.
 
 Nulls: a null role or text is empty; a null conversation number is a conversation of its own; a null turn number
@@ -106,9 +106,18 @@ def unescaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\\l"), F.lit("<")), F.lit("\\b"), F.lit("\\"))
 
 
+def escaped_role(role: Column) -> Column:
+    """A role's end mark can't occur in it either."""
+    return F.replace(escaped(role), F.lit(">"), F.lit("\\g"))
+
+
+def unescaped_role(role: Column) -> Column:
+    return unescaped(F.replace(role, F.lit("\\g"), F.lit(">")))
+
+
 def formatted(turns: DataFrame) -> DataFrame:
     """conv_id, formatted, loss: [start, length] in code points of each text under the loss mask."""
-    head = F.concat(F.lit("<turn:"), escaped(F.col("role")), F.lit(">\n"))
+    head = F.concat(F.lit("<turn:"), escaped_role(F.col("role")), F.lit(">\n"))
     pieces = turns.select("conv_id", "ord", "role", "text", F.concat(head, escaped(F.col("text")), F.lit(END)).alias("piece"),
                           F.length(head).alias("head"), F.length(escaped(F.col("text"))).alias("len"))
     order = Window.partitionBy("conv_id").orderBy("ord", "role", "text")
@@ -124,7 +133,7 @@ def read_back(out: DataFrame) -> DataFrame:
     """The turns and the texts under the loss mask, read from formatted strings alone."""
     parts = F.split("formatted", F.lit("</turn>\n"))
     turns = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda p: F.struct(
-        unescaped(F.substring_index(F.substr(p, F.lit(7)), ">\n", 1)).alias("role"),
+        unescaped_role(F.substring_index(F.substr(p, F.lit(7)), ">\n", 1)).alias("role"),
         unescaped(F.substr(p, F.instr(p, ">\n") + 2)).alias("text")))
     under = F.transform("loss", lambda m: unescaped(F.substr(F.col("formatted"), m["start"] + 1, m["length"])))
     return out.select("conv_id", "formatted", turns.alias("turns"), under.alias("under"))
@@ -160,7 +169,7 @@ with turns as (
   from (select conv_id, turn, role, text from conversations union all select * from (values {probe}) v(conv_id, turn, role, text))),
 sized as (
   select *, length(role) + length(text)
-         + (length(role || text) - length(replace(replace(role || text, '\\', ''), '<', ''))) + {len("<turn:") + len(">") + 1 + len(END)} as chars
+         + (length(role || text) - length(replace(replace(role || text, '\\', ''), '<', ''))) + (length(role) - length(replace(role, '>', ''))) + {len("<turn:") + len(">") + 1 + len(END)} as chars
   from turns),
 joined as (
   select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text) as said,

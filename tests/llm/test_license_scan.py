@@ -22,7 +22,7 @@ def test_base_places(spark):
     got = {r["doc_id"]: r for r in L.scanned(spark, spark.createDataFrame(list(enumerate(TEXTS)), SCHEMA)).collect()}
     for i, t in enumerate(TEXTS):
         want, r = base(t), got[i]
-        assert (r["n_words"], r["n_base"]) == (len(re.findall(L.WORD, t or "")), len(want)), t
+        assert (r["n_words"], r["n_base"]) == (len(L.words(t or "")), len(want)), t
         assert (r["first_word"], r["last_word"]) == ((want[0][0], want[-1][0]) if want else (None, None))
         assert r["base_labels"] == ",".join(sorted({x for _, x in want}))
         assert set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) | {""} and 0 <= r["score"] <= 1
