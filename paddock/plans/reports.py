@@ -13,8 +13,7 @@ Scale notes, per report:
   interval join and the unlabelled (NULL sector) group is derived from per-driver
   totals times the lap count.
 * R3/R5 pre-aggregate each side of their many-to-many join per session and then
-  weight by the other side's row count (G1); the literal fan-out form is kept
-  (``method="fanout"``) as a cross-check.
+  weight by the other side's row count (G1).
 * Ordered windows (lag, islands) and interval joins run per (keys, time bucket), so a hot
   driver is spread over many tasks; ``bucket_seconds="auto"`` (the default) derives the width
   from the rows of the telemetry's densest stretch.
@@ -128,15 +127,16 @@ def accelerations(tel: DataFrame, bucket_seconds: int | None = None, keep_bucket
 
 
 def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry_laps: bool = True,
-                        method: str = "preagg", bucket_seconds: int | str | None = "auto") -> DataFrame:
+                        bucket_seconds: int | str | None = "auto") -> DataFrame:
     """R2a (``require_telemetry_laps=True``) / R2b: mean acceleration per driver and sector.
 
-    Every sample is paired with every lap of its driver (no time predicate) and
-    labelled with the offset convention (L2); pairs outside all three sectors form
-    the NULL sector group, which is part of the output. ``method="fanout"`` builds
-    the pairs; ``"preagg"`` (default) gets the labelled pairs from an interval join
-    and the NULL group from per-driver totals x lap counts, in one aggregate.
-    Output ``driver_number, session_key, sector, mean_acceleration``, ordered by the mean descending (nulls first), then driver.
+    Every sample counts with every lap of its driver (no time predicate), labelled with
+    the offset convention (L2); pairs outside all three sectors are the NULL sector
+    group, which is part of the output. The pairs are never made: the labelled ones come
+    from an interval join and are summed per driver and sector; the NULL group is the driver's
+    totals times its laps, less those sums. All sums are integers, so the subtraction is exact.
+    Output ``driver_number, session_key, sector, mean_acceleration``, ordered by the mean
+    descending (nulls first), then driver.
     """
     tel = t.telemetrys
     laps = t.laps
@@ -144,8 +144,8 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
         tel = tel.where(F.col("session_key") == session_key)
         laps = laps.where(F.col("session_key") == session_key)
     bucket_seconds = _bucket(bucket_seconds, t)
-    kb = "_bucket" if (bucket_seconds and method == "preagg") else None
-    acc = accelerations(tel, bucket_seconds, keep_bucket=kb)
+    kb = "_bucket" if bucket_seconds else None
+    acc = accelerations(tel, bucket_seconds, keep_bucket=kb).withColumn("_a", whole_acceleration())
     if require_telemetry_laps:
         # Same keys as the lap join, so filtering the (small) lap side is equivalent and
         # leaves the samples' (keys, bucket) partitioning intact.
@@ -153,44 +153,38 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
     laps = laps.select(*SD, *LAP_COLS)
     label = sector_label("date", "date_start", "duration_sector_1", "duration_sector_2",
                          "duration_sector_3", "offset")
-    # 10^18 times the acceleration, as an integer: both sides of the subtraction below are exact
-    whole = (F.col("acceleration").cast("decimal(38,18)") * F.lit(10 ** 18).cast("decimal(19,0)")).cast("decimal(38,0)")
-    acc = acc.withColumn("_a", whole)
-    if method == "fanout":
-        g = (acc.join(laps, SD, "inner")
-             .groupBy(*SD, label.alias("sector")).agg(F.sum("_a").alias("_s"), F.count("_a").alias("_n")))
-    elif method == "preagg":
-        # One pass over the labelled pairs: each adds to its sector and subtracts from
-        # the NULL group, which starts from (all samples of the driver) x (its laps).
-        lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
-                              F.col("duration_sector_3"), "offset")
-        pairs = (interval_join(acc, laps, SD, "date", lo, hi, bucket_seconds, sample_bucket=kb)
-                 .select(*SD, "_a", label.alias("sector")).where(F.col("sector").isNotNull())
-                 .select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("_plus")))
-        sign = F.when(F.col("_plus"), F.lit(1)).otherwise(F.lit(-1))
-        signed = pairs.select(*SD, F.when(F.col("_plus"), F.col("sector")).alias("sector"),
-                              F.when(F.col("_plus"), F.col("_a")).otherwise(-F.col("_a")).alias("_s"),
-                              (F.col("_a").isNotNull().cast("long") * sign).alias("_n"),
-                              sign.cast("long").alias("_r"))
-        totals = acc.groupBy(*SD).agg(F.sum("_a").alias("_ts"), F.count("_a").alias("_tn"),
-                                      F.count(F.lit(1)).alias("_tr"))
-        n_laps = laps.groupBy(*SD).agg(F.count(F.lit(1)).alias("_laps"))
-        base = (totals.join(n_laps, SD, "inner")
-                .select(*SD, F.lit(None).cast("string").alias("sector"),
-                        (F.col("_ts") * F.col("_laps")).cast("decimal(38,0)").alias("_s"), (F.col("_tn") * F.col("_laps")).alias("_n"),
-                        (F.col("_tr") * F.col("_laps")).alias("_r")))
-        g = (signed.unionByName(base).groupBy(*SD, "sector")
-             .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.sum("_r").alias("_r"))
-             .where(F.col("_r") > 0).drop("_r"))
-    else:
-        raise ValueError(f"unknown method {method!r}")
+    lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
+                          F.col("duration_sector_3"), "offset")
+    labelled = (interval_join(acc, laps, SD, "date", lo, hi, bucket_seconds, sample_bucket=kb)
+                .select(*SD, "_a", label.alias("sector")).where(F.col("sector").isNotNull())
+                .groupBy(*SD, "sector").agg(F.sum("_a").alias("_s"), F.count("_a").alias("_n"), F.count(F.lit(1)).alias("_r")))
+    inside = labelled.groupBy(*SD).agg(F.sum("_s").alias("_is"), F.sum("_n").alias("_in"), F.sum("_r").alias("_ir"))
+    totals = acc.groupBy(*SD).agg(F.sum("_a").alias("_ts"), F.count("_a").alias("_tn"), F.count(F.lit(1)).alias("_tr"))
+    n_laps = laps.groupBy(*SD).agg(F.count(F.lit(1)).alias("_laps"))
+
+    def rest(total: str, part: str, kind: str):
+        return (F.coalesce(F.col(total) * F.col("_laps"), F.lit(0)) - F.coalesce(F.col(part), F.lit(0))).cast(kind)
+
+    outside = (totals.join(n_laps, SD, "inner").join(inside, SD, "left")
+               .select(*SD, F.lit(None).cast("string").alias("sector"), rest("_ts", "_is", "decimal(38,0)").alias("_s"),
+                       rest("_tn", "_in", "long").alias("_n"), rest("_tr", "_ir", "long").alias("_r")).where(F.col("_r") > 0))
+    return mean_acceleration(labelled.unionByName(outside))
+
+
+def whole_acceleration():
+    """10^18 times the acceleration, as an integer."""
+    return (F.col("acceleration").cast("decimal(38,18)") * F.lit(10 ** 18).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def mean_acceleration(sums: DataFrame) -> DataFrame:
+    """R2's output from the integer sums ``_s`` and counts ``_n``."""
     mean = F.when(F.col("_n") > 0, F.col("_s").cast("double") / F.lit(1e18) / F.col("_n"))
-    return (g.select("driver_number", "session_key", "sector", mean.alias("mean_acceleration"))
+    return (sums.select("driver_number", "session_key", "sector", mean.alias("mean_acceleration"))
             .orderBy(F.col("mean_acceleration").desc_nulls_first(), F.col("driver_number").asc_nulls_last()))
 
 
 # --------------------------------------------------------------------------- R3
-def tyre_temperature(t: Tables, method: str = "preagg") -> DataFrame:
+def tyre_temperature(t: Tables) -> DataFrame:
     """Per compound, mean track temperature over stint x weather pairs of the same
     session (``NUMERIC(8,2)``, exact) and the longest stint in laps.
 
@@ -199,16 +193,10 @@ def tyre_temperature(t: Tables, method: str = "preagg") -> DataFrame:
     """
     st = t.tyre_stints.select("session_key", "compound", (F.col("lap_end") - F.col("lap_start")).alias("_len"))
     wc = t.weather_conditions.select("session_key", "track_temperature")
-    if method == "fanout":
-        g = (st.join(wc, "session_key").groupBy("compound")
-             .agg(*exact_sums("track_temperature", "tt"), F.max("_len").alias("_max")))
-    elif method == "preagg":
-        w = wc.groupBy("session_key").agg(*exact_sums("track_temperature", "w"))
-        s = st.groupBy("session_key", "compound").agg(F.count(F.lit(1)).alias("_sr"), F.max("_len").alias("_max"))
-        g = (s.join(w, "session_key").groupBy("compound")
-             .agg(*weighted_sums("w", "_sr", "tt"), F.max("_max").alias("_max")))
-    else:
-        raise ValueError(f"unknown method {method!r}")
+    w = wc.groupBy("session_key").agg(*exact_sums("track_temperature", "w"))
+    s = st.groupBy("session_key", "compound").agg(F.count(F.lit(1)).alias("_sr"), F.max("_len").alias("_max"))
+    g = (s.join(w, "session_key").groupBy("compound")
+         .agg(*weighted_sums("w", "_sr", "tt"), F.max("_max").alias("_max")))
     return (g.select("compound", exact_mean_2dp("tt").alias("mean_track_temperature"),
                      F.col("_max").cast("int").alias("max_stint_laps"))
             .orderBy(F.col("max_stint_laps").desc_nulls_first()))
@@ -234,7 +222,7 @@ def tyre_temperature_points(stints: DataFrame, weather: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- R4
 def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | None = None, *,
-             require_telemetry_laps: bool = True, method: str = "onepass",
+             require_telemetry_laps: bool = True,
              bucket_seconds: int | str | None = "auto") -> DataFrame:
     """Runs of equal (DRS state, sector, brake state) per driver with entry/exit speed.
 
@@ -243,10 +231,19 @@ def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | Non
     state changes from the previous sample of the same driver. Rows are grouped as
     the reference does (circuit, driver name, state, run id, entry and exit speed),
     then the run id is dropped and identical rows merge (outer DISTINCT).
-    ``session_key``/``driver_number`` None means all. ``method="onepass"`` summarises
-    each run in one aggregate (G9); ``"selfjoin"`` keeps the reference's shape
-    (FIRST_VALUE and LAST_VALUE windows joined back on seven columns, J9).
+    ``session_key``/``driver_number`` None means all. Each run is summarised in one
+    aggregate (G9).
     """
+    runs = drs_state_runs(t, session_key, driver_number, require_telemetry_laps=require_telemetry_laps, bucket_seconds=bucket_seconds)
+    return named_runs(t, run_summary(runs, SD, "run_id", "date", "speed", RUN_STATES))
+
+
+RUN_STATES = ["drs", "sector", "brake_state"]
+
+
+def drs_state_runs(t: Tables, session_key: int | None = None, driver_number: int | None = None, *,
+                   require_telemetry_laps: bool = True, bucket_seconds: int | str | None = "auto") -> DataFrame:
+    """R4's labelled samples with the number of the run of equal states that each is in."""
     tel = t.telemetrys
     laps = t.laps
     for col, val in (("session_key", session_key), ("driver_number", driver_number)):
@@ -267,16 +264,12 @@ def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | Non
                         sector_label("date", "date_start", "duration_sector_1", "duration_sector_2",
                                      "duration_sector_3", "halfopen").alias("sector"))
             .where(F.col("sector").isNotNull()))
-    states = ["drs", "sector", "brake_state"]
     # Same bucket as the join: with a sort-merge join the window needs no new shuffle.
-    runs = islands(base, SD, "date", states, "run_id", bucket_seconds,
-                   bucket_col="_bucket" if bucket_seconds else None)
-    if method == "selfjoin":
-        summ = _runs_selfjoin(runs, states)
-    elif method == "onepass":
-        summ = run_summary(runs, SD, "run_id", "date", "speed", states)
-    else:
-        raise ValueError(f"unknown method {method!r}")
+    return islands(base, SD, "date", RUN_STATES, "run_id", bucket_seconds, bucket_col="_bucket" if bucket_seconds else None)
+
+
+def named_runs(t: Tables, summ: DataFrame) -> DataFrame:
+    """R4's output from one row per run."""
     named = (summ.join(t.drivers.select(*SD, "full_name"), SD)
              .join(t.sessions.select("session_key", "circuit_short_name"), "session_key"))
     g = (named.groupBy("circuit_short_name", "full_name", "drs", "sector", "run_id", "start_value", "end_value",
@@ -286,22 +279,8 @@ def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | Non
                     F.col("start_value").alias("start_speed"), F.col("end_value").alias("end_speed")).distinct()
 
 
-def _runs_selfjoin(runs: DataFrame, states: Sequence[str]) -> DataFrame:
-    """J9 + W4 + W5: entry speed by FIRST_VALUE, exit speed by LAST_VALUE over the whole
-    run, the two window results joined on their seven columns, then per-run min/max time."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*SD, "run_id").orderBy("date")
-    cols = [*SD, "date", *states, "run_id"]
-    t1 = runs.select(*cols, F.first("speed").over(w).alias("start_value")).distinct()
-    t2 = runs.select(*cols, F.last("speed").over(
-        w.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("end_value")).distinct()
-    j = t1.join(t2, cols, "inner")
-    return (j.groupBy(*SD, "run_id", *states, "start_value", "end_value")
-            .agg(F.min("date").alias("start_time"), F.max("date").alias("end_time")))
-
-
 # --------------------------------------------------------------------------- R5
-def temperature_speed(t: Tables, session_key: int | None, method: str = "preagg") -> DataFrame:
+def temperature_speed(t: Tables, session_key: int | None) -> DataFrame:
     """Per (circuit, driver name) mean speed, mean throttle and mean track temperature
     over sample x weather pairs of the session, all ``NUMERIC(8,2)`` (exact).
 
@@ -317,16 +296,10 @@ def temperature_speed(t: Tables, session_key: int | None, method: str = "preagg"
     drv = t.drivers.select(*SD, "full_name")
     ses = t.sessions.select("session_key", "circuit_short_name")
     keys = ["circuit_short_name", "full_name"]
-    if method == "fanout":
-        g = (tel.join(drv, SD).join(wc, "session_key").join(ses, "session_key").groupBy(*keys)
-             .agg(*exact_sums("speed", "sp"), *exact_sums("throttle", "th"), *exact_sums("track_temperature", "tt")))
-    elif method == "preagg":
-        ta = tel.groupBy(*SD).agg(*exact_sums("speed", "s"), *exact_sums("throttle", "h"), F.count(F.lit(1)).alias("_tr"))
-        wa = wc.groupBy("session_key").agg(*exact_sums("track_temperature", "w"), F.count(F.lit(1)).alias("_wr"))
-        g = (ta.join(drv, SD).join(wa, "session_key").join(ses, "session_key").groupBy(*keys)
-             .agg(*weighted_sums("s", "_wr", "sp"), *weighted_sums("h", "_wr", "th"), *weighted_sums("w", "_tr", "tt")))
-    else:
-        raise ValueError(f"unknown method {method!r}")
+    ta = tel.groupBy(*SD).agg(*exact_sums("speed", "s"), *exact_sums("throttle", "h"), F.count(F.lit(1)).alias("_tr"))
+    wa = wc.groupBy("session_key").agg(*exact_sums("track_temperature", "w"), F.count(F.lit(1)).alias("_wr"))
+    g = (ta.join(drv, SD).join(wa, "session_key").join(ses, "session_key").groupBy(*keys)
+         .agg(*weighted_sums("s", "_wr", "sp"), *weighted_sums("h", "_wr", "th"), *weighted_sums("w", "_tr", "tt")))
     return g.select(*keys, exact_mean_2dp("sp").alias("mean_speed"), exact_mean_2dp("th").alias("mean_throttle"),
                     exact_mean_2dp("tt").alias("mean_track_temperature"))
 

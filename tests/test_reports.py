@@ -2,6 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+import literal_forms
 from helpers import at, laps, rows, same, telemetry
 from paddock.plans import point_reports as P
 from paddock.plans import reports as R
@@ -50,8 +51,8 @@ def test_r2_preagg_equals_fanout_and_null_group(spark):
     lap_rows = [(1, 10, 1, 0, 10.0, 20.0, 30.0, 60.0), (1, 10, 2, 60, 10.0, 5.0, 30.0, 60.0),
                 (1, 11, 1, 0, 10.0, 20.0, None, 60.0)]
     t = _tables(spark, tel, lap_rows)
-    a = R.sector_acceleration(t, 1, method="fanout", bucket_seconds=None)
-    b = R.sector_acceleration(t, 1, method="preagg", bucket_seconds=20)
+    a = literal_forms.acceleration_pairs(t, 1)
+    b = R.sector_acceleration(t, 1, bucket_seconds=20)
     assert same(a, b)
     assert a.where(F.col("sector").isNull()).count() == 2
 
@@ -68,8 +69,8 @@ def test_r3a_preagg_equals_fanout_and_negative_stint(spark):
     weather = [(1, at(0), 30.005), (1, at(60), 31.0), (2, at(0), 20.0), (2, at(60), None)]
     t = _tables(spark, [(1, 10, 0, 1, 0, 0, 0)], [(1, 10, 1, 0, 1.0, 1.0, 1.0, 3.0)], stints=stints,
                 weather=weather)
-    a = R.tyre_temperature(t, method="fanout")
-    b = R.tyre_temperature(t, method="preagg")
+    a = literal_forms.tyre_pairs(t)
+    b = R.tyre_temperature(t)
     assert same(a, b)
     got = {r[0]: (r[1], r[2]) for r in a.collect()}
     assert got["HARD"] == (Decimal("30.50"), -5)
@@ -87,7 +88,7 @@ def test_r5_same_name_merges(spark):
     a = rows(R.temperature_speed(t, 1), "full_name")
     assert a == [("Monza", "Ann", Decimal("150.00"), Decimal("55.00"), Decimal("35.00")),
                  ("Monza", "Bob", Decimal("10.00"), Decimal("1.00"), Decimal("35.00"))]
-    assert same(R.temperature_speed(t, 1), R.temperature_speed(t, 1, method="fanout"))
+    assert same(R.temperature_speed(t, 1), literal_forms.temperature_pairs(t, 1))
 
 
 def test_r4_runs_bucketed_equal(spark):
@@ -98,7 +99,7 @@ def test_r4_runs_bucketed_equal(spark):
     a = R.drs_runs(t, bucket_seconds=None)
     b = R.drs_runs(t, bucket_seconds=7)
     assert same(a, b)
-    assert same(a, R.drs_runs(t, method="selfjoin", bucket_seconds=None))  # J9 literal form = G9
+    assert same(a, literal_forms.runs_by_windows(t))  # J9 literal form = G9
     ann = rows(a.where(F.col("full_name") == "Ann").select("start_speed", "end_speed", "drs", "sector",
                                                             "brake_state"), "start_time")
     assert ann[0] == (0.0, 18.0, "ATIVO", "SETOR 1", "NORMAL")
