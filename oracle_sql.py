@@ -173,6 +173,8 @@ FROM labelled GROUP BY session_key, driver_number, sector"""
 R1A = _r1(best_lap=True, existence=True, by_lap=True)
 R1B = _r1(best_lap=False, existence=False, by_lap=True)
 R1C = _r1(best_lap=True, existence=False, by_lap=False)
+# the load derives telemetrys_laps from the laps themselves, so every lap's driver is there
+R1_LOADED = _r1(best_lap=True, existence=False, by_lap=True)
 
 
 def _r2(existence: bool, session: str = f"session_key = {RACE}") -> str:
@@ -331,6 +333,8 @@ S9 = views("telemetrys") + "\n" + "\nUNION ALL\n".join(
   CAST(CAST(trunc({f}) AS INT) AS DOUBLE) AS _value, date AS _time
 FROM telemetrys WHERE {_TEL_COMPLETE}""" for f in _TEL_FIELDS)
 
+S1 = views("telemetrys", "sessions") + "SELECT session_key, meeting_key, session_name, circuit_short_name FROM sessions"
+
 S10 = views("telemetrys") + "\n" + "\nUNION ALL\n".join(
     f"""SELECT 'telemetry' AS _measurement, CAST(session_key AS VARCHAR) AS session_key,
   CAST(driver_number AS VARCHAR) AS driver_number, '{f}' AS _field, CAST(CAST(trunc({f}) AS INT) AS DOUBLE) AS _value, date AS _time
@@ -531,7 +535,7 @@ def operator_sql() -> dict[str, str]:
     return {
         "r3b_tyre_temp_points": R3B, "r3c_tyre_temp_denorm": R3C, "r6_sector_samples": R6, "j5_left_label": J5,
         "r7_timing_summary": R7, "a7_filtered_summary": A7, "a18_label_means": A18, "r8_timing_population": R8, "s9_points_unpivot": S9,
-        "s10_points_read_back": S10, "r3b_stored_points": R3B, "a15_points_pivot": A15,
+        "s10_points_read_back": S10, "s1_loaded_sessions": S1, "s2_loaded_sector_speed": R1_LOADED, "r3b_stored_points": R3B, "a15_points_pivot": A15,
         "a17_last_write_wins": A17, "c5_dedup_first": C5, "c6_drop_nulls": C6, "c7_semi_filter": C7,
         "c8_composite_semi": C8, "c10_bool_cast": C10, "c12_iso_timestamp": C12, "c13_pk_audit": C13,
         "c14_fk_audit": C14, "c15_quarantine": C15, "c16_modulus_sample": C16, "c17_distinct_pairs": C17,

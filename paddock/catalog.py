@@ -122,15 +122,40 @@ def operator_queries() -> dict[str, Query]:
     def telemetry_points(s, d):
         return P.points_of(_t(s, d).telemetrys, "telemetry", "session_first")
 
-    def stored(s, points):
-        """The points written to the shared folder and read back; the folder is new each time."""
+    def new_folder(s, name):
+        """A new folder in the shared one; a temporary one only where none is set in a single-process session."""
         import tempfile
         import uuid
 
-        from paddock.operators.points import write_points
         from paddock.session import checkpoint_dir
         local = s.sparkContext.master.split("[")[0] == "local"
-        path = f"{checkpoint_dir(s, tempfile.mkdtemp(prefix='paddock-') if local else None)}/points/{uuid.uuid4().hex}"
+        return f"{checkpoint_dir(s, tempfile.mkdtemp(prefix='paddock-') if local else None)}/{name}/{uuid.uuid4().hex}"
+
+    def loaded(s, d):
+        """The tables written in the loaders' folders, with the columns that the load drops, and loaded from there."""
+        import warnings
+
+        from paddock.sources.load import SOURCE_FILES, load_reference_layout
+        root, t = new_folder(s, "raw"), _t(s, d)
+        for name, path in SOURCE_FILES.items():
+            df = getattr(t, name)
+            if df is not None:
+                if "meeting_key" not in df.columns:
+                    df = df.withColumn("meeting_key", F.lit(0).cast("long"))
+                if name == "laps":
+                    df = df.withColumn("segments_sector_1", F.lit("[]"))
+                df.write.parquet(f"{root}/{path}")
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")  # the stand-in has no files for some tables
+            return load_reference_layout(s, root)[0]
+
+    def loaded_sessions(s, d):
+        return loaded(s, d).sessions.select("session_key", "meeting_key", "session_name", "circuit_short_name")
+
+    def stored(s, points):
+        """The points written to the shared folder and read back."""
+        from paddock.operators.points import write_points
+        path = new_folder(s, "points")
         write_points(points, path, "session_key")
         return path
 
@@ -167,6 +192,8 @@ def operator_queries() -> dict[str, Query]:
         "a7_filtered_summary": lambda s, d: TM.timing_summary(timing_log(s, d), index_type="purchase"),
         "a18_label_means": lambda s, d: _nine(TM.label_means(timing_log(s, d), "index_type", "elapsedtime"), "mean_elapsedtime"),
         "s9_points_unpivot": telemetry_points,
+        "s1_loaded_sessions": loaded_sessions,
+        "s2_loaded_sector_speed": lambda s, d: R.sector_speed(loaded(s, d)),
         "s10_points_read_back": points_read_back,
         "r3b_stored_points": tyre_temperature_stored,
         "a15_points_pivot": lambda s, d: pivot_points(telemetry_points(s, d),
@@ -175,8 +202,8 @@ def operator_queries() -> dict[str, Query]:
         "a17_last_write_wins": second_precision_points,
         "c5_dedup_first": lineitem_dedup,
         "c6_drop_nulls": lambda s, d: C.drop_nulls(_t(s, d).drivers),
-        "c7_semi_filter": lambda s, d: read(s, d, "orders").join(
-            read(s, d, "customer").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi"),
+        "c7_semi_filter": lambda s, d: C.keep_keys_in(
+            read(s, d, "orders"), read(s, d, "customer").withColumnRenamed("c_custkey", "o_custkey"), ["o_custkey"]),
         "c8_composite_semi": lambda s, d: semi(_t(s, d).telemetrys, _t(s, d).telemetrys_laps, R.SD),
         "c10_bool_cast": lambda s, d: read(s, d, "labels").select(
             "doc_id", C.to_bool("quality").alias("is_quality"), C.to_bool("toxic").alias("is_toxic")),

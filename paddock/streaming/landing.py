@@ -15,19 +15,21 @@ import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paddock import schemas
-from paddock.operators.joins import anti
+from paddock.operators.joins import anti, semi
 from paddock.session import checkpoint_dir
 from paddock.sources.files import conform
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The target's rows; None only if nothing has been written there yet."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
 
 
@@ -40,16 +42,14 @@ def load_stream(spark: SparkSession, src_dir: str, table: str, target: str, quar
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "landing", table)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        df = df.persist()  # read by the quarantine, the lead-key lookup and the append
+        df = df.persist()  # read by the quarantine, the key lookup and the append
         good, bad = conform(df, table)
         if quarantine:
             bad.write.mode("append").parquet(quarantine)
         have = _existing(df.sparkSession, target)
         if have is not None:
-            # Only the target partitions this batch touches: the batch's lead keys are a
-            # handful of values, so they become a static partition filter on the target.
-            leads = [r[0] for r in good.select(lead).distinct().collect()]
-            have = have.where(F.col(lead).isin(*leads)).select(*keys)
+            # Only the target partitions this batch touches: the join on the lead key prunes them.
+            have = semi(have, good.select(lead).distinct(), [lead]).select(*keys)
         new = good if have is None else anti(good, have, keys)
         new.write.mode("append").partitionBy(lead).parquet(target)
         df.unpersist()
