@@ -15,6 +15,10 @@ BROADCAST_ROWS = 100_000
 # Copies of a small side that a salted join spreads a hot key over, beyond that bound.
 SALTS = 32
 
+# Rows of an Arrow batch: texts are large.
+BATCH_ROWS = 500
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _SHIPPED: set[str] = set()
 _SHARED: dict[str, str] = {}
 
@@ -52,7 +56,13 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application."""
+    """Send this package to the executors once per application, and keep Arrow batches of texts small.
+
+    A batch of 10,000 rows, Spark's default, can hold gigabytes of long texts in the JVM and in Python;
+    a session that asks for another size keeps it.
+    """
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20  # texts are handled in slices of about this many bytes (one long text may exceed it)
+SLICE_BYTES = 1 << 18  # texts are handled in slices of about this many bytes (one long text may exceed it)
 
 _U = np.uint64
 _BASE, _STEP = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
@@ -38,7 +38,7 @@ _POWERS: list[np.ndarray] = []
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 2 * SLICE_BYTES)
+        size = max(n, SLICE_BYTES + (SLICE_BYTES >> 2))
         inverse = _U(pow(int(_BASE), -1, 1 << 64))
         with np.errstate(over="ignore"):
             for_base = [np.multiply.accumulate(np.concatenate([[_U(1)], np.full(size - 1, p, _U)]))
