@@ -5,14 +5,16 @@ Documents are sets of distinct word shingles. Two link when their Jaccard simila
 
 1. Documents with equal sets are one *class* (by a 64-bit fingerprint of the set); from here on only classes count.
 2. Any two linked sets share one of their first ``n - ceil(0.75 n) + 1`` tokens under any common
-   order of the tokens (prefix filter). The order used puts tokens of frequent hash buckets last,
-   so that passages that many documents repeat stay out of the prefixes. The buckets are a fixed
-   number of bits, whatever the corpus.
-3. Every class is compared with the first class of each of its prefix tokens (a star, not all pairs).
-   What links forms *groups* of similar documents. Tokens of frequent buckets are dealt over
-   salts, and the salts' first classes are compared in turn.
+   order of the tokens (prefix filter). The order used goes from rare to frequent tokens in levels,
+   by counts over all documents, so that repeated passages stay out of the prefixes and a token
+   of a prefix has few classes. The counts are kept as a fixed number of bits, whatever the corpus.
+3. Each prefix token points its classes to the first of them (a star, not all pairs); every class is
+   compared with the one it is pointed to most often, if that often enough. What links forms *groups* of similar
+   documents. Tokens of frequent buckets are dealt over salts, and the salts' first classes are
+   compared in turn.
 4. A token all of whose classes are in one group needs no more work. For the others the token-group
-   matrix decides: a class Q can link to a member of group G only if ``|Q and union(G)| >= 0.75 |Q|``
+   matrix decides, first over prefixes (the common tokens there bound those of the whole sets), then
+   over whole sets: a class Q can link to a member of group G only if ``|Q and union(G)| >= 0.75 |Q|``
    where ``union(G)`` is the group's token union. Only groups that qualify are opened and their
    members compared.
 5. Components over all links; a document's component is the smallest doc_id in it.
@@ -36,13 +38,14 @@ from pyspark.sql import functions as F
 
 from paddock.llm.common import ship_package, written
 from paddock.llm.components import connected
-from paddock.llm.textnum import fingerprint, signed, slices
+from paddock.llm.textnum import fingerprint, mix, signed, slices
 
 WORDS = 5
 THRESHOLD = 75           # percent
-BUCKETS = 1 << 22        # hash buckets of the frequency order: a bitmap of 512 KB
+BUCKETS = 1 << 23        # hash buckets of the frequency order: a bitmap of 1 MB
 FREQUENT = 0.0005        # a bucket in more than this share of the documents is frequent
-LEAST_FREQUENT = 8       # and in at least so many
+LEAST_FREQUENT = 8       # and in at least so many; a prefix token in so many is moved back, too
+NEEDED_BITS = 1 << 23    # bitmap of the documents whose texts are compared: 1 MB
 STAR_SALTS = 64          # a frequent token's classes are dealt over so many tasks
 
 
@@ -53,17 +56,19 @@ def needed(n):
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """kind 0: doc_id, set size, class. kind 1: bucket (in class) and number of documents here (in n)."""
-    counts, docs = np.zeros(BUCKETS, np.int32), 0
+    counts, docs, tokens_here = np.zeros(BUCKETS, np.int32), 0, 0
     for batch in batches:
         n, cls = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
         for part in slices(batch.column("text")):
             for i, tokens in part.shingles(WORDS):
                 n[i], cls[i] = len(tokens), fingerprint(tokens)
+                tokens_here += len(tokens)
                 np.add.at(counts, (tokens & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
         docs += batch.num_rows
         yield pa.record_batch([batch.column("doc_id"), pa.array(n), pa.array(cls), pa.array(np.zeros(len(n), np.int32))],
                               names=["doc_id", "n", "cls", "kind"])
-    often = np.flatnonzero(counts >= max(2, int(FREQUENT / 4 * docs)))
+    # what chance puts into a bucket stays out; the order may be any, so this costs at most time
+    often = np.flatnonzero(counts >= max(FREQUENT / 2 * docs, 3 + 6 * tokens_here / BUCKETS))
     for at in range(0, len(often), 100_000):
         some = often[at:at + 100_000]
         yield pa.record_batch([pa.nulls(len(some), pa.int64()), pa.array(counts[some].astype(np.int64)),
@@ -71,20 +76,31 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               names=["doc_id", "n", "cls", "kind"])
 
 
-def _frequent_bitmap(buckets: DataFrame, docs: int) -> np.ndarray:
-    """Bits of the buckets found often: at most BUCKETS / 64 numbers reach the driver."""
-    least = max(LEAST_FREQUENT, FREQUENT * docs)
-    rows = (buckets.groupBy("cls").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-            .groupBy(F.shiftright("cls", 6).alias("at"))
-            .agg(F.expr("bit_or(shiftleft(1L, cast(cls & 63 as int)))").alias("bits")).toPandas())
-    words = np.zeros(BUCKETS // 64, np.int64)
+def _bitmap(buckets: DataFrame, size: int) -> np.ndarray:
+    """Bits of the ``bucket`` numbers: at most size / 64 numbers reach the driver."""
+    rows = (buckets.groupBy(F.shiftright("bucket", 6).alias("at"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(bucket & 63 as int)))").alias("bits")).toPandas())
+    words = np.zeros(size // 64, np.int64)
     words[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
     return words
 
 
-def _prefixes(bitmap):
+def _bits(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (words[at >> 6] >> (at & 63)) & 1
+
+
+def _order(levels: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    """Tokens (by bucket, in the order of their hashes) from the rarest level to the most frequent."""
+    return np.argsort(sum(_bits(words, at) for words in levels), kind="stable")
+
+
+def _prefixes(levels, hot):
+    """token, salt, class and set size (with the token's place, as size * 2 ** 32 + place) of each class's prefix;
+    classes that a task meets again are left out.
+
+    ``levels`` are bitmaps of the buckets of ever more frequent tokens; tokens of the buckets ``hot`` are salted.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = bitmap.value
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch.column("text")):
@@ -95,9 +111,8 @@ def _prefixes(bitmap):
                         continue
                     seen.add(cls)
                     at = (tokens & np.uint64(BUCKETS - 1)).astype(np.int64)
-                    often = (words[at >> 6] >> (at & 63)) & 1
-                    order = np.argsort(often, kind="stable")[:n - needed(n) + 1]
-                    salt = often[order] * (1 + cls % STAR_SALTS)
+                    order = _order(levels.value, at)[:n - needed(n) + 1]
+                    salt = _bits(hot.value, at[order]) * (1 + cls % STAR_SALTS)
                     out.append((tokens[order], salt, np.full(len(order), cls), (n << 32) + np.arange(len(order))))
                 if out:
                     token, salt, cls, size = map(np.concatenate, zip(*out, strict=True))
@@ -105,8 +120,20 @@ def _prefixes(bitmap):
     return run
 
 
+def _thresholds(counts: DataFrame) -> list[int]:
+    """LEAST_FREQUENT and its multiples by powers of 4, from the first that at most BUCKETS / 8 tokens' counts reach."""
+    power = F.floor(F.log(4.0, F.col("n") / LEAST_FREQUENT + 1e-9)).cast("int")
+    rows = counts.groupBy(power.alias("power")).agg(F.count("*").alias("tokens")).collect()
+    by_power = {r["power"]: r["tokens"] for r in rows}
+    first, total = 16, 0
+    while first > 0 and total + by_power.get(first - 1, 0) <= BUCKETS // 8:
+        first -= 1
+        total += by_power.get(first, 0)
+    return [LEAST_FREQUENT * 4 ** k for k in range(first, max([*by_power, first]) + 1)]
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (token, salt, class): each class after the first one of its token, with that first one."""
+    """Rows sorted by (token, salt, class): each class with the first one of its token; that one itself only if salted."""
     run = None  # token, salt, first class, its size, last class
     for batch in batches:
         token, salt, cls, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "salt", "cls", "size"))
@@ -122,7 +149,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again = np.zeros(len(token), bool)
         again[1:] = ~first[1:] & (cls[1:] == cls[:-1])
         again[0] = not first[0] and cls[0] == run[4]
-        keep = ~again & (cls != lead)
+        keep = ~again & ((cls != lead) | (salt > 0))  # a salted token's other classes may be under other salts
         run = (token[-1], salt[-1], lead[-1], lead_size[-1], cls[-1])
         if keep.any():
             yield pa.record_batch([x[keep] for x in (token, salt, cls, size, lead, lead_size)],
@@ -130,18 +157,50 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _n(size: str):
+    """The set's size."""
     return F.shiftright(size, 32)
 
 
 def _left(size: str):
-    """Tokens of the set from this prefix token on."""
+    """Tokens of the set from this one on."""
     return F.shiftright(size, 32) - F.col(size).bitwiseAND(0xFFFFFFFF)
 
 
+def _needed(n: str):
+    return F.floor((F.col(n) * THRESHOLD + 99) / 100)
+
+
 def _sizes_fit(a, b):
     return (a * 100 >= b * THRESHOLD) & (b * 100 >= a * THRESHOLD)
 
 
+def _maybe_needed(bitmap):
+    """Rows whose doc_id is in the bitmap: all that are needed, and few others while the bitmap is sparse."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket = signed(mix(batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) & np.uint64(NEEDED_BITS - 1))
+            yield batch.filter(pa.array(_bits(bitmap.value, bucket) == 1))
+    return run
+
+
+def _buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        yield pa.record_batch([signed(mix(ids.view(np.uint64)) & np.uint64(NEEDED_BITS - 1))], names=["bucket"])
+
+
+def _texts(spark: SparkSession, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, text), once for each class in ``wanted`` (cls, doc_id, k: rows that have both)."""
+    bitmap = spark.sparkContext.broadcast(_bitmap(wanted.select("doc_id").mapInArrow(_buckets_of, "bucket long"), NEEDED_BITS))
+    some = docs.filter("doc_id is not null").mapInArrow(_maybe_needed(bitmap), docs.schema)
+
+    def of(which: str) -> DataFrame:
+        return some.join(wanted.filter(which).select("cls", "doc_id"), "doc_id").select("cls", "text").mapInArrow(_with_class, "cls long, text string")
+
+    once = of("k = 1")
+    return once if wanted.filter("k > 1").isEmpty() else once.unionByName(of("k > 1").dropDuplicates(["cls"]))
+
+
 def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of text that really have the set they were fetched for."""
     for batch in batches:
@@ -193,24 +252,31 @@ def _label(df: DataFrame, groups: DataFrame, cls: str, as_: str) -> DataFrame:
     return df.join(g, cls, "left").withColumn(as_, F.coalesce("_g", cls)).drop("_g")
 
 
-def _open_groups(spark: SparkSession, posts: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes in different groups that the token-group matrix doesn't exclude."""
-    first = posts.select("token", F.col("lead").alias("cls"), F.col("lead_size").alias("size"))
+def _open_groups(spark: SparkSession, posts: DataFrame, groups: DataFrame, known: DataFrame, fetch) -> DataFrame:
+    """Links between classes of different groups, from the groups that the token-group matrix doesn't exclude.
+
+    ``known`` has pairs compared before; ``fetch`` gives the texts of classes.
+    """
+    first = posts.select("token", F.col("lead").alias("cls"), F.col("lead_size").alias("size")).distinct()
     members = _label(posts.select("token", "cls", "size").union(first).distinct(), groups, "cls", "grp")
-    split = (members.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"), F.count("*").alias("k"))
-             .filter("lo <> hi and k > 2").select("token"))
+    split = (members.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
+             .filter("lo <> hi").select("token"))
     members = written(spark, members.join(split, "token"), "jaccard-members")
     matrix_prefix = members.groupBy("token", "grp").agg(
-        F.min(_n("size")).alias("n_min"), F.max(_n("size")).alias("n_max"),
-        F.max(_left("size")).alias("left_max"))
+        F.min(_n("size")).alias("n_min"), F.max(_n("size")).alias("n_max"), F.max(_left("size")).alias("left_max"))
     q = members.select("token", "cls", F.col("grp").alias("own"), _n("size").alias("n"), _left("size").alias("left"))
-    # length and position bounds: a link's first common token leaves enough tokens on either side
-    reach = q.join(matrix_prefix, "token").filter(
-        (F.col("own") < F.col("grp"))
-        & (F.col("n_min") * THRESHOLD <= F.col("n") * 100) & (F.col("n_max") * 100 >= F.col("n") * THRESHOLD)
-        & (F.col("left") * (100 + THRESHOLD) >= (F.col("n") + F.greatest(F.col("n_min"), F.col("n") * THRESHOLD / 100)) * THRESHOLD)
-        & (F.col("left_max") * (100 + THRESHOLD) >= (F.col("n") + F.greatest(F.col("n_min"), F.col("n") * THRESHOLD / 100)) * THRESHOLD))
-    reach = written(spark, reach.select("cls", "n", "grp").distinct(), "jaccard-reach")
+    # lengths, and what is left of either set from its first common token on, bound the similarity
+    low, high = F.greatest("n_min", F.col("n") * THRESHOLD / 100), F.least("n_max", F.col("n") * 100 / THRESHOLD)
+    least = (F.col("n") + low) * THRESHOLD
+    met = q.join(matrix_prefix, "token").filter(
+        (F.col("own") < F.col("grp")) & (F.col("n_min") * THRESHOLD <= F.col("n") * 100) & (F.col("n_max") * 100 >= F.col("n") * THRESHOLD)
+        & (F.least("left", "left_max") * (100 + THRESHOLD) >= least)).select("cls", "grp").distinct()
+    # common tokens of the prefixes; beyond the shorter prefix there are at most what it leaves of its set
+    met = (written(spark, met, "jaccard-met").join(q.select("cls", "token", "n"), "cls")
+           .join(matrix_prefix.drop("left_max"), ["token", "grp"]).groupBy("cls", "n", "grp")
+           .agg(F.count("*").alias("common"), F.min("n_min").alias("n_min"), F.max("n_max").alias("n_max")))
+    at_most = F.col("common") + F.greatest(_needed("n"), F.ceil(high * THRESHOLD / 100)) - 1
+    reach = written(spark, met.filter(at_most * (100 + THRESHOLD) >= least).select("cls", "n", "grp"), "jaccard-reach")
     # a group of one class: its union is the class, the comparison is the bound
     alone = groups.groupBy(F.col("label").alias("grp")).agg(F.lit(1).alias("many"))
     reach = reach.join(alone, "grp", "left")
@@ -218,7 +284,10 @@ def _open_groups(spark: SparkSession, posts: DataFrame, groups: DataFrame, texts
     many = reach.filter("many is not null").select("cls", "n", "grp")
     # the matrix: token unions of the groups reached
     reached = many.select("grp").distinct()
-    inside = groups.select(F.col("node").alias("cls"), F.col("label").alias("grp")).join(reached, "grp")
+    inside = written(spark, groups.select(F.col("node").alias("cls"), F.col("label").alias("grp")).join(reached, "grp"), "jaccard-inside")
+    back = known.select(F.col("a").alias("b"), F.col("b").alias("a"))
+    single = written(spark, single.join(known, ["a", "b"], "left_anti").join(back, ["a", "b"], "left_anti"), "jaccard-single")
+    texts = fetch(single.select(F.col("a").alias("cls")).union(single.select("b")).union(many.select("cls")).union(inside.select("cls")).distinct())
     matrix = (texts.join(inside, "cls").select("grp", F.lit(0).cast("long").alias("also"), "text")
               .mapInArrow(_tokens, "grp long, also long, token long").select("grp", "token").distinct())
     asked = (texts.join(many, "cls").select(F.col("grp"), F.col("cls").alias("also"), "text")
@@ -227,7 +296,13 @@ def _open_groups(spark: SparkSession, posts: DataFrame, groups: DataFrame, texts
     opened = (bound.withColumnRenamed("also", "cls").join(many, ["cls", "grp"])
               .filter(F.col("common") * 100 >= F.col("n") * THRESHOLD).select("cls", "grp"))
     wide = opened.join(inside.select("grp", F.col("cls").alias("b")), "grp").select(F.col("cls").alias("a"), "b")
-    return single.unionByName(wide).distinct()
+    return _links(single.unionByName(wide), texts)
+
+
+def _best_star(stars: DataFrame) -> DataFrame:
+    return (stars.filter("cls <> lead").filter(_sizes_fit(F.col("n"), F.col("lead_n")))
+            .groupBy("cls", "lead", "n").agg(F.count("*").alias("k")).filter(F.col("k") * 3 > F.col("n") - _needed("n"))
+            .groupBy(F.col("cls").alias("a")).agg(F.max_by("lead", F.struct("k", "lead")).alias("b")))
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -237,22 +312,37 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     digest = written(spark, docs.mapInArrow(_digest, "doc_id long, n long, cls long, kind int"), "jaccard-digest", by="kind")
     rows = digest.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "cls")
-    bitmap = spark.sparkContext.broadcast(_frequent_bitmap(digest.filter("kind = 1"), rows.count()))
-    prefixes = docs.mapInArrow(_prefixes(bitmap), "token long, salt long, cls long, size long")
-    posts = written(spark, prefixes.repartition("token", "salt").sortWithinPartitions("token", "salt", "cls").mapInArrow(
-        _stars, "token long, salt long, cls long, size long, lead long, lead_size long"), "jaccard-posts")
-    stars = posts.filter(_sizes_fit(_n("size"), _n("lead_size"))).select(F.col("cls").alias("a"), F.col("lead").alias("b"))
-    salted = posts.filter("salt > 0")
-    across = (salted.select("token", F.col("lead").alias("a")).distinct()
-              .join(salted.groupBy("token").agg(F.min("lead").alias("b")), "token").filter("a <> b").select("a", "b"))
-    pairs = written(spark, stars.unionByName(across).distinct(), "jaccard-pairs")
-    classes = rows.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    wanted = posts.select("cls").union(posts.select("lead")).distinct()
-    texts = written(spark, docs.join(classes.join(wanted, "cls"), "doc_id").select("cls", "text")
-                    .mapInArrow(_with_class, "cls long, text string").dropDuplicates(["cls"]), "jaccard-texts")
-    links = written(spark, _links(pairs, texts), "jaccard-links")
+    # the order of the tokens: first what many documents have by counts of all tokens' buckets, ...
+    many = (digest.filter("kind = 1").groupBy(F.col("cls").alias("bucket")).agg(F.sum("n").alias("n"))
+            .filter(F.col("n") >= max(LEAST_FREQUENT, FREQUENT * rows.count())))
+    words = _bitmap(many, BUCKETS)
+    hot = spark.sparkContext.broadcast(words)
+    schema = "token long, salt long, cls long, size long"
+    # ... then what several have, by counts of the prefixes' tokens under that order
+    one = spark.sparkContext.broadcast([words])
+    counts = written(spark, docs.mapInArrow(_prefixes(one, hot), schema).groupBy("token").agg(F.count("*").alias("n"))
+                     .filter(F.col("n") >= LEAST_FREQUENT), "jaccard-counts")
+    bucket = F.col("token").bitwiseAND(BUCKETS - 1).alias("bucket")
+    levels = [_bitmap(counts.filter(F.col("n") >= least).select(bucket), BUCKETS) for least in _thresholds(counts)]
+    levels = spark.sparkContext.broadcast([words | (levels[0] if levels else 0), *levels[1:], words])
+    posts = written(spark, docs.mapInArrow(_prefixes(levels, hot), schema).repartition("token", "salt").sortWithinPartitions("token", "salt", "cls").mapInArrow(
+        _stars, schema + ", lead long, lead_size long"), "jaccard-posts")
+    # each class with the first class that it shares the most tokens with, if these are a third of its prefix
+    stars = posts.select("token", "salt", "cls", _n("size").alias("n"), "lead", _n("lead_size").alias("lead_n"))
+    salted = stars.filter("salt > 0").select("token", F.col("lead").alias("cls"), F.col("lead_n").alias("n")).distinct()
+    across = salted.join(salted.groupBy("token").agg(F.min("cls").alias("lead"), F.min_by("n", "cls").alias("lead_n")), "token")
+    pairs = written(spark, _best_star(stars).unionByName(_best_star(across)).distinct(), "jaccard-pairs")
+    classes = (rows.filter("n_shingles > 0").groupBy("cls", "doc_id").agg(F.count("*").alias("k"))
+               .groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min_by("k", "doc_id").alias("k")))
+    classes = written(spark, classes, "jaccard-classes")
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        needed_rows = written(spark, classes.join(wanted, "cls").filter("doc_id is not null"), "jaccard-wanted")
+        return written(spark, _texts(spark, docs, needed_rows), "jaccard-texts")
+
+    links = written(spark, _links(pairs, fetch(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct())), "jaccard-links")
     groups = connected(spark, links)
-    more = written(spark, _links(_open_groups(spark, posts, groups, texts), texts), "jaccard-more")
+    more = written(spark, _open_groups(spark, posts, groups, pairs, fetch), "jaccard-more")
     whole = groups if more.isEmpty() else connected(spark, links.unionByName(more))
     labelled = _label(classes, whole, "cls", "label")
     smallest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
