@@ -66,6 +66,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.digests(spark, c.from_turn_rows(table(spark, sf_dir, "conversations")).unionByName(probe))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.whitening import whitened
+    return whitened(spark, table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -74,7 +79,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_source_mix, op2_vector_search, op3_secret_scan, op4_license_scan, op5_byte_bpe, op6_html_text, op7_quality_rules,
-        op8_ngram_jaccard_join, op9_language_id, op10_chat_format, pipeline,
+        op8_ngram_jaccard_join, op9_language_id, op10_chat_format, op12_embedding_whitening, pipeline,
     )}
 
 

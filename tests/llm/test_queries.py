@@ -28,6 +28,8 @@ def test_columns_of_the_others(spark, sf):
                               "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
         "op8_ngram_jaccard_join": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
         "op9_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
+        "op12_embedding_whitening": {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double",
+                                     "explained": "double", "identity_error": "double"},
     }
     for name, columns in want.items():
         got = dict(queries()[name](spark, sf).dtypes)
