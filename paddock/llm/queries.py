@@ -71,6 +71,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.hard_negatives import mined
+    return mined(spark, table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -79,10 +84,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_source_mix, op2_vector_search, op3_secret_scan, op4_license_scan, op5_byte_bpe, op6_html_text, op7_quality_rules,
-        op8_ngram_jaccard_join, op9_language_id, op10_chat_format, op12_embedding_whitening, pipeline,
+        op8_ngram_jaccard_join, op9_language_id, op10_chat_format, op12_embedding_whitening, op13_hard_negatives, pipeline,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    from paddock.llm import chat_format, license_scan, mixing
-    return {"op1_source_mix": mixing.oracle(), "op4_license_scan": license_scan.oracle(), "op10_chat_format": chat_format.oracle()}
+    from paddock.llm import chat_format, hard_negatives, license_scan, mixing
+    return {"op1_source_mix": mixing.oracle(), "op4_license_scan": license_scan.oracle(), "op10_chat_format": chat_format.oracle(),
+            "op13_hard_negatives": hard_negatives.oracle()}

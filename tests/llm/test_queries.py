@@ -11,7 +11,7 @@ SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "st
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_same_as_sql(spark, sf, name):
-    tables = {t: table(spark, sf, t) for t in ("documents", "conversations")}
+    tables = {t: table(spark, sf, t) for t in ("documents", "conversations", "embeddings")}
     rows, rel = queries()[name](spark, sf), by_sql(oracle_sql()[name], **tables)
     assert {f.name: SPARK_TO_DUCKDB[f.dataType.simpleString()] for f in rows.schema.fields} == dict(zip(rel.columns, map(str, rel.types), strict=True))
     same_rows(rows, rel)
