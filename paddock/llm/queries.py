@@ -66,6 +66,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.digests(spark, c.from_turn_rows(table(spark, sf_dir, "conversations")).unionByName(probe))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from paddock.llm.suffix_dedup import deduplicated
+    return deduplicated(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paddock.llm.whitening import whitened
     return whitened(spark, table(spark, sf_dir, "embeddings"))
@@ -84,11 +92,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_source_mix, op2_vector_search, op3_secret_scan, op4_license_scan, op5_byte_bpe, op6_html_text, op7_quality_rules,
-        op8_ngram_jaccard_join, op9_language_id, op10_chat_format, op12_embedding_whitening, op13_hard_negatives, pipeline,
+        op8_ngram_jaccard_join, op9_language_id, op10_chat_format, op11_suffix_dedup, op12_embedding_whitening, op13_hard_negatives, pipeline,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    from paddock.llm import chat_format, hard_negatives, license_scan, mixing
+    from paddock.llm import chat_format, hard_negatives, license_scan, mixing, suffix_dedup
     return {"op1_source_mix": mixing.oracle(), "op4_license_scan": license_scan.oracle(), "op10_chat_format": chat_format.oracle(),
-            "op13_hard_negatives": hard_negatives.oracle()}
+            "op11_suffix_dedup": suffix_dedup.oracle(), "op13_hard_negatives": hard_negatives.oracle()}
