@@ -5,11 +5,12 @@ or in the same document at a smaller place. Strings never cross documents and ar
 
 Equal strings meet like this. Every string has a *minimizer*, its ``GRAM``-byte gram of the smallest hash (the leftmost
 of equals); consecutive strings with the same one make a *piece*, and equal strings have equal minimizers
-at equal places. So only pieces whose minimizer is found twice or more (bitmaps of fixed size; a false bit costs time, nothing
-else) are shuffled, by minimizer. Pieces equal within a slice of documents are settled there and
-shipped once, so copies and frequent passages are small before they move.
+at equal places. Only pieces whose minimizer is found twice or more count (bitmaps of fixed size; a false bit costs
+time, nothing else). Equal pieces are a *class* (by a 64-bit hash within their minimizer), whose earliest piece stands for all; the
+others are removed whole. Within a slice of documents that is settled before anything is shuffled, and no bytes
+are moved for it. Where a minimizer has several classes, the bytes of their earliest pieces meet.
 
-The pieces that meet, aligned at their minimizers, are the documents of the construction: each round inserts one symbol
+These pieces, aligned at their minimizers, are the documents of the construction: each round inserts one symbol
 per piece, the column to the left, and updates the order of all suffixes that start there. The symbols
 before the sorted suffixes are the Burrows-Wheeler transform of that column; its stable sort is
 the next order, and a common prefix is one longer than the least of those it spans, or 0 where symbols
@@ -140,7 +141,7 @@ class Pieces:
         self.start = bases[segment] + self.first - starts[segment]   # in the document
         self.offset = place - self.first
         self.id = ids[self.row]
-        self.repeats = np.zeros(len(self.first), bool)
+        self.repeats, self.content = np.zeros(len(self.first), bool), np.zeros(0, _U)
         if len(self.first):
             self._settle()
 
@@ -148,6 +149,7 @@ class Pieces:
         last = self.first + self.n + (LENGTH - 1)
         with np.errstate(over="ignore"):
             key = _content(self.data, self.first, last, _BYTE) + mix(self.key + (self.n * 256 + self.offset).astype(_U))
+        self.content = key
         order = np.lexsort((self.start, self.id))
         found, at, which = np.unique(key[order], return_index=True, return_inverse=True)
         if len(found) == len(order):
@@ -196,7 +198,7 @@ def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
-    """The buckets of ``key`` as bits; its size never depends on the data."""
+    """The buckets of the hashes ``key`` as bits; its size never depends on the data."""
     bucket = keys.select(F.shiftrightunsigned("key", 64 - BITS).alias("bucket"))
     rows = bucket.repartition(F.shiftright("bucket", CHUNK_BITS)).mapInArrow(_set_bits, "chunk long, bits binary").collect()
     bits = np.zeros(1 << BITS - 3, np.uint8)
@@ -211,30 +213,39 @@ def _bit(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (bits[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 == 1
 
 
-#: key, salt: the group. at: place of the minimizer in the document; offset: in the piece. Rows without a piece are removed spans.
-_SCHEMA = "key long, salt long, id long, h long, at long, offset int, piece binary, start long, stop long"
+def _place(ids: np.ndarray, h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of a piece's place in the collection."""
+    with np.errstate(over="ignore"):
+        return mix(mix(ids.view(_U) + _STEPS[5]) ^ h.view(_U) ^ (at.view(_U) * _STEPS[6]))
 
 
-def _batch(key, salt, ids, h, at=None, offset=None, piece=None, start=None, stop=None) -> pa.RecordBatch:
-    n = len(ids)
-    return pa.record_batch([pa.array(key, pa.int64()), pa.array(salt, pa.int64()), pa.array(ids, pa.int64()), pa.array(h, pa.int64()),
-                            pa.nulls(n, pa.int64()) if at is None else pa.array(at, pa.int64()), pa.nulls(n, pa.int32()) if offset is None else pa.array(offset.astype(np.int32)),
-                            pa.nulls(n, pa.binary()) if piece is None else piece, pa.nulls(n, pa.int64()) if start is None else pa.array(start, pa.int64()),
-                            pa.nulls(n, pa.int64()) if stop is None else pa.array(stop, pa.int64())],
-                           names=["key", "salt", "id", "h", "at", "offset", "piece", "start", "stop"])
+def _salts(hot: np.ndarray, key: np.ndarray, h: np.ndarray, salts: int) -> np.ndarray:
+    return np.where(_bit(hot, key), 1 + (mix(h.view(_U)) % _U(salts)).astype(np.int64), 0)
+
+
+#: A piece without its bytes: key and content name its class, at is the place of its minimizer in the document, offset that in the piece.
+#: Rows with start and stop are removed spans.
+_FOUND = "key long, content long, salt long, id long, h long, at long, start long, stop long"
+_FOUND_NAMES = ["key", "content", "salt", "id", "h", "at", "start", "stop"]
 
 
-def _shipped(repeated, hot, salts: int):
-    """Pieces that may have a partner elsewhere, and spans settled within a slice."""
+def _found(key, content, salt, ids, h, at, start, stop) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(x, pa.int64()) if x is not None else pa.nulls(len(ids), pa.int64()) for x in (key, content, salt, ids, h, at, start, stop)],
+                           names=_FOUND_NAMES)
+
+
+def _places(repeated, hot, salts: int):
+    """Pieces that may have a partner elsewhere, and the spans settled within a slice. Until they are settled, start and
+    stop are the piece's."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = batch.column("h").to_numpy(zero_copy_only=False)
             for p in _of(batch):
                 some = np.flatnonzero(~p.repeats & _bit(repeated.value, p.key))
                 if len(some):
-                    mine = h[p.row[some]]
-                    salt = np.where(_bit(hot.value, p.key[some]), 1 + (mix(mine.view(_U)) % _U(salts)).astype(np.int64), 0)
-                    yield _batch(signed(p.key[some]), salt, p.id[some], mine, p.start[some] + p.offset[some], p.offset[some], p.texts(some))
+                    mine, start = h[p.row[some]], p.start[some]
+                    yield _found(signed(p.key[some]), signed(p.content[some]), _salts(hot.value, p.key[some], mine, salts), p.id[some], mine,
+                                 start + p.offset[some], start, start + p.n[some] + (LENGTH - 1))
                 gone = np.flatnonzero(p.repeats)
                 if len(gone):
                     # neighbours of a document join
@@ -244,10 +255,67 @@ def _shipped(repeated, hot, salts: int):
                     lead = np.flatnonzero(new)
                     stop = stop[np.append(lead[1:], len(gone)) - 1]
                     mine = h[row[lead]]
-                    yield _batch(signed(mix(mine.view(_U))), np.zeros(len(lead), np.int64), p.id[gone][lead], mine, start=start[lead], stop=stop)
+                    yield _found(signed(mix(mine.view(_U))), None, np.zeros(len(lead), np.int64), p.id[gone][lead], mine, None, start[lead], stop)
+    return run
+
+
+def _earliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by class and place: all but a class's first pieces become removed spans (without a place)."""
+    before = None   # key, content, salt, id and at of the class's first piece
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        settled = batch.column("at").is_null().to_numpy(zero_copy_only=False)
+        if settled.any():
+            yield batch.filter(pa.array(settled))
+            batch = batch.filter(pa.array(~settled))
+            if not batch.num_rows:
+                continue
+        key, content, salt, ids, at = (batch.column(c).to_numpy() for c in ("key", "content", "salt", "id", "at"))
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1]) | (salt[1:] != salt[:-1])
+        new[0] = before is None or (key[0], content[0], salt[0]) != before[:3]
+        lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
+        first_id, first_at = np.where(lead < 0, before[3] if before else 0, ids[lead]), np.where(lead < 0, before[4] if before else 0, at[lead])
+        before = key[-1], content[-1], salt[-1], first_id[-1], first_at[-1]
+        later = pa.array((ids != first_id) | (at != first_at))
+        place = pc.if_else(later, pa.scalar(None, pa.int64()), batch.column("at"))
+        yield batch.set_column(batch.schema.get_field_index("at"), "at", place)
+
+
+#: key, salt: the group. at: place of the minimizer in the document; offset: in the piece. Rows without a piece are removed spans.
+_SCHEMA = "key long, salt long, id long, h long, at long, offset int, piece binary, start long, stop long"
+
+
+def _batch(key, salt, ids, h, at=None, offset=None, piece=None, start=None, stop=None) -> pa.RecordBatch:
+    n = len(ids)
+    return pa.record_batch([pa.array(key, pa.int64()), pa.array(salt, pa.int64()), pa.array(ids, pa.int64()), pa.array(h, pa.int64()),
+                            pa.nulls(n, pa.int64()) if at is None else pa.array(at, pa.int64()), pa.nulls(n, pa.int32()) if offset is None else pa.array(offset.astype(np.int32)),
+                            pa.nulls(n, pa.binary()) if piece is None else piece, pa.nulls(n, pa.int64()) if start is None else pa.array(start, pa.int64()),
+                            pa.nulls(n, pa.int64()) if stop is None else pa.array(stop, pa.int64())],
+                           names=["key", "salt", "id", "h", "at", "offset", "piece", "start", "stop"])
+
+
+def _shipped(mixed, firsts, hot, salts: int):
+    """The bytes of the classes' first pieces, for minimizers that have several classes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column("h").to_numpy(zero_copy_only=False)
+            for p in _of(batch):
+                some = np.flatnonzero(~p.repeats & _bit(mixed.value, p.key))
+                some = some[_bit(firsts.value, _place(p.id[some], h[p.row[some]], p.start[some] + p.offset[some]))]
+                if len(some):
+                    mine = h[p.row[some]]
+                    yield _batch(signed(p.key[some]), _salts(hot.value, p.key[some], mine, salts), p.id[some], mine,
+                                 p.start[some] + p.offset[some], p.offset[some], p.texts(some))
     return run
 
 
+def _place_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.record_batch([signed(_place(*(batch.column(c).to_numpy() for c in ("id", "h", "at"))))], names=["key"])
+
+
 def rounds(columns: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each column from the last to the first: it, the order of the rows by their symbols from there on, and the common prefix
     of each with the one before. ``columns`` has a row of symbols per column; ties keep the order of the rows."""
@@ -360,24 +428,41 @@ def _construct(again: bool):
 def repeats(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """id, h, start, stop: spans of bytes to remove from the texts of ``rows`` (id, h, text); they may overlap."""
     ship_package(spark)
-    rows = rows.select("id", "h", "text")
+    rows, context = rows.select("id", "h", "text"), spark.sparkContext
     counts = rows.select("id", "text").mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
     counts = written(spark, counts, "repeats-counts")
-    total = counts.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
-    repeated, many = _bitmap(counts.select("key")), counts.filter(F.col("n") > HOT).select("key")
-    is_hot = (total["most"] or 0) > HOT
-    hot = _bitmap(many) if is_hot else np.zeros(1 << BITS - 3, np.uint8)
-    # as many salts as strings may meet again in the second construction: both stay near the root of the group's size
-    salts = max(2, int(2 * (total["most"] or 0) / HOT) + 1)
-    context = spark.sparkContext
-    bits = context.broadcast(repeated), context.broadcast(hot)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(total["n"] or 0) * (LENGTH * 3 // 2) // PART_BYTES))
-    found = rows.mapInArrow(_shipped(*bits, salts), _SCHEMA)
-    found = found.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt").mapInArrow(_construct(is_hot), _SCHEMA)
-    if is_hot:
-        found = found.repartition(parts, "key").sortWithinPartitions("key", "salt").mapInArrow(_construct(False), _SCHEMA)
-    spans = written(spark, found.select("id", "h", "start", "stop"), "repeats-spans")
-    for b in bits:
+    most = counts.agg(F.max("n").alias("most")).first()["most"] or 0
+    none = np.zeros(1 << BITS - 3, np.uint8)
+    repeated = context.broadcast(_bitmap(counts.select("key")))
+    hot = context.broadcast(_bitmap(counts.filter(F.col("n") > HOT).select("key")) if most > HOT else none)
+    # as many salts as first pieces of a class may meet again: both stay near the root of the group's size
+    salts = max(2, 2 * most // HOT + 1)
+    # classes, the earliest piece of each, and spans of the others
+    found = rows.mapInArrow(_places(repeated, hot, salts), _FOUND)
+    if most > HOT:
+        found = found.repartition("key", "content", "salt").sortWithinPartitions("key", "content", "salt", "id", "at").mapInArrow(_earliest, _FOUND)
+        found = found.withColumn("salt", F.lit(0).cast("long"))
+    found = found.repartition("key", "content").sortWithinPartitions("key", "content", "salt", "id", "at").mapInArrow(_earliest, _FOUND)
+    found = written(spark, found.select("key", "content", "id", "h", "at", "start", "stop", F.col("at").isNull().cast("int").alias("gone")), "repeats-found", by="gone")
+    spans, classes = found.filter("gone = 1").select("id", "h", "start", "stop"), found.filter("gone = 0")
+    # minimizers of several classes
+    several = written(spark, classes.groupBy("key").agg(F.min("content").alias("lo"), F.max("content").alias("hi"), F.count("*").alias("n"))
+                      .filter("lo <> hi").select("key", "n"), "repeats-several")
+    total = several.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    if total["n"]:
+        mixed = context.broadcast(_bitmap(several.select("key")))
+        is_hot = total["most"] > HOT
+        crowded = context.broadcast(_bitmap(several.filter(F.col("n") > HOT).select("key")) if is_hot else none)
+        firsts = context.broadcast(_bitmap(classes.join(several, "key", "left_semi").select("id", "h", "at").mapInArrow(_place_of, "key long")))
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total["n"] * (LENGTH * 3 // 2) // PART_BYTES))
+        pieces = rows.mapInArrow(_shipped(mixed, firsts, crowded, max(2, 2 * total["most"] // HOT + 1)), _SCHEMA)
+        pieces = pieces.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt").mapInArrow(_construct(is_hot), _SCHEMA)
+        if is_hot:
+            pieces = pieces.repartition(parts, "key").sortWithinPartitions("key", "salt").mapInArrow(_construct(False), _SCHEMA)
+        spans = spans.unionByName(written(spark, pieces.select("id", "h", "start", "stop"), "repeats-spans"))
+        for b in (mixed, crowded, firsts):
+            b.unpersist()
+    for b in (repeated, hot):
         b.unpersist()
     return spans
 
