@@ -198,8 +198,9 @@ def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
-    """The buckets of the hashes ``key`` as bits; its size never depends on the data."""
-    bucket = keys.select(F.shiftrightunsigned("key", 64 - BITS).alias("bucket"))
+    """The buckets of the hashes ``key`` as bits; its size never depends on the data. A bucket is the hash's last bits: the first
+    ones of minimizers are nearly all small."""
+    bucket = keys.select(F.col("key").bitwiseAND((1 << BITS) - 1).alias("bucket"))
     rows = bucket.repartition(F.shiftright("bucket", CHUNK_BITS)).mapInArrow(_set_bits, "chunk long, bits binary").collect()
     bits = np.zeros(1 << BITS - 3, np.uint8)
     for r in rows:
@@ -209,7 +210,7 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
 
 
 def _bit(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    bucket = (key >> _U(64 - BITS)).astype(np.int64)
+    bucket = (key & _U((1 << BITS) - 1)).astype(np.int64)
     return (bits[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 == 1
 
 
