@@ -177,35 +177,36 @@ R1C = _r1(best_lap=True, existence=False, by_lap=False)
 R1_LOADED = _r1(best_lap=True, existence=False, by_lap=True)
 
 
-def _r2(existence: bool, session: str = f"session_key = {RACE}") -> str:
-    keep = """
-    AND (l.session_key, l.driver_number) IN (SELECT session_key, driver_number FROM telemetrys_laps)""" \
-        if existence else ""
-    one = "INTERVAL 1 SECOND"
+def _r2(existence: bool, session: str = f"session_key = {RACE}", speed: str = "speed", odd: bool = False) -> str:
+    """Every pair of a sample and a lap of its driver. ``odd``: means that are no finite number are named in a column of their own."""
+    keep = "SEMI JOIN telemetrys_laps USING (session_key, driver_number)" if existence else ""
+    lap = "lap.date_start"
+    mean = "round(favg(a) FILTER (a IS NOT NULL AND isfinite(a)), 9)"
+    if odd:
+        what = """CASE WHEN count(a) = 0 THEN NULL WHEN bool_or(isnan(a)) OR (bool_or(a = 'inf'::DOUBLE) AND bool_or(a = '-inf'::DOUBLE)) THEN 'NaN'
+    WHEN bool_or(a = 'inf'::DOUBLE) THEN 'Infinity' WHEN bool_or(a = '-inf'::DOUBLE) THEN '-Infinity' ELSE 'finite' END"""
+        mean = f"CASE WHEN bool_and(isfinite(a)) THEN {mean} END AS mean_acceleration, {what} AS kind"
+    else:
+        mean += " AS mean_acceleration"
     return views("telemetrys", "telemetrys_laps", "laps") + f"""
-, ordered AS (
-    SELECT session_key, driver_number, date, speed,
-      lag(date) OVER by_time AS prev_date, lag(speed) OVER by_time AS prev_speed
-    FROM telemetrys WHERE {session}
-    WINDOW by_time AS (PARTITION BY session_key, driver_number ORDER BY date)
-), accel AS (
-    SELECT session_key, driver_number, date,
-      CASE WHEN gap > 0 THEN ((speed - prev_speed) / 3.6) / gap WHEN gap = 0 THEN 0 END AS a
-    FROM (SELECT *, (epoch_us(date) - epoch_us(prev_date)) / 1e6 AS gap FROM ordered) o
+, moving AS (
+    SELECT session_key, driver_number, date, v, v - lag(v) OVER prior AS dv, (epoch_us(date) - epoch_us(lag(date) OVER prior)) / 1e6 AS dt
+    FROM (SELECT *, {speed} AS v FROM telemetrys WHERE {session}) s
+    WINDOW prior AS (PARTITION BY session_key, driver_number ORDER BY date)
 ), pairs AS (
-    SELECT x.session_key, x.driver_number, x.a,
-      CASE WHEN x.date BETWEEN l.date_start AND l.date_start + {secs('l.duration_sector_1')} THEN 'SECTOR 1'
-           WHEN x.date BETWEEN l.date_start + {one} + {secs('l.duration_sector_1')}
-                           AND l.date_start + {secs('l.duration_sector_2')} THEN 'SECTOR 2'
-           WHEN x.date BETWEEN l.date_start + {one} + {secs('l.duration_sector_2')}
-                           AND l.date_start + {secs('l.duration_sector_3')} THEN 'SECTOR 3' END AS sector
-    FROM accel x JOIN laps l ON l.session_key = x.session_key AND l.driver_number = x.driver_number{keep}
+    SELECT session_key, driver_number, CASE WHEN dt = 0 THEN 0 ELSE dv / 3.6 / dt END AS a,
+      CASE WHEN date BETWEEN {lap} AND {lap} + {secs('lap.duration_sector_1')} THEN 'SECTOR 1'
+           WHEN date BETWEEN {lap} + {secs('1 + lap.duration_sector_1')} AND {lap} + {secs('lap.duration_sector_2')} THEN 'SECTOR 2'
+           WHEN date BETWEEN {lap} + {secs('1 + lap.duration_sector_2')} AND {lap} + {secs('lap.duration_sector_3')} THEN 'SECTOR 3' END AS sector
+    FROM moving {keep} JOIN laps lap USING (session_key, driver_number)
 )
-SELECT driver_number, session_key, sector,
-  round(CAST(sum(CAST(a AS DECIMAL(38,18))) AS DOUBLE) / count(a), 9) AS mean_acceleration
-FROM pairs GROUP BY driver_number, session_key, sector"""
+SELECT driver_number, session_key, sector, {mean}
+FROM pairs GROUP BY ALL"""
 
 
+#: Telemetry in which some speeds are no finite numbers.
+ODD_SPEED = """CASE WHEN hour(date) = 3 THEN 'nan'::DOUBLE WHEN minute(date) = 7 THEN 'inf'::DOUBLE WHEN minute(date) = 11 THEN '-inf'::DOUBLE ELSE speed END"""
+R2_ODD = _r2(False, "TRUE", ODD_SPEED, True)
 R2A = _r2(True)
 R2B = _r2(False)
 R2_ALL = _r2(True, "TRUE")
@@ -220,53 +221,51 @@ R3A = views("tyre_stints", "weather_conditions") + f"""
 SELECT compound, {m2('track_temperature')} AS mean_track_temperature, max(laps) AS max_stint_laps
 FROM paired GROUP BY compound"""
 
-# Labelled samples -> change flags -> run numbers -> per-run first/last speed
-# from a window over each run -> grouped by name and state.
-def _halfopen(n: int) -> str:
-    s = "l.date_start"
-    lo = {1: f"x.date >= {s}", 2: f"x.date > {s} + {secs('l.duration_sector_1')}",
-          3: f"x.date > {s} + {secs('l.duration_sector_2')}"}[n]
-    return f"{lo} AND x.date <= {s} + {secs(f'l.duration_sector_{n}')}"
+def _runs(*states: str) -> str:
+    """CTEs ``stretch``: the maximal stretches of consecutive rows of ``samples`` (session_key, driver_number, date, speed and
+    ``states``) that agree in all states. A row opens a stretch if the row just before it, of the same driver, doesn't agree with it;
+    the stretch ends right before the next one opens."""
+    driver = "session_key, driver_number"
+    agree = " AND ".join(f"before.{c} = here.{c}" for c in states)
+    return f"""
+, line AS (
+    SELECT *, row_number() OVER mine AS spot, count(*) OVER (PARTITION BY {driver}) AS spots
+    FROM samples WINDOW mine AS (PARTITION BY {driver} ORDER BY date)
+), opening AS (
+    SELECT here.* FROM line here
+    ANTI JOIN line before ON before.session_key = here.session_key AND before.driver_number = here.driver_number
+      AND before.spot = here.spot - 1 AND {agree}
+), extent AS (
+    SELECT *, coalesce(lead(spot) OVER openings, spots + 1) - 1 AS last_spot, row_number() OVER openings AS nth
+    FROM opening WINDOW openings AS (PARTITION BY {driver} ORDER BY spot)
+), stretch AS (
+    SELECT o.session_key, o.driver_number, o.nth, {", ".join("o." + c for c in states)}, o.date AS opened, o.speed AS speed_in,
+      c.date AS closed, c.speed AS speed_out, o.last_spot - o.spot + 1 AS n
+    FROM extent o JOIN line c ON c.session_key = o.session_key AND c.driver_number = o.driver_number AND c.spot = o.last_spot
+)"""
 
 
 def _r4(existence: bool, only: str = "TRUE") -> str:
-    keep = """
-    WHERE (x.session_key, x.driver_number) IN (SELECT session_key, driver_number FROM telemetrys_laps)""" \
-        if existence else ""
+    """The three spans of a lap each run from the end of the one before (the first from the lap's start, which it includes);
+    a sample takes the first span that holds it."""
+    keep = "SEMI JOIN telemetrys_laps USING (session_key, driver_number)" if existence else ""
     return views("telemetrys", "telemetrys_laps", "laps", "drivers", "sessions") + f"""
-, tagged AS (
-    SELECT x.session_key, x.driver_number, x.date, x.speed,
-      CASE WHEN x.drs IN (8, 10, 12, 14) THEN 'ATIVO' ELSE 'NÃO ATIVO' END AS drs,
-      CASE WHEN x.brake = 100 THEN 'FREANDO' ELSE 'NORMAL' END AS brake_state,
-      CASE WHEN {_halfopen(1)} THEN 'SETOR 1' WHEN {_halfopen(2)} THEN 'SETOR 2'
-           WHEN {_halfopen(3)} THEN 'SETOR 3' END AS sector
-    FROM (SELECT * FROM telemetrys WHERE {only}) x
-    JOIN laps l ON l.session_key = x.session_key AND l.driver_number = x.driver_number{keep}
-), states AS (
-    SELECT * FROM tagged WHERE sector IS NOT NULL
-), flagged AS (
-    SELECT *, CASE WHEN lag(drs) OVER seq = drs AND lag(sector) OVER seq = sector
-                    AND lag(brake_state) OVER seq = brake_state THEN 0 ELSE 1 END AS new_run
-    FROM states WINDOW seq AS (PARTITION BY session_key, driver_number ORDER BY date)
-), numbered AS (
-    SELECT *, sum(new_run) OVER (PARTITION BY session_key, driver_number ORDER BY date) AS run
-    FROM flagged
-), ends AS (
-    SELECT *, first_value(speed) OVER whole_run AS speed_in, last_value(speed) OVER whole_run AS speed_out
-    FROM numbered
-    WINDOW whole_run AS (PARTITION BY session_key, driver_number, run ORDER BY date
-                         ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
-)
-SELECT DISTINCT circuit_short_name, full_name, start_time, end_time, drs, sector, brake_state,
-  start_speed, end_speed
-FROM (
-  SELECT s.circuit_short_name, d.full_name, min(e.date) AS start_time, max(e.date) AS end_time,
-    e.drs, e.sector, e.brake_state, e.speed_in AS start_speed, e.speed_out AS end_speed
-  FROM ends e
-  JOIN drivers d ON d.session_key = e.session_key AND d.driver_number = e.driver_number
-  JOIN sessions s ON s.session_key = e.session_key
-  GROUP BY s.circuit_short_name, d.full_name, e.drs, e.sector, e.run, e.speed_in, e.speed_out, e.brake_state
-) g"""
+, span AS (
+    SELECT session_key, driver_number, lap_number, 1 AS no, date_start - INTERVAL 1 MICROSECOND AS beyond,
+      date_start + {secs('duration_sector_1')} AS upto FROM laps
+    UNION ALL SELECT session_key, driver_number, lap_number, 2, date_start + {secs('duration_sector_1')}, date_start + {secs('duration_sector_2')} FROM laps
+    UNION ALL SELECT session_key, driver_number, lap_number, 3, date_start + {secs('duration_sector_2')}, date_start + {secs('duration_sector_3')} FROM laps
+), samples AS (
+    SELECT session_key, driver_number, date, any_value(speed) AS speed, 'SETOR ' || min(no) AS sector,
+      any_value(CASE WHEN drs IN (8, 10, 12, 14) THEN 'ATIVO' ELSE 'NÃO ATIVO' END) AS drs,
+      any_value(CASE brake WHEN 100 THEN 'FREANDO' ELSE 'NORMAL' END) AS brake_state
+    FROM telemetrys {keep} JOIN span USING (session_key, driver_number)
+    WHERE {only} AND date > beyond AND date <= upto
+    GROUP BY session_key, driver_number, date, lap_number
+){_runs("drs", "sector", "brake_state")}
+SELECT DISTINCT circuit_short_name, full_name, opened AS start_time, closed AS end_time, drs, sector, brake_state,
+  speed_in AS start_speed, speed_out AS end_speed
+FROM stretch JOIN drivers USING (session_key, driver_number) JOIN sessions USING (session_key)"""
 
 
 R4 = _r4(True)
@@ -283,6 +282,7 @@ def all_sql() -> dict[str, str]:
         "r2a_sector_accel": R2A,
         "r2b_sector_accel_nojoin": R2B,
         "r2a_all_sessions": R2_ALL,
+        "r2_odd_speeds": R2_ODD,
         "r3a_tyre_temp": R3A,
         "r4_one_driver": R4_ONE,
         "r5_all_sessions": R5_ALL,
@@ -335,6 +335,14 @@ FROM telemetrys WHERE {_TEL_COMPLETE}""" for f in _TEL_FIELDS)
 
 S1 = views("telemetrys", "sessions") + "SELECT session_key, meeting_key, session_name, circuit_short_name FROM sessions"
 
+_FRACTION = "driver_number % 3 = 1 AND CAST(floor(speed) AS BIGINT) % 50 = 7"
+S2 = views("telemetrys") + f"""
+SELECT session_key, driver_number, date, drs, CASE WHEN driver_number % 3 <> 2 THEN throttle END AS throttle
+FROM telemetrys WHERE NOT ({_FRACTION})"""
+C15_FILES = views("telemetrys") + f"""
+SELECT session_key, driver_number, date, 'bad drs' AS reason FROM telemetrys WHERE {_FRACTION}
+UNION ALL SELECT NULL, NULL, NULL, 'unreadable file'"""
+
 S10 = views("telemetrys") + "\n" + "\nUNION ALL\n".join(
     f"""SELECT 'telemetry' AS _measurement, CAST(session_key AS VARCHAR) AS session_key,
   CAST(driver_number AS VARCHAR) AS driver_number, '{f}' AS _field, CAST(CAST(trunc({f}) AS INT) AS DOUBLE) AS _value, date AS _time
@@ -513,29 +521,22 @@ FROM (SELECT *, row_number() OVER (PARTITION BY session_key, driver_number
                                    ORDER BY lap_duration ASC NULLS LAST, lap_number) AS rn FROM laps) x
 WHERE rn = 1"""
 
-W6 = views("telemetrys") + """
-, s AS (
-  SELECT session_key, driver_number, date, speed,
-    CASE WHEN drs IN (8, 10, 12, 14) THEN 'ATIVO' ELSE 'NÃO ATIVO' END AS drs,
-    CASE WHEN brake = 100 THEN 'FREANDO' ELSE 'NORMAL' END AS brake_state
+W6 = views("telemetrys") + f"""
+, samples AS (
+  SELECT session_key, driver_number, date, speed, CASE brake WHEN 100 THEN 'FREANDO' ELSE 'NORMAL' END AS brake_state,
+    CASE WHEN drs IN (8, 10, 12, 14) THEN 'ATIVO' ELSE 'NÃO ATIVO' END AS drs
   FROM telemetrys
-), f AS (
-  SELECT *, CASE WHEN LAG(drs) OVER W = drs AND LAG(brake_state) OVER W = brake_state THEN 0 ELSE 1 END AS chg
-  FROM s WINDOW W AS (PARTITION BY session_key, driver_number ORDER BY date)
-), r AS (
-  SELECT *, SUM(chg) OVER (PARTITION BY session_key, driver_number ORDER BY date) AS run_id FROM f
-)
-SELECT session_key, driver_number, CAST(run_id AS BIGINT) AS run_id, drs, brake_state,
-  min(date) AS start_time, max(date) AS end_time,
-  arg_min(speed, date) AS start_value, arg_max(speed, date) AS end_value, count(*) AS n_samples
-FROM r GROUP BY session_key, driver_number, run_id, drs, brake_state"""
+){_runs("drs", "brake_state")}
+SELECT session_key, driver_number, nth AS run_id, drs, brake_state, opened AS start_time, closed AS end_time,
+  speed_in AS start_value, speed_out AS end_value, n AS n_samples
+FROM stretch"""
 
 
 def operator_sql() -> dict[str, str]:
     return {
         "r3b_tyre_temp_points": R3B, "r3c_tyre_temp_denorm": R3C, "r6_sector_samples": R6, "j5_left_label": J5,
         "r7_timing_summary": R7, "a7_filtered_summary": A7, "a18_label_means": A18, "r8_timing_population": R8, "s9_points_unpivot": S9,
-        "s10_points_read_back": S10, "s1_loaded_sessions": S1, "s2_loaded_sector_speed": R1_LOADED, "r3b_stored_points": R3B, "a15_points_pivot": A15,
+        "s10_points_read_back": S10, "s1_loaded_sessions": S1, "s2_differing_files": S2, "c15_rejected_rows": C15_FILES, "s2_loaded_sector_speed": R1_LOADED, "r3b_stored_points": R3B, "a15_points_pivot": A15,
         "a17_last_write_wins": A17, "c5_dedup_first": C5, "c6_drop_nulls": C6, "c7_semi_filter": C7,
         "c8_composite_semi": C8, "c10_bool_cast": C10, "c12_iso_timestamp": C12, "c13_pk_audit": C13,
         "c14_fk_audit": C14, "c15_quarantine": C15, "c16_modulus_sample": C16, "c17_distinct_pairs": C17,

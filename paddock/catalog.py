@@ -44,6 +44,19 @@ def _nine(df: DataFrame, *columns: str) -> DataFrame:
 ONE_DRIVER = 30
 
 
+def odd_speeds(s: SparkSession, d: str) -> DataFrame:
+    """R2 on telemetry in which some speeds are NaN or infinite; means that are no finite number are named in ``kind``."""
+    from pyspark.sql import functions as F
+    t = _t(s, d)
+    speed = (F.when(F.hour("date") == 3, float("nan")).when(F.minute("date") == 7, float("inf")).when(F.minute("date") == 11, float("-inf"))
+             .otherwise(F.col("speed")))
+    t = t.with_(telemetrys=t.telemetrys.withColumn("speed", speed))
+    mean = F.col("mean_acceleration")
+    kind = F.when(mean.isNull(), None).when(F.isnan(mean), "NaN").when(mean == float("inf"), "Infinity").when(mean == float("-inf"), "-Infinity").otherwise("finite")
+    out = R.sector_acceleration(t, None, require_telemetry_laps=False).withColumn("kind", kind)
+    return out.withColumn("mean_acceleration", F.when(F.col("kind") == "finite", F.round("mean_acceleration", 9)))
+
+
 def report_queries() -> dict[str, Query]:
     return {
         "r0_drivers": lambda s, d: R.all_drivers(_t(s, d)),
@@ -54,6 +67,7 @@ def report_queries() -> dict[str, Query]:
         "r2b_sector_accel_nojoin": lambda s, d: _nine(R.sector_acceleration(
             _t(s, d), RACE_SESSION, require_telemetry_laps=False), "mean_acceleration"),
         "r2a_all_sessions": lambda s, d: _nine(R.sector_acceleration(_t(s, d), None), "mean_acceleration"),
+        "r2_odd_speeds": odd_speeds,
         "r3a_tyre_temp": lambda s, d: R.tyre_temperature(_t(s, d)),
         "r4_drs_runs": lambda s, d: R.drs_runs(_t(s, d)),
         "r4_drs_runs_nojoin": lambda s, d: R.drs_runs(_t(s, d), require_telemetry_laps=False),
@@ -74,6 +88,8 @@ def _events(s, d):
 
 
 def operator_queries() -> dict[str, Query]:
+    import warnings
+
     from pyspark.sql import functions as F
 
     from paddock.functions.labels import brake_state, drs_state
@@ -116,7 +132,7 @@ def operator_queries() -> dict[str, Query]:
     def telemetry_runs(s, d):
         tel = _t(s, d).telemetrys.select(R.SD[0], R.SD[1], "date", "speed", drs_state("drs").alias("drs"),
                                          brake_state("brake").alias("brake_state"))
-        runs = islands(tel, R.SD, "date", ["drs", "brake_state"], "run_id", bucket_seconds=_t(s, d).bucket_seconds())
+        runs = islands(tel, R.SD, "date", ["drs", "brake_state"], "run_id", buckets=_t(s, d).time_ranges())
         return run_summary(runs, R.SD, "run_id", "date", "speed", ["drs", "brake_state"])
 
     def telemetry_points(s, d):
@@ -133,8 +149,6 @@ def operator_queries() -> dict[str, Query]:
 
     def loaded(s, d):
         """The tables written in the loaders' folders, with the columns that the load drops, and loaded from there."""
-        import warnings
-
         from paddock.sources.load import SOURCE_FILES, load_reference_layout
         root, t = new_folder(s, "raw"), _t(s, d)
         for name, path in SOURCE_FILES.items():
@@ -149,6 +163,28 @@ def operator_queries() -> dict[str, Query]:
             warnings.simplefilter("ignore")  # the stand-in has no files for some tables
             return load_reference_layout(s, root)[0]
 
+    def differing(s, d):
+        """Telemetry in files that differ: whole numbers, doubles (some with a fraction), a column less; and a file that isn't parquet."""
+        from paddock.sources.load import SOURCE_FILES, load_reference_layout
+        root, t = new_folder(s, "differing"), _t(s, d)
+        path = f"{root}/{SOURCE_FILES['telemetrys']}"
+        tel, part = t.telemetrys, F.col("driver_number") % 3
+        tel.where(part == 0).write.parquet(path)
+        half = F.when(F.floor("speed") % 50 == 7, 0.5).otherwise(0.0)
+        tel.where(part == 1).withColumn("drs", F.col("drs") + half).write.mode("append").parquet(path)
+        tel.where(part == 2).drop("throttle").write.mode("append").parquet(path)
+        s.createDataFrame([("no parquet",)], "value string").coalesce(1).write.mode("append").text(path)
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            return load_reference_layout(s, root)
+
+    def differing_files(s, d):
+        return differing(s, d)[0].telemetrys.select(*R.SD, "date", "drs", "throttle")
+
+    def rejected_rows(s, d):
+        bad = differing(s, d)[1]["telemetrys"]
+        return bad.select(*R.SD, "date", F.regexp_extract("_reason", r"^(unreadable file|.*$)", 1).alias("reason"))
+
     def loaded_sessions(s, d):
         return loaded(s, d).sessions.select("session_key", "meeting_key", "session_name", "circuit_short_name")
 
@@ -194,6 +230,8 @@ def operator_queries() -> dict[str, Query]:
         "s9_points_unpivot": telemetry_points,
         "s1_loaded_sessions": loaded_sessions,
         "s2_loaded_sector_speed": lambda s, d: R.sector_speed(loaded(s, d)),
+        "s2_differing_files": differing_files,
+        "c15_rejected_rows": rejected_rows,
         "s10_points_read_back": points_read_back,
         "r3b_stored_points": tyre_temperature_stored,
         "a15_points_pivot": lambda s, d: pivot_points(telemetry_points(s, d),

@@ -156,3 +156,57 @@ def quantiles_2dp(c, ps) -> list[Column]:
 def cast_2dp(c) -> Column:
     """``c::NUMERIC(8,2)`` (half away from zero; overflow raises under ANSI)."""
     return _c(c).cast("decimal(8,2)")
+
+
+# ------------------------------------------------------------- sums of any doubles
+# A double below 2^31 is split without rounding into a whole part and three parts of 30 binary places each (what lies
+# below 2^-90 is dropped); each part's sum is a long. Such sums can be subtracted and multiplied
+# exactly. Larger numbers, NaN and the infinities are summed or counted apart.
+BINARY_PARTS = ("p", "f", "g", "h", "o", "on", "nan", "inf", "ninf", "n")
+_PLACE = float(1 << 30)
+
+
+def binary_sums(c, name: str) -> list[Column]:
+    """Aggregates of ``c``: ``<name>_<part>`` for each of ``BINARY_PARTS``; ``n`` counts the values that aren't null."""
+    x = _c(c).cast("double")
+    infinite = F.abs(x) == F.lit(float("inf"))
+    plain = F.abs(x) < F.lit(float(1 << 31))
+    value = F.when(plain, x)
+    parts, rest = [], value
+    for _ in range(4):
+        whole = F.floor(rest)
+        parts.append(whole)
+        rest = (rest - whole) * F.lit(_PLACE)
+    large = F.when(~plain & ~infinite & ~F.isnan(x), x)
+    sums = [*[F.sum(p) for p in parts], F.sum(large), F.count(large), F.count(F.when(F.isnan(x), 1)), F.count(F.when(x == float("inf"), 1)),
+            F.count(F.when(x == float("-inf"), 1)), F.count(x)]
+    return [s.alias(f"{name}_{part}") for part, s in zip(BINARY_PARTS, sums, strict=True)]
+
+
+def binary_totals(name: str) -> list[Column]:
+    """Aggregates that add up ``binary_sums`` of smaller groups."""
+    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in BINARY_PARTS]
+
+
+def binary_rest(total: str, weight, inside: str, to: str) -> list[Column]:
+    """``weight`` times the sums ``total`` less the sums ``inside`` (null: none), as sums ``to``."""
+    w = _c(weight)
+    out = [(F.coalesce(F.col(f"{total}_{k}"), F.lit(0)) * w - F.coalesce(F.col(f"{inside}_{k}"), F.lit(0))).alias(f"{to}_{k}") for k in BINARY_PARTS]
+    return out
+
+
+def binary_mean(name: str) -> Column:
+    """The mean from ``binary_sums``: NaN if a value is or if both infinities occur, an infinity if one does."""
+    p, f, g, h, o, on, nan, inf, ninf, n = (F.col(f"{name}_{part}") for part in BINARY_PARTS)
+
+    def carried(low: Column, high: Column) -> tuple[Column, Column]:
+        low = F.coalesce(low, F.lit(0)).cast("long")
+        return low.bitwiseAND(F.lit((1 << 30) - 1).cast("long")).cast("double"), F.coalesce(high, F.lit(0)).cast("long") + F.shiftright(low, 30)
+
+    h, g = carried(h, g)
+    g, f = carried(g, f)
+    f, p = carried(f, p)
+    total = p.cast("double") + (f + (g + h / _PLACE) / _PLACE) / _PLACE
+    total = F.when(on > 0, total + o).otherwise(total)
+    return (F.when(n <= 0, F.lit(None).cast("double")).when((nan > 0) | ((inf > 0) & (ninf > 0)), F.lit(float("nan")))
+            .when(inf > 0, F.lit(float("inf"))).when(ninf > 0, F.lit(float("-inf"))).otherwise(total / n))

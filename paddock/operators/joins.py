@@ -1,11 +1,9 @@
 """Joins (J1-J10): existence joins, audits, and the interval-containment join.
 
-The interval join is an equi join on the entity keys plus a time-bucket key,
-with the exact range test as a residual predicate. Each interval is exploded
-over the buckets it touches (small side), each sample gets its one bucket (big
-side, no explode), so a sample meets an interval at most once and no single
-(session, driver) key ends up in a single task however hot it is. Whether a
-side is broadcast is left to AQE, which measures the side at run time.
+The interval join is an equi join on the entity keys plus a cell or range of time, with the exact range test as a
+residual predicate. Intervals make a bounded number of rows however long they are, and no single
+(session, driver) key ends up in a single task however hot it is. Whether a side is broadcast is left to AQE,
+which measures the side at run time.
 """
 
 from __future__ import annotations
@@ -15,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paddock.functions.timefn import time_bucket
+from paddock.functions.timefn import epoch_micros, time_bucket
+from paddock.operators.ranges import TimeRanges
 
 DEFAULT_BUCKET_SECONDS = 3600
 
@@ -30,31 +29,51 @@ def anti(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(other.select(*on), list(on), "left_anti").select(*df.columns)
 
 
-def interval_join(samples: DataFrame, intervals: DataFrame, on: Sequence[str], ts: str,
-                  lo: Column, hi: Column, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+def interval_join(samples: DataFrame, intervals: DataFrame, on: Sequence[str], ts: str, lo: Column, hi: Column,
+                  buckets: int | TimeRanges | None = DEFAULT_BUCKET_SECONDS,
                   keep_bucket: str | None = None, sample_bucket: str | None = None) -> DataFrame:
     """Inner join: equal ``on`` keys and ``lo <= samples[ts] <= hi`` (SQL ``BETWEEN``).
 
-    ``lo``/``hi`` are expressions over ``intervals``. With ``bucket_seconds`` the
-    equi key also carries ``floor(time / bucket)``. Intervals with a null bound
-    match nothing, as in SQL. Output: every column of both sides (keys once).
-    ``keep_bucket`` keeps the sample's bucket under that name, so a later window
-    on (keys, bucket) can reuse the join's partitioning instead of shuffling again;
-    ``sample_bucket`` names a sample column that already holds that bucket (e.g. kept
-    by a bucketed window), so samples partitioned by it are not shuffled again.
+    ``lo``/``hi`` are expressions over ``intervals``; intervals with a null bound match nothing, as in SQL.
+    Output: every column of both sides (keys once). ``buckets`` chooses the equi key besides ``on``; the result
+    doesn't depend on it:
+
+    * seconds: dyadic cells. An interval belongs to the level whose cells are as long as it, or longer, at least that many
+      seconds, and touches two cells there, however long it is; a sample looks up one cell of each level in use.
+    * ``TimeRanges``: the sample's range; an interval goes to the ranges of its key that it touches, all of which have
+      samples. The rows stay partitioned by (keys, range), which ``keep_bucket`` keeps under that name for a later
+      window; ``sample_bucket`` names a sample column that holds the range already.
+    * None: no other key.
     """
     on = list(on)
-    keys = list(on)
     iv = intervals.select("*", lo.alias("_lo"), hi.alias("_hi"))
-    smp = samples
-    if bucket_seconds:
-        iv = iv.select("*", F.explode(F.sequence(time_bucket(F.col("_lo"), bucket_seconds),
-                                                 time_bucket(F.col("_hi"), bucket_seconds))).alias("_tb"))
-        tb = F.col(sample_bucket) if sample_bucket else time_bucket(F.col(ts), bucket_seconds)
-        smp = smp.select("*", tb.alias("_tb"))
-        keys.append("_tb")
-    out = smp.join(iv, keys, "inner").where(F.col(ts).between(F.col("_lo"), F.col("_hi")))
-    cols = [F.col(c) for c in out.columns if c not in ("_lo", "_hi", "_tb")]
-    if keep_bucket and bucket_seconds:
-        cols.append(F.col("_tb").alias(keep_bucket))
-    return out.select(*cols)
+    inside = F.col(ts).between(F.col("_lo"), F.col("_hi"))
+    if isinstance(buckets, TimeRanges):
+        iv = buckets.numbered(buckets.numbered(iv.where("_lo <= _hi"), F.col("_lo"), "_first"), F.col("_hi"), "_final")
+        iv = iv.select("*", F.explode(F.sequence("_first", "_final")).alias("_tb")).drop("_first", "_final")
+        smp = samples.withColumn("_tb", F.col(sample_bucket)) if sample_bucket else buckets.numbered(samples, F.col(ts), "_tb")
+        out = smp.join(iv, [*on, "_tb"], "inner").where(inside)
+    elif buckets:
+        out = _cell_join(samples, iv, on, ts, buckets).where(inside)
+    else:
+        out = samples.join(iv, on, "inner").where(inside)
+    kept = []
+    if keep_bucket and buckets:
+        kept = [(F.col("_tb") if isinstance(buckets, TimeRanges) else time_bucket(F.col(ts), buckets)).alias(keep_bucket)]
+    return out.select(*[F.col(c) for c in out.columns if c not in ("_lo", "_hi", "_tb", "_level", "_cell")], *kept)
+
+
+def _cell_join(samples: DataFrame, iv: DataFrame, on: list[str], ts: str, least_seconds: int) -> DataFrame:
+    """Samples with the intervals that touch the same dyadic cell."""
+    unit = least_seconds * 1e6
+
+    def cell(micros: Column) -> Column:
+        return F.floor(micros / (F.pow(F.lit(2.0), F.col("_level")) * F.lit(unit)))
+
+    a, b = epoch_micros(F.col("_lo")), epoch_micros(F.col("_hi"))
+    level = F.greatest(F.ceil(F.log2(F.greatest(b - a, F.lit(1)) / F.lit(unit))), F.lit(0)).cast("int")
+    iv = iv.where("_lo <= _hi").withColumn("_level", level)
+    levels = iv.agg(F.collect_set("_level")).scalar()   # a few numbers, found while the query runs
+    iv = iv.select("*", F.explode(F.sequence(cell(a), cell(b))).alias("_cell"))
+    smp = samples.select("*", F.explode(levels).alias("_level")).withColumn("_cell", cell(epoch_micros(F.col(ts))))
+    return smp.join(iv, [*on, "_level", "_cell"], "inner")

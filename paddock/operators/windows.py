@@ -2,10 +2,10 @@
 
 A window partitioned by (session, driver) sends every sample of a driver to one
 task; if one driver holds a third of the data that task holds a third of the
-data. With ``bucket_seconds`` the windows here partition by
-(keys, time bucket) instead and stitch the buckets back together from a small
-per-bucket summary (last row of the previous bucket, running totals), which is
-exact: the result equals the unbucketed window.
+data. With ``buckets`` the windows here partition by (keys, bucket) instead and stitch the buckets
+back together from a small per-bucket summary (last row of the previous bucket, running totals), which is
+exact: the result equals the unbucketed window. Buckets are ``TimeRanges``, cut at quantiles of the keys that have
+too many rows, so bursts are cut as well; or a fixed number of seconds.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paddock.functions.timefn import time_bucket
+from paddock.operators.ranges import TimeRanges
 
 
 def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -28,35 +29,41 @@ def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def _bucketed(df: DataFrame, order_col: str, buckets: int | TimeRanges, bucket_col: str | None = None) -> DataFrame:
+    """``df`` with the bucket ``_b``. The explicit not-null filter matches the one Spark infers for the stitch join, so both
+    branches read the same input and its shuffle is reused (times are never null here)."""
+    if bucket_col:
+        out = df.withColumn("_b", F.col(bucket_col))
+    elif isinstance(buckets, TimeRanges):
+        out = buckets.numbered(df, F.col(order_col), "_b")
+    else:
+        out = df.select("*", time_bucket(F.col(order_col), buckets).alias("_b"))
+    return out.where(F.col("_b").isNotNull())
+
+
 def with_previous(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequence[str],
-                  bucket_seconds: int | None = None, prefix: str = "prev_",
+                  buckets: int | TimeRanges | None = None, prefix: str = "prev_",
                   keep_bucket: str | None = None) -> DataFrame:
     """Add ``prev_<c>`` = ``LAG(c, 1)`` within ``keys`` ordered by ``order_col``.
 
     Rows are assumed unique on (keys, order_col), with no nulls there (the telemetry
-    primary key); the bucketed form relies on it. ``keep_bucket`` keeps the time
+    primary key); the bucketed form relies on it. ``keep_bucket`` keeps the
     bucket under that name for a later bucketed join.
     """
     keys = list(keys)
     cols = list(cols)
-    if not bucket_seconds:
+    if not buckets:
         w = Window.partitionBy(*keys).orderBy(order_col)
         return df.select("*", *[F.lag(c, 1).over(w).alias(prefix + c) for c in cols])
 
-    # The explicit not-null filter matches the one Spark infers for the stitch join, so both
-    # branches read the same input and its shuffle is reused (times are never null here).
-    b = df.select("*", time_bucket(F.col(order_col), bucket_seconds).alias("_b")).where(F.col("_b").isNotNull())
+    # One pass per (keys, bucket): the in-bucket lag, and the values of the bucket's last row on that row alone.
+    # The stitch reads the same input columns as the main branch, so Spark reuses the input's shuffle.
     wb = Window.partitionBy(*keys, "_b").orderBy(order_col)
-    whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # One pass per (keys, bucket): the in-bucket lag and the bucket's last values. The stitch
-    # reads the same input columns as the main branch, so Spark reuses the input's shuffle.
-    b = b.select("*", F.lag(order_col, 1).over(wb).alias("_po"),
-                 *[F.lag(c, 1).over(wb).alias("_in_" + c) for c in cols],
-                 *[F.last(c).over(whole).alias("_last_" + c) for c in cols])
-    # One row per bucket (its first row), then the previous non-empty bucket's last values.
+    last = F.lead(order_col, 1).over(wb).isNull()
+    b = _bucketed(df, order_col, buckets).select(
+        "*", F.lag(order_col, 1).over(wb).alias("_po"), *[F.lag(c, 1).over(wb).alias("_in_" + c) for c in cols], last.alias("_is_last"))
     wk = Window.partitionBy(*keys).orderBy("_b")
-    per = (b.where(F.col("_po").isNull())
-           .select(*keys, "_b", *[F.lag("_last_" + c, 1).over(wk).alias("_pl_" + c) for c in cols]))
+    per = (b.where("_is_last").select(*keys, "_b", *[F.lag(c, 1).over(wk).alias("_pl_" + c) for c in cols]))
     out = b.join(per, keys + ["_b"], "inner")
     first_in_bucket = F.col("_po").isNull()
     kept = [F.col("_b").alias(keep_bucket)] if keep_bucket else []
@@ -76,53 +83,51 @@ def change_flag(states: Sequence[str], prefix: str = "prev_") -> Column:
 
 
 def islands(df: DataFrame, keys: Sequence[str], order_col: str, states: Sequence[str],
-            run_col: str = "run_id", bucket_seconds: int | None = None,
+            run_col: str = "run_id", buckets: int | TimeRanges | None = None,
             bucket_col: str | None = None) -> DataFrame:
     """Gaps-and-islands (W6 -> W3 -> W8): number the runs of equal ``states``.
 
     ``run_col`` = running ``SUM(change_flag)`` per ``keys`` ordered by ``order_col``
     (a run restarts at every change and at every null state). Run ids restart at
     1 for every key. ``bucket_col`` names an existing column that already holds
-    ``floor(order_col / bucket_seconds)`` (e.g. kept by ``interval_join``). Keys and
+    the bucket (e.g. kept by ``interval_join``). Keys and
     ``order_col`` must not be null (primary-key columns); states may be.
     """
     keys = list(keys)
     states = list(states)
-    if not bucket_seconds:
+    if not buckets:
         w = Window.partitionBy(*keys).orderBy(order_col)
         flagged = df.select("*", *[F.lag(s, 1).over(w).alias("prev_" + s) for s in states])
         flagged = flagged.withColumn("_chg", change_flag(states))
         return (flagged.withColumn(run_col, F.sum("_chg").over(w).cast("long"))
                 .drop("_chg", *["prev_" + s for s in states]))
 
-    # 1. One window pass per (keys, bucket): changes between consecutive rows, their
-    #    running sum, and the bucket's first/last state and number of inner changes.
-    bucket = F.col(bucket_col) if bucket_col else time_bucket(F.col(order_col), bucket_seconds)
-    b = df.select("*", bucket.alias("_b")).where(F.col("_b").isNotNull())  # see with_previous
+    # 1. One window pass per (keys, bucket): changes between consecutive rows and their running sum.
     wb = Window.partitionBy(*keys, "_b").orderBy(order_col)
-    whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    b = _bucketed(df, order_col, buckets, bucket_col)
     first_in_bucket = F.lag(order_col, 1).over(wb).isNull()
     same_as_prev = None
     for s in states:
         e = F.lag(s, 1).over(wb) == F.col(s)
         same_as_prev = e if same_as_prev is None else same_as_prev & e
-    b = b.select("*", first_in_bucket.alias("_first_row"),
+    b = b.select("*", first_in_bucket.alias("_is_first"), F.lead(order_col, 1).over(wb).isNull().alias("_is_last"),
                  F.when(first_in_bucket | same_as_prev, 0).otherwise(1).alias("_ichg"))
+    b = b.select("*", F.sum("_ichg").over(wb).alias("_irun"))
+    # 2. One row per bucket (small), from its first and last rows alone. Stitch: does the first row change against
+    #    the previous bucket's last row? Offsets = changes in all earlier buckets. The last row travels
+    #    whole: the stitch then reads the same input columns as the main branch, so Spark reuses the input's shuffle.
     st = F.struct(*[F.col(s).alias(s) for s in states])
-    # The bucket's last row travels whole: the stitch then reads the same input columns
-    # as the main branch, so Spark reuses the input's shuffle instead of redoing it.
     last_row = F.struct(*[F.col(c).alias(c) for c in df.columns])
-    b = b.select("*", F.sum("_ichg").over(wb).alias("_irun"), F.first(st).over(whole).alias("_first"),
-                 F.last(last_row).over(whole).alias("_last"), F.sum("_ichg").over(whole).alias("_n"))
-    # 2. One row per bucket (small). Stitch: does the bucket's first row change against
-    #    the previous bucket's last row? Offsets = changes in all earlier buckets.
+    ends = (b.where(F.col("_is_first") | F.col("_is_last")).groupBy(*keys, "_b")
+            .agg(F.first(F.when(F.col("_is_first"), st), ignorenulls=True).alias("_first"),
+                 F.first(F.when(F.col("_is_last"), last_row), ignorenulls=True).alias("_last"), F.max("_irun").alias("_n")))
     wk = Window.partitionBy(*keys).orderBy("_b")
     prev_last = F.lag("_last", 1).over(wk)
     same = None
     for s in states:
         e = prev_last.getField(s) == F.col("_first." + s)
         same = e if same is None else same & e
-    per = (b.where(F.col("_first_row")).select(*keys, "_b", "_n", F.when(same, 0).otherwise(1).alias("_fchg")))
+    per = ends.select(*keys, "_b", "_n", F.when(same, 0).otherwise(1).alias("_fchg"))
     per = per.select(*keys, "_b", "_fchg", F.coalesce(
         F.sum(F.col("_fchg") + F.col("_n")).over(wk.rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_off"))
@@ -146,19 +151,6 @@ def run_summary(df: DataFrame, keys: Sequence[str], run_col: str, order_col: str
                  F.count(F.lit(1)).alias("n_samples")))
 
 
-def bucket_seconds_by_rows(df: DataFrame, keys: Sequence[str], order_col: str, rows: int = 250_000,
-                           sample_fraction: float = 0.01, widest: int = 3600) -> int:
-    """A bucket width that gives the densest stretch of the hottest key about ``rows`` rows per bucket.
-
-    The densest ``widest`` seconds of any key are found on a sample (one aggregate that combines before the
-    shuffle, one row to the driver); the width is a tuning parameter on which no result depends.
-    """
-    sample = df.sample(withReplacement=False, fraction=sample_fraction, seed=7)
-    top = (sample.groupBy(*keys, time_bucket(F.col(order_col), widest).alias("_b")).agg(F.count(F.lit(1)).alias("n"))
-           .agg(F.max("n")).first()[0] or 0)
-    return max(1, min(widest, int(widest * rows * sample_fraction / max(top, 1))))
-
-
 def suggest_bucket_seconds(df: DataFrame, keys: Sequence[str], order_col: str,
                            rows_per_bucket: int | None = None, floor_seconds: int = 1,
                            sample_fraction: float | None = None) -> int:

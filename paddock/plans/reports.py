@@ -14,9 +14,9 @@ Scale notes, per report:
   totals times the lap count.
 * R3/R5 pre-aggregate each side of their many-to-many join per session and then
   weight by the other side's row count (G1).
-* Ordered windows (lag, islands) and interval joins run per (keys, time bucket), so a hot
-  driver is spread over many tasks; ``bucket_seconds="auto"`` (the default) derives the width
-  from the rows of the telemetry's densest stretch.
+* Ordered windows (lag, islands) run per (keys, range): drivers with very many samples are cut at quantiles of their own
+  times (``buckets="auto"``), so they are spread over many tasks. Interval joins that no window follows
+  use dyadic cells.
 """
 
 from __future__ import annotations
@@ -26,23 +26,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.functions.exact import exact_mean, exact_mean_2dp, exact_sums, weighted_sums
+from paddock.functions.exact import (binary_mean, binary_rest, binary_sums, binary_totals, exact_mean, exact_mean_2dp, exact_sums,
+                                     weighted_sums)
 from paddock.functions.labels import (brake_state, drs_state, instant_acceleration, sector_label,
                                       sector_reach)
-from paddock.operators.joins import interval_join, semi
-from paddock.operators.windows import best_row, bucket_seconds_by_rows, islands, run_summary, with_previous
+from paddock.operators.joins import DEFAULT_BUCKET_SECONDS, interval_join, semi
+from paddock.operators.ranges import TimeRanges
+from paddock.operators.windows import best_row, islands, run_summary, with_previous
 from paddock.sources.tables import Tables
 
 SD = ["session_key", "driver_number"]
 LAP_COLS = ["date_start", "duration_sector_1", "duration_sector_2", "duration_sector_3"]
 
 
-def _bucket(bucket_seconds, t):
-    """``bucket_seconds`` as given, or for ``"auto"`` from the densest stretch of the telemetry: that of the
-    tables ``t``, worked out once, or of a telemetry DataFrame. No result depends on the width."""
-    if bucket_seconds != "auto":
-        return bucket_seconds
-    return t.bucket_seconds() if isinstance(t, Tables) else bucket_seconds_by_rows(t, SD, "date")
+def _buckets(buckets, t: Tables):
+    """``buckets`` as given, or for ``"auto"`` the ranges of the telemetry of ``t``. No result depends on them."""
+    return t.time_ranges() if buckets == "auto" else buckets
+
+
+def _cells(buckets):
+    """For joins that no window follows: dyadic cells need nothing known of the telemetry."""
+    return DEFAULT_BUCKET_SECONDS if buckets == "auto" else buckets
 
 
 # --------------------------------------------------------------------------- R0
@@ -68,10 +72,10 @@ def best_laps(laps: DataFrame) -> DataFrame:
 
 
 def _speed_by_sector(samples: DataFrame, laps: DataFrame, group_extra: Sequence[str],
-                     bucket_seconds: int | None) -> DataFrame:
+                     buckets: int | TimeRanges | None) -> DataFrame:
     lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                           F.col("duration_sector_3"), "strict")
-    j = interval_join(samples.select(*SD, "date", "speed"), laps, SD, "date", lo, hi, bucket_seconds)
+    j = interval_join(samples.select(*SD, "date", "speed"), laps, SD, "date", lo, hi, buckets)
     sector = sector_label("date", "date_start", "duration_sector_1", "duration_sector_2", "duration_sector_3",
                           "strict")
     return j.groupBy(*SD, *group_extra, sector.alias("sector")).agg(
@@ -79,7 +83,7 @@ def _speed_by_sector(samples: DataFrame, laps: DataFrame, group_extra: Sequence[
 
 
 def sector_speed(t: Tables, *, all_laps: bool = False, require_telemetry_laps: bool = True,
-                 bucket_seconds: int | str | None = "auto") -> DataFrame:
+                 buckets: int | TimeRanges | str | None = "auto") -> DataFrame:
     """R1a (best lap, ``all_laps=False``) and R1b (every race lap, ``all_laps=True``).
 
     Mean speed of the samples in each sector of the lap (strict labels, L1); the
@@ -89,52 +93,53 @@ def sector_speed(t: Tables, *, all_laps: bool = False, require_telemetry_laps: b
     R1a keeps only drivers listed in ``telemetrys_laps``; the existence test is
     applied to the lap side, which has the same keys and is far smaller.
     """
-    bucket_seconds = _bucket(bucket_seconds, t)
+    buckets = _cells(buckets)
     laps = race_laps(t)
     if not all_laps:
         if require_telemetry_laps:
             laps = semi(laps, t.telemetrys_laps, SD)
         laps = best_laps(laps)
     laps = laps.select(*SD, "lap_duration", *LAP_COLS)
-    g = _speed_by_sector(t.telemetrys, laps, ["lap_duration"], bucket_seconds)
+    g = _speed_by_sector(t.telemetrys, laps, ["lap_duration"], buckets)
     return (g.where(F.col("lap_duration").isNotNull())
             .select(*SD, "lap_duration", "sector", exact_mean("sp").alias("max_speed"))
             .orderBy(*[F.col(c).asc_nulls_last() for c in (*SD, "lap_duration", "sector")]))
 
 
-def sector_speed_best_lap(t: Tables, bucket_seconds: int | str | None = "auto") -> DataFrame:
+def sector_speed_best_lap(t: Tables, buckets: int | TimeRanges | str | None = "auto") -> DataFrame:
     """The best-lap rewrite (row_number = 1 over race laps with a lap number).
 
     Output ``session_key, driver_number, best_lap_duration, sector, max_speed``;
     no HAVING, so a driver whose laps all lack a duration still shows its rank-1 lap.
     """
-    bucket_seconds = _bucket(bucket_seconds, t)
+    buckets = _cells(buckets)
     laps = race_laps(t).where(F.col("lap_number").isNotNull())
     laps = best_laps(laps).select(*SD, "lap_duration", *LAP_COLS)
-    g = _speed_by_sector(t.telemetrys, laps, [], bucket_seconds)
+    g = _speed_by_sector(t.telemetrys, laps, [], buckets)
     return g.select(*SD, F.col("_min_lap").alias("best_lap_duration"), "sector",
                     exact_mean("sp").alias("max_speed"))
 
 
 # --------------------------------------------------------------------------- R2
-def accelerations(tel: DataFrame, bucket_seconds: int | None = None, keep_bucket: str | None = None) -> DataFrame:
+def accelerations(tel: DataFrame, buckets: int | TimeRanges | None = None, keep_bucket: str | None = None) -> DataFrame:
     """Instant acceleration of every sample against the previous one of the same driver."""
-    p = with_previous(tel.select(*SD, "date", "speed"), SD, "date", ["date", "speed"], bucket_seconds,
+    p = with_previous(tel.select(*SD, "date", "speed"), SD, "date", ["date", "speed"], buckets,
                       keep_bucket=keep_bucket)
-    kept = [keep_bucket] if keep_bucket and bucket_seconds else []
+    kept = [keep_bucket] if keep_bucket and buckets else []
     return p.select(*SD, "date", *kept,
                     instant_acceleration("speed", "prev_speed", "date", "prev_date").alias("acceleration"))
 
 
 def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry_laps: bool = True,
-                        bucket_seconds: int | str | None = "auto") -> DataFrame:
+                        buckets: int | TimeRanges | str | None = "auto") -> DataFrame:
     """R2a (``require_telemetry_laps=True``) / R2b: mean acceleration per driver and sector.
 
     Every sample counts with every lap of its driver (no time predicate), labelled with
     the offset convention (L2); pairs outside all three sectors are the NULL sector
     group, which is part of the output. The pairs are never made: the labelled ones come
     from an interval join and are summed per driver and sector; the NULL group is the driver's
-    totals times its laps, less those sums. All sums are integers, so the subtraction is exact.
+    totals times its laps, less those sums. Sums are integers, so the subtraction is exact; a NaN or an infinity
+    is counted and makes the mean one, as any engine's average does.
     Output ``driver_number, session_key, sector, mean_acceleration``, ordered by the mean
     descending (nulls first), then driver.
     """
@@ -143,9 +148,9 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
     if session_key is not None:
         tel = tel.where(F.col("session_key") == session_key)
         laps = laps.where(F.col("session_key") == session_key)
-    bucket_seconds = _bucket(bucket_seconds, t)
-    kb = "_bucket" if bucket_seconds else None
-    acc = accelerations(tel, bucket_seconds, keep_bucket=kb).withColumn("_a", whole_acceleration())
+    buckets = _buckets(buckets, t)
+    kb = "_bucket" if buckets else None
+    acc = accelerations(tel, buckets, keep_bucket=kb)
     if require_telemetry_laps:
         # Same keys as the lap join, so filtering the (small) lap side is equivalent and
         # leaves the samples' (keys, bucket) partitioning intact.
@@ -155,31 +160,21 @@ def sector_acceleration(t: Tables, session_key: int | None, *, require_telemetry
                          "duration_sector_3", "offset")
     lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                           F.col("duration_sector_3"), "offset")
-    labelled = (interval_join(acc, laps, SD, "date", lo, hi, bucket_seconds, sample_bucket=kb)
-                .select(*SD, "_a", label.alias("sector")).where(F.col("sector").isNotNull())
-                .groupBy(*SD, "sector").agg(F.sum("_a").alias("_s"), F.count("_a").alias("_n"), F.count(F.lit(1)).alias("_r")))
-    inside = labelled.groupBy(*SD).agg(F.sum("_s").alias("_is"), F.sum("_n").alias("_in"), F.sum("_r").alias("_ir"))
-    totals = acc.groupBy(*SD).agg(F.sum("_a").alias("_ts"), F.count("_a").alias("_tn"), F.count(F.lit(1)).alias("_tr"))
+    labelled = (interval_join(acc, laps, SD, "date", lo, hi, buckets, sample_bucket=kb)
+                .select(*SD, "acceleration", label.alias("sector")).where(F.col("sector").isNotNull())
+                .groupBy(*SD, "sector").agg(*binary_sums("acceleration", "a"), F.count(F.lit(1)).alias("_r")))
+    inside = labelled.groupBy(*SD).agg(*binary_totals("a"), F.sum("_r").alias("_ir"))
+    totals = acc.groupBy(*SD).agg(*binary_sums("acceleration", "t"), F.count(F.lit(1)).alias("_tr"))
     n_laps = laps.groupBy(*SD).agg(F.count(F.lit(1)).alias("_laps"))
-
-    def rest(total: str, part: str, kind: str):
-        return (F.coalesce(F.col(total) * F.col("_laps"), F.lit(0)) - F.coalesce(F.col(part), F.lit(0))).cast(kind)
-
+    rows = (F.col("_tr") * F.col("_laps") - F.coalesce(F.col("_ir"), F.lit(0))).alias("_r")
     outside = (totals.join(n_laps, SD, "inner").join(inside, SD, "left")
-               .select(*SD, F.lit(None).cast("string").alias("sector"), rest("_ts", "_is", "decimal(38,0)").alias("_s"),
-                       rest("_tn", "_in", "long").alias("_n"), rest("_tr", "_ir", "long").alias("_r")).where(F.col("_r") > 0))
+               .select(*SD, F.lit(None).cast("string").alias("sector"), *binary_rest("t", "_laps", "a", "a"), rows).where(F.col("_r") > 0))
     return mean_acceleration(labelled.unionByName(outside))
 
 
-def whole_acceleration():
-    """10^18 times the acceleration, as an integer."""
-    return (F.col("acceleration").cast("decimal(38,18)") * F.lit(10 ** 18).cast("decimal(19,0)")).cast("decimal(38,0)")
-
-
 def mean_acceleration(sums: DataFrame) -> DataFrame:
-    """R2's output from the integer sums ``_s`` and counts ``_n``."""
-    mean = F.when(F.col("_n") > 0, F.col("_s").cast("double") / F.lit(1e18) / F.col("_n"))
-    return (sums.select("driver_number", "session_key", "sector", mean.alias("mean_acceleration"))
+    """R2's output from the ``binary_sums`` ``a`` of each group."""
+    return (sums.select("driver_number", "session_key", "sector", binary_mean("a").alias("mean_acceleration"))
             .orderBy(F.col("mean_acceleration").desc_nulls_first(), F.col("driver_number").asc_nulls_last()))
 
 
@@ -223,7 +218,7 @@ def tyre_temperature_points(stints: DataFrame, weather: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- R4
 def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | None = None, *,
              require_telemetry_laps: bool = True,
-             bucket_seconds: int | str | None = "auto") -> DataFrame:
+             buckets: int | TimeRanges | str | None = "auto") -> DataFrame:
     """Runs of equal (DRS state, sector, brake state) per driver with entry/exit speed.
 
     Samples are labelled against every lap of their driver with the half-open
@@ -234,7 +229,7 @@ def drs_runs(t: Tables, session_key: int | None = None, driver_number: int | Non
     ``session_key``/``driver_number`` None means all. Each run is summarised in one
     aggregate (G9).
     """
-    runs = drs_state_runs(t, session_key, driver_number, require_telemetry_laps=require_telemetry_laps, bucket_seconds=bucket_seconds)
+    runs = drs_state_runs(t, session_key, driver_number, require_telemetry_laps=require_telemetry_laps, buckets=buckets)
     return named_runs(t, run_summary(runs, SD, "run_id", "date", "speed", RUN_STATES))
 
 
@@ -242,7 +237,7 @@ RUN_STATES = ["drs", "sector", "brake_state"]
 
 
 def drs_state_runs(t: Tables, session_key: int | None = None, driver_number: int | None = None, *,
-                   require_telemetry_laps: bool = True, bucket_seconds: int | str | None = "auto") -> DataFrame:
+                   require_telemetry_laps: bool = True, buckets: int | TimeRanges | str | None = "auto") -> DataFrame:
     """R4's labelled samples with the number of the run of equal states that each is in."""
     tel = t.telemetrys
     laps = t.laps
@@ -253,19 +248,19 @@ def drs_state_runs(t: Tables, session_key: int | None = None, driver_number: int
     if require_telemetry_laps:
         laps = semi(laps, t.telemetrys_laps, SD)
     laps = laps.select(*SD, *LAP_COLS)
-    bucket_seconds = _bucket(bucket_seconds, t)
+    buckets = _buckets(buckets, t)
     lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                           F.col("duration_sector_3"), "halfopen")
     base = interval_join(tel.select(*SD, "date", "speed", "brake", "drs"), laps, SD, "date", lo, hi,
-                         bucket_seconds, keep_bucket="_bucket" if bucket_seconds else None)
-    keep = ["_bucket"] if bucket_seconds else []
+                         buckets, keep_bucket="_bucket" if buckets else None)
+    keep = ["_bucket"] if buckets else []
     base = (base.select(*SD, "date", *keep, "speed", brake_state("brake").alias("brake_state"),
                         drs_state("drs").alias("drs"),
                         sector_label("date", "date_start", "duration_sector_1", "duration_sector_2",
                                      "duration_sector_3", "halfopen").alias("sector"))
             .where(F.col("sector").isNotNull()))
     # Same bucket as the join: with a sort-merge join the window needs no new shuffle.
-    return islands(base, SD, "date", RUN_STATES, "run_id", bucket_seconds, bucket_col="_bucket" if bucket_seconds else None)
+    return islands(base, SD, "date", RUN_STATES, "run_id", buckets, bucket_col="_bucket" if buckets else None)
 
 
 def named_runs(t: Tables, summ: DataFrame) -> DataFrame:
@@ -306,7 +301,7 @@ def temperature_speed(t: Tables, session_key: int | None) -> DataFrame:
 
 # --------------------------------------------------------------------------- R6 / J5
 def sector_samples(telemetry: DataFrame, laps: DataFrame, sessions: Sequence[int] | None = None,
-                   bucket_seconds: int | str | None = "auto") -> DataFrame:
+                   buckets: int | TimeRanges | str | None = "auto") -> DataFrame:
     """J5 + L4: samples labelled 1/2/3 by the cumulative half-open convention; unlabelled dropped.
 
     ``telemetry`` (session_key, driver_number, date, speed), ``laps`` (session_key,
@@ -318,11 +313,11 @@ def sector_samples(telemetry: DataFrame, laps: DataFrame, sessions: Sequence[int
     if sessions is not None:
         telemetry = telemetry.where(F.col("session_key").isin(*sessions))
         laps = laps.where(F.col("session_key").isin(*sessions))
-    bucket_seconds = _bucket(bucket_seconds, telemetry)
+    buckets = _cells(buckets)
     laps = laps.select(*SD, *LAP_COLS)
     lo, hi = sector_reach(F.col("date_start"), F.col("duration_sector_1"), F.col("duration_sector_2"),
                           F.col("duration_sector_3"), "cumulative")
-    j = interval_join(telemetry.select(*SD, "date", "speed"), laps, SD, "date", lo, hi, bucket_seconds)
+    j = interval_join(telemetry.select(*SD, "date", "speed"), laps, SD, "date", lo, hi, buckets)
     j = j.select("*", sector_label("date", "date_start", "duration_sector_1", "duration_sector_2",
                                    "duration_sector_3", "cumulative").alias("sector"))
     return j.where(F.col("sector").isNotNull()).select(

@@ -126,6 +126,12 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, partition_by: Seq
     return spark.read.parquet(path)
 
 
+def kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` materialized where the session names a shared folder, else as it is."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return materialize(spark, df, name) if shared else df
+
+
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
     """SQL text over registered views -> DataFrame (lazy)."""
     return spark.sql(text)
@@ -153,6 +159,9 @@ def ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
+#: The column in which ``differing`` names a value that doesn't fit the schema.
+BAD = "_bad"
+
 #: Metadata of a column that the loaded files don't have.
 ABSENT = {"absent": True}
 
@@ -190,12 +199,14 @@ def conform(df: DataFrame, table: str, order: Sequence[Column] | None = None,
             value = converted(F.col(f.name), kinds[f.name], f.dataType)
             casts.append(value.alias(f.name))
             rules[f"bad {f.name}"] = F.col(f.name).isNotNull() & value.isNull()
+            if BAD in have:  # a value that didn't fit when its file was read
+                rules[f"bad {f.name}"] |= F.coalesce(F.col(BAD) == f"bad {f.name}", F.lit(False))
         else:
             casts.append(F.lit(None).cast(f.dataType).alias(f.name, metadata=ABSENT))
     for k in keys:
         rules[f"null {k}"] = F.col(k).isNull()
     good, bad = quarantine(df, rules)
-    extra = [c for c in good.columns if c not in schema.fieldNames()]
+    extra = [c for c in good.columns if c not in schema.fieldNames() and c != BAD]
     good = good.select(*casts, *extra)
     order = list(order) if order is not None else [F.col(c).asc_nulls_last() for c in schema.fieldNames()
                                                    if c not in keys and c in have]

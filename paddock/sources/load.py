@@ -5,7 +5,7 @@ and sessions) and the segment arrays dropped; positions, weather, stints and tel
 first row per key in file order (``_metadata.file_path``, ``_metadata.row_index``,
 the pandas ``drop_duplicates`` rule); weather restricted to known sessions with
 ``rainfall`` made boolean; ``telemetrys_laps`` derived from laps. Every table is
-then conformed to its schema. Where the reference relied on the key constraint to
+then conformed to its schema. Files of a directory may differ; what can't be read is among the rejected rows. Where the reference relied on the key constraint to
 reject a whole insert, repeated keys are quarantined instead and the load goes on.
 """
 
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from paddock import schemas
 from paddock.operators.clean import dedup_first, distinct_pairs, drop_nulls, to_bool
 from paddock.operators.joins import semi
-from paddock.sources.files import append_table, conform, materialize, ranged
+from paddock.sources.differing import read_differing
+from paddock.sources.files import BAD, append_table, conform, materialize, ranged
 from paddock.sources.tables import Tables
 
 # Where the loaders find each table under the data folder, in load order.
@@ -48,20 +49,20 @@ def file_order() -> list:
     return [F.col("_file"), F.col("_row")]
 
 
-def read_in_file_order(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """All rows of a file or directory, with their file and row position, load-time columns dropped."""
-    df = spark.read.parquet(path)
-    df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return df.drop(*schemas.dropped_on_load(table))
+def read_in_file_order(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """All rows of a file or directory, with their file and row position, load-time columns dropped; and
+    the files that can't be read (path, error). Files may differ in their columns and types."""
+    df, unreadable = read_differing(spark, path, schemas.SCHEMAS[table])
+    return df.drop(*schemas.dropped_on_load(table)), unreadable
 
 
-def read_layout(spark: SparkSession, root: str, tables: tuple[str, ...] = tuple(SOURCE_FILES)) -> dict[str, DataFrame]:
-    """The raw rows of every table found under ``root``, any path that Spark reads. Tables without files are
+def read_layout(spark: SparkSession, root: str, tables: tuple[str, ...] = tuple(SOURCE_FILES)) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The raw rows of every table found under ``root``, any path that Spark reads, and its unreadable files. Tables without files are
     named in a warning; if there is none at all that is an error."""
-    raw, missing = {}, []
+    raw, unreadable, missing = {}, {}, []
     for name in tables:
         try:
-            raw[name] = read_in_file_order(spark, f"{root.rstrip('/')}/{SOURCE_FILES[name]}", name)
+            raw[name], unreadable[name] = read_in_file_order(spark, f"{root.rstrip('/')}/{SOURCE_FILES[name]}", name)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -70,21 +71,28 @@ def read_layout(spark: SparkSession, root: str, tables: tuple[str, ...] = tuple(
         raise FileNotFoundError(f"none of the tables {', '.join(missing)} is under {root}")
     if missing:
         warnings.warn(f"no files under {root} for {', '.join(missing)}", stacklevel=2)
-    return raw
+    return raw, unreadable
+
+
+def _with_files(rejected: DataFrame, unreadable: DataFrame) -> DataFrame:
+    """Rejected rows, and a row for each file that can't be read."""
+    files = unreadable.select(F.concat(F.lit("unreadable file "), "path", F.lit(": "), "error").alias("_reason"))
+    return rejected.drop("_file", "_row", BAD).unionByName(files, allowMissingColumns=True)
 
 
 def load_for_points(spark: SparkSession, root: str) -> tuple[Tables, dict[str, DataFrame]]:
     """The tables as the point loaders read them: rows with any null in the files' own columns go first, then
     repeated keys (in file order), then the values are converted. Returns the clean tables and the rejected rows."""
     clean, bad = {}, {}
-    for name, df in read_layout(spark, root).items():
-        df = drop_nulls(df)
+    raw, unreadable = read_layout(spark, root)
+    for name, df in raw.items():
+        df = drop_nulls(df, [c for c in df.columns if c != BAD])
         if name == "weather_conditions" and "rainfall" in df.columns:
             df = df.withColumn("rainfall", to_bool("rainfall"))
         if name in DEDUP_ON_LOAD:
             df = dedup_first(df, list(DEDUP_ON_LOAD[name]), file_order())
         clean[name], rejected = conform(df, name, order=file_order(), on_duplicate="quarantine")
-        bad[name] = rejected.drop("_file", "_row")
+        bad[name] = _with_files(rejected, unreadable[name])
     if "weather_conditions" in clean and "sessions" in clean:
         clean["weather_conditions"] = semi(clean["weather_conditions"], clean["sessions"], ["session_key"])
     return Tables(**clean), bad
@@ -98,7 +106,7 @@ def load_reference_layout(spark: SparkSession, root: str,
     (telemetry partitioned by session) and returned as reads of those files, so the
     reports that follow neither recompute the load nor depend on its lineage.
     """
-    raw = read_layout(spark, root)
+    raw, unreadable = read_layout(spark, root)
     if "laps" in raw:
         raw["telemetrys_laps"] = distinct_pairs(raw["laps"], ["driver_number", "session_key"]) \
             .withColumn("_file", F.lit("")).withColumn("_row", F.lit(0).cast("long"))
@@ -116,7 +124,7 @@ def load_reference_layout(spark: SparkSession, root: str,
         good, rejected = conform(df, name, order=file_order(), on_duplicate="quarantine")
         if materialized:
             good = materialize(spark, good, name, ["session_key"] if name == "telemetrys" else ())
-        clean[name], bad[name] = good, rejected.drop("_file", "_row")
+        clean[name], bad[name] = good, _with_files(rejected, unreadable[name]) if name in unreadable else rejected.drop("_file", "_row")
     return Tables(**clean), bad
 
 

@@ -30,13 +30,12 @@ class Tables:
     def with_(self, **frames: DataFrame) -> "Tables":
         return replace(self, **frames)
 
-    def bucket_seconds(self) -> int:
-        """The time bucket of the ordered and interval operators over telemetry, from its densest stretch; worked
-        out once."""
-        if "_bucket_seconds" not in self.__dict__:
-            from paddock.operators.windows import bucket_seconds_by_rows
-            object.__setattr__(self, "_bucket_seconds", bucket_seconds_by_rows(self.telemetrys, ["session_key", "driver_number"], "date"))
-        return self.__dict__["_bucket_seconds"]
+    def time_ranges(self):
+        """The ``TimeRanges`` of the ordered operators over telemetry, None where no driver's rows need cutting; worked out once."""
+        if "_time_ranges" not in self.__dict__:
+            from paddock.operators.ranges import quantile_ranges
+            object.__setattr__(self, "_time_ranges", quantile_ranges(self.telemetrys, ["session_key", "driver_number"], "date"))
+        return self.__dict__["_time_ranges"]
 
     def names(self) -> list[str]:
         return [f.name for f in fields(self) if getattr(self, f.name) is not None]

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from paddock.functions.exact import exact_mean_2dp, exact_sums
+from paddock.functions.exact import binary_sums, exact_mean_2dp, exact_sums
 from paddock.functions.labels import sector_label
 from paddock.operators.joins import semi
 from paddock.plans import reports as R
@@ -13,8 +13,8 @@ def acceleration_pairs(t, session_key):
     """R2 over every pair of a sample and a lap of its driver."""
     tel, laps = (df.where(F.col("session_key") == session_key) for df in (t.telemetrys, t.laps))
     label = sector_label("date", "date_start", "duration_sector_1", "duration_sector_2", "duration_sector_3", "offset")
-    pairs = R.accelerations(tel).withColumn("_a", R.whole_acceleration()).join(semi(laps, t.telemetrys_laps, R.SD).select(*R.SD, *R.LAP_COLS), R.SD)
-    return R.mean_acceleration(pairs.groupBy(*R.SD, label.alias("sector")).agg(F.sum("_a").alias("_s"), F.count("_a").alias("_n")))
+    pairs = R.accelerations(tel).join(semi(laps, t.telemetrys_laps, R.SD).select(*R.SD, *R.LAP_COLS), R.SD)
+    return R.mean_acceleration(pairs.groupBy(*R.SD, label.alias("sector")).agg(*binary_sums("acceleration", "a")))
 
 
 def tyre_pairs(t):
@@ -38,7 +38,7 @@ def temperature_pairs(t, session_key):
 
 def runs_by_windows(t):
     """R4 with the entry and exit speed from windows over each run."""
-    runs = R.drs_state_runs(t, bucket_seconds=None)
+    runs = R.drs_state_runs(t, buckets=None)
     run = Window.partitionBy(*R.SD, "run_id").orderBy("date")
     whole = run.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = runs.select(*R.SD, "run_id", *R.RUN_STATES, "date", F.first("speed").over(run).alias("start_value"), F.last("speed").over(whole).alias("end_value"))

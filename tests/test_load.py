@@ -170,3 +170,50 @@ def test_unread_files_are_named(spark, tmp_dir):
         f.write(b"PAR1 nothing PAR1")
     df = read_table(spark, tmp_dir, spark.createDataFrame([], "x int").schema, skip_corrupt_files=True)
     assert [os.path.basename(r[0]) for r in unread_files(spark, tmp_dir, df).collect()] == ["broken.parquet"]
+
+
+def test_files_that_differ(spark, tmp_dir):
+    """Whole numbers, doubles with a gap, text, a missing column, a column of its own and a broken file in one directory."""
+    root = os.path.join(tmp_dir, "data")
+    tel = os.path.join(root, "telemetrys")
+    base = "session_key int, driver_number int, date timestamp_ntz"
+    for schema, data in ((f"{base}, drs long, speed double", [(1, 10, at(0), 8, 1.0), (1, 10, at(1), 10, 2.0)]),
+                         (f"{base}, drs double, speed double", [(1, 11, at(0), 8.0, 3.0), (1, 11, at(1), float("nan"), 4.0), (1, 11, at(2), 1.5, 5.0)]),
+                         (f"{base}, drs string, speed float, extra int", [(1, 12, at(0), "12", 6.0, 1), (1, 12, at(1), "open", 7.0, 1)]),
+                         (f"{base}, speed double, extra string", [(1, 13, at(0), 8.0, "x")])):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(tel)
+    spark.createDataFrame([("broken",)], "value string").coalesce(1).write.mode("append").text(tel)
+    with open(os.path.join(tel, "cut off.parquet"), "w") as f:
+        f.write("PAR1")
+    clean, bad = load_reference_layout(spark, root)
+    got = rows(clean.telemetrys.select("driver_number", "date", "drs", "speed"), "driver_number", "date")
+    assert got == [(10, at(0), 8, 1.0), (10, at(1), 10, 2.0), (11, at(0), 8, 3.0), (11, at(1), None, 4.0), (12, at(0), 12, 6.0), (13, at(0), None, 8.0)]
+    reasons = sorted(r["_reason"] for r in bad["telemetrys"].collect())
+    assert [r.split(" ")[0:2] for r in reasons] == [["bad", "drs"], ["bad", "drs"], ["unreadable", "file"], ["unreadable", "file"]]
+    assert any("cut off.parquet" in r for r in reasons)
+    again, _ = load_reference_layout(spark, root, materialized=True)
+    assert again.telemetrys.count() == 6
+
+
+def test_only_broken_files(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "data")
+    spark.createDataFrame([("broken",)], "value string").write.text(os.path.join(root, "laps/laps.parquet"))
+    clean, bad = load_reference_layout(spark, root)
+    assert clean.laps.count() == 0 and bad["laps"].where("_reason like 'unreadable file%'").count() >= 1
+
+
+def test_paths_that_tasks_cannot_open_are_read_as_bytes(spark, tmp_dir, monkeypatch):
+    from paddock.sources import differing as D
+    path = os.path.join(tmp_dir, "t")
+    spark.range(3).coalesce(1).write.parquet(path)
+    with open(os.path.join(path, "x.parquet"), "w") as f:
+        f.write("no")
+    want = sorted((r.path, r.types, r.error is None) for r in D.footers(spark, path))
+
+    def closed(batches):
+        import pyarrow as pa
+        for b in batches:
+            none = pa.nulls(b.num_rows, pa.string())
+            yield pa.record_batch([b.column("path"), none, none], names=["path", "types", "error"])
+    monkeypatch.setattr(D, "_footers", closed)
+    assert sorted((r.path, r.types, r.error is None) for r in D.footers(spark, path)) == want and len(want) == 2

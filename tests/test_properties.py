@@ -26,7 +26,7 @@ def test_islands_partition_input(spark, data, bucket):
     df = spark.createDataFrame([(1, d, at(t), s) for d, t, s in data],
                                "session_key int, driver_number int, date timestamp_ntz, st string")
     out = sorted((r.driver_number, r.date, r.st, r.run_id)
-                 for r in islands(df, KEYS, "date", ["st"], bucket_seconds=bucket).collect())
+                 for r in islands(df, KEYS, "date", ["st"], buckets=bucket).collect())
     assert len(out) == len(data)
     by_driver = {}
     for d, t, s, run in out:
@@ -98,7 +98,7 @@ def test_bucketed_lag_equals_plain(spark, data, bucket):
     df = spark.createDataFrame([(1, d, at(t), s) for d, t, s in data],
                                "session_key int, driver_number int, date timestamp_ntz, st string")
     a = sorted((tuple(r) for r in with_previous(df, KEYS, "date", ["date", "st"]).collect()), key=str)
-    b = sorted((tuple(r) for r in with_previous(df, KEYS, "date", ["date", "st"], bucket_seconds=bucket)
+    b = sorted((tuple(r) for r in with_previous(df, KEYS, "date", ["date", "st"], buckets=bucket)
                 .collect()), key=str)
     assert a == b
 

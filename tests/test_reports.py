@@ -1,9 +1,11 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 import literal_forms
 from helpers import at, laps, rows, same, telemetry
+from paddock.operators.ranges import quantile_ranges
 from paddock.plans import point_reports as P
 from paddock.plans import reports as R
 from paddock.sources.tables import Tables
@@ -52,11 +54,42 @@ def test_r2_preagg_equals_fanout_and_null_group(spark):
                 (1, 11, 1, 0, 10.0, 20.0, None, 60.0)]
     t = _tables(spark, tel, lap_rows)
     a = literal_forms.acceleration_pairs(t, 1)
-    b = R.sector_acceleration(t, 1, bucket_seconds=20)
+    b = R.sector_acceleration(t, 1, buckets=20)
     assert same(a, b)
     assert a.where(F.col("sector").isNull()).count() == 2
 
 
+def test_r2_nan_and_infinity_are_kept(spark):
+    import math
+    speeds = [100.0, 110.0, float("nan"), 131.0, 140.0, 150.0, 155.0, float("inf"), 170.0, 160.0]
+    tel = [(1, 10, s * 3, v, 0, 0, 0) for s, v in enumerate(speeds)] + [(1, 11, s, 5.0 * s * s, 0, 0, 0) for s in range(30)]
+    tel += [(1, 12, s, float("nan"), 0, 0, 0) for s in range(8)] + [(1, 13, 0, 0.0, 0, 0, 0), (1, 13, 1e-3, 1e12, 0, 0, 0), (1, 13, 2, 1.0, 0, 0, 0)]
+    lap_rows = [(1, d, 1, 0, 2.0, 14.0, 20.0, 36.0) for d in (10, 11, 12, 13)] + [(1, 11, 2, 18, 2.0, 5.0, 20.0, 27.0)]
+    t = _tables(spark, tel, lap_rows)
+    got = {(r.driver_number, r.sector): r.mean_acceleration for r in R.sector_acceleration(t, 1).collect()}
+    pairs = {}
+    for r in R.accelerations(t.telemetrys).collect():
+        for lap in t.laps.where(F.col("driver_number") == r.driver_number).collect():
+            sec, start = (r.date - lap.date_start).total_seconds(), 0
+            label = None
+            for k, (lo, hi) in enumerate([(0, lap[4]), (1 + lap[4], lap[5]), (1 + lap[5], lap[6])], 1):
+                if label is None and lo <= sec <= hi:
+                    label = f"SECTOR {k}"
+            pairs.setdefault((r.driver_number, label), []).append(r.acceleration)
+    assert got.keys() == pairs.keys()
+    for key, values in pairs.items():
+        values = [v for v in values if v is not None]
+        if not values:
+            assert got[key] is None
+            continue
+        mean = sum(values) / len(values)
+        assert (math.isnan(mean) and math.isnan(got[key])) or got[key] == pytest.approx(mean, rel=1e-12), key
+    assert any(v is not None and math.isnan(v) for v in got.values()) and got[(11, None)] is not None
+    for buckets in (None, 20, quantile_ranges(t.telemetrys, R.SD, "date", rows=3)):
+        again = R.sector_acceleration(t, 1, buckets=buckets).collect()
+        assert sorted(repr((r.driver_number, r.sector, r.mean_acceleration)) for r in again) == sorted(repr((*k, v)) for k, v in got.items())
+
+
 def test_r2_zero_dt_sample(spark):
     s = spark.createDataFrame([(1, 10, at(0), 10.0), (1, 10, at(0), 10.0)],
                               "session_key int, driver_number int, date timestamp_ntz, speed double")
@@ -96,8 +129,8 @@ def test_r4_runs_bucketed_equal(spark):
     tel += [(1, 11, s + 1, float(s), 0, 0, 0) for s in range(0, 80, 4)]
     lap_rows = [(1, 10, 1, 0, 25.0, 50.0, 75.0, 75.0), (1, 11, 1, 0, 25.0, 50.0, 75.0, 75.0)]
     t = _tables(spark, tel, lap_rows)
-    a = R.drs_runs(t, bucket_seconds=None)
-    b = R.drs_runs(t, bucket_seconds=7)
+    a = R.drs_runs(t, buckets=None)
+    b = R.drs_runs(t, buckets=7)
     assert same(a, b)
     assert same(a, literal_forms.runs_by_windows(t))  # J9 literal form = G9
     ann = rows(a.where(F.col("full_name") == "Ann").select("start_speed", "end_speed", "drs", "sector",
@@ -156,7 +189,8 @@ def test_r1c_equals_r1a_on_their_common_ground(spark):
 
 
 def test_r3b_equals_r3c_on_key_unique_stints(spark):
-    from paddock.plans import point_reports as P
+    from paddock.operators.ranges import quantile_ranges
+from paddock.plans import point_reports as P
     from paddock.sources.standin import standin_tables
     t = standin_tables(spark, "/root/testdata/sf0.001")
     b = P.tyre_temperature_from_points(P.load_points(t, measurements=["tyre_stints", "weather_conditions"]))
@@ -167,8 +201,8 @@ def test_r3b_equals_r3c_on_key_unique_stints(spark):
 def test_auto_bucket_width_gives_same_results(spark):
     from paddock.sources.standin import standin_tables
     t = standin_tables(spark, "/root/testdata/sf0.001")
-    assert same(R.drs_runs(t, bucket_seconds="auto"), R.drs_runs(t))
-    assert same(R.sector_acceleration(t, 9992, bucket_seconds="auto"), R.sector_acceleration(t, 9992))
+    assert same(R.drs_runs(t, buckets="auto"), R.drs_runs(t))
+    assert same(R.sector_acceleration(t, 9992, buckets="auto"), R.sector_acceleration(t, 9992))
 
 
 def test_denormalised_measure_layouts(spark):

@@ -22,7 +22,7 @@ def _final_plan(df) -> list[str]:
     df.collect()
     text = df._jdf.queryExecution().executedPlan().toString()
     text = re.sub(r"#\d+L?", "", text)  # expression ids
-    return text.split("== Initial Plan ==")[0].splitlines()
+    return re.split(r"\n\+- == Initial Plan ==", text)[0].splitlines()   # at the margin: subqueries have their own, indented
 
 
 def _indent(line: str) -> int:
@@ -51,14 +51,28 @@ def _window_on_bucket_join(lines: list[str]) -> bool:
     return False
 
 
+def _cut(spark):
+    """The stand-in tables and ranges for every driver with more than a row."""
+    from paddock.operators.ranges import quantile_ranges
+    from paddock.sources.standin import standin_tables
+    t = standin_tables(spark, SF)
+    ranges = quantile_ranges(t.telemetrys, ["session_key", "driver_number"], "date", rows=1)
+    assert ranges is not None and ranges.n_cuts > 0
+    return t, ranges
+
+
 def test_r4_windows_reuse_join_partitioning_and_input_shuffle(no_broadcast):
-    lines = _final_plan(E.queries()["r4_drs_runs"](no_broadcast, SF))
+    from paddock.plans import reports as R
+    t, ranges = _cut(no_broadcast)
+    lines = _final_plan(R.drs_runs(t, buckets=ranges))
     assert _window_on_bucket_join(lines)
     assert any("ReusedExchange [session_key, driver_number, date, speed" in x for x in lines)
 
 
 def test_r2_interval_join_reuses_lag_partitioning(no_broadcast):
-    lines = _final_plan(E.queries()["r2a_sector_accel"](no_broadcast, SF))
+    from paddock.plans import reports as R
+    t, ranges = _cut(no_broadcast)
+    lines = _final_plan(R.sector_acceleration(t, 9992, buckets=ranges))
     for i, line in enumerate(lines):
         if "SortMergeJoin [session_key, driver_number, _tb]" in line:
             # Pre-order printing: the sample side comes first. Its first shuffle-or-join below the
@@ -98,7 +112,7 @@ def test_hot_driver_is_spread_over_partitions(spark):
             hot_rows = out.where(F.col("driver_number") == 7).select(F.spark_partition_id().alias("p"), "prev_speed")
             return len(hot_rows.groupBy("p").agg(F.count("prev_speed").alias("n")).collect())
         plain = with_previous(df, ["session_key", "driver_number"], "date", ["speed"])
-        bucketed = with_previous(df, ["session_key", "driver_number"], "date", ["speed"], bucket_seconds=3600)
+        bucketed = with_previous(df, ["session_key", "driver_number"], "date", ["speed"], buckets=3600)
         assert parts(plain) == 1
         assert parts(bucketed) >= 3
     finally:
@@ -111,6 +125,7 @@ def test_hot_driver_interval_join_spread(spark):
 
     from helpers import at
     from paddock.operators.joins import interval_join
+    from paddock.operators.ranges import quantile_ranges
     samples = spark.createDataFrame([(1, 7, at(s * 36)) for s in range(3000)] +
                                     [(1, d, at(0)) for d in range(20, 120)],
                                     "session_key int, driver_number int, date timestamp_ntz")
@@ -130,6 +145,7 @@ def test_hot_driver_interval_join_spread(spark):
             return len(got)
         assert parts(None) == 1
         assert parts(3600) >= 3
+        assert parts(quantile_ranges(samples, ["session_key", "driver_number"], "date", rows=200)) >= 3
     finally:
         spark.conf.set(key, old)
 

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from helpers import at, rows, same
 from paddock.functions.labels import sector_reach
-from paddock.operators.joins import interval_join
+from paddock.functions.timefn import plus_seconds
+from paddock.operators.joins import _cell_join, interval_join
+from paddock.operators.ranges import quantile_ranges
 from paddock.operators.windows import best_row, islands, run_summary, with_previous
 
 KEYS = ["session_key", "driver_number"]
@@ -42,7 +44,7 @@ def _random_states(spark, n=3000, seed=7):
 def test_bucketed_islands_equal_unbucketed(spark):
     df = _random_states(spark)
     a = islands(df, KEYS, "date", ["st"])
-    b = islands(df, KEYS, "date", ["st"], bucket_seconds=600)
+    b = islands(df, KEYS, "date", ["st"], buckets=600)
     assert same(a, b)
     sa = run_summary(a, KEYS, "run_id", "date", "v", ["st"])
     sb = run_summary(b, KEYS, "run_id", "date", "v", ["st"])
@@ -52,7 +54,7 @@ def test_bucketed_islands_equal_unbucketed(spark):
 def test_bucketed_lag_equals_plain_lag(spark):
     df = _random_states(spark)
     a = with_previous(df, KEYS, "date", ["date", "v"])
-    b = with_previous(df, KEYS, "date", ["date", "v"], bucket_seconds=900)
+    b = with_previous(df, KEYS, "date", ["date", "v"], buckets=900)
     assert same(a, b)
 
 
@@ -91,6 +93,56 @@ def test_interval_join_matches_brute_force(spark):
         assert got == want, b
 
 
+def test_a_very_long_interval_makes_two_cells(spark):
+    samples = [(1, 1, at(t)) for t in range(0, 50_000, 500)]
+    s = spark.createDataFrame(samples, "session_key int, driver_number int, date timestamp_ntz")
+    laps = [(1, 1, 0.0, 90.0, 1), (1, 1, 100.0, 1e11, 2), (1, 1, 49_000.0, 4e4, 3), (1, 1, 20_000.0, -5.0, 4), (1, 1, 500.0, 0.0, 5), (1, 1, 700.0, None, 6)]
+    iv = spark.createDataFrame([(a, b, at(c), d, e) for a, b, c, d, e in laps], "session_key int, driver_number int, lo timestamp_ntz, d double, id int")
+    hi = plus_seconds("lo", F.col("d"))
+    want = sorted((id_, t) for _, _, lo, d, id_ in laps for _, _, t in samples if d is not None and at(lo) <= t and t.timestamp() <= at(lo).timestamp() + d)
+    ranges = quantile_ranges(s, KEYS, "date", rows=10)
+    for b in (None, 1, 60, 3600, ranges):
+        j = interval_join(s, iv, KEYS, "date", F.col("lo"), hi, b)
+        assert sorted((r.id, r.date) for r in j.select("id", "date").collect()) == want, b
+    # what the long lap explodes into: two cells at most, or the driver's own ranges
+    made = _cell_join(s, iv.select("*", F.col("lo").alias("_lo"), hi.alias("_hi")), KEYS, "date", 1).where("id = 2")
+    assert made.select("_level", "_cell").distinct().count() <= 2
+
+
+def _bursts(spark):
+    """Driver 1: a quiet hour with 4000 samples in one of its seconds; driver 2: few; driver 3: spread; driver 4: one sample."""
+    data = [(1, t, "AB"[t % 7 == 0], t) for t in range(0, 3600, 60)]
+    data += [(1, 1800.5 + i / 10_000, "AB"[(i // 13) % 2], i) for i in range(4000)]
+    data += [(2, t, "A", t) for t in range(5)] + [(3, t * 11, "AB"[t % 2], t) for t in range(900)] + [(4, 7, None, 1)]
+    return _states(spark, data).repartition(4)
+
+
+def test_ranges_cut_a_burst_and_results_stay(spark):
+    df = _bursts(spark)
+    ranges = quantile_ranges(df, KEYS, "date", rows=100)
+    sizes = ranges.numbered(df, F.col("date"), "_b").groupBy(*KEYS, "_b").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 250
+    assert {r.driver_number: r.n for r in sizes.groupBy("driver_number").agg(F.count("*").alias("n")).collect()}.keys() == {1, 2, 3, 4}
+    assert sizes.where("driver_number in (2, 4)").agg(F.max("_b")).first()[0] == 0
+    assert same(with_previous(df, KEYS, "date", ["date", "v"]), with_previous(df, KEYS, "date", ["date", "v"], buckets=ranges))
+    a, b = islands(df, KEYS, "date", ["st"]), islands(df, KEYS, "date", ["st"], buckets=ranges)
+    assert same(a, b)
+
+
+def test_no_ranges_where_no_key_needs_them(spark):
+    assert quantile_ranges(_bursts(spark), KEYS, "date", rows=5000) is None
+    assert quantile_ranges(_bursts(spark).where("false"), KEYS, "date", rows=1) is None
+
+
+def test_ranges_joined_over_salts(spark, monkeypatch):
+    from paddock.operators import ranges as module
+    df = _bursts(spark)
+    cuts = quantile_ranges(df, KEYS, "date", rows=200)
+    a = cuts.numbered(df, F.col("date"), "n")
+    monkeypatch.setattr(module, "BROADCAST_CUTS", 0)
+    assert same(a, cuts.numbered(df, F.col("date"), "n"))
+
+
 def test_strict_reach_is_reference_window(spark):
     df = spark.createDataFrame([(at(0), 10.0, 20.0, 30.0)], "s timestamp_ntz, d1 double, d2 double, d3 double")
     lo, hi = sector_reach(F.col("s"), F.col("d1"), F.col("d2"), F.col("d3"), "strict")
