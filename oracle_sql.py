@@ -493,6 +493,39 @@ WHERE session_key IS NULL OR driver_number IS NULL OR lap_number IS NULL OR lap_
 
 C16 = "SELECT * FROM events WHERE event_id % 20 = 0"
 
+_PLACE = "CAST('0x' || substr(md5('42|' || event_id), 1, 15) AS BIGINT)"
+C16_EXACT = f"""
+SELECT * FROM events
+QUALIFY row_number() OVER (ORDER BY {_PLACE}, event_id) <= (SELECT CAST(round_even(0.05 * count(*), 0) AS BIGINT) FROM events)"""
+
+C9 = f"""
+WITH many AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type),
+line AS (SELECT event_type, n, coalesce(sum(n) OVER (ORDER BY event_type ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM many)
+SELECT event_id, event_type,
+  CAST(floor((start + floor(n * (CAST({_PLACE} AS DOUBLE) / 1152921504606846976.0))) / (SELECT ceil(count(*) / 7.0) FROM events)) AS INT) AS task_group
+FROM events JOIN line USING (event_type)"""
+
+A19 = """
+WITH old AS (SELECT max(event_id) AS last FROM events WHERE event_id % 4 = 0), fresh AS (SELECT count(*) AS k FROM events WHERE event_id % 4 <> 0)
+SELECT CAST(last + i AS BIGINT) AS statid, CAST(1 AS BIGINT) AS n FROM old, (SELECT unnest(range(1, k + 1)) AS i FROM fresh)"""
+
+A10 = f"""
+SELECT index_type, {", ".join(f"round(quantile_cont(elapsedtime, {p}), 9) AS q_{i}" for i, p in enumerate((0.25, 0.5, 0.75, 0.999)))}
+FROM {_LOG} runs GROUP BY index_type"""
+
+S5 = views("telemetrys", "laps", "sessions") + """
+, tried AS (
+  SELECT 1 AS batch, session_key, driver_number, lap_number, 1 AS copy FROM laps WHERE lap_number % 2 = 1
+  UNION ALL SELECT 2, session_key, driver_number, lap_number, 1 FROM laps
+  UNION ALL SELECT 3, session_key, driver_number, lap_number, unnest([1, 2]) FROM laps WHERE lap_number % 3 = 0
+), told AS (
+  SELECT batch, session_key, CASE WHEN copy = 2 THEN 'repeated key' WHEN race AND (batch = 3 OR batch = 2 AND lap_number % 2 = 1) THEN 'key exists'
+    WHEN NOT race THEN 'no parent' END AS state
+  FROM (SELECT *, session_key IN (SELECT session_key FROM sessions WHERE session_name = 'Race') AS race FROM tried)
+)
+SELECT coalesce(state, 'there') AS state, CASE WHEN state IS NULL THEN 0 ELSE batch END AS batch, session_key, count(*) AS n
+FROM told GROUP BY ALL"""
+
 C17 = views("telemetrys", "laps") + "SELECT DISTINCT session_key, driver_number FROM laps"
 
 S4 = r"""
@@ -539,7 +572,8 @@ def operator_sql() -> dict[str, str]:
         "s10_points_read_back": S10, "s1_loaded_sessions": S1, "s2_differing_files": S2, "c15_rejected_rows": C15_FILES, "s2_loaded_sector_speed": R1_LOADED, "r3b_stored_points": R3B, "a15_points_pivot": A15,
         "a17_last_write_wins": A17, "c5_dedup_first": C5, "c6_drop_nulls": C6, "c7_semi_filter": C7,
         "c8_composite_semi": C8, "c10_bool_cast": C10, "c12_iso_timestamp": C12, "c13_pk_audit": C13,
-        "c14_fk_audit": C14, "c15_quarantine": C15, "c16_modulus_sample": C16, "c17_distinct_pairs": C17,
+        "c14_fk_audit": C14, "c15_quarantine": C15, "c16_modulus_sample": C16, "c17_distinct_pairs": C17, "c16_exact_sample": C16_EXACT, "c9_task_groups": C9, "a19_numbered_runs": A19,
+        "a10_radix_quantiles": A10, "s5_appended_laps": S5, "s12_written_measure": R3C,
         "s4_path_keys": S4, "o4_topk": O4, "u1_union_by_name": U1, "f11_json_field": F11, "w2_best_lap": W2,
         "w6_islands": W6,
     }

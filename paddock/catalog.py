@@ -96,7 +96,9 @@ def operator_queries() -> dict[str, Query]:
     from paddock.functions.timefn import parse_iso_utc
     from paddock.operators import clean as C
     from paddock.operators.joins import semi
-    from paddock.operators.points import last_write_wins, pivot_points, read_points, to_points
+    from paddock.operators.dealing import exact_sample, task_groups
+    from paddock.operators.points import last_write_wins, pivot_points, read_points, to_points, write_points
+    from paddock.operators.quantiles import radix_quantiles
     from paddock.operators.windows import islands, run_summary
     from paddock.plans import point_reports as P
     from paddock.plans import timing as TM
@@ -190,7 +192,6 @@ def operator_queries() -> dict[str, Query]:
 
     def stored(s, points):
         """The points written to the shared folder and read back."""
-        from paddock.operators.points import write_points
         path = new_folder(s, "points")
         write_points(points, path, "session_key")
         return path
@@ -204,6 +205,50 @@ def operator_queries() -> dict[str, Query]:
         points = read_points(s, path, ["tyre_stints", "weather_conditions"])
         return _nine(P.tyre_temperature_from_points(points), "mean_track_temperature")
 
+    def written_measure(s, d):
+        """The denormalised measure written as points, read back, the last write of a point kept, and reduced."""
+        path = new_folder(s, "query3")
+        write_points(P.stint_weather_points(_t(s, d), only=["lap_start", "lap_end", "track_temperature"], keep_order=True), path, "session_key")
+        back = s.read.parquet(path)
+        tags = ["session_key", "compound", "driver_number"]
+        points = last_write_wins(back.withColumns({c: F.col(c).cast("string") for c in tags}), tags, [F.col(P.WRITE_ORDER)])
+        return _nine(P.tyre_temperature_denormalised(points), "mean_track_temperature")
+
+    def radix_quartiles(s, d):
+        log = timing_log(s, d)
+        q = radix_quantiles(log, ["index_type"], "elapsedtime", [0.25, 0.5, 0.75, 0.999])
+        return _nine(q, "q_0", "q_1", "q_2", "q_3")
+
+    def sampled_events(s, d):
+        return exact_sample(_events(s, d), 0.05, ["event_id"])
+
+    def dealt_events(s, d):
+        return task_groups(_events(s, d).select("event_id", "event_type"), "event_type", 7, ["event_id"])
+
+    def numbered_runs(s, d):
+        """A log of one part of the runs, and the rest appended: the ids that the whole log has, and how often each."""
+        log = timing_log(s, d).withColumn("description", F.lit("run"))
+        old = log.where("statid % 4 = 0")
+        rest = log.where("statid % 4 <> 0").select("queryid", "index_type", "description", F.col("elapsedtime").alias("seconds"))
+        last = old.agg(F.max("statid")).first()[0] or 0
+        whole = TM.append_runs(s, old.select(*[F.col(f.name).cast(f.dataType) for f in TM.LOG_SCHEMA.fields]), rest)
+        return whole.where(F.col("statid") > last).groupBy("statid").agg(F.count("*").alias("n"))
+
+    def appended_laps(s, d):
+        """Laps appended in overlapping batches, one of them run twice; what is there in the end, and why rows were rejected."""
+        from paddock.sources.append import append_once
+        t, path = _t(s, d), new_folder(s, "appended")
+        laps = t.laps.select(*R.SD, "lap_number", "lap_duration")
+        parents = [(["session_key"], t.sessions.where("session_name = 'Race'"), ["session_key"])]
+        batches = [(1, laps.where("lap_number % 2 = 1")), (2, laps), (2, laps), (3, laps.where("lap_number % 3 = 0").unionByName(laps.where("lap_number % 3 = 0")))]
+        rejected = None
+        for number, rows in batches:
+            bad = append_once(s, rows, path, [*R.SD, "lap_number"], number, parents).withColumn("batch", F.lit(number))
+            rejected = bad if rejected is None else rejected.unionByName(bad)
+        there = s.read.parquet(path).select(F.lit("there").alias("state"), F.lit(0).alias("batch"), *R.SD)
+        out = there.unionByName(rejected.select(F.col("_reason").alias("state"), "batch", *R.SD))
+        return out.groupBy("state", "batch", "session_key").agg(F.count("*").alias("n"))
+
     def second_precision_points(s, d):
         # Written at one-second precision, samples of a driver in the same second land on
         # the same point; the later sample (write order = sample time) wins.
@@ -251,6 +296,12 @@ def operator_queries() -> dict[str, Query]:
                                                   read(s, d, "labels"), ["doc_id"]),
         "c15_quarantine": lap_quarantine,
         "c16_modulus_sample": lambda s, d: C.modulus_sample(_events(s, d), "event_id", 20),
+        "c16_exact_sample": sampled_events,
+        "c9_task_groups": dealt_events,
+        "a19_numbered_runs": numbered_runs,
+        "a10_radix_quantiles": radix_quartiles,
+        "s5_appended_laps": appended_laps,
+        "s12_written_measure": written_measure,
         "c17_distinct_pairs": lambda s, d: C.distinct_pairs(_t(s, d).laps),
         "s4_path_keys": lambda s, d: read(s, d, "pages").select(
             "page_id", *keys_from_path(F.col("url"), r"/([a-z]{2})/(\d+)", ["lang", "page_no"], ["string", "int"])),

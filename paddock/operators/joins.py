@@ -77,3 +77,20 @@ def _cell_join(samples: DataFrame, iv: DataFrame, on: list[str], ts: str, least_
     iv = iv.select("*", F.explode(F.sequence(cell(a), cell(b))).alias("_cell"))
     smp = samples.select("*", F.explode(levels).alias("_level")).withColumn("_cell", cell(epoch_micros(F.col(ts))))
     return smp.join(iv, [*on, "_level", "_cell"], "inner")
+
+
+def blocked_join(left: DataFrame, right: DataFrame, on: Sequence[str], rows: int = 1000, seed: int = 7) -> DataFrame:
+    """Many-to-many inner join in blocks: every key's rows on both sides are dealt over blocks of about ``rows`` by their hash, and
+    each pair of blocks is joined apart, so that no unit of work makes more than about ``rows`` squared pairs, however many
+    rows share a key. A side's rows are repeated once per block of the other side, never more."""
+    on = list(on)
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*on).agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
+
+    plan = blocks(left, "_nl").join(blocks(right, "_nr"), on)
+    a = left.join(plan, on).withColumn("_bl", F.pmod(F.xxhash64(F.lit(seed), *left.columns), "_nl").cast("int"))
+    b = right.join(plan, on).withColumn("_br", F.pmod(F.xxhash64(F.lit(seed), *right.columns), "_nr").cast("int"))
+    a = a.select(*left.columns, "_bl", F.explode(F.sequence(F.lit(0), F.col("_nr") - 1)).alias("_br"))
+    b = b.select(*right.columns, "_br", F.explode(F.sequence(F.lit(0), F.col("_nl") - 1)).alias("_bl"))
+    return a.join(b, [*on, "_bl", "_br"]).drop("_bl", "_br")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paddock.functions.exact import SCALE, all_coarse, cast_2dp, exact_mean, exact_mean_2dp, exact_sums, quantiles_2dp, scaled_int
+from paddock.operators.dealing import with_ids
 
 LOG_SCHEMA = T.StructType([
     T.StructField("statid", T.LongType()), T.StructField("queryid", T.LongType()),
@@ -29,15 +30,17 @@ def run_seconds(df: DataFrame) -> float:
     return time.perf_counter() - t0
 
 
-def append_runs(spark: SparkSession, log: DataFrame | None, runs: list[tuple[int, str, str, float]]) -> DataFrame:
-    """Append runs ``(queryid, index_type, description, seconds)`` with ids continuing
-    ``COALESCE(MAX(statid), 0) + 1`` (A19). The runs are timed on the driver, so
-    the new ids are assigned there from one scalar; the log itself stays distributed."""
+def append_runs(spark: SparkSession, log: DataFrame | None, runs: DataFrame | list[tuple[int, str, str, float]]) -> DataFrame:
+    """Append runs ``(queryid, index_type, description, seconds)`` with dense ids from ``COALESCE(MAX(statid), 0) + 1`` (A19). ``runs`` is
+    a DataFrame of any size with these columns, or a list of runs timed on the driver."""
     start = 0
     if log is not None:
         start = log.agg(F.max("statid")).first()[0] or 0
-    rows = [(start + k + 1, q, i, d, float(sec)) for k, (q, i, d, sec) in enumerate(runs)]
-    new = spark.createDataFrame(rows, LOG_SCHEMA)
+    if isinstance(runs, DataFrame):
+        new = with_ids(spark, runs.select("queryid", "index_type", "description", F.col("seconds").alias("elapsedtime")), start + 1, "statid")
+        new = new.select(*[F.col(f.name).cast(f.dataType) for f in LOG_SCHEMA.fields])
+    else:
+        new = spark.createDataFrame([(start + k + 1, q, i, d, float(sec)) for k, (q, i, d, sec) in enumerate(runs)], LOG_SCHEMA)
     return new if log is None else log.unionByName(new)
 
 
