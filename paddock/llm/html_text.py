@@ -6,8 +6,9 @@ composite density is its characters per tag, raised or lowered by the share of c
 are links. The element with the largest sum of its children's densities is the core of the article. The
 smallest density on the path from the core to the body is the threshold: elements beside that path
 that reach it, and aren't mostly links, belong to the article too, as do headings and what stands
-beside the core in a smaller part of the page than the body. A core inside an ``article`` or
-``main`` stands for the whole of it.
+beside the core in a smaller part of the page than the body. Lists and boxes of nothing but links inside it don't.
+Names decide only on boxes (never on paragraphs, headings, quotes or items), and only whole names of things that aren't articles, alone or
+with the name of a kind of box.
 
 Blocks are the runs of text between starts and ends of block elements; line breaks count as white
 space. Character references are decoded, white space becomes one space, blocks are joined by an
@@ -46,12 +47,18 @@ NAMES = frozenset("""ad ads advert advertisement adverts alert banner breadcrumb
     copyright disclaimer disqus footer gdpr header legal login masthead menu modal nav navbar navigation newsletter notice notices pager
     pagination popup promo promoted recommended related replies reply respond search share sharing sidebar signup social sponsor sponsored
     subscribe toolbar widget widgets""".split())
+# what such a name may be combined with
+KINDS = frozenset("area bar block box container content footer form inner item list module outer panel section slot top bottom unit wrap wrapper zone site page main".split())
+# elements that may be cut off by their names
+BOXES = frozenset("center details div dl figure fieldset header hgroup ol section span summary table ul".split())
+LINK_SHARE, LINKS = 0.8, 3   # a list or box with so many links, and such a share of its characters in them, is a list of links
 LEAST_SHARE = 0.5   # of an element's characters that must not be links
 
 _TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"""
-    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-    r"""|<(?P<end2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^>]*)>|<[!?/][^>]*>""", re.S | re.I)
+    rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^<>]*>.*?(?:</(?P=raw)\s*>|\Z)"""
+    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>"""
+    # a tag that isn't closed, or has a lone quote, ends at the next one: no start is looked at twice
+    r"""|<(?P<end2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs2>[^<>]*+)(?:>|(?=<))|<[!?/][^<>]*+>""", re.S | re.I)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
@@ -130,7 +137,7 @@ def _named_out(attrs: str) -> bool:
                     return True
                 continue
             parts = [p for p in re.split(r"[-_]+", name) if p]
-            if parts and parts[0] not in ("with", "has", "no", "is") and (parts[0] in NAMES or parts[-1] in NAMES):
+            if any(p in NAMES for p in parts) and all(p in NAMES or p in KINDS or p.isdigit() for p in parts):
                 return True
     return False
 
@@ -148,7 +155,7 @@ def main_text(source: str | None) -> str:
     for i in range(1, n):
         within[i] = within[parent[i]] or tag[i] in ("article", "main")
         out = tag[i] in NEVER or tag[i] == "header" and not within[i]
-        if not out and page.attrs[i] and not holds[i] and tag[i] not in ("body", "article", "main"):
+        if not out and page.attrs[i] and tag[i] in BOXES and not holds[i]:
             out = _named_out(page.attrs[i])
         keep[i] = keep[parent[i]] and not out
     # characters and tags below each element, and those that are links
@@ -188,18 +195,17 @@ def main_text(source: str | None) -> str:
     while path[-1] > 0 and tag[path[-1]] != "body":
         path.append(parent[path[-1]])
     threshold = min(dense[i] for i in path)
-    articles = [i for i in path if tag[i] == "article"] or [i for i in path if tag[i] == "main"]
     chosen = [False] * n
-    if articles:
-        core = articles[-1]
-        chosen[core] = True
-    else:
-        chosen[core] = True
-        on_path = set(path)
-        for i in range(1, n):
-            if keep[i] and parent[i] in on_path and i not in on_path and (chars[i] - link_chars[i]) >= LEAST_SHARE * chars[i]:
-                in_part = parent[i] > 0 and tag[parent[i]] != "body"
-                chosen[i] = dense[i] >= threshold or in_part or tag[i] in ("h1", "h2")
+    chosen[core] = True
+    on_path = set(path)
+    for i in range(1, n):
+        if keep[i] and parent[i] in on_path and i not in on_path and (chars[i] - link_chars[i]) >= LEAST_SHARE * chars[i]:
+            in_part = parent[i] > 0 and tag[parent[i]] != "body"
+            chosen[i] = dense[i] >= threshold or in_part or tag[i] in ("h1", "h2")
+    for i in range(1, n):
+        if tag[i] in BOXES and i not in on_path and link_tags[i] >= LINKS and link_chars[i] >= LINK_SHARE * chars[i]:
+            keep[i] = False
+        keep[i] = keep[i] and (i in on_path or keep[parent[i]])
     for i in range(1, n):
         chosen[i] = keep[i] and (chosen[i] or chosen[parent[i]])
     blocks, block = [], []

@@ -34,6 +34,38 @@ def test_odd_pages():
     assert H.main_text(long).count("word") == 30_000
 
 
+KEPT = ('<p class="legal">A long paragraph about the law that the article is about, and more of it.</p>', '<p class="notice-period">How long the notice period is, in words.</p>',
+        '<div class="ad-hoc">An ad hoc box that belongs to the article and says so at some length.</div>', '<blockquote class="comment">A quoted comment of some length is part of it.</blockquote>')
+
+
+@pytest.mark.parametrize("part", KEPT)
+@pytest.mark.parametrize("frame", ("<article>{}</article>", "<main>{}</main>", '<div class="content">{}</div>'))
+def test_names_inside_the_article_cut_nothing(frame, part):
+    text = re.sub("<[^>]*>", "", part)
+    assert H.main_text(f"<body>{NOISE[1]}{frame.format(ARTICLE + part)}{NOISE[-2]}</body>") == f"{TEXT}\n\n{text}"
+
+
+def test_a_list_of_links_is_not_the_article():
+    links = "<ul>" + "".join(f"<li><a href={i}>Another story {i}</a></li>" for i in range(6)) + "</ul>"
+    for frame in ("<main>{}</main>", "<article>{}</article>", "<div>{}</div>"):
+        assert H.main_text(f"<body>{frame.format(ARTICLE + links)}</body>") == TEXT
+
+
+def test_the_density_decides(monkeypatch):
+    """Without tags that name the article; and with every density alike the result is another."""
+    paragraphs = "".join(f"<p>Paragraph {i} of the article, long enough to be dense, with commas and all.</p>" for i in range(6))
+    page = f"<body><div><span>x</span><span>y</span><i>z</i></div><div><div>{paragraphs}</div></div><div><a href=1>one</a><a href=2>two</a></div></body>"
+    assert H.main_text(page) == "\n\n".join(re.findall("<p>(.*?)</p>", paragraphs))
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+    for part in ("<a ", "<a href='", '<p "', "<!", "</", "<script ", "<a <p "):
+        start = time.perf_counter()
+        H.main_text(part * (1_000_000 // len(part)))
+        assert time.perf_counter() - start < 5, part
+
+
 def test_all_pages_of_the_test_data(spark, sf):
     """The pages' articles are between article tags; read them off with patterns."""
     pages = table(spark, sf.replace("0.001", "0.01"), "pages")
