@@ -526,6 +526,11 @@ S5 = views("telemetrys", "laps", "sessions") + """
 SELECT coalesce(state, 'there') AS state, CASE WHEN state IS NULL THEN 0 ELSE batch END AS batch, session_key, count(*) AS n
 FROM told GROUP BY ALL"""
 
+S3 = """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k, 'landed' AS state FROM events WHERE event_id % 101 <> 0
+UNION ALL SELECT NULL, NULL, 'rejected' FROM events WHERE event_id % 101 = 0
+UNION ALL SELECT CAST(count(*) AS BIGINT), NULL, 'more' FROM events WHERE event_id % 101 <> 0 AND event_id % 7 = 0"""
+
 C17 = views("telemetrys", "laps") + "SELECT DISTINCT session_key, driver_number FROM laps"
 
 S4 = r"""
@@ -573,7 +578,7 @@ def operator_sql() -> dict[str, str]:
         "a17_last_write_wins": A17, "c5_dedup_first": C5, "c6_drop_nulls": C6, "c7_semi_filter": C7,
         "c8_composite_semi": C8, "c10_bool_cast": C10, "c12_iso_timestamp": C12, "c13_pk_audit": C13,
         "c14_fk_audit": C14, "c15_quarantine": C15, "c16_modulus_sample": C16, "c17_distinct_pairs": C17, "c16_exact_sample": C16_EXACT, "c9_task_groups": C9, "a19_numbered_runs": A19,
-        "a10_radix_quantiles": A10, "s5_appended_laps": S5, "s12_written_measure": R3C,
+        "a10_radix_quantiles": A10, "s5_appended_laps": S5, "s12_written_measure": R3C, "s3_landed_records": S3,
         "s4_path_keys": S4, "o4_topk": O4, "u1_union_by_name": U1, "f11_json_field": F11, "w2_best_lap": W2,
         "w6_islands": W6,
     }

@@ -249,6 +249,22 @@ def operator_queries() -> dict[str, Query]:
         out = there.unionByName(rejected.select(F.col("_reason").alias("state"), "batch", *R.SD))
         return out.groupBy("state", "batch", "session_key").agg(F.count("*").alias("n"))
 
+    def landed_records(s, d):
+        """Events written as lines of JSON, every 101st cut off and every 7th with a field more; landed twice."""
+        from pyspark.sql import types as T
+
+        from paddock.sources.records import land_records
+        source, out = new_folder(s, "lines"), new_folder(s, "landed")
+        k, n = F.get_json_object("props", "$.k").cast("int"), F.col("event_id")
+        line = F.to_json(F.struct("event_id", k.alias("k"), F.when(n % 7 == 0, F.lit("x")).alias("more")))
+        _events(s, d).select(F.when(n % 101 == 0, F.substring(line, 1, 9)).otherwise(line).alias("value")).write.text(source)
+        schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("k", T.IntegerType())])
+        rejected, unknown = land_records(s, source, schema, out)
+        again, _ = land_records(s, source, schema, out)
+        told = rejected.unionByName(again).select(F.lit(None).cast("long").alias("event_id"), F.lit(None).cast("int").alias("k"), F.lit("rejected").alias("state"))
+        fields = unknown.groupBy("field").agg(F.sum("n").alias("event_id")).select("event_id", F.lit(None).cast("int").alias("k"), F.col("field").alias("state"))
+        return s.read.parquet(out).withColumn("state", F.lit("landed")).unionByName(told).unionByName(fields)
+
     def second_precision_points(s, d):
         # Written at one-second precision, samples of a driver in the same second land on
         # the same point; the later sample (write order = sample time) wins.
@@ -302,6 +318,7 @@ def operator_queries() -> dict[str, Query]:
         "a10_radix_quantiles": radix_quartiles,
         "s5_appended_laps": appended_laps,
         "s12_written_measure": written_measure,
+        "s3_landed_records": landed_records,
         "c17_distinct_pairs": lambda s, d: C.distinct_pairs(_t(s, d).laps),
         "s4_path_keys": lambda s, d: read(s, d, "pages").select(
             "page_id", *keys_from_path(F.col("url"), r"/([a-z]{2})/(\d+)", ["lang", "page_no"], ["string", "int"])),

@@ -118,3 +118,31 @@ def test_json_lines_landing(spark, tmp_dir):
     out = os.path.join(tmp_dir, "pits")
     land_json(spark, src, schemas.PITS, out, json_lines=True)
     assert rows(read_table(spark, out).select("lap_number"), "lap_number") == [(3,), (4,)]
+
+
+def test_landed_records(spark, tmp_dir):
+    """A bad record costs one row, a landed file isn't landed again; lines and documents."""
+    import json
+    import os
+
+    from pyspark.sql import types as T
+
+    from paddock.sources.records import land_records
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    for lines in (True, False):
+        source, out = os.path.join(tmp_dir, f"in{lines}"), os.path.join(tmp_dir, f"out{lines}")
+        os.makedirs(source)
+        rows = [{"a": 1, "b": "x"}, {"a": "no number", "b": "y"}, {"a": 3, "c": [1]}, {"b": None}]
+        with open(os.path.join(source, "one.json"), "w") as f:
+            f.write("\n".join(map(json.dumps, rows)) + "\n\n" if lines else json.dumps(rows))
+        with open(os.path.join(source, "two.json"), "w") as f:
+            f.write('{"a": 9' if lines else "no json")
+        rejected, unknown = land_records(spark, source, schema, out, lines)
+        got = spark.read.parquet(out)
+        assert sorted(map(tuple, got.collect()), key=str) == [(1, "x"), (3, None), (None, None)]
+        assert rejected.count() == 2 and [(r.field, r.n) for r in unknown.collect()] == [("c", 1)]
+        assert land_records(spark, source, schema, out, lines)[0].count() == 0 and spark.read.parquet(out).count() == 3
+        with open(os.path.join(source, "three.json"), "w") as f:
+            f.write('{"a": 5}' if lines else '[{"a": 5}]')
+        land_records(spark, source, schema, out, lines)
+        assert spark.read.parquet(out).count() == 4
