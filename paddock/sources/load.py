@@ -125,7 +125,15 @@ def load_reference_layout(spark: SparkSession, root: str,
         if materialized:
             good = materialize(spark, good, name, ["session_key"] if name == "telemetrys" else ())
         clean[name], bad[name] = good, _with_files(rejected, unreadable[name]) if name in unreadable else rejected.drop("_file", "_row")
-    return Tables(**clean), bad
+    t = Tables(**clean)
+    return (_with_ranges(t) if materialized else t), bad
+
+
+def _with_ranges(t: Tables) -> Tables:
+    """The ranges of drivers with very many samples are counted at load time, not while a report is built."""
+    if t.telemetrys is not None:
+        t.time_ranges()
+    return t
 
 
 def write_tables(t: Tables, database: str) -> None:
@@ -151,4 +159,4 @@ def materialize_tables(spark: SparkSession, t: Tables) -> Tables:
             out[name] = materialize(spark, good, name, ["session_key"])
         else:
             out[name] = materialize(spark, good, name)
-    return Tables(**out)
+    return _with_ranges(Tables(**out))
