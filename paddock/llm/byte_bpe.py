@@ -4,7 +4,7 @@ A text is cut into pre-tokens by the tokenizer's pattern. A minimal perfect hash
 resolves pre-tokens that are tokens themselves: one slot of a table that has exactly one entry per
 token is read and compared. Any other pre-token is merged: its bytes form a linked list, and a heap
 of neighbouring pairs gives the pair of the lowest rank next, so a run of n bytes takes
-O(n log n) steps. What a worker has resolved it keeps in a table of at most ``KEPT`` short pre-tokens.
+O(n log n) steps. What a task has resolved it keeps in a table of at most ``KEPT`` short pre-tokens.
 
 The vocabulary is a fixed file, so what is broadcast doesn't grow with the data. A null text is
 empty; a null doc_id is kept as it is.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from paddock.llm.common import ship_package
 
-KEPT = 400_000        # pre-tokens a worker keeps resolved
+KEPT = 400_000        # pre-tokens a task keeps resolved
 KEPT_BYTES = 64       # of at most so many bytes
 PER_BUCKET = 4        # tokens per bucket of the perfect hash, on average
 _MASK = (1 << 64) - 1
@@ -209,6 +209,7 @@ def encoded(spark: SparkSession, docs: DataFrame, rank_file: str, pattern: str,
             if with_ids:
                 arrays.append(pa.array([np.frombuffer(x, "<u4").astype(np.int64) for x in columns[3]], pa.list_(pa.int64())))
             yield pa.record_batch(arrays, names=names)
+        tokenizer.kept.clear()  # a worker outlives the stage
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * with_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
