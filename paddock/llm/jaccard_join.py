@@ -46,6 +46,9 @@ BUCKETS = 1 << 23        # hash buckets of the frequency order: a bitmap of 1 MB
 FREQUENT = 0.0005        # a bucket in more than this share of the documents is frequent
 LEAST_FREQUENT = 8       # and in at least so many; a prefix token in so many is moved back, too
 NEEDED_BITS = 1 << 23    # bitmap of the documents whose texts are compared: 1 MB
+MEMBERS = 1024           # members of an opened group that a task holds, ...
+BLOCK_TOKENS = 1 << 20   # ... and about so many tokens
+ASKING = 4096            # classes that ask one such block
 STAR_SALTS = 64          # a frequent token's classes are dealt over so many tasks
 
 
@@ -133,7 +136,7 @@ def _thresholds(counts: DataFrame) -> list[int]:
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (token, salt, class): each class with the first one of its token; that one itself only if salted."""
+    """Rows sorted by (token, salt, place, class): each class with the first one of its token; that one itself only if salted."""
     run = None  # token, salt, first class, its size, last class
     for batch in batches:
         token, salt, cls, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "salt", "cls", "size"))
@@ -161,6 +164,11 @@ def _n(size: str):
     return F.shiftright(size, 32)
 
 
+def _place(size: str):
+    """The token's place among the set's tokens."""
+    return F.col(size).bitwiseAND(0xFFFFFFFF)
+
+
 def _left(size: str):
     """Tokens of the set from this one on."""
     return F.shiftright(size, 32) - F.col(size).bitwiseAND(0xFFFFFFFF)
@@ -190,7 +198,7 @@ def _buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(spark: SparkSession, docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, text), once for each class in ``wanted`` (cls, doc_id, k: rows that have both)."""
+    """(cls, text), written, once for each class in ``wanted`` (cls, doc_id, k: rows that have both)."""
     bitmap = spark.sparkContext.broadcast(_bitmap(wanted.select("doc_id").mapInArrow(_buckets_of, "bucket long"), NEEDED_BITS))
     some = docs.filter("doc_id is not null").mapInArrow(_maybe_needed(bitmap), docs.schema)
 
@@ -198,7 +206,9 @@ def _texts(spark: SparkSession, docs: DataFrame, wanted: DataFrame) -> DataFrame
         return some.join(wanted.filter(which).select("cls", "doc_id"), "doc_id").select("cls", "text").mapInArrow(_with_class, "cls long, text string")
 
     once = of("k = 1")
-    return once if wanted.filter("k > 1").isEmpty() else once.unionByName(of("k > 1").dropDuplicates(["cls"]))
+    found = written(spark, once if wanted.filter("k > 1").isEmpty() else once.unionByName(of("k > 1").dropDuplicates(["cls"])), "jaccard-texts")
+    bitmap.unpersist()
+    return found
 
 
 def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,34 +262,37 @@ def _label(df: DataFrame, groups: DataFrame, cls: str, as_: str) -> DataFrame:
     return df.join(g, cls, "left").withColumn(as_, F.coalesce("_g", cls)).drop("_g")
 
 
-def _open_groups(spark: SparkSession, posts: DataFrame, groups: DataFrame, known: DataFrame, fetch) -> DataFrame:
+def _open_groups(spark: SparkSession, posts: DataFrame, groups: DataFrame, known: DataFrame, sizes: DataFrame, fetch) -> DataFrame:
     """Links between classes of different groups, from the groups that the token-group matrix doesn't exclude.
 
-    ``known`` has pairs compared before; ``fetch`` gives the texts of classes.
+    ``known`` has pairs compared before; ``sizes`` (cls, n) the classes' set sizes; ``fetch`` gives the texts of classes.
     """
     first = posts.select("token", F.col("lead").alias("cls"), F.col("lead_size").alias("size")).distinct()
-    members = _label(posts.select("token", "cls", "size").union(first).distinct(), groups, "cls", "grp")
+    many_of = groups.groupBy(F.col("label").alias("grp")).agg(F.count("*").alias("many"))
+    members = _label(posts.select("token", "cls", "size").union(first).distinct(), groups, "cls", "grp").join(many_of, "grp", "left")
+    members = members.withColumn("many", F.coalesce("many", F.lit(1)))
     split = (members.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
              .filter("lo <> hi").select("token"))
     members = written(spark, members.join(split, "token"), "jaccard-members")
-    matrix_prefix = members.groupBy("token", "grp").agg(
+    matrix_prefix = members.groupBy("token", "grp", "many").agg(
         F.min(_n("size")).alias("n_min"), F.max(_n("size")).alias("n_max"), F.max(_left("size")).alias("left_max"))
-    q = members.select("token", "cls", F.col("grp").alias("own"), _n("size").alias("n"), _left("size").alias("left"))
+    # of two groups the smaller one's classes ask
+    q = members.select("token", "cls", F.col("grp").alias("own"), F.col("many").alias("own_many"), _n("size").alias("n"), _left("size").alias("left"))
+    smaller = (F.col("own_many") < F.col("many")) | ((F.col("own_many") == F.col("many")) & (F.col("own") < F.col("grp")))
     # lengths, and what is left of either set from its first common token on, bound the similarity
     low, high = F.greatest("n_min", F.col("n") * THRESHOLD / 100), F.least("n_max", F.col("n") * 100 / THRESHOLD)
     least = (F.col("n") + low) * THRESHOLD
     met = q.join(matrix_prefix, "token").filter(
-        (F.col("own") < F.col("grp")) & (F.col("n_min") * THRESHOLD <= F.col("n") * 100) & (F.col("n_max") * 100 >= F.col("n") * THRESHOLD)
+        smaller & (F.col("n_min") * THRESHOLD <= F.col("n") * 100) & (F.col("n_max") * 100 >= F.col("n") * THRESHOLD)
         & (F.least("left", "left_max") * (100 + THRESHOLD) >= least)).select("cls", "grp").distinct()
     # common tokens of the prefixes; beyond the shorter prefix there are at most what it leaves of its set
     met = (written(spark, met, "jaccard-met").join(q.select("cls", "token", "n"), "cls")
-           .join(matrix_prefix.drop("left_max"), ["token", "grp"]).groupBy("cls", "n", "grp")
+           .join(matrix_prefix.drop("left_max", "many"), ["token", "grp"]).groupBy("cls", "n", "grp")
            .agg(F.count("*").alias("common"), F.min("n_min").alias("n_min"), F.max("n_max").alias("n_max")))
     at_most = F.col("common") + F.greatest(_needed("n"), F.ceil(high * THRESHOLD / 100)) - 1
     reach = written(spark, met.filter(at_most * (100 + THRESHOLD) >= least).select("cls", "n", "grp"), "jaccard-reach")
     # a group of one class: its union is the class, the comparison is the bound
-    alone = groups.groupBy(F.col("label").alias("grp")).agg(F.lit(1).alias("many"))
-    reach = reach.join(alone, "grp", "left")
+    reach = reach.join(many_of, "grp", "left")
     single = reach.filter("many is null").select(F.col("cls").alias("a"), F.col("grp").alias("b"))
     many = reach.filter("many is not null").select("cls", "n", "grp")
     # the matrix: token unions of the groups reached
@@ -295,8 +308,63 @@ def _open_groups(spark: SparkSession, posts: DataFrame, groups: DataFrame, known
     bound = asked.join(matrix, ["grp", "token"]).groupBy("also", "grp").agg(F.count("*").alias("common"))
     opened = (bound.withColumnRenamed("also", "cls").join(many, ["cls", "grp"])
               .filter(F.col("common") * 100 >= F.col("n") * THRESHOLD).select("cls", "grp"))
-    wide = opened.join(inside.select("grp", F.col("cls").alias("b")), "grp").select(F.col("cls").alias("a"), "b")
-    return _links(single.unionByName(wide), texts)
+    return _links(single, texts).unionByName(_opened(spark, opened, inside, texts, sizes))
+
+
+def _opened(spark: SparkSession, opened: DataFrame, inside: DataFrame, texts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """A link from each asking class (cls, grp) to every block of the group's members that has one.
+
+    Members of a group are linked already, so one link says all. They are dealt over blocks of bounded size, and many
+    asking classes over salts; a block's members meet all that ask as an index of tokens, without a row for each pair.
+    """
+    asking = opened.groupBy("grp").agg(F.ceil(F.count("*") / ASKING).cast("int").alias("salts"))
+    blocks = (inside.join(sizes, "cls").groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks")))
+    plan = written(spark, asking.join(blocks, "grp"), "jaccard-blocks")
+    spread = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    members = inside.join(plan, "grp").select("grp", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"), spread, "cls", F.lit(0).alias("asks"))
+    queries = opened.join(plan, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                                              F.pmod(F.xxhash64("cls"), "salts").cast("int").alias("salt"), "cls", F.lit(1).alias("asks"))
+    met = members.unionByName(queries).join(texts, "cls").repartition("grp", "block", "salt").sortWithinPartitions("grp", "block", "salt", "asks")
+    return met.select("grp", "block", "salt", "asks", "cls", "text").mapInArrow(_against, "a long, b long")
+
+
+def _against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of a block, then the classes that ask: each with the first member it links to, if any."""
+    at, members, index = None, [], None
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("grp", "block", "salt")), strict=True))
+        asks, cls, found = batch.column("asks").to_pylist(), batch.column("cls").to_pylist(), []
+        for i, tokens in (s for part in slices(batch.column("text")) for s in part.shingles(WORDS)):
+            if keys[i] != at:
+                at, members, index = keys[i], [], None
+            if not asks[i]:
+                members.append((cls[i], tokens))
+                continue
+            if index is None:
+                index = _index(members)
+            member, sizes, every, starts, owner = index
+            place = np.searchsorted(every, tokens)
+            place = place[(place < len(every)) & (every[np.minimum(place, len(every) - 1)] == tokens)] if len(every) else place[:0]
+            if not len(place):
+                continue
+            a, many = starts[place], starts[place + 1] - starts[place]
+            rows = owner[np.repeat(a - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+            common = np.bincount(rows, minlength=len(member))
+            linked = np.flatnonzero(100 * common >= THRESHOLD * (sizes + len(tokens) - common))
+            if len(linked):
+                found.append((cls[i], int(member[linked[0]])))
+        if found:
+            a, b = zip(*found, strict=True)
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _index(members: list) -> tuple:
+    """Classes and their sizes; distinct tokens, where each one's members start, and the members (by number)."""
+    sizes = np.array([len(t) for _, t in members], np.int64)
+    tokens = np.concatenate([t for _, t in members]) if members else np.zeros(0, np.uint64)
+    order = np.argsort(tokens, kind="stable")
+    every, starts = np.unique(tokens[order], return_index=True)
+    return np.array([c for c, _ in members], np.int64), sizes, every, np.append(starts, len(tokens)), np.repeat(np.arange(len(members)), sizes)[order]
 
 
 def _best_star(stars: DataFrame) -> DataFrame:
@@ -325,24 +393,27 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     bucket = F.col("token").bitwiseAND(BUCKETS - 1).alias("bucket")
     levels = [_bitmap(counts.filter(F.col("n") >= least).select(bucket), BUCKETS) for least in _thresholds(counts)]
     levels = spark.sparkContext.broadcast([words | (levels[0] if levels else 0), *levels[1:], words])
-    posts = written(spark, docs.mapInArrow(_prefixes(levels, hot), schema).repartition("token", "salt").sortWithinPartitions("token", "salt", "cls").mapInArrow(
+    posts = written(spark, docs.mapInArrow(_prefixes(levels, hot), schema).repartition("token", "salt").sortWithinPartitions("token", "salt", _place("size"), "cls").mapInArrow(
         _stars, schema + ", lead long, lead_size long"), "jaccard-posts")
+    for b in (hot, one, levels):
+        b.unpersist()
     # each class with the first class that it shares the most tokens with, if these are a third of its prefix
-    stars = posts.select("token", "salt", "cls", _n("size").alias("n"), "lead", _n("lead_size").alias("lead_n"))
-    salted = stars.filter("salt > 0").select("token", F.col("lead").alias("cls"), F.col("lead_n").alias("n")).distinct()
-    across = salted.join(salted.groupBy("token").agg(F.min("cls").alias("lead"), F.min_by("n", "cls").alias("lead_n")), "token")
+    stars = posts.select("token", "salt", "cls", _n("size").alias("n"), "lead", _n("lead_size").alias("lead_n"), _place("lead_size").alias("lead_place"))
+    salted = stars.filter("salt > 0").select("token", F.col("lead").alias("cls"), F.col("lead_n").alias("n"), "lead_place").distinct()
+    first = F.struct("lead_place", "cls")
+    across = salted.join(salted.groupBy("token").agg(F.min_by("cls", first).alias("lead"), F.min_by("n", first).alias("lead_n")), "token")
     pairs = written(spark, _best_star(stars).unionByName(_best_star(across)).distinct(), "jaccard-pairs")
-    classes = (rows.filter("n_shingles > 0").groupBy("cls", "doc_id").agg(F.count("*").alias("k"))
-               .groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min_by("k", "doc_id").alias("k")))
+    classes = (rows.filter("n_shingles > 0").groupBy("cls", "doc_id").agg(F.count("*").alias("k"), F.max("n_shingles").alias("n"))
+               .groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min_by("k", "doc_id").alias("k"), F.max("n").alias("n")))
     classes = written(spark, classes, "jaccard-classes")
 
     def fetch(wanted: DataFrame) -> DataFrame:
-        needed_rows = written(spark, classes.join(wanted, "cls").filter("doc_id is not null"), "jaccard-wanted")
-        return written(spark, _texts(spark, docs, needed_rows), "jaccard-texts")
+        needed_rows = written(spark, classes.drop("n").join(wanted, "cls").filter("doc_id is not null"), "jaccard-wanted")
+        return _texts(spark, docs, needed_rows)
 
     links = written(spark, _links(pairs, fetch(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct())), "jaccard-links")
     groups = connected(spark, links)
-    more = written(spark, _open_groups(spark, posts, groups, pairs, fetch), "jaccard-more")
+    more = written(spark, _open_groups(spark, posts, groups, pairs, classes.select("cls", "n"), fetch), "jaccard-more")
     whole = groups if more.isEmpty() else connected(spark, links.unionByName(more))
     labelled = _label(classes, whole, "cls", "label")
     smallest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
