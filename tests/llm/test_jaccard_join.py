@@ -87,10 +87,29 @@ def corpus(seed):
 def test_same_as_all_pairs(spark, monkeypatch, seed, least):
     """Whatever the order of the tokens (how many count as frequent), the components are the same."""
     monkeypatch.setattr(J, "LEAST_FREQUENT", least)
+    if seed == 2:   # opened groups in many blocks, each met by few classes at a time
+        for name, value in {"MEMBERS": 2, "ASKING": 2, "BLOCK_TOKENS": 100}.items():
+            monkeypatch.setattr(J, name, value)
     rows = corpus(seed)
     assert run(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("batch", [1, 7, 1000])
+def test_members_of_a_block_meet_all_that_ask(batch):
+    """Each asking class is linked with a member of its block if, and only if, it has one that is similar enough."""
+    import pyarrow as pa
+    texts = [t for _, t in corpus(5)]
+    sets = brute_sets(texts)
+    rows, want = [], {}
+    for grp, (members, asking) in enumerate([(range(0, 60), range(60, 160)), (range(0), range(3)), (range(100, 180), range(0, 100)), (range(5), range(0))]):
+        rows += [(grp, 0, 0, 0, i, texts[i]) for i in members if sets[i]] + [(grp, 0, 0, 1, 1000 * grp + i, texts[i]) for i in asking if sets[i]]
+        want |= {1000 * grp + i: {j for j in members if sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])} for i in asking if sets[i]}
+    names = ["grp", "block", "salt", "asks", "cls", "text"]
+    batches = [pa.record_batch([pa.array(c) for c in zip(*rows[i:i + batch], strict=True)], names=names) for i in range(0, len(rows), batch)]
+    got = {a: b for out in J._against(batches) for a, b in zip(*(c.to_pylist() for c in out.columns), strict=True)}
+    assert set(got) == {a for a, near in want.items() if near} and all(b in want[a] for a, b in got.items()) and len(got) > 20
+
+
 def test_threshold_is_inclusive(spark):
     a = [f"a{i}" for i in range(11)]        # 7 shingles, 6 of them in common with the next: 6 / 8
     rows = [(1, " ".join(a)), (2, " ".join([*a[:10], "b"])), (3, " ".join(a[:8])), (4, "p q r"), (5, "P  q r"), (6, "p q")]
