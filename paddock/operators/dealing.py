@@ -54,7 +54,7 @@ def running_total(df: DataFrame, order: str, value: str, name: str, ranges: int
     """``df`` (one row per ``order``) with the sum of ``value`` over all rows before. Ranges are summed apart and shifted by what
     precedes them: one row per range is all that meets in one task."""
     from paddock.sources.files import kept
-    parts = kept(df.sparkSession, df.repartitionByRange(ranges, order).withColumn("_part", F.spark_partition_id()), "totals")
+    parts = kept(df.sparkSession, df.repartitionByRange(ranges, order).withColumn("_part", F.spark_partition_id()), "totals", must=True)
     prior = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = parts.groupBy("_part").agg(F.sum(value).alias("_s")).select("_part", F.coalesce(F.sum("_s").over(prior), F.lit(0)).alias("_shift"))
     within = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -82,7 +82,7 @@ def with_ids(spark: SparkSession, df: DataFrame, start: int, name: str) -> DataF
     offset and the row's place in it."""
     from paddock.sources.files import kept
     whole = F.monotonically_increasing_id()
-    placed = kept(spark, df.select("*", F.shiftright(whole, PLACE_BITS).alias("_part"), whole.bitwiseAND((1 << PLACE_BITS) - 1).alias("_place")), "numbered")
+    placed = kept(spark, df.select("*", F.shiftright(whole, PLACE_BITS).alias("_part"), whole.bitwiseAND((1 << PLACE_BITS) - 1).alias("_place")), "numbered", must=True)
     prior = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offset = placed.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_offset"))
     number = (F.lit(start) + F.col("_offset") + F.col("_place")).cast("long")

@@ -126,10 +126,18 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, partition_by: Seq
     return spark.read.parquet(path)
 
 
-def kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` materialized where the session names a shared folder, else as it is."""
+def kept(spark: SparkSession, df: DataFrame, name: str, must: bool = False) -> DataFrame:
+    """``df`` materialized in the shared folder; in one made for it where a single-process session names none. On a cluster
+    without a shared folder ``df`` is returned as it is, or is refused if its rows must stay as they are (``must``)."""
+    import tempfile
+
+    from paddock import session
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return materialize(spark, df, name) if shared else df
+    if not shared and spark.sparkContext.master.split("[")[0] == "local" and spark.sparkContext.applicationId not in session._FALLBACK:
+        session.checkpoint_dir(spark, tempfile.mkdtemp(prefix="paddock-"))
+    if shared or must or spark.sparkContext.applicationId in session._FALLBACK:
+        return materialize(spark, df, name)
+    return df
 
 
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
