@@ -76,3 +76,25 @@ def test_labelled_rows_are_told_apart(spark, sf):
     assert len(bad) > 100 and np.mean(good) >= 0.99 and np.mean(bad) <= 0.1
     again = Q.fit(spark, docs.repartition(7), labels)
     assert again.cut == model.cut and (again.forest.cut == model.forest.cut).all()
+
+
+def test_model_and_cut_come_from_all_labelled_rows(spark):
+    n_good, n_bad = 6500, 2100
+    docs = spark.range(n_good + n_bad).selectExpr(
+        "id as doc_id", f"concat_ws(' ', transform(sequence(1, 60 + cast(id % 90 as int)), i -> if(pmod(hash(id, i), if(id < {n_good}, 90, 7)) = 0, '#', concat('w', i))), '') as text")
+    labels = docs.selectExpr("doc_id", f"cast(doc_id < {n_good} as int) as quality", "0 as toxic")
+    rows = Q._labelled(docs, labels).collect()
+    assert sum(r["quality"] > 0 for r in rows) == n_good and sum(r["quality"] <= 0 for r in rows) == n_bad
+    model = Q.fit(spark, docs, labels)
+    scores = {k: np.sort(model.forest.scores(np.array([r["rates"] for r in rows if (r["quality"] > 0) == k]))) for k in (True, False)}
+    edge = scores[True][n_good - 1 - int(Q.MAX_GOOD_LOST * n_good)]
+    above = scores[False][scores[False] > edge]
+    assert model.cut == ((edge + above[0]) / 2 if len(above) else scores[True][-1])
+    assert model.forest.rows == Q.ROWS_A_TREE
+
+
+def test_order_statistic(spark):
+    values = np.abs(np.random.default_rng(3).normal(size=300)).repeat(2)
+    rows = spark.createDataFrame([(int(v.view(np.int64)),) for v in values], "bits long")
+    for rank in (0, 1, 299, 598, 599):
+        assert Q._order_statistic(rows, rank) == int(np.sort(values)[rank].view(np.int64))
