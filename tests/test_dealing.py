@@ -98,3 +98,10 @@ def test_blocked_join_equals_join(spark):
     b = spark.createDataFrame([(i % 4 if i % 7 else None, i) for i in range(90)], "k int, b int")
     assert same(blocked_join(a, b, ["k"], rows=10), a.join(b, "k"))
     assert blocked_join(a.where("false"), b, ["k"]).count() == 0
+
+
+def test_blocked_join_spreads_small_sides(spark):
+    a, b = spark.range(1500).selectExpr("1 as k", "id as a"), spark.range(2000).selectExpr("1 as k", "id as b")
+    made = blocked_join(a, b, ["k"], rows=100).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    assert sum(r["n"] for r in made) == 3_000_000
+    assert len(made) >= 4 and max(r["n"] for r in made) <= 1_500_000     # one task made all pairs before

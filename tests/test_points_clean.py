@@ -139,3 +139,28 @@ def test_small_cleaning_wrappers(spark):
     big = spark.range(20000)
     n = C.bernoulli_sample(big, 0.05).count()
     assert 700 < n < 1300  # about 5 %, not exact
+
+
+def test_last_write_wins_and_pivot_shuffle_once(spark):
+    df = spark.createDataFrame([(1, "SOFT", at(0), 1, 5, 2), (1, "SOFT", at(0), 2, 7, 3), (1, "SOFT", at(0), None, 9, 4), (1, "HARD", at(0), None, 4, 5),
+                                (2, None, at(1), -3, 6, None)], "s int, c string, date timestamp_ntz, _seq long, a int, b int")
+    p = to_points(df, "q", ["s", "c"], {"a": "int", "b": "int"}, "date", carry=["_seq"])
+    last = last_write_wins(p, ["s", "c"], [F.col("_seq")])
+    assert last.columns == p.columns
+    wanted = [("1", "HARD", 4.0, 5.0), ("1", "SOFT", 7.0, 3.0), ("2", "None", 6.0, None)]
+    wide = pivot_points(last, ["_time", "s", "c"], ["a", "b"]).select("s", "c", "a", "b")
+    assert sorted(rows(wide)) == wanted
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 1 and "Window" not in final
+    three = last_write_wins(p, ["s", "c"], [F.col("_seq")], tasks=3)
+    assert sorted(rows(pivot_points(three, ["_time", "s", "c"], ["a", "b"]).select("s", "c", "a", "b"))) == wanted
+
+
+def test_written_where_made(spark, tmp_path):
+    from paddock.operators.points import read_points, write_points
+    df = spark.range(300).selectExpr("cast(id % 3 as int) as s", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id) as date", "cast(id as int) as v")
+    p = to_points(df, "q", ["s"], {"v": "int"}, "date")
+    write_points(p.repartition(4), str(tmp_path / "p"), "s", dealt=True)
+    back = read_points(spark, str(tmp_path / "p"), ["q"])
+    assert rows(back.groupBy("s").agg(F.count("*"), F.sum("_value")).orderBy("s")) == rows(p.groupBy("s").agg(F.count("*"), F.sum("_value")).orderBy("s"))

@@ -189,8 +189,6 @@ def test_r1c_equals_r1a_on_their_common_ground(spark):
 
 
 def test_r3b_equals_r3c_on_key_unique_stints(spark):
-    from paddock.operators.ranges import quantile_ranges
-from paddock.plans import point_reports as P
     from paddock.sources.standin import standin_tables
     t = standin_tables(spark, "/root/testdata/sf0.001")
     b = P.tyre_temperature_from_points(P.load_points(t, measurements=["tyre_stints", "weather_conditions"]))
