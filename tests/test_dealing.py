@@ -105,3 +105,15 @@ def test_blocked_join_spreads_small_sides(spark):
     made = blocked_join(a, b, ["k"], rows=100).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
     assert sum(r["n"] for r in made) == 3_000_000
     assert len(made) >= 4 and max(r["n"] for r in made) <= 1_500_000     # one task made all pairs before
+
+
+def test_blocked_join_numbers_its_blocks(spark):
+    a = spark.createDataFrame([(i % 3 if i % 5 else None, i % 9, i) for i in range(80)], "k int, g int, a int")
+    b = spark.createDataFrame([(i % 4 if i % 7 else None, i // 4, i) for i in range(90)], "k int, h int, b int")
+    out = blocked_join(a, b, ["k"], rows=10, pairs_a_task=300, left_by=[F.col("g")], right_by=[F.col("h")], block="_block")
+    assert same(out.drop("_block"), a.join(b, "k"))
+    assert out.schema["_block"].metadata["tasks"] > 1
+    together = out.withColumn("p", F.spark_partition_id()).groupBy("k", "g", "h").agg(F.count_distinct("_block").alias("n"), F.count_distinct("p").alias("p"))
+    assert together.agg(F.max("n"), F.max("p")).first() == (1, 1)
+    assert out.groupBy("_block").agg(F.count_distinct("k").alias("n")).agg(F.max("n"), F.count("*")).first()[0] == 1
+    assert blocked_join(a.where("false"), b, ["k"], block="_block").count() == 0

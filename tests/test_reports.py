@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import literal_forms
@@ -214,3 +215,36 @@ def test_denormalised_measure_layouts(spark):
     assert rows(a.select("_measurement").distinct()) == [("query3",)]
     assert rows(b.select("_measurement").distinct()) == [("query3_compund",)]
     assert same(P.tyre_temperature_denormalised(a), P.tyre_temperature_denormalised(b, "query3_compund"))
+
+
+def test_written_measure_is_not_shuffled_after_the_write(spark, monkeypatch):
+    from paddock import catalog
+    compounds = ["SOFT", "HARD", "MEDIUM", None, "SOFT"]                    # the second SOFT of a driver is written last
+    stints = [(s, d, n + 1, 1 + n, 3 + 2 * n + d % 7, c) for s in (1, 2) for d in range(200) for n, c in enumerate(compounds)]
+    weather = [(s, at(20 * i), 20.0 + (7 * i + s) % 31) for s in (1, 2, 3) for i in range(700)] + [(1, at(0), None), (2, at(0), 99.0)]
+    t = _tables(spark, [(1, 10, 0, 1, 0, 0, 0)], [(1, 10, 1, 0, 1.0, 1.0, 1.0, 3.0)], stints=stints, weather=weather)
+    monkeypatch.setattr(catalog, "_t", lambda s, d: t)
+    out = catalog.all_queries()["s12_written_measure"](spark, "")
+    assert same(out, P.tyre_temperature_denormalised_preagg(t).selectExpr("compound", "round(mean_track_temperature, 9) as mean_track_temperature", "max_lap_duration"))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(compound" in plan
+    t = t.with_(weather_conditions=t.weather_conditions.where("false"))
+    assert catalog.all_queries()["s12_written_measure"](spark, "").collect() == []
+
+
+def test_blocks_of_the_measure_are_stored_in_buckets(spark, tmp_path):
+    from paddock.operators.points import write_blocks
+    stints = [(1, d, n, n, n + d, "SOFT" if n % 2 else "HARD") for d in range(120) for n in range(1, 6)]
+    t = _tables(spark, [(1, 10, 0, 1, 0, 0, 0)], [(1, 10, 1, 0, 1.0, 1.0, 1.0, 3.0)], stints=stints, weather=[(1, at(i), 30.0 + i % 9) for i in range(900)])
+    p = P.stint_weather_points(t, only=["lap_start", "track_temperature"], keep_order=True, in_blocks=True)
+    back = write_blocks(p, str(tmp_path / "p"), "session_key", P.BLOCK)
+    assert back.count() == 600 * 900 * 2
+    series = back.groupBy("session_key", "compound", "driver_number", "_time").agg(F.count_distinct(P.BLOCK).alias("n"))
+    assert series.agg(F.max("n")).first()[0] == 1 and back.select(P.BLOCK).distinct().count() == 6       # 2 blocks of stints x 3 of weather
+    plain = P.stint_weather_points(t, only=["lap_start", "track_temperature"])
+    cols = [c for c in plain.columns]
+    assert back.groupBy(*cols).count().exceptAll(plain.groupBy(*cols).count()).count() == 0
+    files = back.select("_time", "compound", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"))
+    w = Window.partitionBy("f").orderBy("i")
+    assert files.withColumn("before", F.lag("_time").over(w)).where("before > _time").count() == 0          # in the order of time
